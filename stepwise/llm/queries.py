@@ -9,21 +9,56 @@ from pyspark.sql import functions as F
 
 from ..session import prepare
 from .line_dedup import drop_repeated_lines
+from .packing import pack
+from .substring_dedup import drop_repeated_phrases
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(_table(spark, sf_dir, "documents"), tokenizer_path()).drop("ids")
+
+
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = drop_repeated_phrases(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = drop_repeated_lines(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_packing": op1_packing,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_line_dedup": op4_line_dedup,
 }
 
+OP3 = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+starts AS (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM words),
+windows AS (SELECT doc_id, i, sha256(array_to_string(list_slice(w, i, i + 19), ' ')) AS h FROM starts),
+later AS (SELECT doc_id, i FROM windows
+          QUALIFY row_number() OVER (PARTITION BY h ORDER BY doc_id, i) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM later),
+each AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM words),
+kept AS (SELECT e.doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY e.i) AS text
+         FROM each e LEFT JOIN gone g ON e.doc_id = g.doc_id AND e.i = g.i WHERE g.i IS NULL GROUP BY e.doc_id)
+SELECT d.doc_id, len(d.w) AS n_words, len(d.w) - coalesce(n_kept, 0) AS n_removed,
+       sha256(coalesce(k.text, '')) AS kept_sha256
+FROM words d LEFT JOIN kept k ON d.doc_id = k.doc_id
+"""
+
 OP4 = r"""
 WITH lines AS (
   SELECT doc_id, pos, line, lower_ascii AS key FROM (
@@ -41,5 +76,6 @@ FROM marked GROUP BY doc_id
 """
 
 SQL: dict[str, str] = {
+    "op3_substring_dedup": OP3,
     "op4_line_dedup": OP4,
 }
