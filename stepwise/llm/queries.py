@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import prepare
 from .line_dedup import drop_repeated_lines
+from .near_dedup import near_duplicates
 from .packing import pack
 from .substring_dedup import drop_repeated_phrases
 
@@ -37,10 +38,15 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_line_dedup": op4_line_dedup,
+    "op9_minhash_near_dedup": op9_minhash_near_dedup,
 }
 
 OP3 = r"""
