@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import prepare
+from . import langid, quality
+from .embedding_dedup import near_vectors
 from .line_dedup import drop_repeated_lines
 from .near_dedup import near_duplicates
 from .packing import pack
@@ -28,6 +30,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), tokenizer_path()).drop("ids")
 
 
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = drop_repeated_phrases(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
@@ -38,14 +44,31 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    out = quality.classify(docs.select("doc_id", "text"), quality.quality_model(docs, labels))
+    return out.select("doc_id", (quality.bucket(F.col("doc_id"), 3) == 1).alias("held_out"), "score", "predicted")
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = langid.fit(docs.filter(quality.bucket(F.col("doc_id"), 4) != 2))
+    out = langid.identify(docs, model)
+    languages = F.transform("languages", lambda x: x["lang"]).alias("languages")
+    return out.select("doc_id", (quality.bucket(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score", languages)
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_embedding_near_dedup": op2_embedding_near_dedup,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_line_dedup": op4_line_dedup,
+    "op5_quality": op5_quality,
+    "op8_language_id": op8_language_id,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
 }
 
