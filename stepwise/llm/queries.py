@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 from ..session import prepare
 from . import langid, quality
+from .chat import digests, format_chats
 from .embedding_dedup import near_vectors
+from .fingerprints import edited_neighbours
 from .line_dedup import drop_repeated_lines
+from .mixing import mix, word_count
 from .near_dedup import near_duplicates
 from .packing import pack
 from .substring_dedup import drop_repeated_phrases
@@ -50,6 +53,20 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (quality.bucket(F.col("doc_id"), 3) == 1).alias("held_out"), "score", "predicted")
 
 
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    text = r"\### Assistant: </turn> ok"
+    added = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], "conv_id long, turn long, role string, text string")
+    events = rows.union(added).select("*", F.lit(0).alias("seq"), F.lit("message").alias("kind"))
+    return digests(format_chats(events))
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    out = mix(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")))
+    return out.select("doc_id", "size", "source_size", "target", "taken", "source", "rate", "copies")
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = langid.fit(docs.filter(quality.bucket(F.col("doc_id"), 4) != 2))
@@ -62,14 +79,22 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = edited_neighbours(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_line_dedup": op4_line_dedup,
     "op5_quality": op5_quality,
+    "op6_chat_formatting": op6_chat_formatting,
+    "op7_mixing": op7_mixing,
     "op8_language_id": op8_language_id,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
+    "op10_fingerprints": op10_fingerprints,
 }
 
 OP3 = r"""
