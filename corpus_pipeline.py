@@ -1,2 +1,70 @@
-"""Quality, line dedup, near-dedup, mixing and packing, one after the other."""
-STAGES: list = []
+"""From raw documents to packed sequences, in five stages.
+
+Each stage takes (spark, docs, sf_dir) and gives a DataFrame; docs are the rows that
+the stage before it kept. All but the last give the columns of documents.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from stepwise.llm.line_dedup import drop_repeated_lines
+from stepwise.llm.mixing import mix, word_count
+from stepwise.llm.near_dedup import near_duplicates
+from stepwise.llm.packing import pack
+from stepwise.llm.quality import classify, quality_model
+from stepwise.llm.queries import tokenizer_path
+from stepwise.session import prepare
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, fitted on sf_dir's labels, doesn't reject."""
+    prepare(spark)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return classify(docs.select(*COLUMNS), quality_model(docs, labels)).filter("predicted = 1").select(*COLUMNS)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the lines that an earlier document has; n_chars follows."""
+    prepare(spark)
+    out = drop_repeated_lines(docs, carry=["lang", "source"])
+    return out.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: the one with the smallest doc_id."""
+    prepare(spark)
+    kept = near_duplicates(docs).filter("kept").select("doc_id")
+    return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as many times as the mix takes it."""
+    prepare(spark)
+    copies = mix(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))).select("doc_id", "copies").filter("copies > 0")
+    out = docs.select(*COLUMNS).join(copies, "doc_id")
+    return out.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).select(*COLUMNS)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of packed sequences, with their ids."""
+    return pack(docs, tokenizer_path(), with_ids=True)
+
+
+STAGES = [("quality", quality), ("line_dedup", lines), ("near_dedup", near), ("mixing", mixing), ("packing", packing)]
+
+#: No stage but line_dedup is expressible in SQL, so run() is tested stage by stage.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of sf_dir."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for k, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs = docs.checkpoint()  # later stages read their input more than once
+    return docs

@@ -10,6 +10,8 @@ themselves are never joined or moved.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -151,7 +153,7 @@ def _answer(table: pa.Table) -> pa.Table:
     return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int32(), *[pa.binary()] * 3), strict=True)], names=["block", "hashes", "prints", "docs"])
 
 
-def _apply(least: int):
+def _apply(least: int, carry: list[str]):
     def apply(table: pa.Table, answers: pa.Table) -> pa.Table:
         hashes, prints, first = unpack(answers["hashes"], np.uint64)[0], unpack(answers["prints"], np.uint32)[0], unpack(answers["docs"], np.int64)[0]
         order = np.lexsort((prints, hashes))
@@ -175,13 +177,13 @@ def _apply(least: int):
             n_lines.append(lines.count)
             n_dropped.append(np.bincount(lines.row[drop], minlength=b - a))
         join = lambda x: pa.array(np.concatenate(x) if x else [], pa.int64())
-        return pa.table({"doc_id": table["doc_id"], "text": pa.chunked_array(texts, pa.string()), "n_lines": join(n_lines), "n_dropped": join(n_dropped)})
+        return pa.table({c: table[c] for c in carry} | {"doc_id": table["doc_id"], "text": pa.chunked_array(texts, pa.string()), "n_lines": join(n_lines), "n_dropped": join(n_dropped)})
 
     return apply
 
 
-def drop_repeated_lines(docs: DataFrame, least: int = 10, block_bytes: int = BLOCK_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """doc_id, text (the lines left, joined by a line feed), n_lines (before) and n_dropped.
+def drop_repeated_lines(docs: DataFrame, least: int = 10, carry: Sequence[str] = (), block_bytes: int = BLOCK_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """The columns of `carry` as they are, doc_id, text (the lines left, joined by a line feed), n_lines (before) and n_dropped.
 
     A line's key is the line without white space at its ends, A-Z in lower case. Keys
     of at least `least` code points that two or more documents hold lose their lines
@@ -190,7 +192,8 @@ def drop_repeated_lines(docs: DataFrame, least: int = 10, block_bytes: int = BLO
     empty one; other columns are ignored.
     """
     n_blocks, n_shards = counts(text_bytes(docs), block_bytes, shard_bytes)
-    blocks = in_blocks(docs, n_blocks, "doc_id", "text")
+    blocks = in_blocks(docs, n_blocks, "doc_id", "text", *carry)
+    fields = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in carry)
     probes = blocks.groupBy("block").applyInArrow(_send(n_shards, least), PROBES)
     answers = probes.groupBy("shard").applyInArrow(_answer, ANSWERS)
-    return answer(blocks, answers, _apply(least), "doc_id long, text string, n_lines long, n_dropped long")
+    return answer(blocks, answers, _apply(least, list(carry)), f"{fields}doc_id long, text string, n_lines long, n_dropped long")
