@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("intervals",)
+MODULES = ("intervals", "scalars")
 
 
 def collect(name: str) -> dict:
