@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("intervals", "scalars")
+MODULES = ("intervals", "match", "scalars", "series")
 
 
 def collect(name: str) -> dict:
