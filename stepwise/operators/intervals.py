@@ -147,9 +147,9 @@ def overlap_filter(df: DataFrame, spans: DataFrame, by: Sequence[str], width: fl
 
 def count_between(points: DataFrame, queries: DataFrame, by: Sequence[str], point: str = "t", lo: str = "lo", hi: str = "hi", out: str = "n", bucket: int | None = None) -> DataFrame:
     """queries with the number of points in (lo, hi]."""
-    below = count_at(points, queries, by, point, lo, "_a", bucket)
-    both = count_at(points, below, by, point, hi, "_b", bucket)
-    return both.withColumn(out, F.col("_b") - F.col("_a")).drop("_a", "_b")
+    below = count_at(points, queries, by, point, lo, "_below", bucket)
+    both = count_at(points, below, by, point, hi, "_upto", bucket)
+    return both.withColumn(out, F.col("_upto") - F.col("_below")).drop("_below", "_upto")
 
 
 def rate_spans(schedule: DataFrame, by: Sequence[str], beat: str = "beat", value: str = "value", pos: str = "pos", initial: float = 1) -> DataFrame:

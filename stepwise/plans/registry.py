@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("intervals", "match", "scalars", "series")
+MODULES = ("intervals", "ledgers", "match", "reconcile", "scalars", "series")
 
 
 def collect(name: str) -> dict:
