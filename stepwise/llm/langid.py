@@ -30,16 +30,6 @@ _LATIN = np.zeros(256, bool)
 _LATIN[[*range(65, 91), *range(97, 123)]] = True
 
 
-def _fold(data: np.ndarray) -> np.ndarray:
-    """A-Z and the letters U+00C0 to U+00DE in lower case."""
-    out = tv.lower(data)
-    if len(out):
-        second = np.zeros(len(out), bool)
-        second[1:] = (out[:-1] == 0xC3) & (out[1:] >= 0x80) & (out[1:] <= 0x9E) & (out[1:] != 0x97)
-        out[second] += 0x20
-    return out
-
-
 def _letters(data: np.ndarray) -> np.ndarray:
     """Bytes of letters: a-z, and all of two bytes or more but U+0080 to U+00BF, U+2000 to U+2FFF and symbols."""
     ok = (data >= 97) & (data <= 122) | (data >= 0xC3)
@@ -59,7 +49,7 @@ class WordGrams:
     """
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
-        data = _fold(data)
+        data = tv.fold(data)
         solid = _letters(data)
         edge = np.zeros(len(data) + 1, bool)
         edge[offsets] = True

@@ -14,6 +14,7 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,59 +22,111 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from . import textvec as tv
+from .textvec import fold
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, padded_length long, ids binary"
 #: Sequence numbers of one partition.
 PER_PARTITION = 1 << 36
 
 
+#: ASCII marks that a tokenizer splits from a letter or digit before them.
+_TAIL = np.zeros(256, bool)
+_TAIL[[ord(c) for c in '.,;:!?*$%&#)]"|']] = True
+_ALNUM = np.zeros(256, bool)
+_ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
+_LETTER = _ALNUM.copy()
+_LETTER[48:58] = False
+
+
+def _byte_letters() -> dict[int, str]:
+    """The character that byte-level BPE has for each byte: itself where printable, else one from U+0100 on."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(0x100 + i) for i, b in enumerate(rest)}
+
+
 class WordTokens:
     """Token ids of texts by way of their distinct words.
 
-    For tokenizers that split at white space: a word's ids are the same in any text.
-    The memory is bounded: at `most` words it is emptied.
+    For tokenizers that split at white space and between letters and marks: such a
+    piece has the same ids in any text. Pieces of letters only (a-z and U+00C0 to
+    U+00FF, A-Z folded if the tokenizer folds them) go straight to its model, others
+    through the whole tokenizer. The memory is bounded: at `most` pieces it is emptied.
     """
 
+    PROBES = ("word", "über", "naïve", "çà", "strasse")
+
     def __init__(self, path: str, most: int = 400_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most = Tokenizer.from_file(path), most
+        self.model = self.tokenizer.model
+        self.letters = _byte_letters()
+        whole = lambda x: self.tokenizer.encode(x, add_special_tokens=False).ids
+        self.direct = all(whole(x.upper()) == whole(x) == self._of_letters(x.encode()) for x in self.PROBES)
         self._clear()
 
+    def _of_letters(self, word: bytes) -> list[int]:
+        return [t.id for t in self.model.tokenize(word.decode() if word.isascii() else "".join(map(self.letters.__getitem__, word)))]
+
     def _clear(self) -> None:
         self.known: dict[int, int] = {}
-        self.ids, self.bounds = np.zeros(0, np.uint16), np.zeros(1, np.int64)
-
-    def _learn(self, words: list[str], keys: list[int]) -> None:
-        if len(self.known) + len(keys) > self.most:
-            self._clear()
-        fresh = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        self.ids, self.bounds = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def _pieces(self, data: np.ndarray, words: tv.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(start, end, only letters?, pieces before each word): words with the marks at their ends cut off."""
+        at = np.arange(len(data))
+        solid = np.maximum.accumulate(np.where(_TAIL[data], -1, at)) if len(data) else at
+        cut = np.maximum(solid[words.end - 1] + 1, words.start)
+        pair = np.zeros(len(data), bool)  # second bytes of the letters U+00C0 to U+00FF
+        if len(data):
+            pair[1:] = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+        before = np.maximum(cut - 1, 0)
+        cut = np.where((cut > words.start) & (_ALNUM[data[before]] | pair[before]), cut, words.end)
+        two = cut < words.end
+        first = np.concatenate(([0], np.cumsum(1 + two)))
+        start, end = np.empty(first[-1], np.int64), np.empty(first[-1], np.int64)
+        start[first[:-1]], end[first[:-1]] = words.start, cut
+        start[first[1:][two] - 1], end[first[1:][two] - 1] = cut[two], words.end[two]
+        letter = _LETTER[data] | pair
+        letter[:-1] |= pair[1:]
+        bad = np.concatenate(([0], np.cumsum(~letter)))
+        return start, end, (bad[end] == bad[start]) & self.direct, first
+
+    def _learn(self, words: list[bytes], plain: list[bool], keys: list[int]) -> None:
+        rest = iter(self.tokenizer.encode_batch_fast([w.decode() for w, p in zip(words, plain, strict=True) if not p], add_special_tokens=False))
+        fresh = [self._of_letters(w) if p else next(rest).ids for w, p in zip(words, plain, strict=True)]
         self.known.update(zip(keys, range(len(self.known), len(self.known) + len(keys)), strict=True))
-        self.ids = np.concatenate((self.ids, np.array([i for e in fresh for i in e], np.uint32)))
-        self.bounds = np.concatenate((self.bounds, self.bounds[-1] + np.cumsum([len(e) for e in fresh], dtype=np.int64)))
+        self.ids = np.concatenate((self.ids, np.fromiter(chain.from_iterable(fresh), np.uint32)))
+        self.bounds = np.concatenate((self.bounds, self.bounds[-1] + np.cumsum(np.fromiter(map(len, fresh), np.int64))))
 
     def texts(self, data: np.ndarray, offsets: np.ndarray, last: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, bounds): the ids of each row, with `last` after them."""
         words = tv.Words(data, offsets)
-        distinct, index, inverse = np.unique(words.hashes(), return_index=True, return_inverse=True)
+        start, end, plain, first = self._pieces(data, words)
+        folded = fold(data)
+        hashes = np.where(plain, tv.HASH_A.ranges(folded, start, end), tv.HASH_B.ranges(data, start, end))
+        distinct, index, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         keys = distinct.tolist()
         new = [i for i, k in enumerate(keys) if k not in self.known]
         if len(self.known) + len(new) > self.most:
             self._clear()
             new = range(len(keys))
         if new:
-            raw = data.tobytes()
+            raw, low = data.tobytes(), folded.tobytes()
             at = index[list(new)]
-            self._learn([raw[a:b].decode() for a, b in zip(words.start[at].tolist(), words.end[at].tolist(), strict=True)], [keys[i] for i in new])
+            only = plain[at].tolist()
+            self._learn([(low if p else raw)[a:b] for a, b, p in zip(start[at].tolist(), end[at].tolist(), only, strict=True)], only, [keys[i] for i in new])
         entry = np.fromiter((self.known[k] for k in keys), np.int64, len(keys))[inverse] if keys else np.zeros(0, np.int64)
         size = np.diff(self.bounds)[entry]
         sums = np.concatenate(([0], np.cumsum(size)))
-        row_size = np.diff(sums[words.first])
+        row_size = np.diff(sums[first[words.first]])
         bounds = np.concatenate(([0], np.cumsum(row_size + 1)))
         out = np.full(bounds[-1], last, np.uint32)
-        to = np.repeat(sums[:-1], size)
-        take = np.arange(sums[-1]) - to + np.repeat(self.bounds[entry], size)
-        out[np.arange(sums[-1]) + np.repeat(np.arange(len(row_size)), row_size)] = self.ids[take]
+        take = np.arange(sums[-1]) + np.repeat(self.bounds[entry] - sums[:-1], size)
+        hold = np.ones(len(out), bool)
+        hold[bounds[1:] - 1] = False
+        out[hold] = self.ids[take]
         return out, bounds
 
 

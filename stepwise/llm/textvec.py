@@ -102,6 +102,16 @@ def lower(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 
 
+def fold(data: np.ndarray) -> np.ndarray:
+    """A-Z and the letters U+00C0 to U+00DE in lower case."""
+    out = lower(data)
+    if len(out):
+        second = np.zeros(len(out), bool)
+        second[1:] = (out[:-1] == 0xC3) & (out[1:] >= 0x80) & (out[1:] <= 0x9E) & (out[1:] != 0x97)
+        out[second] += 0x20
+    return out
+
+
 class Words:
     """Words (runs without ASCII white space) of rows.
 
