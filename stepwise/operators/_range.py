@@ -84,7 +84,7 @@ def overlap_join(left: DataFrame, right: DataFrame, by: Sequence[str], a: tuple[
 def count_at(points: DataFrame, queries: DataFrame, by: Sequence[str], point: str, at: str, out: str, bucket: int | None = None) -> DataFrame:
     """queries with the number of points at or before `at` (one sort, no pairs)."""
     order = Window.partitionBy(*by).orderBy(at).rowsBetween(Window.unboundedPreceding, 0)
-    each = points.select(*by, F.col(point).alias(at)).groupBy(*by, at).agg(F.count("*").alias("_n"))
-    running = each.withColumn(out, F.sum("_n").over(order)).drop("_n")
+    each = points.select(*by, F.col(point).alias(at)).groupBy(*by, at).agg(F.count("*").alias("_each"))
+    running = each.withColumn(out, F.sum("_each").over(order)).drop("_each")
     got = asof(queries, running, by, at, [out], bucket=bucket)
     return got.withColumn(out, F.coalesce(out, F.lit(0)).cast("long"))

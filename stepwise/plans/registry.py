@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("evaluate", "intervals", "ledgers", "match", "reconcile", "scalars", "series")
+MODULES = ("evaluate", "intervals", "ledgers", "match", "reconcile", "scalars", "series", "signals")
 
 
 def collect(name: str) -> dict:
