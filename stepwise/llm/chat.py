@@ -7,8 +7,8 @@ however long a conversation is. Each message is rendered as one part:
 
     <turn ROLE>\nTEXT</turn>\n
 
-with a backslash before each `\`, `<` and `>` of ROLE and TEXT (and \n in ROLE for a
-line feed), so no text can hold a control string and every part can be read back.
+where `\`, `<` and `>` of ROLE and TEXT are written `\\`, `\{` and `\}` (and a line feed
+in ROLE `\n`), so no text can hold a control string and every part can be read back.
 """
 
 from __future__ import annotations
@@ -22,16 +22,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 PARTS = "conv_id long, part long, formatted string, loss_from int, loss_to int"
-_ESCAPE, _UNESCAPE = re.compile(r"[\\<>]"), re.compile(r"\\(.)", re.S)
+_ESCAPED = str.maketrans({"\\": r"\\", "<": r"\{", ">": r"\}"})
+_PLAIN = {"\\": "\\", "{": "<", "}": ">", "n": "\n"}
+_UNESCAPE = re.compile(r"\\(.)", re.S)
 _PART = re.compile(r"<turn ((?:[^\\<>\n]|\\.)*)>\n((?:[^\\<>]|\\.)*)</turn>\n", re.S)
 
 
 def escape(text: str) -> str:
-    return _ESCAPE.sub(r"\\\g<0>", text)
+    return text.translate(_ESCAPED)
 
 
 def unescape(text: str) -> str:
-    return _UNESCAPE.sub(r"\1", text)
+    return _UNESCAPE.sub(lambda m: _PLAIN[m[1]], text)
 
 
 def render(role: str, text: str) -> tuple[str, int, int]:
@@ -46,7 +48,7 @@ def read_back(part: str) -> tuple[str, str]:
     found = _PART.fullmatch(part)
     if not found:
         raise ValueError("not a rendered message")
-    return _UNESCAPE.sub(lambda m: "\n" if m[1] == "n" else m[1], found[1]), unescape(found[2])
+    return unescape(found[1]), unescape(found[2])
 
 
 class Fold:
