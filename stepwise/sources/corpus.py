@@ -7,6 +7,7 @@ double that stands beside them for sorting.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -24,8 +25,6 @@ def read_corpus(spark: SparkSession, path: str, rev: str = "head") -> DataFrame:
 
 def _decode(content: Column) -> Column:
     """UTF-8 with replacement; the JVM's decoder raises on bad bytes under ANSI settings, so those go through Arrow."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def repair(s: pd.Series) -> pd.Series:
         return s.map(lambda b: None if b is None else bytes(b).decode("utf-8", "replace"))
@@ -86,7 +85,7 @@ def note_rows(blocks: DataFrame, key: list[str]) -> DataFrame:
     """key, measure, row, rows, line, beat, at: the rows of #NOTES that hold anything; comments are cut; a half-double row of six panels becomes ten, two empty at each side."""
     notes = F.regexp_replace(F.element_at("tags", "NOTES"), r"//[^\n]*", "")
     measures = blocks.select(*key, F.posexplode(F.split(notes, ",")).alias("measure", "body"))
-    lines = F.filter(F.transform(F.split("body", "\n"), F.trim), lambda x: x != "")
+    lines = F.filter(F.transform(F.split("body", "\n"), lambda x: F.trim(x)), lambda x: x != "")
     rows = measures.withColumn("_l", lines).withColumn("rows", F.size("_l")).select(*key, "measure", "rows", F.posexplode("_l").alias("row", "line"))
     cells = F.regexp_extract_all("line", F.lit(r"\{[^}]*\}|."), 0)
     rows = rows.withColumn("cells", cells)
