@@ -13,7 +13,7 @@ from stepwise.llm.line_dedup import drop_repeated_lines
 from stepwise.llm.mixing import mix, word_count
 from stepwise.llm.near_dedup import near_duplicates
 from stepwise.llm.packing import pack
-from stepwise.llm.quality import classify, quality_model
+from stepwise.llm.quality import classify, measured, quality_model
 from stepwise.llm.queries import tokenizer_path
 from stepwise.session import prepare
 
@@ -24,7 +24,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, fitted on sf_dir's labels, doesn't reject."""
     prepare(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return classify(docs.select(*COLUMNS), quality_model(docs, labels)).filter("predicted = 1").select(*COLUMNS)
+    return classify(docs.select(*COLUMNS), quality_model(measured(docs), labels)).filter("predicted = 1").select(*COLUMNS)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

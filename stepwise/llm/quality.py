@@ -1,8 +1,9 @@
 """Quality classifier: a regularised quadratic discriminant over document statistics.
 
-Every text gives the same fixed statistics, transformed to be nearer to normal. One
-distributed pass sums each class's count, mean and second moments; the model is one
-mean and one shrunken covariance for each class, small whatever the input. A score is
+Every text gives the same fixed statistics, transformed to be nearer to normal. They
+are measured where the text is read, so that labels meet short vectors and not texts.
+One distributed pass sums each class's count, mean and second moments; the model is
+one mean and one shrunken covariance for each class, small whatever the input. A score is
 the difference of the two log densities (Mahalanobis distances by cached Cholesky
 factors), squashed to 0..1.
 """
@@ -127,8 +128,23 @@ def _parts(table: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray]]:
         yield a, b, statistics(*tv.strings(text.slice(a, b - a)))
 
 
+def measured(docs: DataFrame) -> DataFrame:
+    """doc_id and statistics (len(FEATURES) doubles as binary) of each row; a null text counts as empty."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, x in _parts(batch):
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), pa.array([r.tobytes() for r in x], pa.binary())], names=["doc_id", "statistics"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, statistics binary")
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), float).reshape(-1, len(FEATURES))
+
+
 def fit(labelled: DataFrame) -> Model:
-    """A model from labelled(text, label): label 1 or 0; other labels and null are left out.
+    """A model from labelled(statistics, label): label 1 or 0; other labels and null are left out.
 
     Each partition sums its classes' moments, so only a small matrix for each
     partition is added up. No labelled rows: every score is 0.5.
@@ -138,15 +154,13 @@ def fit(labelled: DataFrame) -> Model:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((2, 1 + d + d * d))
         for batch in batches:
-            label = batch.column("label").to_numpy()
-            for a, b, x in _parts(batch):
-                for c in (0, 1):
-                    mine = x[label[a:b] == c]
-                    sums[c] += np.concatenate(([len(mine)], mine.sum(0), (mine.T @ mine).ravel()))
-        k = np.arange(sums.size)
-        yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.array(sums.ravel())], names=["k", "v"])
+            label, x = batch.column("label").to_numpy(), _matrix(batch.column("statistics"))
+            for c in (0, 1):
+                mine = x[label == c]
+                sums[c] += np.concatenate(([len(mine)], mine.sum(0), (mine.T @ mine).ravel()))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(sums.size), pa.int32()), pa.array(sums.ravel())], names=["k", "v"])
 
-    rows = labelled.filter("label IN (0, 1)").select("text", F.col("label").cast("int").alias("label")).mapInArrow(run, "k int, v double")
+    rows = labelled.filter("label IN (0, 1)").select("statistics", F.col("label").cast("int").alias("label")).mapInArrow(run, "k int, v double")
     sums = np.zeros(2 * (1 + d + d * d))
     for k, v in rows.groupBy("k").agg(F.sum("v")).collect():  # 2 x (1 + d + d^2) numbers
         sums[k] = v
@@ -154,13 +168,24 @@ def fit(labelled: DataFrame) -> Model:
     return model_of(sums[:, 0], sums[:, 1 : 1 + d], sums[:, 1 + d :].reshape(2, d, d))
 
 
+def scored(statistics_: DataFrame, model: Model) -> DataFrame:
+    """doc_id, score (0 to 1; higher: class 1 likelier) and predicted (1 if score >= 0.5, else 0) of measured() rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            score = model.score(_matrix(batch.column("statistics")))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score), pa.array((score >= 0.5).astype(np.int32))], names=["doc_id", "score", "predicted"])
+
+    return statistics_.select("doc_id", "statistics").mapInArrow(run, f"doc_id {statistics_.schema['doc_id'].dataType.simpleString()}, score double, predicted int")
+
+
 def classify(docs: DataFrame, model: Model) -> DataFrame:
-    """docs with score (0 to 1; higher: class 1 likelier) and predicted (1 if score >= 0.5, else 0).
+    """docs with score and predicted, as scored() gives them.
 
     A null text counts as empty, which is scored as any text is. All other columns
     are passed on unread; of the input's own score and predicted columns none remains.
     """
-    kept = docs.drop("score", "predicted", "_text")
+    kept = docs.drop("score", "predicted")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,7 +202,7 @@ def bucket(column: Column, n: int) -> Column:
     return F.crc32(column.cast("string").cast("binary")) % n
 
 
-def quality_model(docs: DataFrame, labels: DataFrame) -> Model:
-    """The model from the labelled rows that aren't held out (crc32(doc_id) mod 3 is not 1)."""
+def quality_model(statistics_: DataFrame, labels: DataFrame) -> Model:
+    """The model from measured() rows with a label that aren't held out (crc32(doc_id) mod 3 is not 1)."""
     known = labels.filter(F.col("quality").isin(0, 1) & (bucket(F.col("doc_id"), 3) != 1)).select("doc_id", F.col("quality").alias("label"))
-    return fit(docs.select("doc_id", "text").join(known, "doc_id"))
+    return fit(statistics_.join(known, "doc_id"))

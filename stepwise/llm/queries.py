@@ -49,7 +49,8 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
-    out = quality.classify(docs.select("doc_id", "text"), quality.quality_model(docs, labels))
+    measured = quality.measured(docs).checkpoint()  # read twice: to fit and to score
+    out = quality.scored(measured, quality.quality_model(measured, labels))
     return out.select("doc_id", (quality.bucket(F.col("doc_id"), 3) == 1).alias("held_out"), "score", "predicted")
 
 
