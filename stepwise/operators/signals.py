@@ -140,9 +140,9 @@ def quantise(notes: DataFrame, by: Sequence[str], origin: float, per_beat: float
     return rows.withColumn("_k", F.row_number().over(best)).filter("_k = 1").select(*by, "line", "error", "t")
 
 
-def min_gap_filter(notes: DataFrame, by: Sequence[str], gap: float) -> DataFrame:
-    """Notes that don't follow the one before them in their column by less than gap."""
-    order = Window.partitionBy(*by).orderBy("t")
+def min_gap_filter(notes: DataFrame, by: Sequence[str], gap: float, order_by: Sequence[str] = ("t",)) -> DataFrame:
+    """Notes that don't follow the one before them (in order_by) in their column by less than gap."""
+    order = Window.partitionBy(*by).orderBy(*order_by)
     return notes.withColumn("_g", F.col("t") - F.lag("t").over(order)).filter(F.col("_g").isNull() | (F.col("_g") >= gap)).drop("_g")
 
 

@@ -54,7 +54,7 @@ def fit_clock(spark, sf):
     """One round of matching clicks to purchases within six hours, from the middle of the month."""
     at = lambda kind: events(spark, sf, kind).select("series", ((C("t") - 1_705_320_000_000_000) / HOUR).alias("t"))
     out = align.fit_clock(at("click"), at("purchase"), BY, 6.0, rounds=1, least=3)
-    return out.select("series", F.round("slope", 5).alias("slope"), F.round("intercept", 3).alias("intercept"), "n")
+    return out.select("series", F.round("slope", 5).alias("slope"), (F.round("intercept", 3) + 0.0).alias("intercept"), "n")
 
 
 def tempo_scan(spark, sf):
@@ -136,7 +136,7 @@ def quantise(spark, sf):
 
 
 def min_gap_filter(spark, sf):
-    return op.min_gap_filter(_notes(spark, sf), ["series", "col"], 400).select("id")
+    return op.min_gap_filter(_notes(spark, sf), ["series", "col"], 400, ("t", "id")).select("id")
 
 
 QUERIES = {
@@ -156,7 +156,7 @@ SQL = {
     "e2_fit_violation": f"WITH {EVENTS}, {_O}, g AS (SELECT series, t, v % 20 AS cum, o, v % 20 - {_TAPS.format(s='e.series', t='e.t - o')} AS k FROM events_ e, o WHERE kind = 'purchase'), m AS (SELECT *, max(k) OVER (PARTITION BY series, o ORDER BY t, cum ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM g), s AS (SELECT series, o, CAST(sum(greatest(-k, 0) + coalesce(greatest(top - k, 0), 0)) AS BIGINT) AS score FROM m GROUP BY ALL) SELECT series, o AS \"offset\", score FROM s QUALIFY row_number() OVER (PARTITION BY series ORDER BY score, o) = 1",
     "e3_fit_two_sided": f"WITH {EVENTS}, {SPANS('h', 'view', 1)}, {_O}, p AS (SELECT series, t AS s, lead(t) OVER w AS e, lead(v % 5) OVER w - v % 5 AS d FROM events_ WHERE kind = 'purchase' WINDOW w AS (PARTITION BY series ORDER BY t, v % 5)), q AS (SELECT series, s - o AS s, e - o AS e, d, o FROM p, o WHERE e - s BETWEEN {HOUR} AND {100 * HOUR}), r AS (SELECT series, o, abs(d - (SELECT count(*) FROM events_ c WHERE c.kind = 'click' AND c.series = q.series AND c.t > q.s AND c.t <= q.e)) AS x FROM q WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.series = q.series AND q.s - {10 * MINUTE} < h.e AND h.s < q.e + {10 * MINUTE})), g AS (SELECT series, o, avg(x) AS error, count(*) AS n FROM r GROUP BY ALL HAVING count(*) >= 3) SELECT series, o AS \"offset\", round(error, 6) AS error, n FROM g QUALIFY row_number() OVER (PARTITION BY series ORDER BY round(error, 9), o) = 1",
     "e4_fit_zero": f"WITH {EVENTS}, {_O}, g AS (SELECT series, o, count(*) FILTER (v % 15 = {_TAPS.format(s='e.series', t='e.t - o')}) AS z FROM events_ e, o WHERE kind = 'purchase' GROUP BY ALL) SELECT series, o AS \"offset\", z AS zeros FROM g QUALIFY row_number() OVER (PARTITION BY series ORDER BY z DESC, o) = 1",
-    "e6_fit_clock": f"WITH {EVENTS}, a AS (SELECT series, (t - 1705320000000000) / {HOUR} AS t FROM events_ WHERE kind = 'click'), b AS (SELECT series, (t - 1705320000000000) / {HOUR} AS r FROM events_ WHERE kind = 'purchase'), p AS (SELECT b.series, r, a.t FROM b JOIN a ON a.series = b.series QUALIFY row_number() OVER (PARTITION BY b.series, r ORDER BY abs(a.t - r), a.t) = 1), g AS (SELECT series, regr_slope(t, r) AS k, avg(r) AS x, avg(t) AS y, count(*) AS n FROM p WHERE abs(t - r) <= 6 GROUP BY 1), c AS (SELECT *, greatest(0.99, least(1.01, coalesce(k, 1))) AS s, n >= 3 AS ok FROM g) SELECT u.series, round(CASE WHEN ok THEN s ELSE 1 END, 5) AS slope, round(CASE WHEN ok THEN y - s * x ELSE 0 END, 3) AS intercept, CASE WHEN ok THEN n ELSE 0 END AS n FROM (SELECT DISTINCT series FROM a) u LEFT JOIN c ON u.series = c.series",
+    "e6_fit_clock": f"WITH {EVENTS}, a AS (SELECT series, (t - 1705320000000000) / {HOUR} AS t FROM events_ WHERE kind = 'click'), b AS (SELECT series, (t - 1705320000000000) / {HOUR} AS r FROM events_ WHERE kind = 'purchase'), p AS (SELECT b.series, r, a.t FROM b JOIN a ON a.series = b.series QUALIFY row_number() OVER (PARTITION BY b.series, r ORDER BY abs(a.t - r), a.t) = 1), g AS (SELECT series, regr_slope(t, r) AS k, avg(r) AS x, avg(t) AS y, count(*) AS n FROM p WHERE abs(t - r) <= 6 GROUP BY 1), c AS (SELECT *, greatest(0.99, least(1.01, coalesce(k, 1))) AS s, n >= 3 AS ok FROM g) SELECT u.series, round(CASE WHEN ok THEN s ELSE 1 END, 5) AS slope, round(CASE WHEN ok THEN y - s * x ELSE 0 END, 3) + 0.0 AS intercept, CASE WHEN ok THEN n ELSE 0 END AS n FROM (SELECT DISTINCT series FROM a) u LEFT JOIN c ON u.series = c.series",
     "e7_tempo_scan": f"WITH {EVENTS}, b AS (SELECT 60 + range / 2 AS bpm FROM range(41)), g AS (SELECT series, bpm, round(sqrt(avg(cos({2 * math.pi} * (v + k / 100) * bpm * 12 / 60)) ** 2 + avg(sin({2 * math.pi} * (v + k / 100) * bpm * 12 / 60)) ** 2), 9) AS s FROM events_, b GROUP BY ALL), t AS (SELECT * FROM g QUALIFY row_number() OVER (PARTITION BY series ORDER BY s DESC, bpm) = 1), e AS (SELECT g.series, g.bpm FROM g JOIN t ON g.series = t.series AND abs(g.bpm - t.bpm) > 0.5 QUALIFY row_number() OVER (PARTITION BY g.series ORDER BY g.s DESC, g.bpm) = 1) SELECT t.series, t.bpm, round(t.s, 6) AS strength, e.bpm AS elsewhere FROM t LEFT JOIN e ON t.series = e.series",
     "e8_rolling_drift": f"WITH {EVENTS}, r AS (SELECT series, id, t // 60000000 AS t, t // 60000000 - round((t // 60000000) / 60) * 60 AS r FROM events_) SELECT series, id, round(r, 6) AS residual, round(quantile_cont(r, 0.5) OVER (PARTITION BY series ORDER BY t RANGE BETWEEN 3000 PRECEDING AND 3000 FOLLOWING), 6) AS drift FROM r",
     "e9_accrual_map": f"WITH {EVENTS}, {SPANS('h', 'view', 2)}, k AS (SELECT series, t, v % 20 AS cum, v % 20 - {_TAPS.format(s='e.series', t='e.t')} AS k FROM events_ e WHERE kind = 'purchase'), m AS (SELECT *, max(k) OVER (PARTITION BY series ORDER BY t, cum ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top, lag(t) OVER (PARTITION BY series ORDER BY t, cum) AS s FROM k) SELECT series, s, t AS e, k - top AS gain, EXISTS (SELECT 1 FROM h WHERE h.series = m.series AND m.s < h.e AND h.s < m.t) AS held FROM m WHERE k > top",
@@ -167,5 +167,5 @@ SQL = {
     "j6_merge_close": f"WITH {EVENTS}, {_N}, u AS (SELECT series, col, t, max(frames) AS frames FROM n0 GROUP BY ALL), m AS (SELECT *, CASE WHEN t - lag(t) OVER (PARTITION BY series, col ORDER BY t) < 600 THEN 0 ELSE 1 END AS new FROM u), g AS (SELECT *, sum(new) OVER (PARTITION BY series, col ORDER BY t) AS run FROM m) SELECT series, col, t, frames FROM g QUALIFY row_number() OVER (PARTITION BY series, col, run ORDER BY frames DESC, t) = 1",
     "j7_mark_holds": f"WITH {EVENTS}, {SPANS('v', 'view', 2)}, n AS (SELECT DISTINCT series, t // 60000000 AS t FROM events_ WHERE kind = 'click'), r AS (SELECT DISTINCT series, s // 60000000 AS s, e // 60000000 AS e FROM v), c AS (SELECT r.series, s, e, n.t FROM r JOIN n ON r.series = n.series QUALIFY row_number() OVER (PARTITION BY r.series, s, e ORDER BY abs(n.t - s), n.t) = 1), k AS (SELECT series, t, max(e) AS hold_end FROM c WHERE abs(t - s) <= least(300, greatest(60, 0.6 * (e - s))) GROUP BY ALL), x AS (SELECT n.series, n.t, k.hold_end, p.hold_end AS pe FROM n LEFT JOIN k ON n.series = k.series AND n.t = k.t ASOF LEFT JOIN k p ON n.series = p.series AND n.t > p.t) SELECT series, t, hold_end FROM x WHERE pe IS NULL OR t > pe OR hold_end IS NOT NULL",
     "j8_quantise": f"WITH {EVENTS}, {_N}, x AS (SELECT series, col, t, (t - 28401120) / 240 * 2 AS x FROM n0), e AS (SELECT series, col, t, CAST(round(x) AS BIGINT) AS line, abs(x - round(x)) * 2 AS e FROM x) SELECT series, col, line, round(e, 6) AS error, t FROM e WHERE e < 0.7 QUALIFY row_number() OVER (PARTITION BY series, col, line ORDER BY round(e, 9), t) = 1",
-    "j9_min_gap_filter": f"WITH {EVENTS}, {_N}, g AS (SELECT id, t - lag(t) OVER (PARTITION BY series, col ORDER BY t) AS g FROM n0) SELECT id FROM g WHERE g IS NULL OR g >= 400",
+    "j9_min_gap_filter": f"WITH {EVENTS}, {_N}, g AS (SELECT id, t - lag(t) OVER (PARTITION BY series, col ORDER BY t, id) AS g FROM n0) SELECT id FROM g WHERE g IS NULL OR g >= 400",
 }
