@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from . import textvec as tv
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 SHARD_BYTES = 16 << 20
 
 
