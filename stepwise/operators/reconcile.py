@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 
 from ._range import asof, count_at
 from .intervals import count_between, interpolate, overlap_filter
-from .series import per_series
+from .series import per_series, spread
 
 
 def implied_totals(rows: DataFrame, holds: DataFrame, blocks: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -234,6 +234,21 @@ def allocate(items: DataFrame, by: Sequence[str], total: str = "total", weight:
     return rows.withColumn("share", F.coalesce("_pin", F.col("_down") + extra).cast("long")).select(*items.columns, "share")
 
 
+def solve_small(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a x = b by elimination with pivoting; a column without a pivot gets 0. For a few unknowns, without LAPACK's threads in forked workers."""
+    m, n = np.column_stack((a, b)).astype(float), len(b)
+    for i in range(n):
+        p = i + int(np.argmax(np.abs(m[i:, i])))
+        if abs(m[p, i]) < 1e-12:
+            m[i] = 0
+            continue
+        m[[i, p]] = m[[p, i]]
+        m[i] /= m[i, i]
+        rest = np.arange(n) != i
+        m[rest] -= np.outer(m[rest, i], m[i])
+    return m[:, n]
+
+
 def nnls(a: np.ndarray, b: np.ndarray, tolerance: float = 1e-9) -> np.ndarray:
     """Non-negative least squares by the active-set method of Lawson and Hanson."""
     n = a.shape[1]
@@ -248,7 +263,7 @@ def nnls(a: np.ndarray, b: np.ndarray, tolerance: float = 1e-9) -> np.ndarray:
         free[j] = True
         while True:
             z = np.zeros(n)
-            z[free] = np.linalg.lstsq(g[np.ix_(free, free)], h[free], rcond=None)[0]
+            z[free] = solve_small(g[np.ix_(free, free)], h[free])
             down = free & (z <= 0)
             if not down.any():
                 x = z
@@ -293,7 +308,7 @@ def solve_counts(equations: DataFrame, totals: DataFrame, by: Sequence[str], clo
         return out
 
     fresh = totals.select(*(F.col(c).alias(c) for c in totals.columns))  # own column ids, should both come from one table
-    return equations.groupBy(*by).cogroup(fresh.groupBy(*by)).applyInPandas(solve, f"{keys}, region long, count long, estimate double")
+    return spread(equations, by).groupBy(*by).cogroup(spread(fresh, by).groupBy(*by)).applyInPandas(solve, f"{keys}, region long, count long, estimate double")
 
 
 def raise_floors(targets: DataFrame, by: Sequence[str], near: float = 3.0) -> DataFrame:

@@ -18,6 +18,11 @@ from pyspark.sql.window import Window
 from ._range import asof
 
 
+def spread(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """df dealt by key to as many partitions as shuffles have: work in Python is slow for its bytes, and must not be coalesced by size."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
+
+
 def per_series(df: DataFrame, by: Sequence[str], function: Callable[[pd.DataFrame], pd.DataFrame], schema: str, order: Sequence[str] = ("t",)) -> DataFrame:
     """function on each series in order; its columns after the key. A series must fit a task."""
     keys = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*by).schema.fields)
@@ -28,7 +33,7 @@ def per_series(df: DataFrame, by: Sequence[str], function: Callable[[pd.DataFram
             out.insert(0, name, value)
         return out
 
-    return df.groupBy(*by).applyInPandas(run, f"{keys}, {schema}")
+    return spread(df, by).groupBy(*by).applyInPandas(run, f"{keys}, {schema}")
 
 
 def persistent(reads: DataFrame, by: Sequence[str], k: int = 2) -> DataFrame:
