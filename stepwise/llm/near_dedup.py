@@ -11,8 +11,9 @@ Candidates that the 96 minimum hashes put below `ESTIMATE` (four deviations unde
 the threshold) are dropped; all others are verified on full shingle sets. Regions of
 `REST` values that are longer than their reach are looked at again, whole: a task
 gets the shingle sets of one region, counts all intersections by matrix products and
-gives back one row for each document that something links to. So the reach loses
-nothing, and no pairs of a dense region leave its task.
+gives back one row for each document that something links to. A region too large for
+that is cut into blocks, and every pair of blocks that several components meet in is
+a task. So the reach loses nothing, and no pairs of a dense region leave its task.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from .components import components
 TREES, DEPTH = 16, 6
 #: Values in common: places away.
 REACH = {2: 2, 3: 4}
-#: Values that a region looked at again has in common; the most documents and shingles of one that a task compares.
+#: Values that a region looked at again has in common; about the most documents and shingles that a task compares.
 REST, REGION, REGION_SHINGLES = 3, 4096, 4 << 20
 ESTIMATE = 0.57
 #: The second look chooses up to this many texts by a broadcast of ids (8 bytes each); more, by a join.
@@ -83,12 +84,26 @@ def _orders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(np.full(n, tree, np.int32)), raw, batch.column("doc_id")], names=["tree", "key", "doc_id"])
 
 
+NEAR = ["a", "b", "cut", "tree", "key"]
+
+
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows in the order of (tree, key): pairs within reach; cut marks those just beyond the reach of REST values that share them."""
+    """Rows in the order of (tree, key): pairs within reach; cut marks those just beyond the reach of REST values that share them.
+
+    Rows with a key instead of a b are the first and last of the partition, which may reach into others.
+    """
     far = max(REACH.values())
     need = [min(k for k, places in REACH.items() if places >= step) for step in range(1, far + 1)] + [DEPTH + 1]
-    held = None
+    held, first = None, None
+    edge = lambda rows: pa.RecordBatch.from_arrays([rows["doc_id"], pa.nulls(len(rows), pa.int64()), pa.array(np.zeros(len(rows), bool)), rows["tree"], rows["key"]], names=NEAR)
     for batch in batches:
+        if not len(batch):
+            continue
+        ends = pa.Table.from_batches([batch.select(["tree", "key", "doc_id"])])
+        first = ends if first is None else first if len(first) > far else pa.concat_tables([first, ends])
+        first = first.slice(0, far + 1)
+        last = ends if held is None else pa.concat_tables([last, ends])
+        last = last.slice(max(0, len(last) - far - 1))
         tree, ids = batch.column("tree").to_numpy(), batch.column("doc_id").to_numpy()
         keys = np.frombuffer(tv.strings(batch.column("key"))[0].tobytes(), ">u4").reshape(-1, DEPTH)
         if held is not None:
@@ -109,8 +124,11 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not len(common):
                 break
         a, b, cut, t = (np.concatenate(x) for x in zip(*out, strict=True))
-        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(cut), pa.array(t, pa.int32())], names=["a", "b", "cut", "tree"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(cut), pa.array(t, pa.int32()), pa.nulls(len(a), pa.binary())], names=NEAR)
         held = tree[-far - 1 :], ids[-far - 1 :], keys[-far - 1 :]
+    if first is not None:
+        for rows in (first, last):
+            yield edge(rows.combine_chunks().to_batches()[0])
 
 
 def _likely(pairs: DataFrame, known: DataFrame) -> DataFrame:
@@ -169,7 +187,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame
     leads = classes.select("doc_id", "n_shingles", "signature").checkpoint()
 
     orders = leads.mapInArrow(_orders, "tree int, key binary, doc_id long").repartitionByRange("tree", "key", "doc_id").sortWithinPartitions("tree", "key", "doc_id")
-    near = orders.mapInArrow(_neighbours, "a long, b long, cut boolean, tree int").checkpoint()
+    near = orders.mapInArrow(_neighbours, "a long, b long, cut boolean, tree int, key binary").checkpoint()
+    edges = near.filter("key IS NOT NULL").select("tree", "key", F.col("a").alias("doc_id")).distinct().coalesce(1).sortWithinPartitions("tree", "key", "doc_id")
+    over = edges.mapInArrow(_neighbours, "a long, b long, cut boolean, tree int, key binary")  # a few rows of each partition
+    near = near.union(over).filter("key IS NULL").drop("key").checkpoint()
     likely = _likely(near.filter("NOT cut").select("a", "b").distinct(), leads).checkpoint()
     links = verified(likely, docs, k, percent).checkpoint()
     found = components(links.toDF("u", "v")).checkpoint()
@@ -185,21 +206,33 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame
 
 
 def _regions(near: DataFrame, leads: DataFrame, found: DataFrame) -> DataFrame:
-    """region, doc_id: the documents of every region of REST values that its reach cuts and that holds several components.
+    """region, doc_id, side: the documents of every region of REST values that its reach cuts and that holds several components.
 
-    One that is too large for a task goes by all values, and then by a hash that each order deals anew.
+    One that is too large for a task is cut into blocks of half a task: a component that
+    fills one has blocks of its own, the others share theirs. Every two blocks make a
+    region of their own, whose sides 1 and 2 are to be compared; those of one component needn't.
     """
     cut = near.filter("cut").select("tree", F.col("a").alias("doc_id")).distinct()
     orders = lambda rows: rows.mapInArrow(_orders, "tree int, key binary, doc_id long").withColumn("short", F.substring("key", 1, 4 * REST))
     names = orders(leads.join(cut.select("doc_id").distinct(), "doc_id", "left_semi")).join(cut, ["tree", "doc_id"]).select("tree", "short").distinct()
     inside = orders(leads).join(names, ["tree", "short"]).join(leads.select("doc_id", "n_shingles"), "doc_id")
     inside = inside.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    tasks = lambda n, size: F.greatest(F.ceil(n / REGION), F.ceil(size / REGION_SHINGLES))
-    wide = inside.groupBy("tree", "short").agg(tasks(F.count("*"), F.sum("n_shingles")).alias("wide"), F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
-    deep = inside.groupBy("tree", "key").agg(tasks(F.count("*"), F.sum("n_shingles")).alias("deep"))
-    sized = inside.join(wide, ["tree", "short"]).join(deep, ["tree", "key"])
-    dealt = F.pmod(F.xxhash64("doc_id", "tree"), F.col("deep"))
-    return sized.select(F.when(F.col("wide") == 1, F.xxhash64("tree", "short")).otherwise(F.xxhash64("tree", "key", dealt)).alias("region"), "doc_id").checkpoint()
+    tasks = lambda n, size, half: F.greatest(F.ceil(n * half / REGION), F.ceil(size * half / REGION_SHINGLES)).cast("long")
+    by = ["tree", "short"]
+    parts = inside.groupBy(*by, "component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("size")).checkpoint()
+    shapes = parts.groupBy(*by).agg(tasks(F.sum("n"), F.sum("size"), 1).alias("tasks"), F.count("*").alias("several")).filter("several > 1")
+    whole = inside.join(shapes.filter("tasks = 1"), by).select(F.xxhash64(*by).alias("region"), "doc_id", F.lit(0).alias("side"))
+
+    parts = parts.join(shapes.filter("tasks > 1"), by).withColumn("own", tasks(F.col("n"), F.col("size"), 2) > 1)
+    parts = parts.select(*by, "component", "n", "size", "own", F.when(F.col("own"), F.col("component")).otherwise(0).alias("name"))
+    blocks = parts.groupBy(*by, "own", "name").agg(tasks(F.sum("n"), F.sum("size"), 2).alias("blocks"))
+    dealt = inside.join(parts.select(*by, "component", "own", "name"), [*by, "component"]).join(blocks, [*by, "own", "name"])
+    dealt = dealt.select(*by, F.struct("own", "name", F.pmod(F.xxhash64("doc_id", "tree"), F.col("blocks")).alias("i")).alias("block"), "doc_id")
+    each = blocks.select(*by, F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("i"), "own", "name").select(*by, F.struct("own", "name", "i").alias("block"))
+    pairs = each.withColumnRenamed("block", "left").join(each.withColumnRenamed("block", "right"), by).filter("left <= right AND NOT (left.own AND right.own AND left.name = right.name)")
+    pairs = pairs.withColumn("region", F.xxhash64(*by, "left", "right")).withColumn("same", F.col("left") == F.col("right"))
+    sides = pairs.select(*by, "region", F.col("left").alias("block"), F.when(F.col("same"), 0).otherwise(1).alias("side")).union(pairs.filter("NOT same").select(*by, "region", F.col("right").alias("block"), F.lit(2).alias("side")))
+    return whole.union(dealt.join(sides, [*by, "block"]).select("region", "doc_id", "side")).checkpoint()
 
 
 def _inside(regions: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
@@ -215,23 +248,26 @@ def _inside(regions: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFr
 
     def reach(table: pa.Table) -> pa.Table:
         table = table.sort_by("doc_id")
-        ids = table["doc_id"].to_numpy()
+        ids, side = table["doc_id"].to_numpy(), table["side"].to_numpy()
+        left, right = np.flatnonzero(side != 2), np.flatnonzero(side != 1)
         data, offsets = tv.strings(table["hashes"])
         n = np.diff(offsets) // 8
         _, column = np.unique(np.frombuffer(data.tobytes(), np.uint64), return_inverse=True)
         row = np.repeat(np.arange(len(ids)), n)
         order = np.argsort(column, kind="stable")
         row, column = row[order], column[order]
-        both = np.zeros((len(ids), len(ids)), np.float32)
+        both = np.zeros((len(left), len(right)), np.float32)
         for first in range(0, int(column[-1]) + 1 if len(column) else 0, 2048):
             a, b = np.searchsorted(column, (first, first + 2048))
             holds = np.zeros((len(ids), 2048), np.float32)
             holds[row[a:b], column[a:b] - first] = 1
-            both += holds @ holds.T
-        linked = 100 * both >= percent * (n[:, None] + n[None] - both)
+            both += holds[left] @ holds[right].T
+        linked = 100 * both >= percent * (n[left][:, None] + n[right][None] - both)
         low = np.arange(len(ids))
         while True:
-            new = np.array([low[linked[i]].min(initial=low[i]) for i in range(len(ids))])
+            new = low.copy()
+            for own, other, links in ((left, right, linked), (right, left, linked.T)):
+                new[own] = [low[other[x]].min(initial=at) for x, at in zip(links, new[own], strict=True)]
             new = new[new]
             if (new == low).all():
                 break
@@ -243,4 +279,4 @@ def _inside(regions: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFr
     few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
     texts = docs.select("doc_id", "text").join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
     rows = regions.join(texts.mapInArrow(sets, "doc_id long, hashes binary"), "doc_id")
-    return rows.select("region", "doc_id", "hashes").groupBy("region").applyInArrow(reach, "a long, b long").distinct()
+    return rows.select("region", "doc_id", "side", "hashes").groupBy("region").applyInArrow(reach, "a long, b long").distinct()

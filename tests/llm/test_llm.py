@@ -421,6 +421,53 @@ def test_dense_regions(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_dedup.near_duplicates(df).collect()} == brute_near(docs)
 
 
+def hub_of_a_wide_region():
+    """A hub, copies that link through it alone and share three values with it in some order but all in none, and a crowd that shares values and links with nothing."""
+    rng = random.Random(12)
+    fresh = lambda n: [f"u{rng.randint(0, 10**9)}" for _ in range(n)]
+    hub = fresh(200)
+
+    def edited(at, n):
+        return [*hub[:at], *fresh(n), *hub[at + n :]]
+
+    def minima(words):
+        _, value = near_dedup.shingle_sets(*tv.strings(pa.array([" ".join(words)])), 5)
+        return ((value[:, None] * near_dedup._A + near_dedup._B) >> np.uint64(32)).min(0).reshape(near_dedup.TREES, near_dedup.DEPTH)
+
+    def common(words):
+        return np.cumprod(minima(words) == minima(hub), axis=1).sum(1).max()
+
+    texts = [hub]
+    for at in range(0, 177, 3):
+        texts.append(next(x for x in iter(lambda: edited(at, 23), None) if 3 <= common(x) < near_dedup.DEPTH))
+    texts += [edited(rng.randint(0, 160), 40) for _ in range(300)]
+    rng.shuffle(texts)
+    return {i: " ".join(x) for i, x in enumerate(texts)}
+
+
+@pytest.mark.parametrize("region,size", [(32, 4 << 20), (4096, 6000)])
+def test_regions_wider_than_a_task(spark, monkeypatch, region, size):
+    monkeypatch.setattr(near_dedup, "REGION", region)
+    monkeypatch.setattr(near_dedup, "REGION_SHINGLES", size)
+    docs = hub_of_a_wide_region()
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(4)
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_dedup.near_duplicates(df).collect()} == brute_near(docs)
+
+
+def test_reach_over_partition_edges():
+    """What the partitions of an order miss at their edges, a second run over their edge rows finds."""
+    key = lambda i: np.array([i // 7, *[5] * 5], ">u4").tobytes()
+    batch = lambda rows: pa.RecordBatch.from_arrays([pa.array([0] * len(rows), pa.int32()), pa.array([k for k, _ in rows], pa.binary()), pa.array([d for _, d in rows], pa.int64())], names=["tree", "key", "doc_id"])
+    rows = [(key(i), i) for i in range(60)]
+    pairs = lambda out: {(r["a"], r["b"], r["cut"]) for x in out for r in x.to_pylist() if r["key"] is None}
+    whole, parts, edges = pairs(near_dedup._neighbours(iter([batch(rows)]))), set(), set()
+    for a, b in ((0, 3), (3, 20), (20, 24), (24, 60)):
+        out = list(near_dedup._neighbours(iter([batch(rows[a : (a + b) // 2]), batch(rows[(a + b) // 2 : b])])))
+        parts |= pairs(out)
+        edges |= {(r["key"], r["a"]) for x in out for r in x.to_pylist() if r["key"] is not None}
+    assert parts < whole and parts | pairs(near_dedup._neighbours(iter([batch(sorted(edges))]))) >= whole
+
+
 # 10 fingerprints
 
 
