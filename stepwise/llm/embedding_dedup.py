@@ -4,12 +4,15 @@ In each pass every vector gets the signs of `BITS` random projections as one cod
 the vectors of a label are ordered by code, and each is compared with its
 neighbours: blocks of `window` places, going back from its own block for as long as
 a block still gives links. So the window is bounded where vectors are sparse, and
-a dense run is compared whole. Links are checked in double precision and united
+a dense run is compared whole inside a partition. The passes follow from the largest
+label, as its places lie closer together the more vectors it holds. Links are checked in double precision and united
 over all passes. Equal vectors are one class; only its smallest vec_id is compared.
 """
 
 from __future__ import annotations
 
+import math
+import tempfile
 from collections import deque
 from collections.abc import Iterator
 
@@ -21,8 +24,52 @@ from pyspark.sql import functions as F
 from .components import components
 
 BITS = 48
-#: Blocks that a task keeps for going back.
+#: Blocks that a task keeps in memory for going back; older ones go to a file.
 BLOCKS = 256
+#: The fewest passes, and the share of pairs at the least cosine that some pass is to bring within a window.
+PASSES, RECALL = 20, 0.9999
+
+
+def passes_for(n: int, least: float, window: int) -> int:
+    """Passes for labels of up to n vectors whose codes are spread evenly.
+
+    A pair is within a window if it shares the bits that cut n to windows; it shares one with probability 1 - angle / pi.
+    """
+    bits = math.ceil(math.log2(max(1, n / window)))
+    met = (1 - math.acos(least) / math.pi) ** bits
+    return PASSES if met == 1 else max(PASSES, math.ceil(math.log(1 - RECALL) / math.log1p(-met)))
+
+
+class _Blocks:
+    """The blocks of a group, from the newest back."""
+
+    def __init__(self) -> None:
+        self.near, self.far, self.file, self.size = deque(), [], None, 0
+
+    def append(self, unit: np.ndarray, ids: np.ndarray) -> None:
+        self.near.append((unit, ids))
+        if len(self.near) > BLOCKS:
+            unit, ids = self.near.popleft()
+            if self.file is None:
+                self.file = tempfile.TemporaryFile()
+            self.file.seek(self.size)
+            self.file.write(unit.tobytes() + ids.tobytes())
+            self.far.append((self.size, unit.shape))
+            self.size += unit.nbytes + ids.nbytes
+
+    def __iter__(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        yield from reversed(self.near)
+        for at, (rows, dim) in reversed(self.far):
+            self.file.seek(at)
+            unit = np.frombuffer(self.file.read(8 * rows * dim), np.float64).reshape(rows, dim)
+            yield unit, np.frombuffer(self.file.read(8 * rows), np.int64)
+
+    def clear(self) -> None:
+        self.near.clear()
+        self.far.clear()
+        self.size = 0
+        if self.file is not None:
+            self.file.truncate(0)
 
 
 def _codes(passes: int, seed: int):
@@ -51,7 +98,7 @@ def _codes(passes: int, seed: int):
 
 def _links(window: int, least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, blocks = None, deque(maxlen=BLOCKS)
+        group, blocks = None, _Blocks()
         for batch in batches:
             keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("pass", "label", "dim")], 1)
             ids, raw = batch.column("vec_id").to_numpy(), batch.column("unit")
@@ -68,30 +115,34 @@ def _links(window: int, least: float):
                     own, mine = unit[at : at + window], ids[rows[at : at + window]]
                     i, j = np.nonzero(np.triu(own @ own.T >= least, 1))
                     found.append((mine[i], mine[j]))
-                    for other, theirs in reversed(blocks):
+                    for other, theirs in blocks:
                         i, j = np.nonzero(own @ other.T >= least)
                         found.append((mine[i], theirs[j]))
                         if not len(i) and len(theirs) >= window:
                             break
-                    blocks.append((own, mine))
+                    blocks.append(own, mine)
                 a, b = (np.concatenate(x) for x in zip(*found, strict=True))
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
     return run
 
 
-def near_vectors(vectors: DataFrame, least: float = 0.93, passes: int = 20, window: int = 256, seed: int = 7) -> DataFrame:
+def near_vectors(vectors: DataFrame, least: float = 0.93, passes: int | None = None, window: int = 256, seed: int = 7) -> DataFrame:
     """vec_id, n_links (other vectors linked directly), component_id (smallest vec_id reachable), kept (vec_id = component_id).
 
     Vectors link if their labels are equal and not null, their dimensions are equal and
     their cosine is at least `least`. A vector that is null, empty, zero, or holds a
     null or non-finite component links with nothing and is kept; vec_id is taken to be
-    a key. Equal vectors link with each other. An empty table gives an empty one;
+    a key. Equal vectors link with each other. Passes that aren't given follow from
+    the largest label. An empty table gives an empty one;
     other columns are ignored.
     """
     rows = vectors.select("vec_id", "label", "embedding")
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))) & F.exists("embedding", lambda x: x != 0)
     good = rows.filter(F.col("label").isNotNull() & F.coalesce(finite, F.lit(False)))
+    if passes is None:
+        largest = good.groupBy("label", F.size("embedding")).count().agg(F.max("count")).first()[0] or 0
+        passes = passes_for(largest, least, window)
     key = ["label", "embedding"]
     classes = good.groupBy(*key).agg(F.min("vec_id").alias("lead"), F.count("*").alias("n"))
     ordered = classes.select(F.col("label").cast("long").alias("label"), F.col("lead").alias("vec_id"), "embedding").mapInArrow(_codes(passes, seed), "pass int, label long, dim int, code long, vec_id long, unit binary")

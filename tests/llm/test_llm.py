@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stepwise.llm import chat, fingerprints, langid, line_dedup, mixing, near_dedup, packing, quality, queries, substring_dedup
+from stepwise.llm import chat, embedding_dedup, fingerprints, langid, line_dedup, mixing, near_dedup, packing, quality, queries, substring_dedup
 from stepwise.llm import textvec as tv
 from stepwise.llm.components import components
 from stepwise.llm.embedding_dedup import near_vectors
@@ -172,6 +172,28 @@ def test_near_vectors(spark):
     assert near_vectors(df.limit(0)).isEmpty()
 
 
+def test_dense_runs_go_back_without_limit(monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "BLOCKS", 2)
+    rng = np.random.default_rng(3)
+    unit = rng.standard_normal(16) + 0.01 * rng.standard_normal((60, 16))
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+
+    def batch(label, at):
+        n = len(at)
+        whole = [pa.array(np.full(n, x)) for x in (0, label, 16)]
+        return pa.RecordBatch.from_arrays([*whole, pa.array(100 * label + at), pa.array([unit[i].tobytes() for i in at], pa.binary())], names=["pass", "label", "dim", "vec_id", "unit"])
+
+    out = embedding_dedup._links(4, 0.93)(iter([batch(0, np.arange(25)), batch(0, np.arange(25, 60)), batch(1, np.arange(60))]))
+    got = [(r["a"], r["b"]) for x in out for r in x.to_pylist()]
+    assert sorted(got) == [(100 * k + i, 100 * k + j) for k in (0, 1) for i in range(60) for j in range(i + 1, 60)]
+
+
+@pytest.mark.parametrize("n", [1, 10**4, 10**6, 10**7, 10**8])
+def test_passes_follow_the_largest_label(n):
+    passes, bits = embedding_dedup.passes_for(n, 0.93, 256), np.ceil(np.log2(max(1, n / 256)))
+    assert passes >= 20 and (1 - (1 - np.arccos(0.93) / np.pi) ** bits) ** passes <= 1e-4
+
+
 # 3 substrings
 
 
