@@ -202,23 +202,32 @@ def name_scan(docs: DataFrame, names: DataFrame, most_words: int = 12) -> DataFr
     """doc, name: whole-word occurrences of names(name) in docs(doc, text), without regard to case.
 
     Texts are cut to n-grams of the lengths that names have, and meet the names by a
-    hash join; names must have at most `most_words` words.
+    hash join. Names of more than `most_words` words meet them by their first
+    `most_words`, and where these occur the whole sequence is checked.
     """
     split = lambda c: F.filter(F.split(F.lower(c), "[^a-z0-9]+"), lambda w: w != "")
-    keys = names.select("name", split(F.col("name")).alias("_w")).filter(f"size(_w) BETWEEN 1 AND {most_words}").withColumn("_g", F.array_join("_w", " ")).withColumn("_n", F.size("_w"))
-    lengths = [r[0] for r in keys.select("_n").distinct().collect()]  # at most most_words numbers
+    head = lambda at: F.array_join(F.slice("_w", at, F.col("_n")), " ")
+    keys = names.select("name", split(F.col("name")).alias("_w")).filter("size(_w) > 0").withColumn("_n", F.least(F.size("_w"), F.lit(most_words))).withColumn("_g", head(1))
+    short, long = keys.filter(f"size(_w) <= {most_words}"), keys.filter(f"size(_w) > {most_words}").select("name", "_g", F.col("_w").alias("_all"))
+    lengths = [r[0] for r in short.select("_n").distinct().collect()]  # at most most_words numbers
     words = docs.select("doc", split(F.col("text")).alias("_w"))
-    grams = None
 
     def runs_of(n: int):
         return lambda i: F.array_join(F.slice("_w", i, n), " ")
 
+    def starts(n: int):
+        return F.sequence(F.lit(1), F.size("_w") - n + 1)
+
+    out = docs.select("doc", F.lit(None).cast("string").alias("name")).limit(0)
     for n in sorted(lengths):
-        part = words.filter(F.size("_w") >= n).select("doc", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("_w") - n + 1), runs_of(n)))).alias("_g"))
-        grams = part if grams is None else grams.unionByName(part)
-    if grams is None:
-        return docs.select("doc", F.lit(None).cast("string").alias("name")).limit(0)
-    return grams.join(keys.select("name", "_g"), "_g").select("doc", "name").distinct()
+        grams = words.filter(F.size("_w") >= n).select("doc", F.explode(F.array_distinct(F.transform(starts(n), runs_of(n)))).alias("_g"))
+        out = out.unionByName(grams.join(short.select("name", "_g"), "_g").select("doc", "name"))
+    if not long.isEmpty():
+        n = most_words
+        grams = words.filter(F.size("_w") > n).select("doc", F.explode(F.transform(starts(n), lambda i: F.struct(i.alias("i"), runs_of(n)(i).alias("g")))).alias("_s"))
+        begun = grams.select("doc", F.col("_s.i").alias("_i"), F.col("_s.g").alias("_g")).join(long, "_g").select("doc", "_i", "name", "_all")
+        out = out.unionByName(begun.join(words, "doc").filter(F.slice("_w", F.col("_i"), F.size("_all")) == F.col("_all")).select("doc", "name"))
+    return out.distinct()
 
 
 def match_rate(pairs: DataFrame, by: Sequence[str]) -> DataFrame:

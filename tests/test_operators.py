@@ -147,3 +147,14 @@ def test_empty_tables(spark):
     assert intervals.union_intervals(e, ["series"]).isEmpty()
     p = spark.createDataFrame([], "series int, t double")
     assert intervals.count_between(p, e.select("series", F.col("s").alias("lo"), F.col("e").alias("hi")), ["series"]).isEmpty()
+
+
+def test_long_names_are_looked_up_whole(spark):
+    words = [f"w{i}" for i in range(40)]
+    long, other, exact = " ".join(words[:30]), " ".join([*words[:29], "x"]), " ".join(words[5:17])
+    texts = [f"a, {long.upper()}! b", " ".join(words[:29]), f"{' '.join(words[:12])} {other}", exact, None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc long, text string")
+    names = spark.createDataFrame([(long,), (other,), (exact,), ("W3 w4",), ("",), (None,)], "name string")
+    want = {(0, long), (2, other), *((d, exact) for d in (0, 1, 2, 3)), *((d, "W3 w4") for d in (0, 1, 2))}
+    assert rows(match.name_scan(docs, names)) == sorted(want, key=repr)
+    assert rows(match.name_scan(docs, names.filter("length(name) > 100"))) == sorted(((0, long), (2, other)), key=repr)
