@@ -8,6 +8,7 @@ place. Each round is cut by a checkpoint in the shared folder.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,3 +44,14 @@ def components(edges: DataFrame) -> DataFrame:
         state = now
     loops = stars.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return stars.select(F.col("u").alias("node"), F.col("v").alias("component")).union(loops)
+
+
+def lowest(linked: np.ndarray) -> np.ndarray:
+    """The smallest index that each row of a symmetric matrix of links reaches."""
+    low = np.arange(len(linked))
+    while True:
+        new = np.array([low[x].min(initial=at) for x, at in zip(linked, low, strict=True)], np.int64)
+        new = new[new]
+        if (new == low).all():
+            return low
+        low = new

@@ -172,20 +172,81 @@ def test_near_vectors(spark):
     assert near_vectors(df.limit(0)).isEmpty()
 
 
-def test_dense_runs_go_back_without_limit(monkeypatch):
-    monkeypatch.setattr(embedding_dedup, "BLOCKS", 2)
-    rng = np.random.default_rng(3)
-    unit = rng.standard_normal(16) + 0.01 * rng.standard_normal((60, 16))
+def brute_links(rows, least=0.93):
+    """n_links and component of (vec_id, label, vector) rows without odd ones."""
+    ids, labels = [r[0] for r in rows], np.array([r[1] for r in rows])
+    unit = np.array([r[2] for r in rows], float)
     unit /= np.linalg.norm(unit, axis=1, keepdims=True)
-
-    def batch(label, at):
-        n = len(at)
-        whole = [pa.array(np.full(n, x)) for x in (0, label, 16)]
-        return pa.RecordBatch.from_arrays([*whole, pa.array(100 * label + at), pa.array([unit[i].tobytes() for i in at], pa.binary())], names=["pass", "label", "dim", "vec_id", "unit"])
-
-    out = embedding_dedup._links(4, 0.93)(iter([batch(0, np.arange(25)), batch(0, np.arange(25, 60)), batch(1, np.arange(60))]))
-    got = [(r["a"], r["b"]) for x in out for r in x.to_pylist()]
-    assert sorted(got) == [(100 * k + i, 100 * k + j) for k in (0, 1) for i in range(60) for j in range(i + 1, 60)]
+    linked = (unit @ unit.T >= least) & (labels[:, None] == labels)
+    np.fill_diagonal(linked, False)
+    low = np.array(ids)
+    while True:
+        new = np.array([min([low[i], *low[linked[i]]]) for i in range(len(ids))])
+        if (new == low).all():
+            return {k: (int(n), int(c)) for k, n, c in zip(ids, linked.sum(1), low, strict=True)}
+        low = new
+
+
+@pytest.mark.parametrize("whole", [2048, 40])
+def test_dense_run_over_partitions(spark, monkeypatch, whole):
+    monkeypatch.setattr(embedding_dedup, "WHOLE", whole)
+    monkeypatch.setattr(embedding_dedup, "BLOCK", whole // 2)
+    rng = np.random.default_rng(3)
+    dense = rng.standard_normal(16) + 0.1 * rng.standard_normal((300, 16))  # a run of many times the window, over all partitions
+    pairs = np.repeat(rng.standard_normal((300, 16)), 2, axis=0) + 0.02 * rng.standard_normal((600, 16))
+    rows = [(i, 0, v) for i, v in enumerate(np.concatenate((dense, pairs)).astype(np.float32).tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, label int, embedding array<float>")
+    want = brute_links(rows)
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    try:
+        got = {r.vec_id: (r.n_links, r.component_id) for r in near_vectors(df, window=16).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+    assert got == want and sum(n for n, _ in want.values()) > 80_000
+
+
+@pytest.mark.parametrize("sizes", [[40], [17, 23], [3, 1, 2, 30, 4], [1] * 40])
+def test_neighbours_over_partition_edges(spark, monkeypatch, sizes):
+    """Any cut into partitions marks the same vectors, also where partitions are smaller than the window."""
+    codes = np.arange(40)
+    far = np.where(codes % 8 == 0, 0, tv.mix(codes).view(np.int64))  # close: 0, 8, 16, ...
+    marked = []
+    for at, n in zip(np.cumsum([0, *sizes]), sizes, strict=False):
+        part = slice(at, at + n)
+        columns = [np.zeros(n, np.int64), codes[part], codes[part], far[part], far[part], codes[part]]
+        batch = pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in columns], names=["grp", "code", "vec_id", "s0", "s1", "component"])
+
+        class Here:
+            partitionId = staticmethod(lambda k=len(marked): k)  # noqa: N815
+
+        monkeypatch.setattr(embedding_dedup.TaskContext, "get", lambda here=Here: here)
+        marked.append(pa.Table.from_batches(list(embedding_dedup._neighbours(9, 20)(iter([batch])))))
+    monkeypatch.undo()
+    near = spark.createDataFrame(pa.concat_tables(marked).to_pandas())
+    over = embedding_dedup._edges(near, 9).groupBy("edge").applyInArrow(embedding_dedup._over_edges(20), "key long, vec_id long")
+    got = {r.vec_id for r in near.filter("kind = 0").select("vec_id").union(over.select("vec_id")).collect()}
+    assert got == {0, 8, 16, 24, 32}
+
+
+def test_recall_on_the_tables(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    more = df.filter("vec_id % 3 = 0").select((F.col("vec_id") + 1_000_000).alias("vec_id"), F.transform("embedding", lambda x, i: (x + 0.05 * F.sin(F.col("vec_id") + i)).cast("float")).alias("embedding"), "label")
+    both = df.unionByName(more).cache()
+    want = brute_links([(r.vec_id, r.label, r.embedding) for r in both.collect()])
+    got = {r.vec_id: (r.n_links, r.component_id) for r in near_vectors(both).collect()}
+    assert got == want and sum(n for n, _ in want.values()) > 300
+
+
+def test_vectors_of_odd_labels_and_ids(spark):
+    v, w = [1.0, 2.0, 3.0], [1.0, 2.0, 3.1]
+    rows = [(1, "a", v), (2, "a", w), (3, "b", v), (4, "0.2", v), (5, "0.7", v), (None, "a", v), (1, "a", v)]
+    got = sorted(near_vectors(spark.createDataFrame(rows, "vec_id long, label string, embedding array<double>")).collect(), key=lambda r: (r.vec_id is None, r.vec_id))
+    assert [tuple(r) for r in got] == [(1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False), (3, 0, 3, True), (4, 0, 4, True), (5, 0, 5, True), (None, 0, None, None)]
+    numbers = spark.createDataFrame([(1, 0.2, v), (2, 0.7, v), (3, 0.2, v)], "vec_id long, label double, embedding array<double>")
+    assert {r.vec_id: r.component_id for r in near_vectors(numbers).collect()} == {1: 1, 2: 2, 3: 1}
 
 
 @pytest.mark.parametrize("n", [1, 10**4, 10**6, 10**7, 10**8])
