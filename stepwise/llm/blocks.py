@@ -19,8 +19,13 @@ from pyspark.sql import functions as F
 
 from . import textvec as tv
 
-BLOCK_BYTES = 2 << 20
+#: Text of a block on small and on the largest inputs, and keys of a shard.
+BLOCK_BYTES, MOST_BLOCK_BYTES = 2 << 20, 64 << 20
 SHARD_BYTES = 16 << 20
+#: Blocks beyond which they grow instead of becoming more: a key sends one message from each.
+BLOCKS = 1 << 16
+#: The document of rows without an id: after all others.
+NO_ID = 2**63 - 1
 
 
 def text_bytes(docs: DataFrame, column: str = "text") -> int:
@@ -35,7 +40,14 @@ def in_blocks(docs: DataFrame, n_blocks: int, *columns: str) -> DataFrame:
 
 
 def counts(total: int, block_bytes: int, shard_bytes: int) -> tuple[int, int]:
-    return max(1, math.ceil(total / block_bytes)), max(1, math.ceil(total / shard_bytes))
+    """How many blocks and shards that many bytes of text make."""
+    each = max(block_bytes, min(total // BLOCKS, MOST_BLOCK_BYTES))
+    return max(1, math.ceil(total / each)), max(1, math.ceil(total / shard_bytes))
+
+
+def doc_ids(table: pa.Table) -> np.ndarray:
+    """Document ids, NO_ID for null."""
+    return table["doc_id"].cast(pa.int64()).fill_null(NO_ID).to_numpy()
 
 
 def by_shard(keys: np.ndarray, n_shards: int) -> Iterator[tuple[int, np.ndarray]]:

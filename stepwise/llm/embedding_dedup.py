@@ -33,8 +33,8 @@ BITS, SKETCH = 48, 128
 PASSES, RECALL = 20, 0.9999
 #: Passes before the first uniting.
 FIRST = 5
-#: Vectors of a component, or of one of its blocks, that a task compares.
-WHOLE, BLOCK = 2048, 1024
+#: Vectors of a component that a task compares whole; the least and the most of one of the blocks of a larger one, a quarter of it between these.
+WHOLE, BLOCK, MOST_BLOCK = 512, 256, 4096
 #: Vectors projected at once.
 SLICE = 2048
 
@@ -245,7 +245,8 @@ def _count(least: float):
 def _counted(leads: DataFrame, found: DataFrame, least: float) -> DataFrame:
     """vec_id, others: how many vectors of other classes each lead of a component links with."""
     inside = found.withColumnRenamed("node", "vec_id").join(leads.select("vec_id", "n", "dim", "embedding"), "vec_id")
-    blocks = F.when(F.col("size") <= WHOLE, 1).otherwise(F.ceil(F.col("size") / BLOCK)).cast("int").alias("blocks")
+    block = F.least(F.greatest(F.ceil(F.col("size") / 4), F.lit(BLOCK)), F.lit(MOST_BLOCK))
+    blocks = F.when(F.col("size") <= WHOLE, 1).otherwise(F.ceil(F.col("size") / block)).cast("int").alias("blocks")
     sizes = found.groupBy("component").agg(F.count("*").alias("size")).select("component", blocks)
     dealt = inside.join(sizes, "component").withColumn("own", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))  # a vector goes to each pair of blocks that its own is in

@@ -1,11 +1,15 @@
 """Line deduplication by sharded minimal perfect hashes.
 
-Each block of documents sends its distinct line hashes to their shards. A shard
-builds a minimal perfect hash over the distinct hashes it got; the hash indexes
-three arrays: a 32-bit fingerprint of the line, the number of documents (2 means
-more than one) and the smallest document id. The blocks' hashes then probe these
-arrays, and the answer for a block names only the lines that recur. Lines
-themselves are never joined or moved.
+1. Each block of documents sends its distinct line hashes to their shards.
+2. A shard builds a minimal perfect hash over the distinct hashes it got. Its index
+   stands for three arrays: a 32-bit fingerprint of the line, the number of documents
+   that hold it, and the smallest of them. These arrays are published, a row a shard.
+3. The blocks' lines probe the published arrays, each in its shard, and the answer to a
+   block is two bits' worth for each of its distinct lines, in the order it sent them:
+   does the line recur, and does the block hold its first document?
+
+Lines themselves are never joined or moved. A line that all documents hold is one
+message from each block, and blocks grow with the input (see blocks.counts).
 """
 
 from __future__ import annotations
@@ -17,10 +21,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from . import textvec as tv
-from .blocks import BLOCK_BYTES, SHARD_BYTES, answer, by_shard, counts, in_blocks, kept_strings, padded, text_bytes, text_chunks, unpack
+from .blocks import BLOCK_BYTES, SHARD_BYTES, answer, by_shard, counts, doc_ids, in_blocks, kept_strings, padded, text_bytes, text_chunks, unpack
 
-PROBES = "shard int, block int, hashes binary, prints binary, docs binary, many binary"
-ANSWERS = "block int, hashes binary, prints binary, docs binary"
+PROBES = "shard int, block int, hashes binary, prints binary, docs binary, times binary"
+ARRAYS = "shard int, levels binary, ranks binary, prints binary, counts binary, firsts binary, odd_keys binary, odd_prints binary, odd_counts binary, odd_firsts binary"
+ANSWERS = "block int, shard int, answers binary"
+#: Answers: the line goes everywhere in the block; it stays in the first of its documents there.
+GOES, FIRST_HERE = 1, 2
 
 
 class PerfectHash:
@@ -49,6 +56,19 @@ class PerfectHash:
     def _place(keys: np.ndarray, level: int, n: int) -> np.ndarray:
         return (tv.mix(keys + np.uint64((level + 1) * 0x9E3779B97F4A7C15 & (2**64 - 1))) % np.uint64(n)).astype(np.int64)
 
+    def to_bytes(self) -> tuple[bytes, bytes]:
+        """Places of each level; ranks of all places."""
+        ranks = np.concatenate([r for r, _ in self.levels]) if self.levels else np.zeros(0, np.int32)
+        return np.array([x for r, base in self.levels for x in (len(r), base)], np.int64).tobytes(), ranks.tobytes()
+
+    @classmethod
+    def from_bytes(cls, levels: bytes, ranks: bytes) -> PerfectHash:
+        out, all_ranks, at = cls(np.zeros(0, np.uint64)), np.frombuffer(ranks, np.int32), 0
+        for n, base in np.frombuffer(levels, np.int64).reshape(-1, 2).tolist():
+            out.levels.append((all_ranks[at : at + n], base))
+            at += n
+        return out
+
     def index(self, keys: np.ndarray) -> np.ndarray:
         """The index of each key; any number, or -1, for keys that it wasn't built from."""
         out = np.full(len(keys), -1, np.int64)
@@ -84,91 +104,132 @@ class Lines:
         self.print = (tv.HASH_B.ranges(low, left[self.keyed], right[self.keyed]) >> np.uint64(32)).astype(np.uint32)
 
 
-def _grouped(hashes: np.ndarray, prints: np.ndarray, docs: np.ndarray, many: np.ndarray):
-    """Distinct (hash, fingerprint): smallest document, and whether more than one document has it."""
+def _grouped(hashes: np.ndarray, prints: np.ndarray, docs: np.ndarray, times: np.ndarray | None = None):
+    """Distinct (hash, fingerprint), ordered: smallest document, number of documents, and the group of each item.
+
+    Without times, items are lines, of which a document may have several; with them, they are sums over blocks.
+    """
     order = np.lexsort((docs, prints, hashes))
-    hashes, prints, docs, many = hashes[order], prints[order], docs[order], many[order]
+    inverse = np.empty(len(order), np.int64)
+    hashes, prints, docs = hashes[order], prints[order], docs[order]
     new = np.ones(len(hashes), bool)
     new[1:] = (hashes[1:] != hashes[:-1]) | (prints[1:] != prints[:-1])
     at = np.flatnonzero(new)
-    if not len(at):
-        return hashes, prints, docs, many
-    last = np.append(at[1:], len(hashes)) - 1
-    more = np.maximum.reduceat(many, at) | (docs[last] != docs[at]).astype(np.uint8)
-    return hashes[at], prints[at], docs[at], more
+    inverse[order] = np.cumsum(new) - 1
+    if times is None:
+        fresh = new.copy()
+        fresh[1:] |= docs[1:] != docs[:-1]
+    else:
+        fresh = times[order]
+    n = np.add.reduceat(fresh.astype(np.int64), at) if len(at) else np.zeros(0, np.int64)
+    return hashes[at], prints[at], docs[at], n, inverse
 
 
-def _send(n_shards: int, least: int):
-    def send(table: pa.Table) -> pa.Table:
-        ids = table["doc_id"].to_numpy()
+class BlockLines:
+    """The keyed lines of a block's rows, chunk by chunk, and their distinct keys."""
+
+    def __init__(self, table: pa.Table, least: int):
+        self.ids = doc_ids(table) if table.num_rows else np.zeros(0, np.int64)
         got = [[np.zeros(0, t)] for t in (np.uint64, np.uint32, np.int64)]
         for a, b, data, offsets in text_chunks(table.select(["text"])):
             lines = Lines(data, offsets, least)
-            for to, what in zip(got, (lines.hash, lines.print, ids[a:b][lines.row[lines.keyed]]), strict=True):
+            for to, what in zip(got, (lines.hash, lines.print, self.ids[a:b][lines.row[lines.keyed]]), strict=True):
                 to.append(what)
-        hashes, prints, docs = (np.concatenate(x) for x in got)
-        hashes, prints, docs, many = _grouped(hashes, prints, docs, np.zeros(len(hashes), np.uint8))
+        hashes, prints, self.docs = (np.concatenate(x) for x in got)
+        self.hashes, self.prints, self.first, self.times, self.of = _grouped(hashes, prints, self.docs)
+
+
+def _table(rows: list[tuple], schema: str) -> pa.Table:
+    names = [x.split() for x in schema.split(", ")]
+    columns = list(zip(*rows, strict=True)) or [()] * len(names)
+    return pa.table([pa.array(c, pa.int32() if t == "int" else pa.binary()) for c, (_, t) in zip(columns, names, strict=True)], names=[n for n, _ in names])
+
+
+def _send(n_shards: int, least: int):
+    def send(table: pa.Table) -> pa.Table:
+        own = BlockLines(table, least)
         block = table["block"][0].as_py()
-        rows = [(s, block, hashes[i].tobytes(), prints[i].tobytes(), docs[i].tobytes(), many[i].tobytes()) for s, i in by_shard(hashes, n_shards)]
-        columns = list(zip(*rows, strict=True)) or [()] * 6
-        types = (pa.int32(), pa.int32(), *[pa.binary()] * 4)
-        return pa.table([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["shard", "block", "hashes", "prints", "docs", "many"])
+        return _table([(s, block, own.hashes[i].tobytes(), own.prints[i].tobytes(), own.first[i].tobytes(), own.times[i].astype(np.uint32).tobytes()) for s, i in by_shard(own.hashes, n_shards)], PROBES)
 
     return send
 
 
-def recurring(hashes: np.ndarray, prints: np.ndarray, docs: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each probe: whether its line is in two documents or more, and the smallest of them.
+class Arrays:
+    """The published arrays of a shard.
 
     Two lines with one 64-bit hash and different fingerprints (not seen in practice)
-    can't share an index; they are looked up in a sorted list instead.
+    can't share an index; the second and later ones stand in a short list beside it.
     """
-    keys, marks, first, more = _grouped(hashes, prints, docs, many)
-    distinct, at, n = np.unique(keys, return_index=True, return_counts=True)
-    mph = PerfectHash(distinct)
-    place = mph.index(distinct)
-    print_of, many_of, first_of = np.zeros(mph.size, np.uint32), np.zeros(mph.size, np.uint8), np.zeros(mph.size, np.int64)
-    print_of[place], many_of[place], first_of[place] = marks[at], more[at], first[at]
-    index = mph.index(hashes)
-    hit = print_of[index] == prints
-    many_here, first_here = np.where(hit, many_of[index], 0), np.where(hit, first_of[index], 0)
-    if (n > 1).any():
-        pairs = {(int(k), int(m)): (int(d), int(x)) for k, m, d, x in zip(keys, marks, first, more, strict=True) if k in set(distinct[n > 1])}
-        for i in np.flatnonzero(np.isin(hashes, distinct[n > 1])):
-            first_here[i], many_here[i] = pairs[int(hashes[i]), int(prints[i])]
-    return many_here > 0, first_here
-
-
-def _answer(table: pa.Table) -> pa.Table:
-    hashes, sizes = unpack(table["hashes"], np.uint64)
-    prints, docs, many = unpack(table["prints"], np.uint32)[0], unpack(table["docs"], np.int64)[0], unpack(table["many"], np.uint8)[0]
-    found, first = recurring(hashes, prints, docs, many)
-    bounds = np.concatenate(([0], np.cumsum(sizes)))
-    out: list[tuple] = []
-    for block, a, b in zip(table["block"].to_pylist(), bounds[:-1], bounds[1:], strict=True):
-        i = a + np.flatnonzero(found[a:b])
-        if len(i):
-            out.append((block, hashes[i].tobytes(), prints[i].tobytes(), first[i].tobytes()))
-    columns = list(zip(*out, strict=True)) or [()] * 4
-    return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int32(), *[pa.binary()] * 3), strict=True)], names=["block", "hashes", "prints", "docs"])
-
-
-def _apply(least: int, carry: list[str]):
+
+    def __init__(self, mph: PerfectHash, *arrays: np.ndarray):
+        self.mph = mph
+        self.prints, self.counts, self.firsts, self.odd_keys, self.odd_prints, self.odd_counts, self.odd_firsts = arrays
+
+    @classmethod
+    def build(cls, hashes: np.ndarray, prints: np.ndarray, docs: np.ndarray, times: np.ndarray) -> Arrays:
+        keys, marks, first, n, _ = _grouped(hashes, prints, docs, times)
+        lead = np.ones(len(keys), bool)
+        lead[1:] = keys[1:] != keys[:-1]
+        mph = PerfectHash(keys[lead])
+        place = mph.index(keys[lead])
+        arrays = [np.zeros(mph.size, t) for t in (np.uint32, np.int64, np.int64)]
+        for array, values in zip(arrays, (marks, n, first), strict=True):
+            array[place] = values[lead]
+        return cls(mph, *arrays, *(x[~lead] for x in (keys, marks, n, first)))
+
+    def row(self, shard: int) -> tuple:
+        return (shard, *self.mph.to_bytes(), *(x.tobytes() for x in (self.prints, self.counts, self.firsts, self.odd_keys, self.odd_prints, self.odd_counts, self.odd_firsts)))
+
+    @classmethod
+    def of_row(cls, row: dict) -> Arrays:
+        types = {"prints": np.uint32, "counts": np.int64, "firsts": np.int64, "odd_keys": np.uint64, "odd_prints": np.uint32, "odd_counts": np.int64, "odd_firsts": np.int64}
+        return cls(PerfectHash.from_bytes(row["levels"], row["ranks"]), *(np.frombuffer(row[c], t) for c, t in types.items()))
+
+    def probe(self, hashes: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Number of documents that hold each line, and the smallest; 0 for lines that aren't there."""
+        index = self.mph.index(hashes)
+        known = index >= 0
+        hit = known & (self.prints[np.where(known, index, 0)] == prints) if len(self.prints) else np.zeros(len(hashes), bool)
+        n, first = np.zeros(len(hashes), np.int64), np.zeros(len(hashes), np.int64)
+        n[hit], first[hit] = self.counts[index[hit]], self.firsts[index[hit]]
+        for key, mark, times, doc in zip(self.odd_keys, self.odd_prints, self.odd_counts, self.odd_firsts, strict=True):
+            here = (hashes == key) & (prints == mark)
+            n[here], first[here] = times, doc
+        return n, first
+
+
+def _publish(table: pa.Table) -> pa.Table:
+    columns = [unpack(table[c], t)[0] for c, t in (("hashes", np.uint64), ("prints", np.uint32), ("docs", np.int64), ("times", np.uint32))]
+    return _table([Arrays.build(*columns).row(table["shard"][0].as_py())], ARRAYS)
+
+
+def _probe(probes: pa.Table, published: pa.Table) -> pa.Table:
+    """The answers of one shard's arrays to all blocks that ask it."""
+    rows = []
+    if published.num_rows:
+        arrays = Arrays.of_row(published.to_pylist()[0])
+        for row in probes.to_pylist():
+            n, first = arrays.probe(np.frombuffer(row["hashes"], np.uint64), np.frombuffer(row["prints"], np.uint32))
+            here = np.frombuffer(row["docs"], np.int64) == first
+            rows.append((row["block"], row["shard"], np.where(n < 2, 0, np.where(here, FIRST_HERE, GOES)).astype(np.uint8).tobytes()))
+    return _table(rows, ANSWERS)
+
+
+def _apply(n_shards: int, least: int, carry: list[str]):
     def apply(table: pa.Table, answers: pa.Table) -> pa.Table:
-        hashes, prints, first = unpack(answers["hashes"], np.uint64)[0], unpack(answers["prints"], np.uint32)[0], unpack(answers["docs"], np.int64)[0]
-        order = np.lexsort((prints, hashes))
-        hashes, prints, first = hashes[order], prints[order], first[order]
-        ids = table["doc_id"].to_numpy() if table.num_rows else np.zeros(0, np.int64)
-        texts, n_lines, n_dropped = [], [], []
+        own = BlockLines(table, least)
+        said = dict(zip(answers["shard"].to_pylist(), answers["answers"].to_pylist(), strict=True))
+        verdict = np.zeros(len(own.hashes), np.uint8)
+        for s, i in by_shard(own.hashes, n_shards):
+            if s in said:
+                verdict[i] = np.frombuffer(said[s], np.uint8)
+        goes = (verdict[own.of] == GOES) | ((verdict[own.of] == FIRST_HERE) & (own.docs != own.first[own.of]))
+        texts, n_lines, n_dropped, done = [], [], [], 0
         for a, b, data, offsets in text_chunks(table.select(["text"])):
             lines = Lines(data, offsets, least)
             drop = np.zeros(len(lines.row), bool)
-            at = np.searchsorted(hashes, lines.hash)
-            for step in range(1 + int((hashes[1:] == hashes[:-1]).any())):
-                i = np.minimum(at + step, max(len(hashes) - 1, 0))
-                if len(hashes):
-                    hit = (hashes[i] == lines.hash) & (prints[i] == lines.print) & (first[i] != ids[a:b][lines.row[lines.keyed]])
-                    drop[lines.keyed[hit]] = True
+            drop[lines.keyed] = goes[done : done + len(lines.keyed)]
+            done += len(lines.keyed)
             change = np.zeros(len(lines.data) + 1, np.int32)
             np.add.at(change, lines.start[drop], 1)
             np.add.at(change, lines.end[drop] + 1, -1)
@@ -188,12 +249,14 @@ def drop_repeated_lines(docs: DataFrame, least: int = 10, carry: Sequence[str] =
     A line's key is the line without white space at its ends, A-Z in lower case. Keys
     of at least `least` code points that two or more documents hold lose their lines
     in all but the smallest doc_id. Null and empty texts are one empty line, which
-    stays; several rows of one doc_id count as one document; an empty table gives an
-    empty one; other columns are ignored.
+    stays; several rows of one doc_id count as one document, and so do all rows without
+    a doc_id, which comes after all others; an empty table gives an empty one; other
+    columns are ignored.
     """
     n_blocks, n_shards = counts(text_bytes(docs), block_bytes, shard_bytes)
     blocks = in_blocks(docs, n_blocks, "doc_id", "text", *carry)
     fields = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in carry)
     probes = blocks.groupBy("block").applyInArrow(_send(n_shards, least), PROBES)
-    answers = probes.groupBy("shard").applyInArrow(_answer, ANSWERS)
-    return answer(blocks, answers, _apply(least, list(carry)), f"{fields}doc_id long, text string, n_lines long, n_dropped long")
+    arrays = probes.groupBy("shard").applyInArrow(_publish, ARRAYS)
+    answers = probes.groupBy("shard").cogroup(arrays.groupBy("shard")).applyInArrow(_probe, ANSWERS)
+    return answer(blocks, answers, _apply(n_shards, least, list(carry)), f"{fields}doc_id long, text string, n_lines long, n_dropped long")

@@ -187,7 +187,7 @@ def brute_links(rows, least=0.93):
         low = new
 
 
-@pytest.mark.parametrize("whole", [2048, 40])
+@pytest.mark.parametrize("whole", [512, 40])
 def test_dense_run_over_partitions(spark, monkeypatch, whole):
     monkeypatch.setattr(embedding_dedup, "WHOLE", whole)
     monkeypatch.setattr(embedding_dedup, "BLOCK", whole // 2)
@@ -313,8 +313,44 @@ def test_perfect_hash():
 
 def test_lines_with_one_hash_are_told_apart():
     h, p = np.array([7, 7, 7, 9], np.uint64), np.array([1, 2, 1, 1], np.uint32)
-    found, first = line_dedup.recurring(h, p, np.array([5, 3, 8, 4]), np.zeros(4, np.uint8))
-    assert found.tolist() == [True, False, True, False] and first[0] == 5
+    arrays = line_dedup.Arrays.build(h, p, np.array([5, 3, 8, 4]), np.array([1, 1, 3, 1], np.uint32))
+    arrays = line_dedup.Arrays.of_row(dict(zip([x.split()[0] for x in line_dedup.ARRAYS.split(", ")], arrays.row(0), strict=True)))
+    n, first = arrays.probe(np.array([7, 7, 9, 9, 8], np.uint64), np.array([1, 2, 1, 2, 1], np.uint32))
+    assert n.tolist() == [4, 1, 1, 0, 0] and first.tolist() == [5, 3, 4, 0, 0]
+
+
+def test_documents_probe_the_published_arrays():
+    """What goes is what the arrays say: with other counts or fingerprints in them, other lines stay."""
+    table = pa.table({"block": pa.array([0] * 3, pa.int32()), "doc_id": [1, 2, 3], "text": ["a common line\nown line one", "a common line\nown line two", "A COMMON LINE "]})
+
+    def dropped(change):
+        sent = line_dedup._send(1, 10)(table)
+        published = line_dedup._publish(sent)
+        row = published.to_pylist()[0]
+        row |= change(row)
+        published = pa.table({k: pa.array([v], published.schema.field(k).type) for k, v in row.items()})
+        return line_dedup._apply(1, 10, [])(table, line_dedup._probe(sent, published))["n_dropped"].to_pylist()
+
+    counts = lambda r: np.frombuffer(r["counts"], np.int64)
+    assert dropped(lambda r: {}) == [0, 1, 1]
+    assert dropped(lambda r: {"counts": np.ones_like(counts(r)).tobytes()}) == [0, 0, 0]
+    assert dropped(lambda r: {"counts": np.full_like(counts(r), 2).tobytes(), "firsts": np.zeros_like(counts(r)).tobytes()}) == [2, 2, 1]
+    assert dropped(lambda r: {"prints": bytes(len(r["prints"]))}) == [0, 0, 0]
+
+
+def odd_ids(spark, text="the same long line here"):
+    """Rows with null and repeated doc_ids: 2 holds the line three times in two rows, two rows without an id hold it too."""
+    rows = [(3, text), (2, f"{text}\n{text}"), (2, text), (None, text), (None, "something else entirely"), (7, None)]
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
+def test_lines_of_null_and_repeated_ids(spark):
+    for block in (1, 4 << 20):
+        out = line_dedup.drop_repeated_lines(odd_ids(spark), block_bytes=block).collect()
+        got = sorted((r.doc_id is None, r.doc_id, r.n_lines, r.n_dropped) for r in out)
+        assert got == [(False, 2, 1, 0), (False, 2, 2, 0), (False, 3, 1, 1), (False, 7, 1, 0), (True, None, 1, 0), (True, None, 1, 1)]
+    alone = spark.createDataFrame([(None, "one line only, twice"), (None, "one line only, twice")], "doc_id long, text string")
+    assert [r.n_dropped for r in line_dedup.drop_repeated_lines(alone).collect()] == [0, 0]
 
 
 # 5 quality
