@@ -6,13 +6,17 @@ Words covered by a window of `window` words that also starts earlier are removed
    windows name equal anchors. Blocks send their distinct anchors to shards, which
    confirm those that occur at two places or more.
 2. Phrases. Consecutive windows that share a confirmed anchor are one phrase. Blocks
-   send each distinct phrase once, as the hashes of its windows, to the anchor's
-   shard, which finds where each window starts first.
-3. Automata. Each block compiles the phrases confirmed for it into Aho-Corasick
-   automata of bounded size and streams its documents through them to locate every
-   occurrence; windows that start later than their first start cover what goes.
-
-An automaton's alphabet is the words of its phrases: each word is one code point.
+   send the words of each distinct phrase once, to the anchor's shard. An anchor that
+   very many blocks hold is too much for one shard: its windows go one by one, each to
+   the shard of its own hash.
+3. Confirmation. A shard compares the windows of all phrases word by word and finds
+   where each starts first. The phrases in which some window recurs are confirmed
+   passages; each block that holds one gets its words, and where its windows start first.
+4. Automata. Each block compiles the passages that it got into Aho-Corasick automata of
+   bounded size and streams its documents through them to locate every occurrence;
+   windows that start later than their first start cover what goes.
+
+An automaton's alphabet is the words of its passages: each word is one code point.
 """
 
 from __future__ import annotations
@@ -20,20 +24,23 @@ from __future__ import annotations
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from . import textvec as tv
-from .blocks import BLOCK_BYTES, SHARD_BYTES, answer, by_shard, counts, in_blocks, kept_strings, padded, text_bytes, text_chunks, unpack
+from .blocks import BLOCK_BYTES, SHARD_BYTES, answer, by_shard, counts, doc_ids, in_blocks, kept_strings, padded, text_bytes, text_chunks, unpack
 
-#: Words of an anchor.
-GRAM = 6
-#: Phrases in one automaton, which bounds its memory.
-PHRASES = 20_000
+#: Words of an anchor, and windows of a phrase at most.
+GRAM, LONGEST = 6, 256
+#: Passages and words in one automaton, which bounds its memory (code points end at 1.1 million).
+PHRASES, LETTERS = 20_000, 600_000
+#: Blocks that hold an anchor from which on its windows go one by one.
+HOT = 512
 
 ANCHORS = "shard int, block int, anchors binary, many binary"
-CONFIRMED = "block int, anchors binary"
-PHRASE_ROWS = "shard int, block int, phrases binary, docs binary, starts binary, sizes binary, again binary, windows binary"
-FIRSTS = "block int, phrases binary, sizes binary, docs binary, shifts binary"
+CONFIRMED = "block int, anchors binary, hot binary"
+PHRASE_ROWS = "shard int, block int, phrases array<string>, docs binary, starts binary, again binary"
+FIRSTS = "block int, phrases array<string>, runs binary, sizes binary, docs binary, shifts binary"
 
 
 class Windows:
@@ -65,15 +72,12 @@ class Windows:
         new = np.ones(len(self.start), bool)
         new[1:] = (self.anchor[1:] != self.anchor[:-1]) | (np.diff(self.start) != 1)
         at = np.flatnonzero(new)
-        return at, np.diff(np.append(at, len(self.start)))
-
-
-def _phrase_hash(windows: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """One hash for each sequence of window hashes windows[at:at+size]; the sequences lie one after the other."""
-    if not len(at):
-        return np.zeros(0, np.uint64)
-    inside = np.arange(len(windows)) - np.repeat(at, size)
-    return tv.mix(np.add.reduceat(windows * (tv.mix(inside.astype(np.uint64)) | np.uint64(1)), at) + size.astype(np.uint64))
+        size = np.diff(np.append(at, len(self.start)))
+        if len(size) and size.max() > LONGEST:
+            parts = -(-size // LONGEST)
+            at = np.repeat(at, parts) + LONGEST * _spread(np.zeros(len(at), np.int64), parts)
+            size = np.diff(np.append(at, len(self.start)))
+        return at, size
 
 
 def _spread(at: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -82,10 +86,16 @@ def _spread(at: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(at - (ends - size), size)
 
 
-def _columns(rows: list[tuple], names: list[str]) -> pa.Table:
-    columns = list(zip(*rows, strict=True)) or [()] * len(names)
-    types = [pa.int32() if n in ("shard", "block") else pa.binary() for n in names]
-    return pa.table([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+def _columns(rows: list[tuple], schema: str) -> pa.Table:
+    types = {"int": pa.int32(), "binary": pa.binary(), "array<string>": pa.list_(pa.string())}
+    fields = [x.split() for x in schema.split(", ")]
+    columns = list(zip(*rows, strict=True)) or [()] * len(fields)
+    return pa.table([pa.concat_arrays(c) if c and isinstance(c[0], pa.Array) else pa.array(c, types[t]) for c, (_, t) in zip(columns, fields, strict=True)], names=[n for n, _ in fields])
+
+
+def _one_list(items: pa.Array) -> pa.Array:
+    """An array of one list."""
+    return pa.ListArray.from_arrays(pa.array([0, len(items)], pa.int32()), items)
 
 
 def _sorted(table: pa.Table) -> pa.Table:
@@ -103,35 +113,56 @@ def _send_anchors(n_shards: int, window: int):
             got = both
         many = (n > 1).astype(np.uint8)
         block = table["block"][0].as_py()
-        return _columns([(s, block, got[i].tobytes(), many[i].tobytes()) for s, i in by_shard(got, n_shards)], ["shard", "block", "anchors", "many"])
+        return _columns([(s, block, got[i].tobytes(), many[i].tobytes()) for s, i in by_shard(got, n_shards)], ANCHORS)
 
     return send
 
 
-def _confirm(table: pa.Table) -> pa.Table:
-    anchors, sizes = unpack(table["anchors"], np.uint64)
-    many, _ = unpack(table["many"], np.uint8)
-    _, inverse, n = np.unique(anchors, return_inverse=True, return_counts=True)
-    often = (n > 1) | (np.bincount(inverse, weights=many, minlength=len(n)) > 0)
-    good = often[inverse]
-    bounds = np.concatenate(([0], np.cumsum(sizes)))
-    rows = []
-    for block, a, b in zip(table["block"].to_pylist(), bounds[:-1], bounds[1:], strict=True):
-        mine = anchors[a:b][good[a:b]]
-        if len(mine):
-            rows.append((block, mine.tobytes()))
-    return _columns(rows, ["block", "anchors"])
+def _confirm(most: int):
+    """The anchors that stand at two places or more, and whether more than `most` blocks hold them."""
 
+    def confirm(table: pa.Table) -> pa.Table:
+        anchors, sizes = unpack(table["anchors"], np.uint64)
+        many, _ = unpack(table["many"], np.uint8)
+        _, inverse, n = np.unique(anchors, return_inverse=True, return_counts=True)
+        often = (n > 1) | (np.bincount(inverse, weights=many, minlength=len(n)) > 0)
+        good, hot = often[inverse], (n > most)[inverse].astype(np.uint8)
+        bounds = np.concatenate(([0], np.cumsum(sizes)))
+        rows = []
+        for block, a, b in zip(table["block"].to_pylist(), bounds[:-1], bounds[1:], strict=True):
+            mine = anchors[a:b][good[a:b]]
+            if len(mine):
+                rows.append((block, mine.tobytes(), hot[a:b][good[a:b]].tobytes()))
+        return _columns(rows, CONFIRMED)
+
+    return confirm
+
+
+def _phrase_texts(words: tv.Words, at: np.ndarray, length: np.ndarray) -> pa.Array:
+    """The words from `at`, `length` of them, joined by one space, as one string each."""
+    word = _spread(at, length)
+    size = words.end[word] - words.start[word] + 1  # with a space
+    out = np.full(int(size.sum()), 32, np.uint8)
+    ends = np.cumsum(size)
+    hold = np.ones(len(out), bool)
+    hold[ends - 1] = False
+    out[hold] = words.data[_spread(words.start[word], size - 1)]
+    last = ends[np.cumsum(length) - 1] if len(length) else ends
+    hold = np.ones(len(out), bool)
+    hold[last - 1] = False
+    bounds = np.concatenate(([0], last - np.arange(1, len(last) + 1)))
+    return pa.Array.from_buffers(pa.large_string(), len(at), [None, pa.py_buffer(bounds.astype(np.int64).tobytes()), pa.py_buffer(out[hold].tobytes())]).cast(pa.string())
 
-def _send_phrases(n_shards: int, window: int):
-    names = ["shard", "block", "phrases", "docs", "starts", "sizes", "again", "windows"]
 
+def _send_phrases(n_shards: int, window: int):
     def send(table: pa.Table, confirmed: pa.Table) -> pa.Table:
         if not table.num_rows or not confirmed.num_rows:
-            return _columns([], names)
-        good = np.sort(unpack(confirmed["anchors"], np.uint64)[0])
+            return _columns([], PHRASE_ROWS)
+        good, hot = unpack(confirmed["anchors"], np.uint64)[0], unpack(confirmed["hot"], np.uint8)[0]
+        order = np.argsort(good)
+        good, hot = good[order], hot[order]
         table = _sorted(table)
-        ids = table["doc_id"].to_numpy()
+        ids = doc_ids(table)
         parts: list[tuple] = []
         for a, b, data, offsets in text_chunks(table.select(["text"])):
             w = Windows(data, offsets, window)
@@ -140,58 +171,92 @@ def _send_phrases(n_shards: int, window: int):
                 continue
             near = np.minimum(np.searchsorted(good, w.anchor[at]), len(good) - 1)
             keep = good[near] == w.anchor[at]
-            at, size = at[keep], size[keep]
+            at, size, single = at[keep], size[keep], hot[near[keep]] > 0
+            one = _spread(at[single], size[single])
+            key = np.concatenate((w.anchor[at[~single]], w.hash[one]))
+            at, size = np.concatenate((at[~single], one)), np.concatenate((size[~single], np.ones(len(one), np.int64)))
             if not len(at):
                 continue
-            hashes = w.hash[_spread(at, size)]
-            base = np.concatenate(([0], np.cumsum(size)[:-1]))
+            order = np.lexsort((size, at))
+            at, size, key = at[order], size[order], key[order]
             first = w.start[at]
             row = w.words.row[first]
-            parts.append((w.anchor[at], _phrase_hash(hashes, base, size), ids[a:b][row], first - w.words.first[row], size, hashes))
+            text = _phrase_texts(w.words, first, size + window - 1)
+            text = text.dictionary_encode()  # equal words, equal phrase; the first is the earliest, as rows go by doc_id, then start
+            code = text.indices.to_numpy()
+            index = np.unique(code, return_index=True)[1]
+            times = np.bincount(code)
+            parts.append((text.dictionary, key[index], ids[a:b][row[index]], (first - w.words.first[row])[index], times > 1))
         if not parts:
-            return _columns([], names)
-        anchor, phrase, doc, start, size, windows = (np.concatenate(x) for x in zip(*parts, strict=True))
-        base = np.concatenate(([0], np.cumsum(size)[:-1]))
-        _, index, times = np.unique(phrase, return_index=True, return_counts=True)  # the first is the earliest: rows go by doc_id, then start
-        again = (times > 1).astype(np.uint8)
-        back = np.argsort(index)
-        index, again = index[back], again[back]
+            return _columns([], PHRASE_ROWS)
+        texts = pa.chunked_array([p[0] for p in parts]).combine_chunks().dictionary_encode()
+        key, doc, start, again = (np.concatenate(x) for x in list(zip(*parts, strict=True))[1:])
+        code = texts.indices.to_numpy()
+        index = np.unique(code, return_index=True)[1]
+        again = (np.bincount(code, weights=again + 1.0) > 1).astype(np.uint8)
         block = table["block"][0].as_py()
         rows = []
-        for s, i in by_shard(anchor[index], n_shards):
+        for s, i in by_shard(key[index], n_shards):
             j = index[i]
-            rows.append((s, block, phrase[j].tobytes(), doc[j].tobytes(), start[j].astype(np.int32).tobytes(), size[j].astype(np.int32).tobytes(), again[i].tobytes(), windows[_spread(base[j], size[j])].tobytes()))
-        return _columns(rows, names)
+            rows.append((pa.array([s], pa.int32()), pa.array([block], pa.int32()), _one_list(texts.dictionary.take(pa.array(i))), *(pa.array([x.tobytes()], pa.binary()) for x in (doc[j], start[j].astype(np.int32), again[i]))))
+        return _columns(rows, PHRASE_ROWS)
 
     return send
 
 
-def _first_starts(table: pa.Table) -> pa.Table:
+def _first_starts(window: int):
     """For each phrase sent, where its windows start first; phrases of windows that occur once are left out."""
-    phrase, n = unpack(table["phrases"], np.uint64)
-    doc, start, size = unpack(table["docs"], np.int64)[0], unpack(table["starts"], np.int32)[0].astype(np.int64), unpack(table["sizes"], np.int32)[0].astype(np.int64)
-    again, windows = unpack(table["again"], np.uint8)[0], unpack(table["windows"], np.uint64)[0]
-    of = np.repeat(np.arange(len(phrase)), size)
-    base = np.concatenate(([0], np.cumsum(size)[:-1]))
-    place = np.repeat(start - base, size) + np.arange(len(windows))
-    order = np.lexsort((place, doc[of], windows))
-    new = np.ones(len(order), bool)
-    new[1:] = windows[order][1:] != windows[order][:-1]
-    group = np.cumsum(new) - 1
-    lead = order[np.flatnonzero(new)]
-    twice = np.bincount(group) > 1
-    first_doc, first_place, recurs = np.empty(len(windows), np.int64), np.empty(len(windows), np.int64), np.empty(len(windows), bool)
-    first_doc[order], first_place[order], recurs[order] = doc[of][lead][group], place[lead][group], twice[group]
-    needed = (np.maximum.reduceat(recurs, base) | (again > 0)) if len(base) else np.zeros(0, bool)
-    shift = (first_place - (np.arange(len(windows)) - np.repeat(base, size))).astype(np.int32)
-    bounds = np.concatenate(([0], np.cumsum(n)))
-    rows = []
-    for block, a, b in zip(table["block"].to_pylist(), bounds[:-1], bounds[1:], strict=True):
-        j = a + np.flatnonzero(needed[a:b])
-        if len(j):
-            w = _spread(base[j], size[j])
-            rows.append((block, phrase[j].tobytes(), size[j].astype(np.int32).tobytes(), first_doc[w].tobytes(), shift[w].tobytes()))
-    return _columns(rows, ["block", "phrases", "sizes", "docs", "shifts"])
+
+    def first_starts(table: pa.Table) -> pa.Table:
+        lists = table["phrases"].combine_chunks()
+        n = pc.list_value_length(lists).to_numpy()
+        texts = lists.flatten()
+        doc, start, again = unpack(table["docs"], np.int64)[0], unpack(table["starts"], np.int32)[0].astype(np.int64), unpack(table["again"], np.uint8)[0]
+        distinct = texts.dictionary_encode()
+        of_text = distinct.indices.to_numpy()
+        w = Windows(*tv.strings(distinct.dictionary), window)
+        count = w.words.count - window + 1  # windows of each distinct text
+        base_of = np.concatenate(([0], np.cumsum(count)[:-1])).astype(np.int64)
+        # windows of distinct texts get one number each; hashes propose, the words decide
+        order = np.lexsort((w.anchor, w.hash))
+        new = np.ones(len(order), bool)
+        new[1:] = (w.hash[order][1:] != w.hash[order][:-1]) | (w.anchor[order][1:] != w.anchor[order][:-1])
+        before = np.concatenate((order[:1], order[:-1]))
+        for k in range(window):
+            new |= w.word_hash[w.start[order] + k] != w.word_hash[w.start[before] + k]
+        name = np.empty(len(order), np.int64)
+        name[order] = np.cumsum(new) - 1
+        # every phrase sent has all windows of its text
+        size = count[of_text]
+        of = np.repeat(np.arange(len(of_text)), size)
+        base = np.concatenate(([0], np.cumsum(size)[:-1])).astype(np.int64)
+        inside = np.arange(len(of)) - base[of]
+        windows = name[base_of[of_text][of] + inside]
+        place = start[of] + inside
+        order = np.lexsort((place, doc[of], windows))
+        new = np.ones(len(order), bool)
+        new[1:] = windows[order][1:] != windows[order][:-1]
+        group = np.cumsum(new) - 1
+        lead = order[np.flatnonzero(new)]
+        twice = np.bincount(group, minlength=1) > 1
+        first_doc, shift, recurs = np.empty(len(of), np.int64), np.empty(len(of), np.int32), np.empty(len(of), bool)
+        first_doc[order], shift[order], recurs[order] = doc[of][lead][group], place[lead][group] - inside[order], twice[group]
+        needed = (np.maximum.reduceat(recurs, base) | (again > 0)) if len(base) else np.zeros(0, bool)
+        run = np.ones(len(of), bool)  # windows that follow each other in one earlier place are one run
+        run[1:] = (of[1:] != of[:-1]) | (first_doc[1:] != first_doc[:-1]) | (shift[1:] != shift[:-1])
+        bounds = np.concatenate(([0], np.cumsum(n)))
+        rows = []
+        for block, a, b in zip(table["block"].to_pylist(), bounds[:-1], bounds[1:], strict=True):
+            j = a + np.flatnonzero(needed[a:b])
+            if len(j):
+                i = _spread(base[j], size[j])
+                heads = i[run[i]]
+                ends = np.append(np.flatnonzero(run[i]), len(i))
+                runs = np.bincount(np.searchsorted(j, of[heads]), minlength=len(j)).astype(np.int32)
+                rows.append((pa.array([block], pa.int32()), _one_list(texts.take(pa.array(j))), *(pa.array([x.tobytes()], pa.binary()) for x in (runs, np.diff(ends).astype(np.int32), first_doc[heads], shift[heads]))))
+        return _columns(rows, FIRSTS)
+
+    return first_starts
 
 
 def _letters(index: np.ndarray) -> str:
@@ -201,58 +266,79 @@ def _letters(index: np.ndarray) -> str:
     return code.tobytes().decode("utf-32-le")
 
 
-def _locate(word_hash: np.ndarray, row: np.ndarray, at: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Every (first word, phrase) where the words of a phrase word_hash[at:at+length] occur in one row."""
-    alphabet = np.unique(word_hash[_spread(at, length)])
-    code = np.minimum(np.searchsorted(alphabet, word_hash), len(alphabet) - 1)
-    text = np.where(alphabet[code] == word_hash, code, -1)  # -1: a word of no phrase
-    rows = np.flatnonzero(np.diff(row, prepend=-1))
-    text = np.insert(text, rows, -1)  # no match runs from one row into the next
-    stream = _letters(text)
-    machine = ahocorasick.Automaton(ahocorasick.STORE_INTS)
-    moved = at + np.searchsorted(rows, at, "right")
-    for k, (a, n) in enumerate(zip(moved.tolist(), length.tolist(), strict=True)):
-        machine.add_word(stream[a : a + n], k)
-    machine.make_automaton()
-    hits = np.array(list(machine.iter(stream)), np.int64).reshape(-1, 2)
-    first = hits[:, 0] + 1 - length[hits[:, 1]]
-    return first - np.searchsorted(rows + np.arange(len(rows)), first, "right"), hits[:, 1]
+class Automaton:
+    """Passages compiled over an alphabet of their words."""
+
+    def __init__(self, word_hash: np.ndarray, at: np.ndarray, length: np.ndarray):
+        self.alphabet = np.unique(word_hash[_spread(at, length)])
+        self.length = length
+        stream = _letters(np.searchsorted(self.alphabet, word_hash[_spread(at, length)]))
+        self.machine = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        ends = np.cumsum(length)
+        for k, (a, b) in enumerate(zip((ends - length).tolist(), ends.tolist(), strict=True)):
+            self.machine.add_word(stream[a:b], k)
+        self.machine.make_automaton()
+
+    def locate(self, word_hash: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Every (first word, passage) where the words of a passage occur in one row of words."""
+        code = np.minimum(np.searchsorted(self.alphabet, word_hash), len(self.alphabet) - 1)
+        text = np.where(self.alphabet[code] == word_hash, code, -1)  # -1: a word of no passage
+        rows = np.flatnonzero(np.diff(row, prepend=-1))
+        text = np.insert(text, rows, -1)  # no match runs from one row into the next
+        hits = np.array(list(self.machine.iter(_letters(text))), np.int64).reshape(-1, 2)
+        first = hits[:, 0] + 1 - self.length[hits[:, 1]]
+        return first - np.searchsorted(rows + np.arange(len(rows)), first, "right"), hits[:, 1]
+
+
+class Passages:
+    """The confirmed passages that a block got: their automata, and the first starts of their windows."""
+
+    def __init__(self, firsts: pa.Table, window: int):
+        lists = firsts["phrases"].combine_chunks()
+        words = tv.Words(*tv.strings(lists.flatten() if len(lists) else pa.array([], pa.string())))
+        word_hash = words.hashes()
+        runs, size = unpack(firsts["runs"], np.int32)[0], unpack(firsts["sizes"], np.int32)[0].astype(np.int64)
+        of = np.repeat(np.arange(len(runs)), runs)
+        self.doc = np.repeat(unpack(firsts["docs"], np.int64)[0], size)
+        self.shift = np.repeat(unpack(firsts["shifts"], np.int32)[0].astype(np.int64), size)
+        self.size = np.bincount(of, weights=size, minlength=len(runs)).astype(np.int64)
+        self.base = np.concatenate(([0], np.cumsum(self.size)[:-1])).astype(np.int64)
+        self.automata, a = [], 0
+        length = self.size + window - 1
+        total = np.concatenate(([0], np.cumsum(length)))
+        while a < len(length):
+            b = max(a + 1, min(a + PHRASES, int(np.searchsorted(total, total[a] + LETTERS, "right")) - 1))
+            self.automata.append((a, Automaton(word_hash, words.first[a:b], length[a:b])))
+            a = b
+
+    def locate(self, word_hash: np.ndarray, row: np.ndarray):
+        """(first word, passage) of all occurrences, automaton by automaton."""
+        for base, machine in self.automata:
+            first, k = machine.locate(word_hash, row)
+            yield first, base + k
 
 
 def _remove(window: int):
     def remove(table: pa.Table, firsts: pa.Table) -> pa.Table:
         if not table.num_rows:
             return pa.table({"doc_id": pa.array([], pa.int64()), "text": pa.array([], pa.string()), "n_words": pa.array([], pa.int64()), "n_removed": pa.array([], pa.int64()), "removed": pa.array([], pa.list_(pa.int32()))})
-        known, size = unpack(firsts["phrases"], np.uint64)[0], unpack(firsts["sizes"], np.int32)[0].astype(np.int64)
-        doc, shift = unpack(firsts["docs"], np.int64)[0], unpack(firsts["shifts"], np.int32)[0].astype(np.int64)
-        base = np.concatenate(([0], np.cumsum(size)[:-1])).astype(np.int64)
-        order = np.argsort(known)
+        passages = Passages(firsts, window)
         table = _sorted(table)
-        ids = table["doc_id"].to_numpy()
+        ids = doc_ids(table)
         texts, n_words, n_removed, spans = [], [], [], []
         for a, b, data, offsets in text_chunks(table.select(["text"])):
-            w = Windows(data, offsets, window)
-            words = w.words
+            words = tv.Words(data, offsets)
             covered = np.zeros(len(words.start) + 1, np.int32)
-            at, n = w.phrases()
-            if len(at) and len(known):
-                name = _phrase_hash(w.hash, at, n)
-                name, index = np.unique(name, return_index=True)
-                near = order[np.minimum(np.searchsorted(known[order], name), len(known) - 1)]
-                here = known[near] == name
-                near, index = near[here], index[here]
-                for p in range(0, len(near), PHRASES):
-                    mine, which = near[p : p + PHRASES], index[p : p + PHRASES]
-                    first, k = _locate(w.word_hash, words.row, w.start[at[which]], n[which] + window - 1)
-                    count = size[mine][k]
-                    step = _spread(np.zeros(len(k), np.int64), count)
-                    i = _spread(base[mine][k], count)
-                    word = np.repeat(first, count) + step
-                    row = words.row[word]
-                    start, owner = word - words.first[row], ids[a:b][row]
-                    later = (owner > doc[i]) | ((owner == doc[i]) & (start > shift[i] + step))
-                    covered += np.bincount(word[later], minlength=len(covered)).astype(np.int32)
-                    covered -= np.bincount(word[later] + window, minlength=len(covered)).astype(np.int32)[: len(covered)]
+            for first, k in passages.locate(words.hashes(), words.row):
+                count = passages.size[k]
+                step = _spread(np.zeros(len(k), np.int64), count)
+                i = _spread(passages.base[k], count)
+                word = np.repeat(first, count) + step
+                row = words.row[word]
+                start, owner = word - words.first[row], ids[a:b][row]
+                later = (owner > passages.doc[i]) | ((owner == passages.doc[i]) & (start > passages.shift[i] + step))
+                covered += np.bincount(word[later], minlength=len(covered)).astype(np.int32)
+                covered -= np.bincount(word[later] + window, minlength=len(covered)).astype(np.int32)[: len(covered)]
             gone = np.cumsum(covered[:-1]) > 0
             padded_data, padded_offsets = padded(words.data, offsets, 32)
             change = np.zeros(len(padded_data) + 1, np.int8)
@@ -283,21 +369,22 @@ def _spans(gone: np.ndarray, words: tv.Words, n_rows: int) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat))
 
 
-def drop_repeated_phrases(docs: DataFrame, window: int = 20, block_bytes: int = BLOCK_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+def drop_repeated_phrases(docs: DataFrame, window: int = 20, block_bytes: int = BLOCK_BYTES, shard_bytes: int = SHARD_BYTES, hot: int = HOT) -> DataFrame:
     """doc_id, text (kept words joined by one space), n_words, n_removed, removed (word ranges: from, to, from, to, ...).
 
     Words are runs without ASCII white space. A word goes if a window over it has the
     same words as a window that starts in a smaller doc_id, or earlier in the same
     document; windows are judged on the input. Null and empty texts have no words and
     give an empty text; rows that share a doc_id are judged by it and their own word
-    numbers; an empty table gives an empty one; other columns are ignored.
+    numbers (of equal starts, all stay), and so are all rows without a doc_id, which
+    comes after all others; an empty table gives an empty one; other columns are ignored.
     """
     if window < GRAM:
         raise ValueError(f"window must be at least {GRAM}")
     n_blocks, n_shards = counts(text_bytes(docs), block_bytes, shard_bytes)
     blocks = in_blocks(docs, n_blocks, "doc_id", "text")
     anchors = blocks.groupBy("block").applyInArrow(_send_anchors(n_shards, window), ANCHORS)
-    confirmed = anchors.groupBy("shard").applyInArrow(_confirm, CONFIRMED)
+    confirmed = anchors.groupBy("shard").applyInArrow(_confirm(hot), CONFIRMED)
     phrases = answer(blocks, confirmed, _send_phrases(n_shards, window), PHRASE_ROWS)
-    firsts = phrases.groupBy("shard").applyInArrow(_first_starts, FIRSTS)
+    firsts = phrases.groupBy("shard").applyInArrow(_first_starts(window), FIRSTS)
     return answer(blocks, firsts, _remove(window), "doc_id long, text string, n_words long, n_removed long, removed array<int>")

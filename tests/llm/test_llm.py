@@ -270,9 +270,9 @@ def brute_substring(docs, window=20):
     return {k: (len(w), len(gone[k]), " ".join(x for i, x in enumerate(w) if i not in gone[k])) for k, w in words.items()}
 
 
-@pytest.mark.parametrize("block", [1 << 9, 4 << 20])
-def test_substring_dedup(odd, none, block):
-    out = substring_dedup.drop_repeated_phrases(odd, block_bytes=block, shard_bytes=1 << 12).collect()
+@pytest.mark.parametrize(("block", "hot"), [(1 << 9, 512), (1 << 9, 2), (4 << 20, 0)])
+def test_substring_dedup(odd, none, block, hot):
+    out = substring_dedup.drop_repeated_phrases(odd, block_bytes=block, shard_bytes=1 << 12, hot=hot).collect()
     want = brute_substring(texts_of(odd))
     assert {r.doc_id: (r.n_words, r.n_removed, r.text) for r in out} == want
     assert all(sum(b - a for a, b in zip(r.removed[::2], r.removed[1::2])) == r.n_removed for r in out)
@@ -280,6 +280,34 @@ def test_substring_dedup(odd, none, block):
     assert substring_dedup.drop_repeated_phrases(none).isEmpty()
 
 
+def test_documents_stream_through_the_automata():
+    """What goes is what the passages that a block gets say, whether it sent them itself or not."""
+    words = [f"w{i}" for i in range(100)]
+    table = pa.table({"block": pa.array([0] * 2, pa.int32()), "doc_id": [5, 6], "text": [" ".join(words[:50]), "x  " + "\n".join(words[10:40])]})
+
+    def removed(passages):
+        """Passages: (words, (document, shift)); all windows of one start there first."""
+        runs = [np.array([x], np.int32).tobytes() for x in (1,)]
+        rows = [(0, [" ".join(p)], runs[0], np.array([len(p) - 19], np.int32).tobytes(), np.array([d], np.int64).tobytes(), np.array([x], np.int32).tobytes()) for p, (d, x) in passages]
+        columns = list(zip(*rows, strict=True))
+        types = [pa.int32(), pa.list_(pa.string()), *[pa.binary()] * 4]
+        firsts = pa.table([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=[x.split()[0] for x in substring_dedup.FIRSTS.split(", ")])
+        return substring_dedup._remove(20)(table, firsts)["n_removed"].to_pylist()
+
+    assert removed([(words[10:35], (5, 10))]) == [0, 25]
+    assert removed([(words[10:30], (1, 0)), (words[20:40], (5, 20))]) == [20, 30]
+    assert removed([([*words[10:20], "other", *words[21:35]], (1, 0))]) == [0, 0]
+
+
+def test_phrases_of_null_and_repeated_ids(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    out = substring_dedup.drop_repeated_phrases(odd_ids(spark, text), block_bytes=1).collect()
+    got = sorted((r.doc_id is None, r.doc_id, r.n_words, r.n_removed) for r in out)
+    assert got == [(False, 2, 30, 0), (False, 2, 60, 30), (False, 3, 30, 30), (False, 7, 0, 0), (True, None, 3, 0), (True, None, 30, 30)]
+    alone = spark.createDataFrame([(None, text), (4, f"{text} x {text}"), (None, f"y {text}")], "doc_id long, text string")
+    assert sorted(r.n_removed for r in substring_dedup.drop_repeated_phrases(alone).collect()) == [30, 30, 30]
+
+
 # 4 lines
 
 
