@@ -62,6 +62,18 @@ def nearest(left: DataFrame, right: DataFrame, by: Sequence[str], on: str, take:
     return got.withColumn(take, pick).drop("_b", "_f")
 
 
+def numbered(df: DataFrame, order: Sequence[str | Column], name: str) -> DataFrame:
+    """df with the number of each row in this order, from 0: ranges are numbered one by one and moved by the rows before them, so no task sees all rows."""
+    ranges = df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()).checkpoint()
+    at, starts = 0, []
+    for r in ranges.groupBy("_range").count().orderBy("_range").collect():  # one row for each range
+        starts.append((r["_range"], at))
+        at += r["count"]
+    first = df.sparkSession.createDataFrame(starts, "_range int, _first long")
+    within = F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1
+    return ranges.withColumn(name, within).join(first, "_range").withColumn(name, F.col(name) + F.col("_first")).drop("_range", "_first")
+
+
 def bins(start: Column, end: Column, width: float) -> Column:
     """The numbers of the bins of `width` that [start, end] touches."""
     return F.sequence(F.floor(start / width).cast("long"), F.floor(F.greatest(start, end) / width).cast("long"))

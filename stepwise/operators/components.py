@@ -1,4 +1,10 @@
-"""Connected components of an edge table by label propagation with pointer jumping."""
+"""Connected components of an edge table: every node is hung on ever smaller ones until only stars are left.
+
+One round takes two steps. In the first, each node hands its larger neighbours to the
+smallest node that it knows; in the second, its smaller ones and itself. Paths shrink
+by about half a round, and minima are aggregated before they are joined back, so a
+node with very many neighbours is never gathered.
+"""
 
 from __future__ import annotations
 
@@ -6,22 +12,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def connected(edges: DataFrame) -> DataFrame:
-    """node, component (its smallest node) for all nodes of edges(u, v).
+def _hang(pairs: DataFrame, larger: bool) -> DataFrame:
+    """(child, parent) after one step over pairs(u, v), in which every edge stands from the side that hands it on."""
+    least = pairs.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+    moved = pairs.join(least, "u").filter("v > u" if larger else "v > m").select(F.col("v").alias("child"), F.col("m").alias("parent"))
+    return moved.distinct() if larger else moved.union(least.select("u", "m")).filter("child <> parent").distinct()
 
-    In each round a node takes the smallest label among its own and its neighbours', and
-    then the label of that label, so long chains shorten by half or more. Labels only
-    fall; the loop ends when a round changes none. Every round is cut by a checkpoint.
-    """
-    both = edges.filter("u <> v").select("u", "v")
-    both = both.union(both.select("v", "u")).distinct().checkpoint()
+
+def connected(edges: DataFrame) -> DataFrame:
+    """node, component (its smallest node) for all nodes of edges(u, v); loops and repeated edges do no harm."""
     nodes = edges.select(F.col("u").alias("node")).union(edges.select("v")).distinct()
-    labels = nodes.withColumn("component", F.col("node")).checkpoint()
+    tree = edges.filter("u <> v").select(F.greatest("u", "v").alias("child"), F.least("u", "v").alias("parent")).distinct().checkpoint()
+    state = None
     while True:
-        near = both.join(labels.withColumnRenamed("node", "v"), "v").groupBy(F.col("u").alias("node")).agg(F.min("component").alias("_near"))
-        stepped = labels.join(near, "node", "left").select("node", F.col("component").alias("_old"), F.least("component", F.coalesce("_near", "component")).alias("_step"))
-        parents = labels.select(F.col("node").alias("_step"), F.col("component").alias("_up"))
-        new = stepped.join(parents, "_step", "left").select("node", "_old", F.least("_step", F.coalesce("_up", "_step")).alias("component")).checkpoint()
-        labels = new.select("node", "component")
-        if new.filter("component <> _old").isEmpty():
-            return labels
+        both = tree.select(F.col("child").alias("u"), F.col("parent").alias("v"))
+        tree = _hang(both.union(both.select("v", "u")), larger=True)
+        tree = _hang(tree.select(F.col("child").alias("u"), F.col("parent").alias("v")), larger=False).checkpoint()
+        now = tree.agg(F.count("*"), F.sum(F.xxhash64("child", "parent").cast("decimal(38,0)"))).first()
+        if now == state:
+            break
+        state = now
+    found = tree.select(F.col("child").alias("node"), F.col("parent").alias("component"))
+    return nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))

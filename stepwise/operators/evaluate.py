@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ._range import numbered
 from .components import connected
 
 
@@ -67,12 +68,12 @@ def component_bootstrap(per: DataFrame, reps: int, seed: int, q: float = 0.025)
     repetition are counted by component before they meet the sums.
     """
     sums = per.groupBy("component").agg(*(F.sum(c).alias(c) for c in ("m0", "n0", "m1", "n1")))
-    numbered = sums.withColumn("i", F.row_number().over(Window.orderBy("component")) - 1).checkpoint()  # one row for each component
-    n = numbered.count()
+    places = numbered(sums, ["component"], "i").checkpoint()
+    n = places.count()
     draws = per.sparkSession.range(reps * n).select(F.floor(F.col("id") / n).alias("rep"), (F.col("id") % n).alias("k"))
-    picks = draws.withColumn("i", F.floor(hash_unit(F.lit(seed), F.col("rep"), F.col("k")) * n).cast("int")).groupBy("rep", "i").agg(F.count("*").alias("w"))
+    picks = draws.withColumn("i", F.floor(hash_unit(F.lit(seed), F.col("rep"), F.col("k")) * n).cast("long")).groupBy("rep", "i").agg(F.count("*").alias("w"))
     gain = 2 * F.sum(F.col("w") * F.col("m1")) / F.sum(F.col("w") * F.col("n1")) - 2 * F.sum(F.col("w") * F.col("m0")) / F.sum(F.col("w") * F.col("n0"))
-    each = picks.join(numbered, "i").groupBy("rep").agg(gain.alias("gain"))
+    each = picks.join(places, "i").groupBy("rep").agg(gain.alias("gain"))
     whole = sums.agg((2 * F.sum("m1") / F.sum("n1") - 2 * F.sum("m0") / F.sum("n0")).alias("delta"), F.count("*").alias("n"))
     return whole.crossJoin(each.agg(F.percentile("gain", F.lit(q)).alias("low")))  # one row each
 

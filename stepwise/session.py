@@ -24,15 +24,29 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
+    if not _checkpoint_dir(spark):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-", dir=os.environ.get("TMPDIR", "/tmp")))  # one machine
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
+def _checkpoint_dir(spark: SparkSession) -> str | None:
+    context = spark.sparkContext
+    return context.getCheckpointDir() or context.getConf().get("spark.checkpoint.dir")
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Set what can be set on a running session; the folder for checkpoints only where none is set."""
+    """Set what can be set on a running session.
+
+    Checkpoints go to the folder that spark.checkpoint.dir names. Where none is named, one is
+    made only if driver and tasks share a machine; on a cluster that is an error, as
+    executors couldn't read each other's parts.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
-    context = spark.sparkContext
-    if not (context.getCheckpointDir() or context.getConf().get("spark.checkpoint.dir")):
+    if not _checkpoint_dir(spark):
+        context = spark.sparkContext
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-", dir=os.environ.get("TMPDIR", "/tmp")))
     return spark
