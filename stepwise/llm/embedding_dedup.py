@@ -264,7 +264,7 @@ def near_vectors(vectors: DataFrame, least: float = 0.93, passes: int | None = N
     empty, zero, or holds a null or non-finite component links with nothing and is
     kept. vec_id is taken to be a key: rows that repeat one with equal vectors count as
     vectors of their own, with different ones the result is undefined; a row whose
-    vec_id is null is left out of the links and stays with null as component and kept.
+    vec_id is null is left out of the links and is kept, with null as its component.
     Equal vectors link with each other. Passes that aren't given follow from the largest
     label. An empty table gives an empty one; other columns are ignored.
     """
@@ -292,4 +292,4 @@ def near_vectors(vectors: DataFrame, least: float = 0.93, passes: int | None = N
     of = of.select(*key, (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("component", "lead").alias("component_id"))
     linked = members.join(of, key).select("vec_id", "n_links", "component_id")
     single = rows.filter(~fit).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    return linked.union(single).withColumn("kept", F.col("vec_id") == F.col("component_id"))
+    return linked.union(single).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

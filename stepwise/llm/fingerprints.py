@@ -27,8 +27,8 @@ from .blocks import text_bytes
 
 SCALE = 4
 _BELOW = np.uint64((1 << 64) // SCALE - 1)
-#: Bytes of text in one range of doc_id, and the most ranges, whose bounds the driver holds.
-RANGE_BYTES, MOST_RANGES = 16 << 20, 4096
+#: Bytes of text in one range of doc_id on small and on the largest inputs; ranges beyond which they grow; the fewest ranges for each partition of a shuffle.
+RANGE_BYTES, MOST_RANGE_BYTES, RANGES, EACH = 16 << 20, 256 << 20, 1 << 16, 8
 
 
 def sketch(data: np.ndarray, offsets: np.ndarray, k: int = 5) -> tuple[list[np.ndarray], np.ndarray]:
@@ -94,28 +94,37 @@ def fingerprint(text: Column, k: int = 5) -> Column:
 def with_following(docs: DataFrame) -> DataFrame:
     """part, tail, doc_id, text: documents by descending doc_id in ranges; after each range's rows (tail 0) the row that follows them (tail 1).
 
-    After the last document follows the first. Rows that share a doc_id go by text.
-    Within a partition the rows are in order, so each row's follower is the next row of
-    its part. Of a range the driver only holds the bounds.
+    After the last document follows the first. Rows that share a doc_id go by a hash of
+    the text; rows without one come last, by that hash. Within a partition the rows are
+    in order, so each row's follower is the next row of its part. Of a range the driver
+    only holds the bounds and the name of its first row.
     """
     spark = docs.sparkSession
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).filter("doc_id IS NOT NULL")
-    n = min(MOST_RANGES, max(1, math.ceil(text_bytes(docs) / RANGE_BYTES)))
-    quantiles = rows.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 10 * n)).first()[0] if n > 1 else []
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
+    total = text_bytes(docs)
+    each = max(RANGE_BYTES, min(total // RANGES, MOST_RANGE_BYTES))
+    n = max(math.ceil(total / each), EACH * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    quantiles = docs.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 10 * n)).first()[0]
     bounds = np.unique(np.array(quantiles or [], np.int64))
 
     @F.pandas_udf("int")
-    def part(ids: pd.Series) -> pd.Series:
+    def under(ids: pd.Series) -> pd.Series:
         return pd.Series(len(bounds) - np.searchsorted(bounds, ids.to_numpy(np.int64), "left"), dtype="int32")
 
-    ids = rows.select("doc_id").withColumn("part", part("doc_id"))
-    tops = sorted((r.part, r.top) for r in ids.groupBy("part").agg(F.max("doc_id").alias("top")).collect())  # one row for each range
-    follow = [(top, tops[i - 1][0]) for i, (_, top) in enumerate(tops)]
-    heads = F.broadcast(spark.createDataFrame(follow, "doc_id long, part int"))  # at most MOST_RANGES rows
-    tails = rows.join(heads, "doc_id").groupBy("part", "doc_id").agg(F.min("text").alias("text"))
-    own = rows.withColumn("part", part("doc_id")).select("part", F.lit(0).alias("tail"), "doc_id", "text")
-    both = own.union(tails.select("part", F.lit(1).alias("tail"), "doc_id", "text"))
-    return both.repartition("part").sortWithinPartitions("part", "tail", F.desc("doc_id"), "text")
+    nameless = F.col("doc_id").isNull()
+    part = F.when(nameless, len(bounds) + 1 + F.pmod("tie", F.lit(n))).otherwise(under(F.coalesce("doc_id", F.lit(0)))).cast("int").alias("part")
+    first = F.min(F.struct((-F.col("doc_id")).alias("down"), "tie", "doc_id"))
+    tops = sorted((r.part, r.first.doc_id, r.first.tie) for r in rows.select(part, "doc_id", "tie").groupBy("part").agg(first.alias("first")).collect())  # one row for each range
+    follow = [(p, *tops[(i + 1) % len(tops)][1:]) for i, (p, _, _) in enumerate(tops)]
+    heads = F.broadcast(spark.createDataFrame(follow, "part int, top long, top_tie long"))  # as many rows as ranges
+    named = rows.join(heads, F.col("doc_id").eqNullSafe(F.col("top")) & (F.col("tie") == F.col("top_tie")))
+    tails = named.groupBy("part", "doc_id", "tie").agg(F.first("text").alias("text")).select("part", F.lit(1).alias("tail"), "doc_id", "text", "tie")
+    both = rows.select(part, F.lit(0).alias("tail"), "doc_id", "text", "tie").union(tails)
+    return both.repartition("part").sortWithinPartitions("part", "tail", F.desc_nulls_last("doc_id"), "tie").drop("tie")
+
+
+NAMES = ["doc_id", "n_chars", "edited", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+EDITED = "doc_id long, n_chars long, edited string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
 def edited_neighbours(docs: DataFrame, k: int = 5) -> DataFrame:
@@ -124,10 +133,9 @@ def edited_neighbours(docs: DataFrame, k: int = 5) -> DataFrame:
     A text's edited form has its last floor(n_chars / 2) code points replaced by the
     first as many (or all) of the document that follows by descending doc_id. Null and
     empty texts have an empty text, whose edited form is empty. A single document
-    follows itself. Rows with a null doc_id are left out; an empty table gives an empty
-    one; other columns are ignored.
+    follows itself. Rows without a doc_id come after all others; rows that share one go
+    by a hash of their texts; an empty table gives an empty one; other columns are ignored.
     """
-    names = ["doc_id", "n_chars", "edited", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -149,7 +157,7 @@ def edited_neighbours(docs: DataFrame, k: int = 5) -> DataFrame:
                 [_share(prints[i], prints[i + 1], digests[i] == digests[i + 1], True) for i in keep],
             ]
             types = (pa.int64(), pa.int64(), *[pa.string()] * 3, *[pa.float64()] * 2)
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=NAMES)
 
         size = 0
         for batch in batches:
@@ -162,4 +170,4 @@ def edited_neighbours(docs: DataFrame, k: int = 5) -> DataFrame:
         if len(held) > 1:
             yield finish(held)
 
-    return with_following(docs).mapInArrow(run, "doc_id long, n_chars long, edited string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    return with_following(docs).mapInArrow(run, EDITED)

@@ -177,10 +177,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame
     white space, A-Z in lower case; with fewer words the whole sequence is the only
     shingle; null and empty texts have an empty set and link with nothing. Documents
     link if 100 * intersection >= percent * union. doc_id is taken to be a key: rows
-    that share one are one document in links. An empty table gives an empty one;
-    other columns are ignored.
+    that share one are one document in links, all with its component. Rows without a
+    doc_id link with nothing and are kept, with null as their component. An empty table
+    gives an empty one; other columns are ignored.
     """
-    known = sketches(docs, k).checkpoint()
+    everything = sketches(docs, k).checkpoint()
+    docs, known = docs.filter("doc_id IS NOT NULL"), everything.filter("doc_id IS NOT NULL")
     filled = known.filter("n_shingles > 0")
     same = ["set_a", "set_b", "n_shingles"]
     classes = filled.groupBy(*same).agg(F.min_by("signature", "doc_id").alias("signature"), F.min("doc_id").alias("doc_id"))
@@ -202,7 +204,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame
     lead_of = classes.select(*same, F.col("doc_id").alias("lead")).join(found.withColumnRenamed("node", "lead"), "lead", "left")
     joined = known.join(lead_of.select(*same, F.coalesce("component", "lead").alias("lead_in")), same, "left")
     component = F.coalesce("lead_in", "doc_id")
-    return joined.select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
+    linked = joined.select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
+    return linked.union(everything.filter("doc_id IS NULL").select("doc_id", "n_shingles", "doc_id", F.lit(True)))
 
 
 def _regions(near: DataFrame, leads: DataFrame, found: DataFrame) -> DataFrame:

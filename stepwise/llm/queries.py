@@ -85,12 +85,6 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next")
 
 
-def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import corpus_pipeline
-
-    return corpus_pipeline.run(spark, sf_dir)
-
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
@@ -102,7 +96,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_fingerprints": op10_fingerprints,
-    "pipeline": pipeline,
 }
 
 OP3 = r"""

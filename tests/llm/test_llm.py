@@ -244,7 +244,7 @@ def test_vectors_of_odd_labels_and_ids(spark):
     v, w = [1.0, 2.0, 3.0], [1.0, 2.0, 3.1]
     rows = [(1, "a", v), (2, "a", w), (3, "b", v), (4, "0.2", v), (5, "0.7", v), (None, "a", v), (1, "a", v)]
     got = sorted(near_vectors(spark.createDataFrame(rows, "vec_id long, label string, embedding array<double>")).collect(), key=lambda r: (r.vec_id is None, r.vec_id))
-    assert [tuple(r) for r in got] == [(1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False), (3, 0, 3, True), (4, 0, 4, True), (5, 0, 5, True), (None, 0, None, None)]
+    assert [tuple(r) for r in got] == [(1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False), (3, 0, 3, True), (4, 0, 4, True), (5, 0, 5, True), (None, 0, None, True)]
     numbers = spark.createDataFrame([(1, 0.2, v), (2, 0.7, v), (3, 0.2, v)], "vec_id long, label double, embedding array<double>")
     assert {r.vec_id: r.component_id for r in near_vectors(numbers).collect()} == {1: 1, 2: 2, 3: 1}
 
@@ -467,13 +467,58 @@ def test_conversations(spark, sf):
 # 7 mixing
 
 
-def test_targets_are_filled_and_capped():
-    t = mixing.targets([100, 10, 1000, 0], [5, 2, 1, 5], 3.0)
-    assert t == [300.0, 30.0, 780.0, 0.0] and mixing.targets([0, 0], [1, 1], 3.0) == [0.0, 0.0] and mixing.targets([], [], 3.0) == []
+def brute_targets(sizes, weights, cap):
+    open_, out, total = set(range(len(sizes))), [0.0] * len(sizes), float(sum(sizes))
+    while open_:
+        unit = total / sum(weights[i] for i in open_)
+        over = {i for i in open_ if weights[i] * unit > cap * sizes[i]}
+        if not over:
+            for i in open_:
+                out[i] = weights[i] * unit
+            return out
+        for i in over:
+            out[i] = cap * sizes[i]
+            total -= out[i]
+        open_ -= over
+    return out
+
+
+@pytest.mark.parametrize("sizes", [[100, 10, 1000, 0], [0, 0], [], [7, 1, 50, 3, 900, 2, 40, 11]])
+def test_targets_and_tilts(spark, sizes):
+    names = [*(f"s{i}" for i in range(len(sizes) - 1)), None][: len(sizes)]
+    totals = spark.createDataFrame(list(zip(names, sizes, strict=True)), "source string, total long")
+    want = brute_targets(sizes, [(5, 2, 1)[i % 3] for i in range(len(sizes))], 3.0)
+    rows = mixing.with_targets(totals, (5, 2, 1), 3.0)
+    got = {r.source: r.target for r in rows.collect()}
+    assert [got[n] for n in names] == pytest.approx(want)
+    counts = totals.select("source", F.greatest("total", F.lit(1)).alias("size"), F.when(F.col("total") > 0, 1).otherwise(0).alias("n"))
+    tilts = {r.source: r.tilt for r in mixing.with_tilts(rows, counts, 3.0).collect()}
+    assert [size * min(3.0, np.exp(tilts[n])) for n, size in zip(names, sizes, strict=True)] == pytest.approx(want)
+
+
+def test_very_small_targets_converge(spark):
+    rows = spark.createDataFrame([("a", 10**15, 1e-3), ("b", 10, 29.0)], "source string, total long, target double")
+    counts = spark.createDataFrame([("a", 10**15, 1), ("b", 10, 1)], "source string, size long, n long")
+    got = {r.source: r.tilt for r in mixing.with_tilts(rows, counts, 3.0).collect()}
+    assert got["a"] == pytest.approx(np.log(1e-18)) and got["b"] == pytest.approx(np.log(2.9))
+
+
+def test_mixing_of_clashing_columns_and_repeated_ids(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "PARTS", 3)
+    rows = [(i % 5 if i % 7 else None, ("a", None)[i % 2], i % 4, 1.0, "x", "y", "z", 2) for i in range(60)]
+    sized = spark.createDataFrame(rows, "doc_id long, source string, size long, rate double, _part string, _size string, size_ string, __change int")
+    out = mixing.mix(sized)
+    got = out.collect()
+    assert sorted(((r.doc_id, r.source, r.size) for r in got), key=repr) == sorted(((d, s, n) for d, s, n, *_ in rows), key=repr)
+    assert {(r["_part"], r["_size"], r["size_"], r["__change"]) for r in got} == {("x", "y", "z", 2)} and out.columns.count("rate") == 1
+    for s in ("a", None):
+        group = [r for r in got if r.source == s]
+        assert all(0 <= r.copies <= 3 for r in group) and abs(sum(r.taken for r in group) - group[0].target) <= 3
 
 
 def test_mixing(spark, odd, none, sf):
     for docs in (odd, spark.read.parquet(f"{sf}/documents.parquet")):
+        docs = docs.drop("copies")
         sized = docs.withColumn("size", mixing.word_count(F.col("text")))
         out = mixing.mix(sized)
         rows = out.collect()
@@ -636,6 +681,42 @@ def test_fingerprints(odd, none):
     made = {r.doc_id: r.f for r in odd.select("doc_id", fingerprints.fingerprint(F.col("text")).alias("f")).collect()}
     assert made == {k: r.fingerprint for k, r in got.items()}
     assert fingerprints.edited_neighbours(none).isEmpty()
+    sketches = {k: brute_sketch(t or "") for k, t in docs}
+    for (k, _), (next_, _) in zip(docs, docs[1:] + docs[:1], strict=True):
+        a, b, c = sketches[k], sketches[next_], brute_sketch(got[k].edited)
+        assert set(fingerprints.decode(got[k].fingerprint)[0].tolist()) == a[0]
+        for near, other in ((got[k].near_next, b), (got[k].near_edited, c)):
+            whole = a[0] | other[0]
+            assert near == pytest.approx(len(a[0] & other[0]) / len(whole) if whole else float(a[1] == other[1]))
+
+
+def brute_sketch(text, k=5):
+    """Retained hashes and all shingles, one text at a time and word by word."""
+    words = WORD.findall(text)
+    hashes = tv.HASH_A.ranges(np.frombuffer("\0".join(words).encode(), np.uint8), *(np.array(x, np.int64) for x in zip(*spans(words), strict=True))) if words else []
+    sets = {tuple(words[i : i + k]): hashes[i : i + k] for i in range(max(1, len(words) - k + 1))} if words else {}
+    full = {tv.runs(h, k)[0] for h in sets.values() if len(h) == k}
+    short = {int(tv.mix((h * (tv._table(78, k) | np.uint64(1))[: len(h)]).sum(keepdims=True) + np.uint64(len(h)))[0]) for h in sets.values() if len(h) < k}
+    return {int(h) for h in full | short if int(h) < (1 << 64) // fingerprints.SCALE}, frozenset(sets)
+
+
+def spans(words):
+    at = 0
+    for w in words:
+        n = len(w.encode())
+        yield at, at + n
+        at += n + 1
+
+
+def test_followers_of_null_and_repeated_ids(spark):
+    rows = [(3, "three"), (1, "one a"), (1, "one b"), (None, "none a"), (None, "none b"), (2, None)]
+    got = fingerprints.edited_neighbours(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id is None, r.doc_id, r.n_chars) for r in got) == sorted((d is None, d, len(t or "")) for d, t in rows)
+    first = next(r for r in got if r.doc_id == 3)
+    assert first.edited == "thr" and next(r for r in got if r.doc_id == 2).edited == ""
+    assert {r.edited[-2:] for r in got if r.doc_id == 1} <= {"on", "no"}
+    alone = fingerprints.edited_neighbours(spark.createDataFrame([(1, "abcd")], "doc_id long, text string")).collect()
+    assert [(r.edited, r.near_next) for r in alone] == [("abab", 1.0)]
 
 
 def test_sketches_estimate(spark):
