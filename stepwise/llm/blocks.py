@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from . import textvec as tv
 
 #: Text of a block on small and on the largest inputs, and keys of a shard.
-BLOCK_BYTES, MOST_BLOCK_BYTES = 2 << 20, 64 << 20
+BLOCK_BYTES, MOST_BLOCK_BYTES = 2 << 20, 16 << 20
 SHARD_BYTES = 16 << 20
 #: Blocks beyond which they grow instead of becoming more: a key sends one message from each.
 BLOCKS = 1 << 16

@@ -33,7 +33,9 @@ from .blocks import BLOCK_BYTES, SHARD_BYTES, answer, by_shard, counts, doc_ids,
 #: Words of an anchor, and windows of a phrase at most.
 GRAM, LONGEST = 6, 256
 #: Passages and words in one automaton, which bounds its memory (code points end at 1.1 million).
-PHRASES, LETTERS = 20_000, 600_000
+PHRASES, LETTERS = 10_000, 300_000
+#: Shards of phrases for each shard of anchors, as phrases overlap and take more room than the text.
+PHRASE_SHARDS = 8
 #: Blocks that hold an anchor from which on its windows go one by one.
 HOT = 512
 
@@ -214,16 +216,21 @@ def _first_starts(window: int):
         doc, start, again = unpack(table["docs"], np.int64)[0], unpack(table["starts"], np.int32)[0].astype(np.int64), unpack(table["again"], np.uint8)[0]
         distinct = texts.dictionary_encode()
         of_text = distinct.indices.to_numpy()
-        w = Windows(*tv.strings(distinct.dictionary), window)
-        count = w.words.count - window + 1  # windows of each distinct text
+        got, done = [], 0
+        for a, b in tv.pieces(distinct.dictionary):
+            w = Windows(*tv.strings(distinct.dictionary.slice(a, b - a)), window)
+            got.append((w.hash, w.anchor, w.start + done, w.word_hash, w.words.count - window + 1))
+            done += len(w.word_hash)
+            del w
+        hashes, anchor, at, word_hash, count = (np.concatenate(x) for x in zip(*got, strict=True))  # count: windows of each distinct text
         base_of = np.concatenate(([0], np.cumsum(count)[:-1])).astype(np.int64)
         # windows of distinct texts get one number each; hashes propose, the words decide
-        order = np.lexsort((w.anchor, w.hash))
+        order = np.lexsort((anchor, hashes))
         new = np.ones(len(order), bool)
-        new[1:] = (w.hash[order][1:] != w.hash[order][:-1]) | (w.anchor[order][1:] != w.anchor[order][:-1])
+        new[1:] = (hashes[order][1:] != hashes[order][:-1]) | (anchor[order][1:] != anchor[order][:-1])
         before = np.concatenate((order[:1], order[:-1]))
         for k in range(window):
-            new |= w.word_hash[w.start[order] + k] != w.word_hash[w.start[before] + k]
+            new |= word_hash[at[order] + k] != word_hash[at[before] + k]
         name = np.empty(len(order), np.int64)
         name[order] = np.cumsum(new) - 1
         # every phrase sent has all windows of its text
@@ -303,20 +310,16 @@ class Passages:
         self.shift = np.repeat(unpack(firsts["shifts"], np.int32)[0].astype(np.int64), size)
         self.size = np.bincount(of, weights=size, minlength=len(runs)).astype(np.int64)
         self.base = np.concatenate(([0], np.cumsum(self.size)[:-1])).astype(np.int64)
-        self.automata, a = [], 0
-        length = self.size + window - 1
-        total = np.concatenate(([0], np.cumsum(length)))
-        while a < len(length):
+        self.word_hash, self.first, self.length = word_hash, words.first, self.size + window - 1
+
+    def automata(self):
+        """(number of the first passage, automaton) one after the other."""
+        a, total = 0, np.concatenate(([0], np.cumsum(self.length)))
+        while a < len(self.length):
             b = max(a + 1, min(a + PHRASES, int(np.searchsorted(total, total[a] + LETTERS, "right")) - 1))
-            self.automata.append((a, Automaton(word_hash, words.first[a:b], length[a:b])))
+            yield a, Automaton(self.word_hash, self.first[a:b], self.length[a:b])
             a = b
 
-    def locate(self, word_hash: np.ndarray, row: np.ndarray):
-        """(first word, passage) of all occurrences, automaton by automaton."""
-        for base, machine in self.automata:
-            first, k = machine.locate(word_hash, row)
-            yield first, base + k
-
 
 def _remove(window: int):
     def remove(table: pa.Table, firsts: pa.Table) -> pa.Table:
@@ -325,11 +328,13 @@ def _remove(window: int):
         passages = Passages(firsts, window)
         table = _sorted(table)
         ids = doc_ids(table)
-        texts, n_words, n_removed, spans = [], [], [], []
-        for a, b, data, offsets in text_chunks(table.select(["text"])):
-            words = tv.Words(data, offsets)
-            covered = np.zeros(len(words.start) + 1, np.int32)
-            for first, k in passages.locate(words.hashes(), words.row):
+        chunks = [(a, b, tv.Words(data, offsets), offsets) for a, b, data, offsets in text_chunks(table.select(["text"]))]
+        hashes = [words.hashes() for _, _, words, _ in chunks]
+        covers = [np.zeros(len(words.start) + 1, np.int32) for _, _, words, _ in chunks]
+        for base, machine in passages.automata():
+            for (a, b, words, _), word_hash, covered in zip(chunks, hashes, covers, strict=True):
+                first, k = machine.locate(word_hash, words.row)
+                k += base
                 count = passages.size[k]
                 step = _spread(np.zeros(len(k), np.int64), count)
                 i = _spread(passages.base[k], count)
@@ -339,6 +344,8 @@ def _remove(window: int):
                 later = (owner > passages.doc[i]) | ((owner == passages.doc[i]) & (start > passages.shift[i] + step))
                 covered += np.bincount(word[later], minlength=len(covered)).astype(np.int32)
                 covered -= np.bincount(word[later] + window, minlength=len(covered)).astype(np.int32)[: len(covered)]
+        texts, n_words, n_removed, spans = [], [], [], []
+        for (a, b, words, offsets), covered in zip(chunks, covers, strict=True):
             gone = np.cumsum(covered[:-1]) > 0
             padded_data, padded_offsets = padded(words.data, offsets, 32)
             change = np.zeros(len(padded_data) + 1, np.int8)
@@ -352,6 +359,7 @@ def _remove(window: int):
             n_removed.append(np.bincount(words.row[gone], minlength=b - a))
             spans.append(_spans(gone, words, b - a))
         join = lambda x: pa.array(np.concatenate(x), pa.int64())
+        tv.release()
         return pa.table({"doc_id": table["doc_id"], "text": pa.chunked_array(texts, pa.string()), "n_words": join(n_words), "n_removed": join(n_removed), "removed": pa.chunked_array(spans)})
 
     return remove
@@ -385,6 +393,6 @@ def drop_repeated_phrases(docs: DataFrame, window: int = 20, block_bytes: int =
     blocks = in_blocks(docs, n_blocks, "doc_id", "text")
     anchors = blocks.groupBy("block").applyInArrow(_send_anchors(n_shards, window), ANCHORS)
     confirmed = anchors.groupBy("shard").applyInArrow(_confirm(hot), CONFIRMED)
-    phrases = answer(blocks, confirmed, _send_phrases(n_shards, window), PHRASE_ROWS)
+    phrases = answer(blocks, confirmed, _send_phrases(n_shards * PHRASE_SHARDS, window), PHRASE_ROWS)
     firsts = phrases.groupBy("shard").applyInArrow(_first_starts(window), FIRSTS)
     return answer(blocks, firsts, _remove(window), "doc_id long, text string, n_words long, n_removed long, removed array<int>")
