@@ -11,11 +11,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-# Eras of upload titles, song types, the letters of note cells, excluded block kinds.
-ERAS = ("1ST", "2ND", "3RD", "EXTRA", "PREX", "EXCEED", "ZERO", "NX", "FIESTA", "PRIME", "XX", "PHOENIX")
-SONG_TYPES = {"FULL SONG": "FullSong", "SHORT CUT": "ShortCut", "REMIX": "Remix"}
+# Eras of upload titles from the oldest, with their mixes; song types by the words of a title and by the end of a key; letters of note cells; kinds of blocks that don't count.
+ERAS = {"FIESTA": "Fiesta", "FIESTA 2": "Fiesta 2", "PRIME": "Prime", "PRIME 2": "Prime 2", "XX": "XX", "PHOENIX": "Phoenix", "PHOENIX 2": "Phoenix2"}
+SONG_TYPES = {"FULL SONG": "FullSong", "SHORT CUT": "ShortCut"}
+KEY_TYPES = ("ARCADE", "SHORTCUT", "REMIX", "FULLSONG")
 TO_EMPTY, TO_TAP, TO_HEAD = "FKMVESsv", "IL", "46"
-EXCLUDED_KINDS = ("QUEST", "UCS", "HIDDEN", "INFINITY", "JUMP", "PRO", "TRAIN", "MISSION", "EVENT")
+EXCLUDED_KINDS = ("UCS", "COOP", "CO-OP", "HIDDEN", "QUEST", "INFINITY", "TRAIN", "TRAINING", "PRO", "PERFORMANCE", "JUMP")
 
 
 def norm_title(c: Column, keep: str = "") -> Column:
@@ -24,47 +25,63 @@ def norm_title(c: Column, keep: str = "") -> Column:
 
 
 def parse_upload_title(c: Column) -> Column:
-    """struct(era, name, codes, song_type) of a video's title.
+    """struct(era, name, codes, song_type) of a video's title '[PUMP IT UP <era>] <name> S17 & D20 (...) | ...'; null without the tag or with an era that isn't in ERAS.
 
-    The era tag ends the title after ' - ' and must be known, else all is null. Text after
-    '|' is dropped; parentheses are removed before codes ([SD], perhaps P, one or two
-    digits) are looked for; the name is the text before the first code, normalised.
+    What follows '|' is dropped. The song type is read first, then parentheses go, then codes (S or D,
+    perhaps P, one or two digits; given without the P) are looked for. The name is what stands before the
+    first code, without the words of the type, normalised (Hangul stays); null where there is no code.
     """
-    shown = F.trim(F.substring_index(c, "|", 1))
-    era = F.upper(F.regexp_extract(c, r"\[([^\]]+)\]\s*$", 1))
-    plain = F.regexp_replace(shown, r"\([^)]*\)", " ")
-    codes = F.regexp_extract_all(plain, F.lit(r"\b([SD]P?\d{1,2})\b"), 1)
-    name = norm_title(F.regexp_extract(plain, r"^(.*?)(?:\b[SD]P?\d{1,2}\b|$)", 1))
+    tag = r"^\s*\[PUMP IT UP ([A-Z0-9 ]+)\]\s*(.*)$"
+    code, words = r"\b([SD])P?(\d{1,2})\b", rf"(?i)-?\s*\b({'|'.join(SONG_TYPES)})\b\s*-?"
+    era = F.trim(F.regexp_extract(c, tag, 1))
+    body = F.substring_index(F.regexp_extract(c, tag, 2), "|", 1)
+    said = F.upper(F.regexp_extract(body, words, 1))
     kind = F.lit(None).cast("string")
-    for words, value in SONG_TYPES.items():
-        kind = F.when(F.upper(c).contains(words), value).otherwise(kind)
-        name = F.regexp_replace(name, words.lower().replace(" ", ""), "")
-    known = F.when((era == "") | era.isin(*ERAS), F.struct(F.nullif(era, F.lit("")).alias("era"), name.alias("name"), codes.alias("codes"), kind.alias("song_type")))
-    return F.when(F.size(codes) > 0, known)
+    for written, value in SONG_TYPES.items():
+        kind = F.when(said == written, value).otherwise(kind)
+    plain = F.regexp_replace(body, r"\([^)]*\)", " ")
+    found = F.zip_with(F.regexp_extract_all(plain, F.lit(code), 1), F.regexp_extract_all(plain, F.lit(code), 2), lambda x, n: F.concat(x, n.cast("int").cast("string")))
+    front = F.regexp_extract(plain, rf"^(.*?){code}", 1)
+    name = F.when(F.size(found) > 0, norm_title(F.regexp_replace(front, words, " "), "가-힣"))
+    return F.when(era.isin(*ERAS), F.struct(era.alias("era"), name.alias("name"), found.alias("codes"), kind.alias("song_type")))
+
+
+_KEY = rf"_([SD]P?\d+(?:_[A-Z0-9]+)*?)_({'|'.join(KEY_TYPES)})$"
 
 
 def key_to_tag(c: Column) -> Column:
-    """'Song_-_Artist_S17_KIND' to 'S17 KIND' ('D22' where no kind follows); null for other keys."""
-    code, rest = F.regexp_extract(c, r"_([SD]P?\d{1,2})(?:_(.*))?$", 1), F.regexp_extract(c, r"_([SD]P?\d{1,2})(?:_(.*))?$", 2)
-    return F.when(code == "", None).when(rest == "", code).otherwise(F.concat(code, F.lit(" "), F.regexp_replace(rest, "_(?=TITLE)", " ")))
+    """'Song_-_Artist_S17_KIND_ARCADE' to 'S17 KIND_ARCADE': label and song type; null for other keys."""
+    label, kind = F.regexp_extract(c, _KEY, 1), F.regexp_extract(c, _KEY, 2)
+    return F.when(label != "", F.concat(F.translate(label, "_", " "), F.lit("_"), kind))
 
 
 def tag_to_key(song: Column, tag: Column) -> Column:
     """The inverse of key_to_tag for a song prefix; null if it doesn't round-trip."""
-    key = F.concat(song, F.lit("_"), F.regexp_replace(tag, " ", "_"))
+    label, kind = F.regexp_extract(tag, "^(.*)_([^_]*)$", 1), F.regexp_extract(tag, "^(.*)_([^_]*)$", 2)
+    key = F.concat(song, F.lit("_"), F.translate(label, " ", "_"), F.lit("_"), kind)
     return F.when(key_to_tag(key) == tag, key)
 
 
 def family_of(c: Column, variant: str = "tokens") -> Column:
-    """A title's family. `tokens`: fold to ASCII, drop cut markers, first two words; `sequel`: drop markers, parentheses and a sequel number; `strip`: drop markers only."""
-    markers = r"(?i)\b(full song|short cut|remix)\b"
+    """A chart's title family; a chart is its title and, last, its token (S17).
+
+    `tokens`: the last word goes, the rest is folded to ASCII, cut markers between dashes and (PIU
+    Edit) go, the first two words stay (the title itself if there are none). `sequel`: token, markers,
+    what stands in parentheses or brackets and a sequel number at the end go, normalised. `strip`:
+    token and markers between dashes go.
+    """
+    dashed = r"(?i)\s*-\s*(full song|short cut|remix)\s*-\s*"
     if variant == "tokens":
-        words = F.split(F.trim(F.regexp_replace(F.regexp_replace(F.lower(fold_ascii(c)), markers, " "), "[^a-z0-9]+", " ")), " ")
-        return F.array_join(F.slice(words, 1, 2), " ")
-    plain = F.regexp_replace(c, markers, " ")
+        title = F.regexp_replace(c, r" [^ ]*$", "")
+        plain = F.regexp_replace(F.regexp_replace(F.lower(fold_ascii(title)), dashed, " "), r"\(\s*piu edit\s*\)", " ")
+        words = F.regexp_extract_all(plain, F.lit("[a-z0-9]+"), 0)
+        return F.when(F.size(words) > 0, F.array_join(F.slice(words, 1, 2), " ")).otherwise(title)
     if variant == "sequel":
-        plain = F.regexp_replace(F.regexp_replace(plain, r"\([^)]*\)", " "), r"\s*\d+\s*$", " ")
-    return F.trim(F.regexp_replace(F.lower(plain), r"\s+", " "))
+        plain = F.regexp_replace(F.lower(F.regexp_replace(c, r" [SD]\d+$", "")), dashed, " ")
+        plain = F.regexp_replace(F.regexp_replace(plain, r"\b(short cut|full song|remix)\b", " "), r"\(.*?\)|\[.*?\]", " ")
+        plain = norm_title(F.regexp_replace(F.trim(plain), r"\s(\d+|ii|iii|iv|pt\.?\s*\d+|ep\.?\s*\d+)\s*$", " "))
+        return F.when(plain != "", plain).otherwise(norm_title(c))
+    return F.lower(F.trim(F.regexp_replace(F.regexp_replace(F.regexp_replace(c, r" [SD]P?\d+$", ""), dashed, " "), r"\s+", " ")))
 
 
 def fold_ascii(c: Column) -> Column:
@@ -84,10 +101,10 @@ def norm_answer(c: Column) -> Column:
 
 
 def is_official(stepstype: Column, songtype: Column, meter: Column, label: Column) -> Column:
-    """Standard style and song type, meter other than 99, no excluded kind in the label; a null label passes."""
+    """Standard style and song type, meter other than 99, no word of an excluded kind in the label; a null label passes."""
     style = stepstype.isin("pump-single", "pump-double", "pump-halfdouble")
     kind = F.coalesce(songtype, F.lit("ARCADE")).isin("ARCADE", "FULLSONG", "SHORTCUT", "REMIX")
-    clean = ~F.upper(F.coalesce(label, F.lit(""))).rlike("|".join(EXCLUDED_KINDS))
+    clean = ~F.upper(F.coalesce(label, F.lit(""))).rlike(rf"\b({'|'.join(EXCLUDED_KINDS)})\b")
     return style & kind & (F.coalesce(meter, F.lit(0)) != 99) & clean
 
 
@@ -109,9 +126,9 @@ def snap_to_grid(beat: Column, grids: Sequence[int], tolerance: float, seconds_p
 
 
 def choose_grid(beat: Column, margin: float = 0.01) -> Column:
-    """4 (sixteenths), unless a third of a beat is closer by the margin: then 3."""
+    """16 lines a beat, unless the nearest of 12 is closer by more than the margin (in beats): then 12."""
     off = lambda g: F.abs(F.round(beat * g) / g - beat)
-    return F.when(off(3) < off(4) - margin, 3).otherwise(4)
+    return F.when(off(12) < off(16) - margin, 12).otherwise(16)
 
 
 def grid_error(beat: Column, grid: Column | int) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.scalars import norm_answer
 from ._range import numbered
 from .components import connected
 
@@ -189,38 +190,55 @@ def assign_packets(items: DataFrame, seeds: DataFrame, size: int, share: float,
 
 
 def score_agreement(keys: DataFrame, answers: DataFrame) -> DataFrame:
-    """item, verdict, answer: AGREED where at least two valid readers give one answer without '?'; else few_votes, unsure or disagree.
+    """packet, item, verdict, answer, why: AGREED where at least two valid readers give one answer without '?', else UNSURE with few_readers, disagree or unreadable.
 
-    keys(packet, item, kind, answer), answers(reader, packet, item, answer): a reader who
-    misses any seed of a packet is void there.
+    keys(packet, item, kind, answer), answers(reader, packet, item, answer); answers are normalised. A reader who
+    answers anything in a packet has it; a seed of it answered wrongly, or not at all, makes
+    the reader void there. A packet without seeds voids nobody. Empty answers aren't votes.
     """
-    votes = answers.join(keys.select("packet", "item", "kind", F.col("answer").alias("_want")), ["packet", "item"])
-    fine = votes.filter("kind = 'seed'").groupBy("reader", "packet").agg(F.min(F.coalesce(F.col("answer") == F.col("_want"), F.lit(False))).alias("_ok"))
-    real = votes.filter("kind = 'real'").join(fine.filter("_ok").select("reader", "packet"), ["reader", "packet"], "left_semi")
-    got = real.groupBy("item").agg(F.count("answer").alias("_n"), F.countDistinct("answer").alias("_d"), F.max(F.col("answer").contains("?")).alias("_q"), F.min("answer").alias("answer"))
-    every = keys.filter("kind = 'real'").select("item").distinct().join(got, "item", "left")
-    verdict = F.when(F.coalesce("_n", F.lit(0)) < 2, "few_votes").when(F.col("_q"), "unsure").when(F.col("_d") > 1, "disagree").otherwise("AGREED")
-    return every.select("item", verdict.alias("verdict"), F.when(verdict == "AGREED", F.col("answer")).alias("answer"))
-
-
-def identify(scores: DataFrame, least: float, margin: float, low: float) -> DataFrame:
-    """series, best, score, margin, status, members: which candidate a series is.
-
-    scores(series, candidate, own, notes, level, score): candidates with one score and note
-    count are one group. status: own (it is the best), own_low, unmatched (under least),
-    exact_notes_disagree (own has the score, not the notes), ambiguous (a runner-up within
-    margin), candidate. The member named is the one with own, then the lower level, then order.
+    said = answers.select("reader", "packet", "item", norm_answer(F.col("answer")).alias("_said"))
+    seeds = keys.filter("kind = 'seed'").select("packet", "item", norm_answer(F.col("answer")).alias("_want"))
+    readers = said.select("reader", "packet").distinct()
+    asked = readers.join(seeds, "packet").join(said, ["reader", "packet", "item"], "left")
+    void = asked.filter(~F.col("_said").eqNullSafe(F.col("_want"))).select("reader", "packet").distinct()
+    votes = said.filter("_said <> ''").join(void, ["reader", "packet"], "left_anti")
+    real = keys.filter("kind = 'real'").select("packet", "item").distinct()
+    got = real.join(votes, ["packet", "item"], "left").groupBy("packet", "item").agg(F.count("_said").alias("_n"), F.countDistinct("_said").alias("_d"), F.max(F.col("_said").contains("?")).alias("_q"), F.min("_said").alias("answer"))
+    why = F.when(F.col("_n") < 2, "few_readers").when(F.col("_d") > 1, "disagree").when(F.col("_q"), "unreadable")
+    return got.select("packet", "item", F.when(why.isNull(), "AGREED").otherwise("UNSURE").alias("verdict"), F.when(why.isNull(), F.col("answer")).alias("answer"), why.alias("why"))
+
+
+def identify(scores: DataFrame, least: float, margin: float) -> DataFrame:
+    """series, best, score, margin_runner, margin_mapped, status, members, why: which candidate a series is.
+
+    scores(series, candidate, own: is it the mapped one, implied, expected, level, wanted, place, score): expected and
+    wanted (the count and level known of the series) are one a series. Candidates of one score and signature (here: the
+    score) are one group; the runner-up is the next group, 0 if there is none. status: own if the mapped one is in the best
+    group, own_low if that is under `least`; unscored if the mapped one has no score; unmatched if the best is under `least`;
+    exact_notes_disagree if the mapped one's count is the expected one; candidate if the best is ahead of the runner-up and of
+    the mapped one by `margin`; else ambiguous. The member named has the expected count, if counts differ; then the wanted
+    level; then the first place.
     """
-    groups = scores.groupBy("series", "score", "notes").agg(F.min_by("candidate", F.struct(~F.col("own"), "level", "candidate")).alias("best"), F.max("own").alias("own"), F.count("*").alias("members"))
-    order = Window.partitionBy("series").orderBy(F.desc("score"), F.desc("own"), F.desc("notes"))
-    rows = groups.withColumn("_k", F.row_number().over(order)).withColumn("_next", F.lead("score").over(order)).withColumn("_nown", F.lead("own").over(order))
-    top = rows.filter("_k = 1").withColumn("margin", F.col("score") - F.col("_next"))
-    tie = F.coalesce(F.col("margin") < margin, F.lit(False))
+    mapped = scores.groupBy("series").agg(F.max(F.when(F.col("own"), F.col("score"))).alias("_mapped"), F.max(F.when(F.col("own"), F.coalesce(F.col("implied") == F.col("expected"), F.lit(False)))).alias("_sides"))
+    agrees = F.coalesce(F.col("implied") == F.col("expected"), F.lit(False))
+    rank = F.struct((~agrees).alias("a"), (~F.coalesce(F.col("level") == F.col("wanted"), F.lit(False))).alias("l"), "place", "candidate")
+    groups = scores.filter("score IS NOT NULL").groupBy("series", "score").agg(F.min_by("candidate", rank).alias("best"), F.max("own").alias("own"), F.count("*").alias("members"), F.max(agrees).alias("_agrees"), F.countDistinct("implied").alias("_counts"), F.count_if(agrees).alias("_n"))
+    order = Window.partitionBy("series").orderBy(F.desc("score"))
+    top = groups.withColumn("_k", F.row_number().over(order)).withColumn("_next", F.coalesce(F.lead("score").over(order), F.lit(0.0))).filter("_k = 1").join(mapped, "series")
+    runner = F.col("score") - F.col("_next")
+    behind = F.when(F.col("own"), 0.0).otherwise(F.col("score") - F.coalesce("_mapped", F.lit(0.0)))
     status = (
-        F.when(F.col("own") & (F.col("score") < low), "own_low").when(F.col("score") < least, "unmatched").when(F.col("own"), "own")
-        .when((F.coalesce(F.col("margin"), F.lit(1.0)) == 0) & F.col("_nown"), "exact_notes_disagree").when(tie, "ambiguous").otherwise("candidate")
+        F.when(F.col("_mapped").isNull(), "unscored").when(F.col("own"), F.when(F.col("score") >= least, "own").otherwise("own_low")).when(F.col("score") < least, "unmatched")
+        .when(F.col("_sides"), "exact_notes_disagree").when((behind >= margin) & (runner >= margin), "candidate").otherwise("ambiguous")
     )
-    return top.select("series", "best", "score", "margin", status.alias("status"), "members")
+    why = F.when((F.col("_n") == 1) | (F.col("_agrees") & (F.col("_counts") > 1)), "count").otherwise("twins")
+    return top.select("series", "best", "score", runner.alias("margin_runner"), behind.alias("margin_mapped"), status.alias("status"), "members", why.alias("why"))
+
+
+def passes_agree(found: DataFrame, by: str = "series") -> DataFrame:
+    """by, best, status: what several passes over one series (rows of identify with a column of passes) come to; passes_disagree where they name different candidates."""
+    each = found.filter("status IN ('candidate', 'own')").groupBy(by).agg(F.countDistinct("best").alias("_d"), F.min("best").alias("best"), F.min("status").alias("status"))
+    return each.select(by, F.when(F.col("_d") == 1, F.col("best")).alias("best"), F.when(F.col("_d") == 1, F.col("status")).otherwise("passes_disagree").alias("status"))
 
 
 def resolve_moves(proposals: DataFrame, mapping: DataFrame) -> DataFrame:

@@ -93,46 +93,95 @@ def verify_chain(ledger: DataFrame, by: Sequence[str] = ("ledger",), genesis: st
     return rows.groupBy(*by).agg(F.count("*").alias("n"), first.alias("_f")).select(*by, "n", F.col("_f.seq").alias("first_break"), F.col("_f._r").alias("reason"))
 
 
-def assign_tiers(rows: DataFrame, import_exact: DataFrame, demotions: DataFrame, promotions: DataFrame) -> DataFrame:
-    """chart, tier, flags: PROTECTED (this block promoted; or exact at import and not demoted), else PROVISIONAL if exact, else NONE.
+def well_formed(rows: DataFrame, kind: str) -> DataFrame:
+    """The demotions (chart, block_sha of 64 hex digits, reason and evidence not blank) or promotions (audit FLAT and covered) that count."""
+    said = lambda c: F.length(F.trim(F.coalesce(c, F.lit("")))) > 0
+    sha = F.col("chart").isNotNull() & F.coalesce(F.col("block_sha").rlike("^[0-9a-f]{64}$"), F.lit(False))
+    return rows.filter(sha & said("reason") & said("evidence")) if kind == "demotion" else rows.filter(sha & (F.col("audit") == "FLAT") & F.col("covered"))
 
-    rows(chart, block_sha, exact), import_exact(chart), demotions(chart, block_sha,
-    reason), promotions(chart, block_sha, audit, covered). Only well-formed rows count: a
-    sha of 64 hex digits, a reason; an audit FLAT that is covered.
-    """
-    sha = F.col("block_sha").rlike("^[0-9a-f]{64}$")
-    down = demotions.filter(sha & (F.coalesce("reason", F.lit("")) != "")).select("chart", "block_sha", F.lit(True).alias("demoted")).distinct()
-    up = promotions.filter(sha & (F.col("audit") == "FLAT") & F.col("covered")).select("chart", "block_sha", F.lit(True).alias("promoted")).distinct()
-    out = rows.join(import_exact.select("chart", F.lit(True).alias("imported")).distinct(), "chart", "left").join(down, ["chart", "block_sha"], "left").join(up, ["chart", "block_sha"], "left")
-    on = lambda c: F.coalesce(c, F.lit(False))
-    tier = F.when(on("promoted") | (on("imported") & ~on("demoted")), "PROTECTED").when(F.col("exact"), "PROVISIONAL").otherwise("NONE")
-    flags = F.array_compact(F.array(*(F.when(on(c), c) for c in ("imported", "demoted", "promoted"))))
-    return out.select("chart", tier.alias("tier"), flags.alias("flags"))
 
+def assign_tiers(rows: DataFrame, import_exact: DataFrame, demotions: DataFrame, promotions: DataFrame, flagged: DataFrame | None = None) -> DataFrame:
+    """rows(chart, block_sha, exact, ...) with protected_by, tier and flags.
 
-def gate(base: DataFrame, head: DataFrame, demotions: DataFrame) -> DataFrame:
-    """chart, transition, fails: what happened to each chart between two versions, and why that fails, or null.
-
-    base and head (chart, exact, block_sha, tier); demotions(chart): losses declared.
+    A block is protected by its promotion, unless that very block is demoted; else by the
+    import, where it was exact (import_exact(chart)), unless any block of the chart is demoted.
+    tier: PROTECTED; else PROVISIONAL if exact; else null. flags: demoted, and those of
+    flagged(chart, flag): oracle_conflict, owner_revisit, quarantine.
     """
-    b = base.select("chart", F.col("exact").alias("_e0"), F.col("block_sha").alias("_s0"), F.col("tier").alias("_t0"))
-    h = head.select("chart", F.col("exact").alias("_e1"), F.col("block_sha").alias("_s1"), F.col("tier").alias("_t1"))
-    rows = b.join(h, "chart", "full_outer").join(demotions.select("chart", F.lit(True).alias("_d")).distinct(), "chart", "left")
-    edited = F.col("_s0") != F.col("_s1")
-    both = F.col("_t0").isNotNull() & F.col("_t1").isNotNull()
+    down, up = well_formed(demotions, "demotion"), well_formed(promotions, "promotion")
+    mark = lambda df, name, *key: df.select(*key, F.lit(True).alias(name)).distinct()
+    out = rows.join(mark(import_exact, "_imported", "chart"), "chart", "left").join(mark(down, "_chart_down", "chart"), "chart", "left")
+    out = out.join(mark(down, "_down", "chart", "block_sha"), ["chart", "block_sha"], "left").join(mark(up, "_up", "chart", "block_sha"), ["chart", "block_sha"], "left")
+    on = lambda c: F.coalesce(c, F.lit(False))
+    by = F.when(on("_up") & ~on("_down"), "promotion").when(on("_imported") & ~on("_chart_down"), "import")
+    flags = F.array_compact(F.array(F.when(on("_chart_down"), "demoted")))
+    if flagged is not None:
+        out = out.join(flagged.groupBy("chart").agg(F.collect_set("flag").alias("_flags")), "chart", "left")
+        flags = F.concat(flags, F.array_sort(F.coalesce("_flags", F.array().cast("array<string>"))))
+    out = out.withColumn("protected_by", by).withColumn("tier", F.when(by.isNotNull(), "PROTECTED").when(F.col("exact"), "PROVISIONAL")).withColumn("flags", flags)
+    return out.select(*rows.columns, "protected_by", "tier", "flags")
+
+
+def gate(base: DataFrame, head: DataFrame, demotions: DataFrame, promotions: DataFrame | None = None, flagged: DataFrame | None = None, oracle_changed: bool = False) -> DataFrame:
+    """chart, transition, tier_base, tier_head, fails, audit: each chart that two versions differ in, why that fails (null: it doesn't), and against what its change is to be audited.
+
+    base and head (chart, exact, block_sha, header_sha, expected, tier, protected_by);
+    demotions(chart, block_sha, reason, evidence, owner, added: is the row new in head), of
+    both versions; promotions(chart, block_sha, audit, covered) of head; flagged(chart, flag)
+    of either. transition is the first that holds of
+
+    LOST, LEFT-EXACT: exact before, not after (LEFT-: gone). Fails for a protected chart
+        always; else without a demotion of the block it had; else in quarantine, if the owner hasn't signed that.
+    GAINED, ENTERED-EXACT: exact after, not before (ENTERED-: new). Fails in oracle_conflict.
+    EDITED-EXACT: exact before and after, its block or header changed. Fails for a protected
+        chart, unless the new block is promoted under the same header.
+    EDITED-OFF, EXPECTED-CHANGED, ENTERED, LEFT: never fail.
+    UNPROTECTED: protected before only. Needs a demotion of its block, or a new one of the chart
+        (signed in quarantine), unless the oracle changed.
+    PROMOTED: protected after only.
+
+    Demotions that head adds without an owner are rows of their own (transition LEDGER).
+    """
+    none = lambda schema: base.sparkSession.createDataFrame([], schema)
+    promotions = none("chart string, block_sha string, audit string, covered boolean") if promotions is None else promotions
+    flagged = none("chart string, flag string") if flagged is None else flagged
+    down = well_formed(demotions, "demotion").withColumn("_signed", F.length(F.trim(F.coalesce("owner", F.lit("")))) > 0)
+    of_block = down.groupBy("chart", "block_sha").agg(F.min_by("_signed", F.struct("reason", "evidence")).alias("_block"))
+    fresh = down.filter("added").groupBy("chart").agg(F.min_by("_signed", F.struct("block_sha", "reason")).alias("_fresh"))
+    up = well_formed(promotions, "promotion").select("chart", F.col("block_sha").alias("_up_sha"), F.lit(True).alias("_up")).distinct()
+    flags = flagged.groupBy("chart").agg(F.max(F.col("flag") == "oracle_conflict").alias("_conflict"), F.max(F.col("flag") == "quarantine").alias("_quarantine"))
+    side = lambda df, n: df.select("chart", F.struct("exact", "block_sha", "header_sha", "expected", "tier", "protected_by").alias(n))
+    rows = side(base, "b").join(side(head, "h"), "chart", "full_outer")
+    rows = rows.withColumn("block_sha", F.col("b.block_sha")).join(of_block, ["chart", "block_sha"], "left").join(fresh, "chart", "left").join(flags, "chart", "left")
+    rows = rows.withColumn("_up_sha", F.col("h.block_sha")).join(up, ["chart", "_up_sha"], "left")
+
+    on = lambda c: F.coalesce(c, F.lit(False))
+    b, h = F.col("b"), F.col("h")
+    both, exact_b, exact_h = b.isNotNull() & h.isNotNull(), on(b["exact"]), on(h["exact"])
+    edited = both & ~(b["block_sha"].eqNullSafe(h["block_sha"]) & b["header_sha"].eqNullSafe(h["header_sha"]))
+    kept, kept_after = on(b["tier"] == "PROTECTED"), on(h["tier"] == "PROTECTED")
     transition = (
-        F.when(F.col("_t0").isNull() & F.col("_e1"), "new_exact").when(F.col("_t0").isNull(), "new_wrong").when(F.col("_t1").isNull() & F.col("_e0"), "removed_exact").when(F.col("_t1").isNull(), "removed_wrong")
-        .when(F.col("_e0") & F.col("_e1") & edited, "kept_edited").when(F.col("_e0") & F.col("_e1"), "kept").when(F.col("_e0") & edited, "lost_edited").when(F.col("_e0"), "lost_unedited")
-        .when(F.col("_e1") & edited, "gained_edited").when(F.col("_e1"), "gained_unedited").otherwise("still_wrong")
+        F.when(exact_b & ~exact_h, F.when(h.isNull(), "LEFT-EXACT").otherwise("LOST")).when(exact_h & ~exact_b, F.when(b.isNull(), "ENTERED-EXACT").otherwise("GAINED"))
+        .when(edited, F.when(exact_b & exact_h, "EDITED-EXACT").otherwise("EDITED-OFF")).when(both & ~b["expected"].eqNullSafe(h["expected"]), "EXPECTED-CHANGED")
+        .when(b.isNull(), "ENTERED").when(h.isNull(), "LEFT").when(kept & ~kept_after, "UNPROTECTED").when(~kept & kept_after, "PROMOTED")
     )
-    lost = transition.isin("lost_edited", "lost_unedited", "removed_exact") & F.col("_d").isNull()
-    fails = F.when(lost, "lost_without_demotion").when(both & edited & (F.col("_t0") == "PROTECTED"), "protected_edited")
-    return rows.select("chart", transition.alias("transition"), fails.alias("fails"))
+    signed = F.coalesce("_block", "_fresh")
+    lost = F.when(kept, "protected_lost").when(F.col("_block").isNull(), "lost_without_demotion").when(on("_quarantine") & ~F.col("_block"), "demotion_not_signed")
+    changed = F.when(kept & ~(on("_up") & b["header_sha"].eqNullSafe(h["header_sha"])), F.when(b["block_sha"].eqNullSafe(h["block_sha"]), "protected_header_edited").otherwise("protected_block_edited"))
+    bare = F.when(signed.isNotNull(), F.when(on("_quarantine") & ~signed, "demotion_not_signed")).when(~F.lit(oracle_changed), "unprotected_without_demotion")
+    is_ = lambda *x: F.col("transition").isin(*x)
+    fails = F.when(is_("LOST", "LEFT-EXACT"), lost).when(is_("EDITED-EXACT"), changed).when(is_("GAINED", "ENTERED-EXACT") & on("_conflict"), "conflict_gained").when(is_("UNPROTECTED"), bare)
+    out = rows.withColumn("transition", transition).filter("transition IS NOT NULL").withColumn("fails", fails)
+    audit = F.when(F.col("fails").isNull() & edited, F.when(is_("GAINED"), "import").when(is_("EDITED-EXACT"), "base"))
+    out = out.select("chart", "transition", b["tier"].alias("tier_base"), h["tier"].alias("tier_head"), "fails", audit.alias("audit"))
+    unsigned = demotions.filter(F.col("added") & (F.length(F.trim(F.coalesce("owner", F.lit("")))) == 0)).select("chart").distinct()
+    nothing = F.lit(None).cast("string")
+    return out.union(unsigned.select("chart", F.lit("LEDGER"), nothing, nothing, F.lit("demotion_without_owner"), nothing))
 
 
 def declared_net(transitions: DataFrame, declared: int) -> DataFrame:
     """net, declared, ok: gained less lost charts against what the change declares."""
-    net = F.sum(F.when(F.col("transition").isin("gained_edited", "gained_unedited", "new_exact"), 1).when(F.col("transition").isin("lost_edited", "lost_unedited", "removed_exact"), -1).otherwise(0))
+    net = F.coalesce(F.sum(F.when(F.col("transition").isin("GAINED", "ENTERED-EXACT"), 1).when(F.col("transition").isin("LOST", "LEFT-EXACT"), -1).otherwise(0)), F.lit(0))
     return transitions.agg(net.alias("net")).withColumn("declared", F.lit(declared).cast("long")).withColumn("ok", F.col("net") == F.col("declared"))
 
 

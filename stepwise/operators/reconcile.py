@@ -31,19 +31,19 @@ def implied_totals(rows: DataFrame, holds: DataFrame, blocks: DataFrame, by: Seq
 
 
 def sweep(implied: DataFrame, threshold: float = 0) -> DataFrame:
-    """implied(implied, count1, count2, regions, blocks_alike, hold_events) with delta, pct, verdict and shape; at a threshold of 0 or below every disagreement stays, else those of at least that many percent.
+    """implied(implied, count1, count2, regions, blocks_alike, hold_events) with delta, pct, verdict and shape; at a threshold of 0 or below every disagreement stays, else those of more than that many percent.
 
-    exact if either count agrees; delta is against the nearer one. shape: duplicate_block,
-    hold_less, single_region, over_ticked or under_ticked.
+    exact if either count agrees; else delta and pct are against the first count that
+    exists. shape: duplicate_block, hold_less, single_region, over_ticked or under_ticked.
     """
-    d1, d2 = F.col("implied") - F.col("count1"), F.col("implied") - F.col("count2")
-    nearer = F.when(d1.isNull() | (F.abs(d2) < F.abs(d1)), d2).otherwise(d1)
-    base = F.when(d1.isNull() | (F.abs(d2) < F.abs(d1)), F.col("count2")).otherwise(F.col("count1"))
-    rows = implied.withColumn("delta", nearer).withColumn("pct", F.round(100 * nearer / base, 1))
-    verdict = F.when(F.col("delta").isNull(), "no_count").when(F.col("delta") == 0, "exact").otherwise("off")
+    first = F.coalesce("count1", "count2")
+    equal = F.coalesce((F.col("implied") == F.col("count1")) | (F.col("implied") == F.col("count2")), F.col("implied") == F.col("count1"), F.col("implied") == F.col("count2"), F.lit(False))
+    rows = implied.withColumn("verdict", F.when(first.isNull(), "no_count").when(equal, "exact").otherwise("off"))
+    off = F.col("verdict") == "off"
+    rows = rows.withColumn("delta", F.when(off, F.col("implied") - first)).withColumn("pct", F.when(off, F.round(100 * (F.col("implied") - first) / first, 1)))
     shape = F.when(F.col("blocks_alike") > 1, "duplicate_block").when(F.col("hold_events") == 0, "hold_less").when(F.col("regions") == 1, "single_region").when(F.col("delta") > 0, "over_ticked").otherwise("under_ticked")
-    rows = rows.withColumn("verdict", verdict).withColumn("shape", F.when(F.col("verdict") == "off", shape))
-    return rows if threshold <= 0 else rows.filter((F.col("verdict") != "off") | (F.abs("pct") >= threshold))
+    rows = rows.withColumn("shape", F.when(off, shape))
+    return rows if threshold <= 0 else rows.filter(~off | (F.abs("pct") > threshold))
 
 
 def tally(df: DataFrame, *columns: str) -> DataFrame:
@@ -76,18 +76,21 @@ def observe_holds(anchors: DataFrame, taps: DataFrame, regions: DataFrame, by: S
 
 
 def slack_screen(anchors: DataFrame, taps: DataFrame, by: Sequence[str], zone: float = 15, bad: float = -35, odd: float = -15) -> DataFrame:
-    """by, low, high, zones, verdict: cum - taps for each zone of time.
+    """by, low, high, zones, tail, verdict: cum - taps for each zone of time that has an anchor; low is at most 0.
 
-    `broken` if some zone past the first fifth is under `bad`, `deepening` if the last
-    zone is under `odd` and lower than the first, `odd` if any is under `odd`, else fine.
+    The head is the first fifth of the zones (one at least); tail is the lowest slack past it,
+    0 if nothing is. `fine` if low is `odd` or more; `recovers` if the tail is `bad` or more;
+    `suspect` if the tail doesn't go below its own first half; else `deepens`.
     """
     rows = count_at(taps, anchors, by, "t", "t", "_taps").withColumn("slack", F.col("cum") - F.col("_taps")).withColumn("_z", F.floor(F.col("t") / zone))
     zones = rows.groupBy(*by, "_z").agg(F.min("slack").alias("lo"), F.max("slack").alias("hi"))
-    first, last = F.min("_z").over(Window.partitionBy(*by)), F.max("_z").over(Window.partitionBy(*by))
-    zones = zones.withColumn("_late", F.col("_z") - first > (last - first) / 5)
-    agg = zones.groupBy(*by).agg(F.min("lo").alias("low"), F.max("hi").alias("high"), F.count("*").alias("zones"), F.min(F.when(F.col("_late"), F.col("lo"))).alias("_l"), F.min_by("lo", "_z").alias("_f"), F.max_by("lo", "_z").alias("_e"))
-    verdict = F.when(F.col("_l") < bad, "broken").when((F.col("_e") < odd) & (F.col("_e") < F.col("_f")), "deepening").when(F.col("low") < odd, "odd").otherwise("fine")
-    return agg.select(*by, "low", "high", "zones", verdict.alias("verdict"))
+    zones = zones.withColumn("_i", F.row_number().over(Window.partitionBy(*by).orderBy("_z"))).withColumn("_n", F.count("*").over(Window.partitionBy(*by)))
+    head = F.greatest(F.lit(1), F.floor(F.col("_n") / 5))
+    half = head + F.greatest(F.lit(1), F.floor((F.col("_n") - head) / 2))
+    past = lambda upto: F.coalesce(F.min(F.when((F.col("_i") > head) & upto, F.col("lo"))), F.lit(0))
+    agg = zones.groupBy(*by).agg(F.least(F.min("lo"), F.lit(0)).alias("low"), F.max("hi").alias("high"), F.count("*").alias("zones"), past(F.lit(True)).alias("tail"), past(F.col("_i") <= half).alias("_half"))
+    verdict = F.when(F.col("low") >= odd, "fine").when(F.col("tail") >= bad, "recovers").when(F.col("tail") > F.col("_half"), "suspect").otherwise("deepens")
+    return agg.select(*by, "low", "high", "zones", "tail", verdict.alias("verdict"))
 
 
 def run_drift(runs: DataFrame, taps: DataFrame, holds: DataFrame, by: Sequence[str], width: float, lag: float = 0.12, least: int = 5, climb: int = 5) -> DataFrame:
@@ -100,28 +103,45 @@ def run_drift(runs: DataFrame, taps: DataFrame, holds: DataFrame, by: Sequence[s
     return held.select(*by, "run", "reads", (F.col("_v1") - F.col("_v0") - F.col("_taps")).alias("drift"), (F.col("n_spans") > 0).alias("held"))
 
 
-def excess_clusters(reads: DataFrame, taps: DataFrame, by: Sequence[str], gap: float = 1.5, join: float = 0.6, least: int = 1) -> DataFrame:
-    """by, t0, t1, excess: where the counter rises by more than the taps between two reads at most `gap` apart.
+def excess_clusters(reads: DataFrame, taps: DataFrame, by: Sequence[str], gap: float = 1.5, join: float = 0.6, least: int = 1, lag: float = 0.15) -> DataFrame:
+    """by, t0, t1, excess: where the counter rises by more than the taps, which it shows `lag` late.
 
-    Rises within `join` of a cluster belong to it; a shortfall takes from the open cluster; clusters under `least` go.
+    A rise is measured from the instant its lower value was first read; repeats of a value
+    change nothing. A fall, or more than `gap` without a rise, starts anew and ends the open
+    cluster. Rises beyond the taps within `join` of the open cluster's end belong to it, later
+    ones open another; a shortfall takes from the open cluster wherever it is. Clusters under `least` go.
     """
-    order = Window.partitionBy(*by).orderBy("t")
-    steps = reads.select(*by, F.lag("t").over(order).alias("lo"), F.col("t").alias("hi"), (F.col("v") - F.lag("v").over(order)).alias("_d")).filter((F.col("_d") > 0) & (F.col("hi") - F.col("lo") <= gap))
-    rows = count_between(taps, steps, by, out="_taps").select(*by, F.col("lo").alias("t"), "hi", (F.col("_d") - F.col("_taps")).alias("x")).filter("x <> 0")
+    kind = reads.schema["t"].dataType
+    rows = count_at(taps, reads.withColumn("_at", (F.col("t") - lag).cast(kind)), by, "t", "_at", "n").select(*by, "t", "v", "n")
+
+    def rises(d: pd.DataFrame):
+        """(from, to, climb less taps) of each rise; None where a stretch ends."""
+        since = None
+        for now in zip(d["t"].tolist(), d["v"].tolist(), d["n"].tolist(), strict=True):
+            if since is None or now[1] < since[1] or now[0] - since[0] > gap:
+                yield None
+            elif now[1] == since[1]:
+                continue
+            else:
+                yield since[0], now[0], now[1] - since[1] - (now[2] - since[2])
+            since = now
 
     def gather(d: pd.DataFrame) -> pd.DataFrame:
-        out: list[list] = []
-        for t, hi, x in zip(d["t"].tolist(), d["hi"].tolist(), d["x"].tolist(), strict=True):
-            if out and t - out[-1][1] <= join:
-                out[-1][2] += x
-                if x > 0:
-                    out[-1][1] = hi
-            elif x > 0:
-                out.append([t, hi, x])
+        out, is_open = [], False
+        for rise in rises(d):
+            if rise is None:
+                is_open = False
+                continue
+            start, end, more = rise
+            if more > 0 and not (is_open and start - out[-1][1] <= join):
+                out.append([start, end, more])
+                is_open = True
+            elif more and is_open:
+                out[-1][1] = end if more > 0 else out[-1][1]
+                out[-1][2] += more
         return pd.DataFrame([o for o in out if o[2] >= least], columns=["t0", "t1", "excess"])
 
-    kind = reads.schema["t"].dataType.simpleString()
-    return per_series(rows, by, gather, f"t0 {kind}, t1 {kind}, excess long")
+    return per_series(rows, by, gather, f"t0 {kind.simpleString()}, t1 {kind.simpleString()}, excess long")
 
 
 def deficit_segments(reads: DataFrame, taps: DataFrame, by: Sequence[str], lag: float = 0.15, least: float = 0.3) -> DataFrame:
@@ -312,34 +332,40 @@ def solve_counts(equations: DataFrame, totals: DataFrame, by: Sequence[str], clo
 
 
 def raise_floors(targets: DataFrame, by: Sequence[str], near: float = 3.0) -> DataFrame:
-    """by, region, target: targets under their floor raised; the difference is taken from the dominant region (at least half of all), else one at a time from the largest neighbour within `near`.
+    """by, region, target, gave: targets under their floor raised, and how much each region gave for that; targets are null for a whole key that has too little to give.
 
-    targets(by, region, t, target, floor). Totals stay where a donor above its floor exists.
+    targets(by, region, t, target, floor). Units come from the dominant region (the largest, at
+    least half of all) while it is over its floor; else one by one from the region with most over its
+    floor (ties: the nearest, then the earliest) within `near`, or anywhere if none there has any.
+    Raised regions give nothing. The total stays.
     """
 
     def lift(d: pd.DataFrame) -> pd.DataFrame:
         d = d.sort_values(["t", "region"]).reset_index(drop=True)
-        x, low, t = d["target"].to_numpy(np.int64).copy(), d["floor"].to_numpy(np.int64), d["t"].to_numpy(float)
-        for i in np.flatnonzero(x < low):
-            need = int(low[i] - x[i])
-            top = int(np.argmax(x))
-            if top != i and 2 * x[top] >= x.sum() and x[top] - need >= low[top]:
-                x[top] -= need
-                x[i] += need
-                continue
-            while need:
-                donors = [j for j in range(len(x)) if j != i and abs(t[j] - t[i]) <= near and x[j] > low[j]]
-                if not donors:
-                    break
-                j = max(donors, key=lambda j: (x[j], -j))
-                x[j] -= 1
-                x[i] += 1
-                need -= 1
-            x[i] += need
-        return pd.DataFrame({"region": d["region"], "target": x})
+        before, low, t = d["target"].to_numpy(np.int64), d["floor"].to_numpy(np.int64), d["t"].to_numpy(float)
+        short = before < low
+        spare = np.where(short, 0, before - low)
+        if short.any() and int((low - before)[short].sum()) > int(spare.sum()):
+            return pd.DataFrame({"region": d["region"], "target": pd.array([None] * len(d), "Int64"), "gave": 0})
+        top = int(np.argmax(before))
+        main = top if 2 * before[top] >= before.sum() and not short[top] else None
+        left = spare.copy()
+        for i in np.flatnonzero(short).tolist():
+            need, far = int(low[i] - before[i]), np.abs(t - t[i])
+            if main is not None:
+                took = min(need, int(left[main]))
+                left[main] -= took
+                need -= took
+            for _ in range(need):
+                some = np.flatnonzero(left > 0)
+                close = some[far[some] <= near]
+                some = close if len(close) else some
+                left[some[np.lexsort((some, far[some], -left[some]))[0]]] -= 1
+        gave = spare - left
+        return pd.DataFrame({"region": d["region"], "target": np.where(short, low, before - gave), "gave": gave})
 
     kind = targets.schema["region"].dataType.simpleString()
-    return per_series(targets, by, lift, f"region {kind}, target long")
+    return per_series(targets, by, lift, f"region {kind}, target long, gave long")
 
 
 def search_rates(regions: DataFrame, rates: DataFrame, unit: int) -> DataFrame:

@@ -108,13 +108,15 @@ def score_agreement(spark, sf):
     keyed = keys.select("packet", "item", F.when(C("i") == 1, "seed").otherwise("real").alias("kind"), "answer")
     answers = keys.select("packet", "item", "answer", "p", F.explode(F.array(*map(L, (2, 3, 5)))).alias("reader"))
     said = F.when(C("p") % (C("reader") * 7) == 0, "?").when(C("p") % (C("reader") * 5) == 0, "X").otherwise(C("answer"))
-    return op.score_agreement(keyed, answers.select("reader", "packet", "item", said.alias("answer")))
+    given = answers.filter(C("p") % (C("reader") * 11) != 0)  # some questions stay open, seeds too
+    return op.score_agreement(keyed, given.select("reader", "packet", "item", F.lower(said).alias("answer")))
 
 
 def identify(spark, sf):
     """Users as series, suppliers of a tenth as candidates; scores from events."""
-    rows = events(spark, sf).withColumn("candidate", C("k") % 6).groupBy("series", "candidate").agg((F.count("*") % 5 / 5).alias("score"), (F.count("*") % 2).alias("notes"), F.min("k").alias("level"))
-    return _round(op.identify(rows.withColumn("own", C("candidate") == C("series") % 6), 0.3, 0.3, 0.5), "score", "margin")
+    rows = events(spark, sf).withColumn("candidate", C("k") % 6).groupBy("series", "candidate").agg((F.count("*") % 5 / 5).alias("score"), (F.count("*") % 3).alias("implied"), (F.min("k") % 4).alias("level"))
+    rows = rows.withColumn("score", F.when(C("candidate") + C("series") % 7 != 3, C("score"))).select("*", (C("series") % 3).alias("expected"), (C("series") % 4).alias("wanted"), C("candidate").alias("place"), (C("candidate") == C("series") % 6).alias("own"))
+    return _round(op.identify(rows, 0.3, 0.3), "score", "margin_runner", "margin_mapped")
 
 
 def percentile_bands(spark, sf):
@@ -179,8 +181,8 @@ SQL = {
     "i11_regress_rule": "WITH x AS (SELECT l_orderkey % 7 AS e, count(*) AS b, count(*) FILTER (l_returnflag <> 'R') AS v, l_orderkey % 3 AS t FROM lineitem GROUP BY l_orderkey), a AS (SELECT count(*) FILTER (b <> e AND v = e) AS fixes, count(*) FILTER (b = e AND v <> e AND t = 0) AS breaks_pristine, count(*) FILTER (b = e AND v <> e AND t = 1) AS breaks_fitted, count(*) FILTER (b = e AND v <> e AND t = 2) AS breaks_excused, count(*) FILTER (b <> e AND v <> e AND abs(v - e) < abs(b - e)) AS better, count(*) FILTER (b <> e AND v <> e AND abs(v - e) > abs(b - e)) AS worse FROM x) SELECT *, fixes - breaks_pristine - breaks_fitted AS net, fixes > 0 AND breaks_pristine = 0 AND fixes - breaks_pristine - breaks_fitted > 0 AS passes FROM a",
     "i12_null_rules": "WITH f AS (SELECT p_size % 6 AS n, p_partkey % 6 AS e, list_filter(['f3', 'f5', 'f7', 'f11', 'economy'], lambda x: CASE x WHEN 'f3' THEN p_partkey * 3 % 17 < 6 WHEN 'f5' THEN p_partkey * 5 % 17 < 6 WHEN 'f7' THEN p_partkey * 7 % 17 < 6 WHEN 'f11' THEN p_partkey * 11 % 17 < 6 ELSE p_type = 'ECONOMY' END) AS h FROM part), r AS (SELECT n, e, unnest(h) AS rule FROM f UNION ALL SELECT n, e, h[i] || '&' || h[j] FROM f, unnest(range(1, 6)) a(i), unnest(range(1, 6)) b(j) WHERE i < j AND j <= len(h)) SELECT rule, count(*) AS hits, count(*) FILTER (n <> e AND n + 1 = e) AS fixes, count(*) FILTER (n = e) AS breaks, 1 AS delta, count(*) FILTER (n <> e AND n + 1 = e) > 0 AND count(*) FILTER (n = e) = 0 AS passes FROM r GROUP BY rule",
     "i13_assign_packets": "WITH p AS (SELECT doc_id // 20 AS packet, 'real' AS kind, doc_id::VARCHAR AS item FROM documents), s AS (SELECT packet, 'seed' AS kind, (r_regionkey + 1000000)::VARCHAR AS item FROM (SELECT DISTINCT packet FROM p), region QUALIFY row_number() OVER (PARTITION BY packet ORDER BY sha256('salt|' || packet || '|' || (r_regionkey + 1000000))) <= 2), u AS (SELECT *, substr(sha256('salt|' || packet || '|' || kind || '|' || item), 1, 16) AS iid FROM (SELECT * FROM p UNION ALL SELECT * FROM s)) SELECT packet, row_number() OVER (PARTITION BY packet ORDER BY iid) AS slot, iid, kind, item FROM u",
-    "i14_score_agreement": "WITH k AS (SELECT l_orderkey || '-' || l_linenumber AS item, l_orderkey AS packet, max(l_returnflag) AS a, l_linenumber = 1 AS seed, min(l_partkey) AS p FROM lineitem GROUP BY l_orderkey, l_linenumber), v AS (SELECT *, CASE WHEN p % (r * 7) = 0 THEN '?' WHEN p % (r * 5) = 0 THEN 'X' ELSE a END AS said FROM k, (SELECT unnest([2, 3, 5]) AS r)), ok AS (SELECT packet, r FROM v WHERE seed GROUP BY ALL HAVING bool_and(said = a)), g AS (SELECT item, count(*) AS n, count(DISTINCT said) AS d, bool_or(said = '?') AS q, min(said) AS m FROM v JOIN ok USING (packet, r) WHERE NOT seed GROUP BY item) SELECT k.item, CASE WHEN coalesce(n, 0) < 2 THEN 'few_votes' WHEN q THEN 'unsure' WHEN d > 1 THEN 'disagree' ELSE 'AGREED' END AS verdict, CASE WHEN n >= 2 AND NOT q AND d = 1 THEN m END AS answer FROM k LEFT JOIN g ON k.item = g.item WHERE NOT seed",
-    "i15_identify": f"WITH {EVENTS}, s AS (SELECT series, k % 6 AS c, count(*) % 5 / 5 AS score, count(*) % 2 AS notes, min(k) AS level, k % 6 = series % 6 AS own FROM events_ GROUP BY series, k % 6), g AS (SELECT series, score, notes, arg_min(c, struct_pack(a := NOT own, b := level, c := c)) AS best, bool_or(own) AS own, count(*) AS members FROM s GROUP BY ALL), r AS (SELECT *, row_number() OVER w AS k, lead(score) OVER w AS nx, lead(own) OVER w AS no FROM g WINDOW w AS (PARTITION BY series ORDER BY score DESC, own DESC, notes DESC)) SELECT series, best, round(score, 6) AS score, round(score - nx, 6) AS margin, CASE WHEN own AND score < 0.5 THEN 'own_low' WHEN score < 0.3 THEN 'unmatched' WHEN own THEN 'own' WHEN score = nx AND no THEN 'exact_notes_disagree' WHEN score - nx < 0.3 THEN 'ambiguous' ELSE 'candidate' END AS status, members FROM r WHERE k = 1",
+    "i14_score_agreement": "WITH k AS (SELECT l_orderkey || '-' || l_linenumber AS item, l_orderkey AS packet, max(l_returnflag) AS a, l_linenumber = 1 AS seed, min(l_partkey) AS p FROM lineitem GROUP BY l_orderkey, l_linenumber), v AS (SELECT *, CASE WHEN p % (r * 7) = 0 THEN '?' WHEN p % (r * 5) = 0 THEN 'X' ELSE a END AS said FROM k, (SELECT unnest([2, 3, 5]) AS r) WHERE p % (r * 11) <> 0), have AS (SELECT DISTINCT packet, r FROM v), void AS (SELECT DISTINCT h.packet, h.r FROM have h JOIN k ON k.packet = h.packet AND k.seed LEFT JOIN v ON v.packet = h.packet AND v.r = h.r AND v.item = k.item WHERE v.said IS NULL OR v.said <> k.a), g AS (SELECT item, count(*) AS n, count(DISTINCT said) AS d, bool_or(said = '?') AS q, min(said) AS m FROM v ANTI JOIN void USING (packet, r) WHERE NOT seed GROUP BY item), w AS (SELECT k.packet, k.item, m, CASE WHEN coalesce(n, 0) < 2 THEN 'few_readers' WHEN d > 1 THEN 'disagree' WHEN q THEN 'unreadable' END AS why FROM k LEFT JOIN g ON k.item = g.item WHERE NOT seed) SELECT packet, item, CASE WHEN why IS NULL THEN 'AGREED' ELSE 'UNSURE' END AS verdict, CASE WHEN why IS NULL THEN m END AS answer, why FROM w",
+    "i15_identify": f"WITH {EVENTS}, s AS (SELECT series, k % 6 AS c, CASE WHEN k % 6 + series % 7 <> 3 THEN count(*) % 5 / 5 END AS score, count(*) % 3 = series % 3 AS agrees, count(*) % 3 AS implied, min(k) % 4 = series % 4 AS level, k % 6 = series % 6 AS own FROM events_ GROUP BY series, k % 6), m AS (SELECT series, max(score) FILTER (own) AS mapped, coalesce(bool_or(agrees) FILTER (own), false) AS sides FROM s GROUP BY series), g AS (SELECT series, score, arg_min(c, struct_pack(a := NOT agrees, b := NOT level, c := c)) AS best, bool_or(own) AS own, count(*) AS members, count(*) FILTER (agrees) AS n, count(DISTINCT implied) AS counts FROM s WHERE score IS NOT NULL GROUP BY ALL), r AS (SELECT *, row_number() OVER w AS k, coalesce(lead(score) OVER w, 0) AS nx FROM g WINDOW w AS (PARTITION BY series ORDER BY score DESC)), t AS (SELECT r.*, mapped, sides, score - nx AS mr, CASE WHEN own THEN 0.0 ELSE score - coalesce(mapped, 0) END AS mm FROM r JOIN m ON r.series = m.series WHERE k = 1) SELECT series, best, round(score, 6) AS score, round(mr, 6) AS margin_runner, round(mm, 6) AS margin_mapped, CASE WHEN mapped IS NULL THEN 'unscored' WHEN own AND score >= 0.3 THEN 'own' WHEN own THEN 'own_low' WHEN score < 0.3 THEN 'unmatched' WHEN sides THEN 'exact_notes_disagree' WHEN mm >= 0.3 AND mr >= 0.3 THEN 'candidate' ELSE 'ambiguous' END AS status, members, CASE WHEN n = 1 OR n > 0 AND counts > 1 THEN 'count' ELSE 'twins' END AS why FROM t",
     "i18_percentile_bands": f"WITH {EVENTS}, r AS (SELECT id, kind || '/' || (series % 40) AS g, kind, v, k >= 10 AS p FROM events_), a AS (SELECT g, quantile_cont(v, 0.05) - 5 AS l, quantile_cont(v, 0.95) + 5 AS h, count(*) AS n FROM r WHERE p GROUP BY g), b AS (SELECT kind, quantile_cont(v, 0.05) - 5 AS l, quantile_cont(v, 0.95) + 5 AS h, count(*) AS n FROM r WHERE p GROUP BY kind), x AS (SELECT id, v, CASE WHEN a.n >= 15 THEN a.l WHEN b.n >= 15 THEN b.l END AS low, CASE WHEN a.n >= 15 THEN a.h WHEN b.n >= 15 THEN b.h END AS high, CASE WHEN a.n >= 15 THEN 'group' WHEN b.n >= 15 THEN 'parent' ELSE 'none' END AS source FROM r LEFT JOIN a ON r.g = a.g LEFT JOIN b ON r.kind = b.kind) SELECT id, round(low, 6) AS low, round(high, 6) AS high, source, coalesce(v < low OR v > high, false) AS outlier FROM x",
     "i19_golden_compare": f"WITH {_GOLD} SELECT *, want IS NOT DISTINCT FROM got AS same FROM gold",
     "i19_still_alike": f"WITH {_GOLD}, e AS (SELECT bool_and(want IS NOT DISTINCT FROM got) AS s FROM gold GROUP BY p_partkey) SELECT count(*) FILTER (s) AS alike, count(*) AS total FROM e",

@@ -75,26 +75,42 @@ def verify_chain(spark, sf):
     return op.verify_chain(rows)
 
 
-def assign_tiers(spark, sf):
+def _demoted(spark, sf):
+    """Every sixth order demoted for the block it has; some rows blank, new or signed."""
     k = C("chart")
-    rows = _orders(spark, sf).select("chart", F.sha2("o_orderpriority", 256).alias("block_sha"), (k % 2 == 0).alias("exact"))
-    out = op.assign_tiers(rows, rows.filter(k % 3 == 0).select("chart"), rows.filter(k % 6 == 0).select("chart", "block_sha", F.when(k % 4 == 0, "re-read").alias("reason")), rows.filter(k % 5 == 0).select("chart", F.when(k % 10 == 0, "short").otherwise(C("block_sha")).alias("block_sha"), F.when(k % 15 == 0, "STEEP").otherwise("FLAT").alias("audit"), (k % 25 != 0).alias("covered")))
-    return out.select("chart", "tier", F.array_join("flags", ",").alias("flags"))
+    rows = _orders(spark, sf).filter(k % 6 == 0)
+    return rows.select("chart", F.sha2(F.when(k % 18 == 0, "other").otherwise(C("o_orderpriority")), 256).alias("block_sha"), F.when(k % 4 == 0, "re-read").otherwise(" ").alias("reason"), L("video").alias("evidence"), F.when(k % 8 == 0, "me").alias("owner"), (k % 10 == 0).alias("added"))
+
+
+def _promoted(spark, sf):
+    k = C("chart")
+    return _orders(spark, sf).filter(k % 5 == 0).select("chart", F.when(k % 10 == 5, "short").otherwise(F.sha2("o_orderpriority", 256)).alias("block_sha"), F.when(k % 15 == 0, "STEEP").otherwise("FLAT").alias("audit"), (k % 25 != 0).alias("covered"))
 
 
-def _versions(spark, sf):
+def assign_tiers(spark, sf):
     k = C("chart")
-    base = _orders(spark, sf).filter(k % 11 != 0).select("chart", (k % 2 == 0).alias("exact"), C("o_orderstatus").alias("block_sha"), F.when(k % 3 == 0, "PROTECTED").otherwise("PROVISIONAL").alias("tier"))
-    head = _orders(spark, sf).filter(k % 13 != 0).select("chart", (k % 4 < 2).alias("exact"), F.when(k % 5 == 0, "edited").otherwise(C("o_orderstatus")).alias("block_sha"), L("PROVISIONAL").alias("tier"))
-    return base, head, _orders(spark, sf).filter(k % 7 == 0).select("chart")
+    rows = _orders(spark, sf).select("chart", F.sha2("o_orderpriority", 256).alias("block_sha"), (k % 2 == 0).alias("exact"))
+    flagged = rows.filter(k % 7 == 0).select("chart", F.when(k % 14 == 0, "quarantine").otherwise("owner_revisit").alias("flag"))
+    out = op.assign_tiers(rows, rows.filter(k % 3 == 0).select("chart"), _demoted(spark, sf), _promoted(spark, sf), flagged)
+    return out.select("chart", "protected_by", "tier", F.array_join("flags", ",").alias("flags"))
 
 
 def gate(spark, sf):
-    return op.gate(*_versions(spark, sf))
+    """Orders graded by the parity of their keys; a later version edits, drops, gains and loses some."""
+    k = C("chart")
+    rows = _orders(spark, sf).select("chart", F.sha2("o_orderpriority", 256).alias("block_sha"), C("o_orderstatus").alias("header_sha"), (k % 8).alias("expected"))
+    tier = lambda df, p: df.withColumn("protected_by", F.when(p, "import")).withColumn("tier", F.when(p, "PROTECTED").when(C("exact"), "PROVISIONAL"))
+    base = tier(rows.filter(k % 11 != 0).withColumn("exact", k % 2 == 0), k % 3 == 0)
+    later = rows.filter(k % 13 != 0).withColumn("exact", F.when(k % 16 < 2, k % 2 == 1).otherwise(k % 2 == 0))
+    later = later.withColumn("block_sha", F.when(k % 5 == 1, F.sha2(L("edited"), 256)).otherwise(C("block_sha"))).withColumn("header_sha", F.when(k % 17 == 0, "edited").otherwise(C("header_sha"))).withColumn("expected", F.when(k % 19 == 0, 99).otherwise(C("expected")))
+    head = tier(later, (k % 3 == 0) & (k % 4 != 0) | (k % 23 == 0))
+    promoted = rows.filter(k % 10 == 6).select("chart", F.sha2(L("edited"), 256).alias("block_sha"), L("FLAT").alias("audit"), L(True).alias("covered"))
+    flagged = rows.filter(k % 7 == 0).select("chart", F.when(k % 14 == 0, "quarantine").otherwise("oracle_conflict").alias("flag"))
+    return op.gate(base, head, _demoted(spark, sf), promoted, flagged)
 
 
 def declared_net(spark, sf):
-    return op.declared_net(op.gate(*_versions(spark, sf)), 0)
+    return op.declared_net(gate(spark, sf), 0)
 
 
 def build_conflicts(spark, sf):
@@ -173,7 +189,14 @@ QUERIES = {
     "h13_blast_radius": blast_radius, "h14_verify_release": verify_release, "h14_release_gaps": release_gaps, "h15_guarded_update": guarded_update, "h16_audit_series": audit_series, "h17_dedupe_compute": dedupe_compute,
 }
 
-_V = "b AS (SELECT o_orderkey AS c, o_orderkey % 2 = 0 AS e, o_orderstatus AS s, o_orderkey % 3 = 0 AS p FROM orders WHERE o_orderkey % 11 <> 0), h AS (SELECT o_orderkey AS c, o_orderkey % 4 < 2 AS e, CASE WHEN o_orderkey % 5 = 0 THEN 'edited' ELSE o_orderstatus END AS s FROM orders WHERE o_orderkey % 13 <> 0), j AS (SELECT coalesce(b.c, h.c) AS chart, CASE WHEN b.c IS NULL THEN CASE WHEN h.e THEN 'new_exact' ELSE 'new_wrong' END WHEN h.c IS NULL THEN CASE WHEN b.e THEN 'removed_exact' ELSE 'removed_wrong' END WHEN b.e AND h.e THEN CASE WHEN b.s <> h.s THEN 'kept_edited' ELSE 'kept' END WHEN b.e THEN CASE WHEN b.s <> h.s THEN 'lost_edited' ELSE 'lost_unedited' END WHEN h.e THEN CASE WHEN b.s <> h.s THEN 'gained_edited' ELSE 'gained_unedited' END ELSE 'still_wrong' END AS transition, b.p AND b.s <> h.s AS prot FROM b FULL JOIN h ON b.c = h.c), g AS (SELECT chart, transition, CASE WHEN (transition LIKE 'lost%' OR transition = 'removed_exact') AND chart % 7 <> 0 THEN 'lost_without_demotion' WHEN prot THEN 'protected_edited' END AS fails FROM j)"
+_V = """d AS (SELECT o_orderkey AS c, CASE WHEN o_orderkey % 18 = 0 THEN 'other' ELSE o_orderpriority END AS s, coalesce(o_orderkey % 8 = 0, false) AS signed, o_orderkey % 10 = 0 AS added, o_orderkey % 4 = 0 AS fit FROM orders WHERE o_orderkey % 6 = 0),
+    b AS (SELECT o_orderkey AS c, o_orderpriority AS s, o_orderstatus AS t, o_orderkey % 8 AS x, o_orderkey % 2 = 0 AS e, o_orderkey % 3 = 0 AS p FROM orders WHERE o_orderkey % 11 <> 0),
+    h AS (SELECT o_orderkey AS c, CASE WHEN o_orderkey % 5 = 1 THEN 'edited' ELSE o_orderpriority END AS s, CASE WHEN o_orderkey % 17 = 0 THEN 'edited' ELSE o_orderstatus END AS t, CASE WHEN o_orderkey % 19 = 0 THEN 99 ELSE o_orderkey % 8 END AS x, CASE WHEN o_orderkey % 16 < 2 THEN o_orderkey % 2 = 1 ELSE o_orderkey % 2 = 0 END AS e, o_orderkey % 3 = 0 AND o_orderkey % 4 <> 0 OR o_orderkey % 23 = 0 AS p FROM orders WHERE o_orderkey % 13 <> 0),
+    j AS (SELECT coalesce(b.c, h.c) AS c, b.c IS NOT NULL AS had, h.c IS NOT NULL AS has, coalesce(b.e, false) AS e0, coalesce(h.e, false) AS e1, b.c IS NOT NULL AND h.c IS NOT NULL AND (b.s <> h.s OR b.t <> h.t) AS ed, b.s <> h.s AS block, b.t = h.t AS head, b.x <> h.x AS moved, coalesce(b.p, false) AS p0, coalesce(h.p, false) AS p1, b.s, coalesce(h.s = 'edited' AND coalesce(b.c, h.c) % 10 = 6, false) AS up FROM b FULL JOIN h ON b.c = h.c),
+    t AS (SELECT *, CASE WHEN e0 AND NOT e1 THEN CASE WHEN has THEN 'LOST' ELSE 'LEFT-EXACT' END WHEN e1 AND NOT e0 THEN CASE WHEN had THEN 'GAINED' ELSE 'ENTERED-EXACT' END WHEN ed THEN CASE WHEN e0 THEN 'EDITED-EXACT' ELSE 'EDITED-OFF' END WHEN had AND has AND moved THEN 'EXPECTED-CHANGED' WHEN NOT had THEN 'ENTERED' WHEN NOT has THEN 'LEFT' WHEN p0 AND NOT p1 THEN 'UNPROTECTED' WHEN p1 AND NOT p0 THEN 'PROMOTED' END AS transition FROM j),
+    k AS (SELECT t.*, f.signed AS sb, n.signed AS sn FROM t LEFT JOIN d f ON f.c = t.c AND f.s = t.s AND f.fit LEFT JOIN d n ON n.c = t.c AND n.added AND n.fit WHERE transition IS NOT NULL),
+    w AS (SELECT *, CASE WHEN transition IN ('LOST', 'LEFT-EXACT') THEN CASE WHEN p0 THEN 'protected_lost' WHEN sb IS NULL THEN 'lost_without_demotion' WHEN c % 14 = 0 AND NOT sb THEN 'demotion_not_signed' END WHEN transition = 'EDITED-EXACT' THEN CASE WHEN p0 AND NOT (up AND head) THEN CASE WHEN block THEN 'protected_block_edited' ELSE 'protected_header_edited' END END WHEN transition IN ('GAINED', 'ENTERED-EXACT') AND c % 14 = 7 THEN 'conflict_gained' WHEN transition = 'UNPROTECTED' THEN CASE WHEN coalesce(sb, sn) IS NULL THEN 'unprotected_without_demotion' WHEN c % 14 = 0 AND NOT coalesce(sb, sn) THEN 'demotion_not_signed' END END AS fails FROM k),
+    g AS (SELECT c AS chart, transition, CASE WHEN p0 THEN 'PROTECTED' WHEN had AND e0 THEN 'PROVISIONAL' END AS tier_base, CASE WHEN p1 THEN 'PROTECTED' WHEN has AND e1 THEN 'PROVISIONAL' END AS tier_head, fails, CASE WHEN fails IS NULL AND ed THEN CASE transition WHEN 'GAINED' THEN 'import' WHEN 'EDITED-EXACT' THEN 'base' END END AS audit FROM w UNION ALL SELECT c, 'LEDGER', NULL, NULL, 'demotion_without_owner', NULL FROM d WHERE added AND NOT signed)"""
 
 SQL = {
     "h1_merge_ledgers": "WITH a AS (SELECT o_orderkey AS chart, o_orderstatus AS status, o_orderpriority AS priority FROM orders), b AS (SELECT chart, chart % 2 = 0 AS hs, CASE WHEN chart % 5 <> 0 THEN 'b' END AS p FROM a WHERE chart % 3 = 0), c AS (SELECT chart + 1 AS chart, CASE WHEN chart % 14 = 0 THEN 'C' END AS s FROM a WHERE chart % 7 = 0), k AS (SELECT chart FROM a UNION SELECT chart FROM c) SELECT k.chart, CASE WHEN c.chart IS NOT NULL THEN c.s WHEN b.hs THEN 'B' ELSE a.status END AS status, CASE WHEN NOT b.hs THEN b.p ELSE a.priority END AS priority FROM k LEFT JOIN a ON k.chart = a.chart LEFT JOIN b ON k.chart = b.chart LEFT JOIN c ON k.chart = c.chart",
@@ -183,9 +206,9 @@ SQL = {
     "h4_population": "WITH c AS (SELECT l_orderkey AS vid, l_partkey AS chart, l_shipdate AS seq, max(CASE WHEN l_linenumber > 2 THEN CAST(l_quantity AS BIGINT) END) AS e FROM lineitem WHERE l_returnflag = 'R' AND l_partkey % 2 = 0 GROUP BY ALL), x AS (SELECT *, row_number() OVER (PARTITION BY chart ORDER BY seq DESC, vid DESC) AS k FROM c) SELECT chart, vid, coalesce(e, CASE WHEN chart % 3 = 0 THEN chart END, p_size) AS expected FROM x JOIN part ON chart = p_partkey WHERE k = 1",
     "h5_append_only": "WITH b AS (SELECT o_custkey AS ledger, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS pos, o_orderpriority AS line FROM orders), x AS (SELECT ledger, min(pos) FILTER (ledger % 10 = 0 AND pos = 1 OR ledger % 17 = 0 AND pos >= 2) AS f FROM b GROUP BY ledger) SELECT ledger, f IS NULL AS ok, f AS first_bad FROM x",
     "h6_verify_chain": "WITH n AS (SELECT o_custkey AS ledger, o_orderkey AS seq, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS k FROM orders), c AS (SELECT ledger, count(*) AS n, min(seq) FILTER (k = 2) AS second FROM n GROUP BY ledger) SELECT ledger, n, second AS first_break, CASE WHEN second IS NULL THEN NULL WHEN ledger % 2 = 0 THEN 'hash' ELSE 'prev' END AS reason FROM c",
-    "h7_assign_tiers": "WITH r AS (SELECT o_orderkey AS c, o_orderkey % 3 = 0 AS i, o_orderkey % 12 = 0 AS d, o_orderkey % 5 = 0 AND o_orderkey % 10 <> 0 AND o_orderkey % 15 <> 0 AND o_orderkey % 25 <> 0 AS p FROM orders) SELECT c AS chart, CASE WHEN p OR (i AND NOT d) THEN 'PROTECTED' WHEN c % 2 = 0 THEN 'PROVISIONAL' ELSE 'NONE' END AS tier, concat_ws(',', CASE WHEN i THEN 'imported' END, CASE WHEN d THEN 'demoted' END, CASE WHEN p THEN 'promoted' END) AS flags FROM r",
+    "h7_assign_tiers": "WITH r AS (SELECT o_orderkey AS c, o_orderkey % 3 = 0 AS i, o_orderkey % 12 = 0 AS down, o_orderkey % 12 = 0 AND o_orderkey % 18 <> 0 AS same, o_orderkey % 10 = 0 AND o_orderkey % 15 <> 0 AND o_orderkey % 25 <> 0 AS up FROM orders), t AS (SELECT *, CASE WHEN up AND NOT same THEN 'promotion' WHEN i AND NOT down THEN 'import' END AS p FROM r) SELECT c AS chart, p AS protected_by, CASE WHEN p IS NOT NULL THEN 'PROTECTED' WHEN c % 2 = 0 THEN 'PROVISIONAL' END AS tier, concat_ws(',', CASE WHEN down THEN 'demoted' END, CASE WHEN c % 14 = 0 THEN 'quarantine' WHEN c % 7 = 0 THEN 'owner_revisit' END) AS flags FROM t",
     "h8_gate": f"WITH {_V} SELECT * FROM g",
-    "h8_declared_net": f"WITH {_V}, n AS (SELECT CAST(sum(CASE WHEN transition LIKE 'gained%' OR transition = 'new_exact' THEN 1 WHEN transition LIKE 'lost%' OR transition = 'removed_exact' THEN -1 ELSE 0 END) AS BIGINT) AS net FROM g) SELECT net, 0 AS declared, net = 0 AS ok FROM n",
+    "h8_declared_net": f"WITH {_V}, n AS (SELECT CAST(sum(CASE WHEN transition IN ('GAINED', 'ENTERED-EXACT') THEN 1 WHEN transition IN ('LOST', 'LEFT-EXACT') THEN -1 ELSE 0 END) AS BIGINT) AS net FROM g) SELECT net, 0 AS declared, net = 0 AS ok FROM n",
     "h9_build_conflicts": "WITH l AS (SELECT l_orderkey AS c, count(*) AS i FROM lineitem GROUP BY 1), r AS (SELECT c, i, o_orderkey % 3 = 0 AS v, c % 5 AS e, count(*) OVER (PARTITION BY o_custkey, o_orderstatus) AS s, count(*) OVER (PARTITION BY o_orderpriority || CAST(trunc(o_totalprice) AS BIGINT)) AS t FROM l JOIN orders ON c = o_orderkey), x AS (SELECT c AS chart, concat_ws(',', CASE WHEN s > 1 AND NOT v THEN 'two_on_side' END, CASE WHEN e <> i AND c % 4 <> 0 THEN 'count_disagrees' END, CASE WHEN t > 1 THEN 'twin' END) AS reasons FROM r) SELECT * FROM x WHERE reasons <> ''",
     "h10_diff_ledgers": "WITH f AS (SELECT o_orderkey AS k, unnest(['status', 'priority']) AS field FROM orders), d AS (SELECT k AS chart, field, CASE WHEN field = 'status' THEN k % 8 = 0 ELSE k % 12 = 0 END AS changed, field = 'priority' AND k % 9 = 0 AS drift FROM f) SELECT *, CASE WHEN changed AND chart % 16 = 0 THEN 'INTENDED' WHEN changed THEN 'UNINTENDED' ELSE 'PRE_EXISTING' END AS class FROM d WHERE changed OR drift",
     "h11_what_if": "WITH g AS (SELECT o_custkey AS chart, count(*) FILTER (o_orderkey % 4 <> 0) AS a, count(*) FILTER (o_orderkey % 4 <> 0 OR o_orderkey % 8 = 0) AS b FROM orders GROUP BY 1) SELECT chart, CASE WHEN a = 0 THEN 'appears' WHEN (a >= 8) = (b >= 8) THEN 'both' ELSE 'changes' END AS state FROM g WHERE b > 0",

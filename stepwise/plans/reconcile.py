@@ -53,7 +53,7 @@ def run_drift(spark, sf):
 
 
 def excess_clusters(spark, sf):
-    return op.excess_clusters(events(spark, sf).withColumn("v", C("v") % 10), events(spark, sf, "click"), BY, 20 * HOUR, 24 * HOUR, 3)
+    return op.excess_clusters(events(spark, sf).withColumn("v", C("v") % 10), events(spark, sf, "click"), BY, 20 * HOUR, 24 * HOUR, 3, HOUR)
 
 
 def deficit_segments(spark, sf):
@@ -160,7 +160,7 @@ QUERIES = {
     "g12_solve_counts": solve_counts, "g13_raise_floors": raise_floors, "g14_search_rates": search_rates, "g15_audit_regions": audit_regions, "g16_verdict_ladder": verdict_ladder, "g17_closer": closer, "g18_worklist": worklist, "g19_derive_manifest": derive_manifest,
 }
 
-_SWEPT = "l AS (SELECT l_orderkey AS o, count(*) AS i, count(DISTINCT l_suppkey) AS r, count(*) FILTER (l_returnflag = 'R') AS h FROM lineitem GROUP BY 1), c AS (SELECT *, CASE WHEN o % 9 <> 0 THEN i - (o % 7 + 1) END AS d1, CASE WHEN o % 4 <> 0 THEN i - (o % 5 + 1) END AS d2 FROM l), n AS (SELECT *, d1 IS NULL OR coalesce(abs(d2) < abs(d1), false) AS two FROM c), d AS (SELECT o, i, r, h, CASE WHEN two THEN d2 ELSE d1 END AS delta, CASE WHEN two THEN CASE WHEN d2 IS NOT NULL THEN o % 5 + 1 END ELSE o % 7 + 1 END AS base FROM n), s AS (SELECT o AS o_orderkey, delta, round(100 * delta / base, 1) AS pct, CASE WHEN delta IS NULL THEN 'no_count' WHEN delta = 0 THEN 'exact' ELSE 'off' END AS verdict, CASE WHEN delta IS NULL OR delta = 0 THEN NULL WHEN o % 11 = 0 THEN 'duplicate_block' WHEN h = 0 THEN 'hold_less' WHEN r = 1 THEN 'single_region' WHEN delta > 0 THEN 'over_ticked' ELSE 'under_ticked' END AS shape FROM d), swept AS (SELECT * FROM s WHERE verdict <> 'off' OR abs(pct) >= 30)"
+_SWEPT = "l AS (SELECT l_orderkey AS o, count(*) AS i, count(DISTINCT l_suppkey) AS r, count(*) FILTER (l_returnflag = 'R') AS h FROM lineitem GROUP BY 1), c AS (SELECT *, CASE WHEN o % 9 <> 0 THEN o % 7 + 1 END AS c1, CASE WHEN o % 4 <> 0 THEN o % 5 + 1 END AS c2 FROM l), n AS (SELECT *, coalesce(c1, c2) AS base, CASE WHEN c1 IS NULL AND c2 IS NULL THEN 'no_count' WHEN coalesce(i = c1, false) OR coalesce(i = c2, false) THEN 'exact' ELSE 'off' END AS verdict FROM c), d AS (SELECT *, CASE WHEN verdict = 'off' THEN i - base END AS delta FROM n), s AS (SELECT o AS o_orderkey, delta, round(100 * delta / base, 1) AS pct, verdict, CASE WHEN verdict <> 'off' THEN NULL WHEN o % 11 = 0 THEN 'duplicate_block' WHEN h = 0 THEN 'hold_less' WHEN r = 1 THEN 'single_region' WHEN delta > 0 THEN 'over_ticked' ELSE 'under_ticked' END AS shape FROM d), swept AS (SELECT * FROM s WHERE verdict <> 'off' OR abs(pct) > 30)"
 _ALLOC = "i AS (SELECT l_orderkey, l_linenumber AS item, CAST(max(l_quantity) AS BIGINT) AS weight, min(l_partkey) AS p FROM lineitem GROUP BY ALL), r AS (SELECT i.*, CAST(round(o_totalprice * 100) AS BIGINT) AS total FROM i JOIN orders ON l_orderkey = o_orderkey)"
 
 SQL = {
@@ -171,9 +171,9 @@ SQL = {
         a AS (SELECT series, t, max(v) AS cum FROM events_ WHERE kind = 'purchase' GROUP BY ALL), p AS (SELECT r.*, a.t AS t0, a.cum AS c0 FROM r ASOF LEFT JOIN a ON r.series = a.series AND r.lo >= a.t), q AS (SELECT p.*, a.t AS t1, a.cum AS c1 FROM p ASOF LEFT JOIN a ON p.series = a.series AND p.hi >= a.t)
         SELECT series, id AS region, CAST(trunc(lo) AS BIGINT) AS lo, CAST(trunc(hi) AS BIGINT) AS hi, CASE WHEN t0 < t1 THEN c1 - c0 - (SELECT count(*) FROM events_ e WHERE e.kind = 'error' AND e.series = q.series AND e.t > q.lo AND e.t <= q.hi) END AS events, coalesce(t0 < t1, false) AS pinned FROM q""",
     "g4_slack_screen": f"""WITH {EVENTS}, s AS (SELECT series, t, v % 40 - 35 - (SELECT count(*) FROM events_ c WHERE c.kind = 'click' AND c.series = a.series AND c.t <= a.t) AS k FROM events_ a WHERE kind = 'purchase'),
-        z AS (SELECT series, t // {48 * HOUR} AS z, min(k) AS lo, max(k) AS hi FROM s GROUP BY ALL), w AS (SELECT *, z - min(z) OVER x > (max(z) OVER x - min(z) OVER x) / 5 AS late FROM z WINDOW x AS (PARTITION BY series)),
-        g AS (SELECT series, min(lo) AS low, max(hi) AS high, count(*) AS zones, min(lo) FILTER (late) AS l, arg_min(lo, z) AS f, arg_max(lo, z) AS e FROM w GROUP BY series)
-        SELECT series, low, high, zones, CASE WHEN l < -35 THEN 'broken' WHEN e < -15 AND e < f THEN 'deepening' WHEN low < -15 THEN 'odd' ELSE 'fine' END AS verdict FROM g""",
+        z AS (SELECT series, t // {48 * HOUR} AS z, min(k) AS lo, max(k) AS hi FROM s GROUP BY ALL), w AS (SELECT *, row_number() OVER (PARTITION BY series ORDER BY z) AS i, count(*) OVER (PARTITION BY series) AS n FROM z), h AS (SELECT *, greatest(1, n // 5) AS head FROM w),
+        g AS (SELECT series, least(min(lo), 0) AS low, max(hi) AS high, count(*) AS zones, coalesce(min(lo) FILTER (i > head), 0) AS tail, coalesce(min(lo) FILTER (i > head AND i <= head + greatest(1, (n - head) // 2)), 0) AS half FROM h GROUP BY series)
+        SELECT series, low, high, zones, tail, CASE WHEN low >= -15 THEN 'fine' WHEN tail >= -35 THEN 'recovers' WHEN tail > half THEN 'suspect' ELSE 'deepens' END AS verdict FROM g""",
     "g5_run_drift": f"""WITH {EVENTS}, {SPANS('h', 'view', 4)}, r AS (SELECT series, t // {96 * HOUR} AS run, min(t) AS s, max(t) AS e, arg_min(v, t) AS v0, arg_max(v, t) AS v1, count(*) AS n FROM events_ GROUP BY ALL HAVING count(*) >= 5)
         SELECT series, run, n AS reads, v1 - v0 - (SELECT count(*) FROM events_ c WHERE c.kind = 'click' AND c.series = r.series AND c.t > r.s - {HOUR} AND c.t <= r.e - {HOUR}) AS drift, EXISTS (SELECT 1 FROM h WHERE h.series = r.series AND r.s < h.e AND h.s < r.e) AS held FROM r WHERE v1 - v0 >= 5""",
     "g7_deficit_segments": f"""WITH {EVENTS}, d AS (SELECT series, t, (SELECT count(*) FROM events_ c WHERE c.kind = 'click' AND c.series = a.series AND c.t <= a.t - {HOUR}) - v % 3 AS d FROM events_ a),

@@ -13,20 +13,38 @@ def norm_title(spark, sf):
 
 
 def parse_upload_title(spark, sf):
-    """Part names as titles: 'name S<size> & D<size> (pre S1) | type [PHOENIX]'."""
-    rows = table(spark, sf, "part").select("p_partkey", F.concat("p_name", F.when(F.col("p_size") % 3 == 0, " FULL SONG").otherwise(""), F.lit(" S"), "p_size", F.lit(" & D"), F.col("p_size") % 20, F.lit(" (pre S1 → S2) | S3 "), "p_type", F.when(F.col("p_size") % 7 == 0, " [RISE]").otherwise(" [Phoenix]")).alias("title"))
+    """Part names as titles '[PUMP IT UP era] name - FULL SONG - S<size> & D<size> (pre S1) | type', some without a tag or of an era that isn't known."""
+    era = F.element_at(F.array(*map(F.lit, ("PHOENIX", "FIESTA 2", "RISE", "XX", ""))), (F.col("p_size") % 5 + 1).cast("int"))
+    tag = F.when(era == "", "").otherwise(F.concat(F.lit("[PUMP IT UP "), era, F.lit("] ")))
+    rows = table(spark, sf, "part").select("p_partkey", F.concat(tag, "p_name", F.lit("(슬램)"), F.when(F.col("p_size") % 3 == 0, " - FULL SONG - ").otherwise(" "), F.when(F.col("p_size") % 11 == 0, "").otherwise(F.concat(F.lit("S"), "p_size", F.lit(" & DP0"), F.col("p_size") % 9)), F.lit(" (pre S1 → S2) | S3 "), "p_type").alias("title"))
     parsed = rows.select("p_partkey", fn.parse_upload_title(F.col("title")).alias("t"))
     return parsed.select("p_partkey", "t.era", "t.name", F.array_join("t.codes", ",").alias("codes"), "t.song_type")
 
 
 def key_to_tag(spark, sf):
-    rows = table(spark, sf, "part").select("p_partkey", F.concat(F.regexp_replace("p_name", " ", "_"), F.lit("_-_X"), F.when(F.col("p_size") % 5 == 0, "").otherwise(F.concat(F.lit("_D"), F.col("p_size") % 30)), F.when(F.col("p_size") % 2 == 0, "_INFOBAR_TITLE_ARCADE").otherwise("")).alias("key"))
-    return rows.select("p_partkey", fn.key_to_tag(F.col("key")).alias("tag"))
+    end = F.element_at(F.array(*map(F.lit, ("_ARCADE", "_INFOBAR_TITLE_ARCADE", "", "_TRAIN_FULLSONG"))), (F.col("p_size") % 4 + 1).cast("int"))
+    rows = table(spark, sf, "part").select("p_partkey", F.concat(F.regexp_replace("p_name", " ", "_"), F.lit("_-_X"), F.when(F.col("p_size") % 5 == 0, "").otherwise(F.concat(F.lit("_D"), F.col("p_size") % 30)), end).alias("key"))
+    tag = fn.key_to_tag(F.col("key"))
+    return rows.select("p_partkey", tag.alias("tag"), fn.tag_to_key(F.regexp_extract("key", "^(.*_-_X)", 1), tag).alias("again"))
 
 
 def family_of(spark, sf):
-    name = F.concat_ws(" ", "p_name", F.lit("(live)"), F.lit("FULL SONG"), "p_size")
-    return table(spark, sf, "part").select("p_partkey", fn.family_of(name, "sequel").alias("sequel"), fn.family_of(name, "strip").alias("strip"))
+    name = F.concat_ws(" ", "p_name", F.lit("(live)"), F.lit("- FULL SONG -"), "p_size", F.concat(F.lit("S"), "p_size"))
+    return table(spark, sf, "part").select("p_partkey", fn.family_of(name).alias("tokens"), fn.family_of(name, "sequel").alias("sequel"), fn.family_of(name, "strip").alias("strip"))
+
+
+def is_official(spark, sf):
+    """Parts as blocks: style, song type, meter and label from their columns."""
+    pick = lambda c, *x: F.element_at(F.array(*map(F.lit, x)), (F.col(c) % len(x) + 1).cast("int"))
+    rows = table(spark, sf, "part").withColumn("style", pick("p_size", "pump-single", "pump-double", "pump-couple", "pump-halfdouble")).withColumn("kind", pick("p_partkey", "ARCADE", "REMIX", None, "JINGLE"))
+    label = pick("p_partkey", "S17", "D20 PRO", "PROMISE", "COOP x2", None, "S5 QUEST", "JUMP D1")
+    return rows.select("p_partkey", fn.is_official(F.col("style"), F.col("kind"), F.when(F.col("p_size") == 7, 99).otherwise(F.col("p_size")), label).alias("official"))
+
+
+def to_rational(spark, sf):
+    """Values as multiples of a fraction whose nearest simple form is known."""
+    rows = events(spark, sf).select("id", (F.col("v") % 50).alias("whole"), (F.col("k") % 7 + 2).alias("den"), (F.col("id") % 2).alias("num"))
+    return rows.select("id", fn.to_rational(F.col("whole") + F.col("num") / F.col("den"), 192).alias("r")).select("id", "r.num", "r.den")
 
 
 def norm_answer(spark, sf):
@@ -79,18 +97,20 @@ def pick_band(spark, sf):
 
 
 QUERIES = {
-    "b1_norm_title": norm_title, "b2_parse_upload_title": parse_upload_title, "b3_key_to_tag": key_to_tag, "b4_family_of": family_of, "b5_norm_answer": norm_answer, "b7_exclusions": exclusions,
+    "b1_norm_title": norm_title, "b2_parse_upload_title": parse_upload_title, "b3_key_to_tag": key_to_tag, "b4_family_of": family_of, "b5_norm_answer": norm_answer, "b6_is_official": is_official, "b9_to_rational": to_rational, "b7_exclusions": exclusions,
     "b8_snap_to_grid": snap_to_grid, "b10_digit_alternatives": digit_alternatives, "b11_screen_checks": screen_checks, "b12_noise_filter": noise_filter, "b13_judged_symbol": judged_symbol, "a10_pick_band": pick_band,
 }
 
 SQL = {
     "b1_norm_title": "SELECT p_partkey, regexp_replace(lower(p_name || ' - ' || p_brand), '[^a-z0-9]', '', 'g') AS title FROM part",
-    "b2_parse_upload_title": "SELECT p_partkey, CASE WHEN p_size % 7 <> 0 THEN 'PHOENIX' END AS era, CASE WHEN p_size % 7 <> 0 THEN regexp_replace(p_name, '[^a-z0-9]', '', 'g') END AS name, CASE WHEN p_size % 7 <> 0 THEN 'S' || p_size || ',D' || (p_size % 20) END AS codes, CASE WHEN p_size % 7 <> 0 AND p_size % 3 = 0 THEN 'FullSong' END AS song_type FROM part",
-    "b3_key_to_tag": "SELECT p_partkey, CASE WHEN p_size % 5 <> 0 THEN 'D' || (p_size % 30) || CASE WHEN p_size % 2 = 0 THEN ' INFOBAR TITLE_ARCADE' ELSE '' END END AS tag FROM part",
-    "b4_family_of": "SELECT p_partkey, p_name AS sequel, p_name || ' (live) ' || p_size AS strip FROM part",
+    "b2_parse_upload_title": "WITH e AS (SELECT *, ['PHOENIX', 'FIESTA 2', 'RISE', 'XX', ''][p_size % 5 + 1] AS tag FROM part), t AS (SELECT *, tag NOT IN ('RISE', '') AS ok, p_size % 11 <> 0 AS coded FROM e) SELECT p_partkey, CASE WHEN ok THEN tag END AS era, CASE WHEN ok AND coded THEN regexp_replace(p_name, '[^a-z0-9]', '', 'g') END AS name, CASE WHEN ok THEN CASE WHEN coded THEN 'S' || p_size || ',D' || (p_size % 9) ELSE '' END END AS codes, CASE WHEN ok AND p_size % 3 = 0 THEN 'FullSong' END AS song_type FROM t",
+    "b3_key_to_tag": "WITH t AS (SELECT p_partkey, replace(p_name, ' ', '_') || '_-_X' AS song, CASE WHEN p_size % 5 <> 0 THEN 'D' || (p_size % 30) || [' ', ' INFOBAR TITLE', NULL, ' TRAIN'][p_size % 4 + 1] END AS label, CASE p_size % 4 WHEN 3 THEN 'FULLSONG' ELSE 'ARCADE' END AS kind FROM part) SELECT p_partkey, trim(label) || '_' || kind AS tag, song || '_' || replace(trim(label), ' ', '_') || '_' || kind AS again FROM t",
+    "b4_family_of": "SELECT p_partkey, array_to_string(list_slice(regexp_extract_all(p_name || ' live ' || p_size, '[a-z0-9]+'), 1, 2), ' ') AS tokens, replace(p_name, ' ', '') AS sequel, p_name || ' (live) ' || p_size AS strip FROM part",
+    "b6_is_official": "SELECT p_partkey, p_size % 4 <> 2 AND p_partkey % 4 <> 3 AND p_size <> 7 AND p_partkey % 7 IN (0, 2, 4) AS official FROM part",
+    "b9_to_rational": f"WITH {EVENTS}, x AS (SELECT id, v % 50 AS w, k % 7 + 2 AS d, id % 2 AS n FROM events_) SELECT id, CASE WHEN n = 0 THEN w ELSE w * d + 1 END AS num, CASE WHEN n = 0 THEN 1 ELSE d END AS den FROM x",
     "b5_norm_answer": "SELECT p_partkey, upper(replace(p_name, ' ', '') || '/' || p_type || '/' || p_brand) AS answer FROM part",
     "b7_exclusions": "SELECT c_custkey, c_name, c_mktsegment, CASE WHEN s_suppkey IS NOT NULL THEN 'same number as a supplier' WHEN c_mktsegment = 'MACHINERY' THEN 'segment' END AS reason FROM customer LEFT JOIN supplier ON right(s_name, 9) = right(c_name, 9) AND s_suppkey % 3 = 0",
-    "b8_snap_to_grid": f"WITH {EVENTS}, b AS (SELECT id, (v * 100 + k) / 240 AS b FROM events_) SELECT id, round(CASE WHEN abs(round(b) - b) <= 0.01 THEN round(b) WHEN abs(round(b * 2) / 2 - b) <= 0.01 THEN round(b * 2) / 2 WHEN abs(round(b * 3) / 3 - b) <= 0.01 THEN round(b * 3) / 3 WHEN abs(round(b * 4) / 4 - b) <= 0.01 THEN round(b * 4) / 4 WHEN abs(round(b * 6) / 6 - b) <= 0.01 THEN round(b * 6) / 6 WHEN abs(round(b * 8) / 8 - b) <= 0.01 THEN round(b * 8) / 8 ELSE round(b * 48) / 48 END, 6) AS beat, CASE WHEN abs(round(b * 3) / 3 - b) < abs(round(b * 4) / 4 - b) - 0.01 THEN 3 ELSE 4 END AS grid, round(abs(b * 4 - round(b * 4)) * 2, 6) AS error FROM b",
+    "b8_snap_to_grid": f"WITH {EVENTS}, b AS (SELECT id, (v * 100 + k) / 240 AS b FROM events_) SELECT id, round(CASE WHEN abs(round(b) - b) <= 0.01 THEN round(b) WHEN abs(round(b * 2) / 2 - b) <= 0.01 THEN round(b * 2) / 2 WHEN abs(round(b * 3) / 3 - b) <= 0.01 THEN round(b * 3) / 3 WHEN abs(round(b * 4) / 4 - b) <= 0.01 THEN round(b * 4) / 4 WHEN abs(round(b * 6) / 6 - b) <= 0.01 THEN round(b * 6) / 6 WHEN abs(round(b * 8) / 8 - b) <= 0.01 THEN round(b * 8) / 8 ELSE round(b * 48) / 48 END, 6) AS beat, CASE WHEN abs(round(b * 12) / 12 - b) < abs(round(b * 16) / 16 - b) - 0.01 THEN 12 ELSE 16 END AS grid, round(abs(b * 4 - round(b * 4)) * 2, 6) AS error FROM b",
     "b10_digit_alternatives": f"WITH {EVENTS}, d AS (SELECT id, v, v // 100 AS h, v // 10 % 10 AS t, v % 10 AS o FROM events_), m AS (SELECT *, unnest([0, 1, 2, 3, 4, 5, 6, 7]) AS b FROM d), r AS (SELECT id, v, v + CASE WHEN b & 1 > 0 AND o = 5 THEN 4 ELSE 0 END + CASE WHEN b & 2 > 0 AND t = 5 THEN 40 ELSE 0 END + CASE WHEN b & 4 > 0 AND h = 5 THEN 400 ELSE 0 END AS x FROM m), a AS (SELECT id, v, x FROM r UNION SELECT id, v, x - 100 FROM r) SELECT DISTINCT id, v, x AS alternative FROM a WHERE x BETWEEN 0 AND 400",
     "b11_screen_checks": "WITH s AS (SELECT l_orderkey, l_partkey, CAST(l_quantity AS BIGINT) AS p, l_partkey % 10 AS g, l_orderkey % 4 = 0 AS broke, CASE WHEN l_suppkey % 9 <> 0 THEN CAST(l_quantity AS BIGINT) + l_linenumber - 2 END AS x FROM lineitem), c AS (SELECT l_orderkey, l_partkey, CASE WHEN x IS NULL THEN 'cells' WHEN x > p + g AND NOT broke THEN 'combo_high+combo_low' WHEN x > p + g THEN 'combo_high' WHEN NOT broke AND x <> p + g THEN 'combo_low' ELSE '' END AS checks FROM s) SELECT checks, count(*) AS n, CAST(sum(l_orderkey) AS BIGINT) AS keys, CAST(sum(l_partkey) AS BIGINT) AS parts FROM c GROUP BY checks",
     "b12_noise_filter": f"WITH {EVENTS} SELECT series, id, v, conf FROM events_ WHERE conf >= 0.25 AND v BETWEEN 4 AND 300",

@@ -35,7 +35,7 @@ def _decode(content: Column) -> Column:
 def split_blocks(files: DataFrame) -> DataFrame:
     """rev, path, pack, song, block (from 0), header, text, block_sha, header_sha: a block starts at a #NOTEDATA: that starts a line; both texts lose white space at their end."""
     pieces = F.split("content", r"(?m)^(?=#NOTEDATA:)")
-    rows = files.select("rev", "path", "pack", "song", F.rtrim(F.regexp_replace(F.get(pieces, F.lit(0)), r"\s+$", "")).alias("header"), F.posexplode(F.slice(pieces, 2, 1_000_000)).alias("block", "text"))
+    rows = files.select("rev", "path", "pack", "song", F.rtrim(F.regexp_replace(F.get(pieces, F.lit(0)), r"\s+$", "")).alias("header"), F.posexplode(F.slice(pieces, F.lit(2), F.size(pieces))).alias("block", "text"))
     rows = rows.withColumn("text", F.regexp_replace("text", r"\s+$", ""))
     return rows.withColumn("block_sha", F.sha2("text", 256)).withColumn("header_sha", F.sha2("header", 256))
 
@@ -63,7 +63,7 @@ def parse_schedule(blocks: DataFrame, tag: str, key: list[str]) -> DataFrame:
     entries = F.posexplode(F.split(F.element_at("tags", tag), ","))
     rows = blocks.select(*key, entries.alias("pos", "entry"))
     part = lambda i: F.trim(F.get(F.split("entry", "="), F.lit(i)))
-    rows = rows.select(*key, "pos", part(0).try_cast("double").alias("beat"), part(1).try_cast("double").alias("value"), F.slice(F.split("entry", "="), 3, 10).alias("more")).filter("beat IS NOT NULL AND value IS NOT NULL")
+    rows = rows.select(*key, "pos", part(0).try_cast("double").alias("beat"), part(1).try_cast("double").alias("value"), F.slice(F.split("entry", "="), F.lit(3), F.size(F.split("entry", "="))).alias("more")).filter("beat IS NOT NULL AND value IS NOT NULL")
     return rows.groupBy(*key, "beat").agg(F.max_by(F.struct("value", "more"), "pos").alias("_s")).select(*key, "beat", "_s.value", "_s.more")
 
 
@@ -111,15 +111,38 @@ def judged_rows(notes: DataFrame, key: list[str]) -> DataFrame:
     return notes.filter("sym = '1'").groupBy(*key).agg(F.countDistinct("beat").alias("taps"))
 
 
-def render_grid(notes: DataFrame, key: list[str], width: int, finest: int = 192) -> DataFrame:
+def give_way(notes: DataFrame, key: list[str], grid: int) -> DataFrame:
+    """notes(key, beat, col, sym) in which no hold ends where the next note of its column begins.
+
+    Such a tail is released 1/grid of a beat earlier; if that isn't after the head, the hold is too
+    short to write, and its head becomes a tap. So does a head without a tail; a tail without a head goes.
+    """
+    column = Window.partitionBy(*key, "col").orderBy("_at", "_kind")
+    rows = notes.withColumn("_at", F.col("beat.num") / F.col("beat.den")).withColumn("_kind", F.when(F.col("sym") == "3", 0).otherwise(1))
+    closes = (F.col("sym") == "2") & (F.lead("sym").over(column) == "3")
+    rows = rows.withColumn("_end", F.when(closes, F.lead("beat").over(column))).filter("sym <> '3'")
+    place = Window.partitionBy(*key, "col").orderBy("_at")
+    rows = rows.withColumn("_next", F.lead("_at").over(place))
+    end = F.col("_end.num") / F.col("_end.den")
+    meets = F.coalesce(end == F.col("_next"), F.lit(False))
+    num, den = F.col("_end.num") * grid - F.col("_end.den"), F.col("_end.den") * grid
+    g = _gcd(F.greatest(num, F.lit(1)), den)
+    earlier = F.struct((num / g).cast("long").alias("num"), (den / g).cast("long").alias("den"))
+    fits = num / den > F.col("_at")
+    rows = rows.withColumn("_end", F.when(meets & fits, earlier).when(~meets & (end > F.col("_at")), F.col("_end"))).withColumn("sym", F.when((F.col("sym") == "2") & F.col("_end").isNull(), "1").otherwise(F.col("sym")))
+    tails = rows.filter("_end IS NOT NULL").select(*key, F.col("_end").alias("beat"), "col", F.lit("3").alias("sym"))
+    return rows.select(*key, "beat", "col", "sym").unionByName(tails)
+
+
+def render_grid(notes: DataFrame, key: list[str], width: int, finest: int = 192, grid: int = 48) -> DataFrame:
     """key, measure, rows, text: measures on the smallest subdivision that holds every beat.
 
-    notes(key, beat struct, col, sym). Two symbols on one panel and beat: a tail gives way
-    to what else is there (the hold then ends there as a tap would start: the head becomes
-    the judged note); other pairs are errors, given as a null text.
+    notes(key, beat struct, col, sym). A tail on the head of the next note gives way by a step of
+    1/grid beat, or its hold becomes a tap (see give_way). Two other symbols on one panel and beat
+    are an error, given as a null text.
     """
-    ranked = notes.groupBy(*key, "beat", "col").agg(F.array_sort(F.collect_set("sym")).alias("_s"))
-    cell = F.when(F.size("_s") == 1, F.get("_s", F.lit(0))).when((F.size("_s") == 2) & F.array_contains("_s", "3"), F.get(F.array_remove("_s", "3"), F.lit(0)))
+    ranked = give_way(notes, key, grid).groupBy(*key, "beat", "col").agg(F.collect_set("sym").alias("_s"))
+    cell = F.when(F.size("_s") == 1, F.get("_s", F.lit(0)))
     rows = ranked.withColumn("sym", cell).withColumn("measure", F.floor(F.col("beat.num") / (4 * F.col("beat.den"))))
     inside_num = F.col("beat.num") - 4 * F.col("measure") * F.col("beat.den")
     g = _gcd(F.greatest(inside_num, F.lit(1)), 4 * F.col("beat.den"))

@@ -72,6 +72,16 @@ def test_grid_round_trip(spark, blocks):
     assert rows(corpus.explode_notes(again, ["block"])) == rows(notes)
 
 
+def test_tails_give_way_to_the_next_head(spark):
+    at = lambda n, d=1: (n, d)
+    rows_ = [(0, at(0), 0, "2"), (0, at(2), 0, "3"), (0, at(2), 0, "1"), (0, at(1), 1, "2"), (0, at(49, 48), 1, "3"), (0, at(49, 48), 1, "2"), (0, at(3), 1, "3"), (0, at(0), 2, "2")]
+    notes = spark.createDataFrame(rows_, "block int, beat struct<num: long, den: long>, col int, sym string")
+    got = rows(corpus.give_way(notes, ["block"], 48).select("beat.num", "beat.den", "col", "sym"))
+    assert got == sorted([(0, 1, 0, "2"), (95, 48, 0, "3"), (2, 1, 0, "1"), (1, 1, 1, "1"), (49, 48, 1, "2"), (3, 1, 1, "3"), (0, 1, 2, "1")], key=repr)
+    text = corpus.render_grid(notes, ["block"], 3).first().text
+    assert text is not None and sum(c != "0" for c in text.replace("\n", "")) == 7
+
+
 def test_dump(spark, tmp_path):
     (tmp_path / "v.txt").write_text("0000aaaa-0000-0000-0000-00000000000a|u|c|\nbad|u|c|1\n0000aaaa-0000-0000-0000-00000000000b|u|c|7\nshort|row\n")
     got = rows(files.read_dump(spark, str(tmp_path / "v.txt"), ["id", "url", "channel", "n"], numbers=["n"], ids=["id"]), "id", "n")
