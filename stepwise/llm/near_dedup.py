@@ -81,21 +81,22 @@ def _orders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for tree in range(TREES):
             keys = np.ascontiguousarray(sig[:, tree]).view(f"S{4 * DEPTH}") if n else np.zeros((0, 1), f"S{4 * DEPTH}")
             raw = pa.Array.from_buffers(pa.binary(4 * DEPTH), n, [None, pa.py_buffer(keys.tobytes())]).cast(pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, tree, np.int32)), raw, batch.column("doc_id")], names=["tree", "key", "doc_id"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, tree, np.int32)), raw, batch.column("doc_id"), batch.column("n_shingles")], names=["tree", "key", "doc_id", "n_shingles"])
 
 
-NEAR = ["a", "b", "cut", "tree", "key"]
+NEAR = ["a", "b", "cut", "tree", "short", "key"]
+NEAR_ROWS = "a long, b long, cut boolean, tree int, short binary, key binary"
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows in the order of (tree, key): pairs within reach; cut marks those just beyond the reach of REST values that share them.
+    """Rows in the order of (tree, key): pairs within reach; cut marks those just beyond the reach of REST values that share them (short).
 
     Rows with a key instead of a b are the first and last of the partition, which may reach into others.
     """
     far = max(REACH.values())
     need = [min(k for k, places in REACH.items() if places >= step) for step in range(1, far + 1)] + [DEPTH + 1]
     held, first = None, None
-    edge = lambda rows: pa.RecordBatch.from_arrays([rows["doc_id"], pa.nulls(len(rows), pa.int64()), pa.array(np.zeros(len(rows), bool)), rows["tree"], rows["key"]], names=NEAR)
+    edge = lambda rows: pa.RecordBatch.from_arrays([rows["doc_id"], pa.nulls(len(rows), pa.int64()), pa.array(np.zeros(len(rows), bool)), rows["tree"], pa.nulls(len(rows), pa.binary()), rows["key"]], names=NEAR)
     for batch in batches:
         if not len(batch):
             continue
@@ -110,21 +111,22 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tree, ids, keys = np.concatenate((held[0], tree)), np.concatenate((held[1], ids)), np.concatenate((held[2], keys))
         old = 0 if held is None else len(held[0])
         after = np.where(tree[1:] == tree[:-1], np.cumprod(keys[1:] == keys[:-1], axis=1).sum(1), 0)  # in common with the next
-        common, out = after, [(ids[:0], ids[:0], ids[:0] > 0, tree[:0])]
+        common, out = after, [(ids[:0], ids[:0], ids[:0] > 0, tree[:0], ids[:0])]
         for step, least in enumerate(need, 1):
             if step > 1:
                 common = np.minimum(common[:-1], after[step - 1 :])
             i = np.flatnonzero(common >= least)
             i = i[i + step >= old]
-            out.append((ids[i], ids[i + step], np.zeros(len(i), bool), tree[i]))
+            out.append((ids[i], ids[i + step], np.zeros(len(i), bool), tree[i], i))
             if step == REACH[REST] + 1:
                 i = np.flatnonzero(common >= REST)
                 i = i[i + step >= old]
-                out.append((ids[i], ids[i + step], np.ones(len(i), bool), tree[i]))
+                out.append((ids[i], ids[i + step], np.ones(len(i), bool), tree[i], i))
             if not len(common):
                 break
-        a, b, cut, t = (np.concatenate(x) for x in zip(*out, strict=True))
-        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(cut), pa.array(t, pa.int32()), pa.nulls(len(a), pa.binary())], names=NEAR)
+        a, b, cut, t, at = (np.concatenate(x) for x in zip(*out, strict=True))
+        short = pa.array([x.tobytes() if c else None for x, c in zip(keys[at, :REST], cut.tolist(), strict=True)], pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(cut), pa.array(t, pa.int32()), short, pa.nulls(len(a), pa.binary())], names=NEAR)
         held = tree[-far - 1 :], ids[-far - 1 :], keys[-far - 1 :]
     if first is not None:
         for rows in (first, last):
@@ -188,10 +190,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame
     classes = filled.groupBy(*same).agg(F.min_by("signature", "doc_id").alias("signature"), F.min("doc_id").alias("doc_id"))
     leads = classes.select("doc_id", "n_shingles", "signature").checkpoint()
 
-    orders = leads.mapInArrow(_orders, "tree int, key binary, doc_id long").repartitionByRange("tree", "key", "doc_id").sortWithinPartitions("tree", "key", "doc_id")
-    near = orders.mapInArrow(_neighbours, "a long, b long, cut boolean, tree int, key binary").checkpoint()
+    orders = leads.mapInArrow(_orders, "tree int, key binary, doc_id long, n_shingles long").drop("n_shingles").repartitionByRange("tree", "key", "doc_id").sortWithinPartitions("tree", "key", "doc_id")
+    near = orders.mapInArrow(_neighbours, NEAR_ROWS).checkpoint()
     edges = near.filter("key IS NOT NULL").select("tree", "key", F.col("a").alias("doc_id")).distinct().coalesce(1).sortWithinPartitions("tree", "key", "doc_id")
-    over = edges.mapInArrow(_neighbours, "a long, b long, cut boolean, tree int, key binary")  # a few rows of each partition
+    over = edges.mapInArrow(_neighbours, NEAR_ROWS)  # a few rows of each partition
     near = near.union(over).filter("key IS NULL").drop("key").checkpoint()
     likely = _likely(near.filter("NOT cut").select("a", "b").distinct(), leads).checkpoint()
     links = verified(likely, docs, k, percent).checkpoint()
@@ -199,7 +201,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame
 
     more = _inside(_regions(near, leads, found), docs, k, percent).checkpoint()
     if not more.isEmpty():
-        found = components(links.union(more).toDF("u", "v")).checkpoint()
+        found = components(found.toDF("u", "v").union(more)).checkpoint()
 
     lead_of = classes.select(*same, F.col("doc_id").alias("lead")).join(found.withColumnRenamed("node", "lead"), "lead", "left")
     joined = known.join(lead_of.select(*same, F.coalesce("component", "lead").alias("lead_in")), same, "left")
@@ -215,11 +217,10 @@ def _regions(near: DataFrame, leads: DataFrame, found: DataFrame) -> DataFrame:
     fills one has blocks of its own, the others share theirs. Every two blocks make a
     region of their own, whose sides 1 and 2 are to be compared; those of one component needn't.
     """
-    cut = near.filter("cut").select("tree", F.col("a").alias("doc_id")).distinct()
-    orders = lambda rows: rows.mapInArrow(_orders, "tree int, key binary, doc_id long").withColumn("short", F.substring("key", 1, 4 * REST))
-    names = orders(leads.join(cut.select("doc_id").distinct(), "doc_id", "left_semi")).join(cut, ["tree", "doc_id"]).select("tree", "short").distinct()
-    inside = orders(leads).join(names, ["tree", "short"]).join(leads.select("doc_id", "n_shingles"), "doc_id")
-    inside = inside.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    names = near.filter("cut").select("tree", "short").distinct()
+    orders = leads.mapInArrow(_orders, "tree int, key binary, doc_id long, n_shingles long").withColumn("short", F.substring("key", 1, 4 * REST)).drop("key")
+    inside = orders.join(names, ["tree", "short"])
+    inside = inside.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id")).checkpoint()
     tasks = lambda n, size, half: F.greatest(F.ceil(n * half / REGION), F.ceil(size * half / REGION_SHINGLES)).cast("long")
     by = ["tree", "short"]
     parts = inside.groupBy(*by, "component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("size")).checkpoint()
