@@ -277,6 +277,8 @@ def _inside(regions: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFr
                 break
             low = new
         out = np.flatnonzero(low != np.arange(len(ids)))
+        del both, linked, row, column
+        tv.release()
         return pa.table({"a": ids[low[out]], "b": ids[out]})
 
     ids = regions.select("doc_id").distinct()

@@ -56,7 +56,7 @@ class WordTokens:
 
     PROBES = ("word", "über", "naïve", "çà", "strasse")
 
-    def __init__(self, path: str, most: int = 200_000):
+    def __init__(self, path: str, most: int = 100_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most = Tokenizer.from_file(path), most
