@@ -129,10 +129,10 @@ def diff_ledgers(spark, sf):
 
 
 def what_if(spark, sf):
-    """Grading customers by their number of orders, with and without an extra half of some."""
+    """Grading customers by their number of orders, with and without an extra quarter of the orders."""
     rows = _orders(spark, sf).select(C("o_custkey").alias("chart"), C("chart").alias("o")).filter("o % 4 <> 0")
     grade = lambda df: df.groupBy("chart").agg(F.when(F.count("*") >= 8, "many").otherwise("few").alias("verdict"))
-    extra = _orders(spark, sf).select(C("o_custkey").alias("chart"), C("chart").alias("o")).filter("o % 8 = 0")
+    extra = _orders(spark, sf).select(C("o_custkey").alias("chart"), C("chart").alias("o")).filter("o % 4 = 0")
     return op.what_if(grade, rows, extra)
 
 
@@ -211,7 +211,7 @@ SQL = {
     "h8_declared_net": f"WITH {_V}, n AS (SELECT CAST(sum(CASE WHEN transition IN ('GAINED', 'ENTERED-EXACT') THEN 1 WHEN transition IN ('LOST', 'LEFT-EXACT') THEN -1 ELSE 0 END) AS BIGINT) AS net FROM g) SELECT net, 0 AS declared, net = 0 AS ok FROM n",
     "h9_build_conflicts": "WITH l AS (SELECT l_orderkey AS c, count(*) AS i FROM lineitem GROUP BY 1), r AS (SELECT c, i, o_orderkey % 3 = 0 AS v, c % 5 AS e, count(*) OVER (PARTITION BY o_custkey, o_orderstatus) AS s, count(*) OVER (PARTITION BY o_orderpriority || CAST(trunc(o_totalprice) AS BIGINT)) AS t FROM l JOIN orders ON c = o_orderkey), x AS (SELECT c AS chart, concat_ws(',', CASE WHEN s > 1 AND NOT v THEN 'two_on_side' END, CASE WHEN e <> i AND c % 4 <> 0 THEN 'count_disagrees' END, CASE WHEN t > 1 THEN 'twin' END) AS reasons FROM r) SELECT * FROM x WHERE reasons <> ''",
     "h10_diff_ledgers": "WITH f AS (SELECT o_orderkey AS k, unnest(['status', 'priority']) AS field FROM orders), d AS (SELECT k AS chart, field, CASE WHEN field = 'status' THEN k % 8 = 0 ELSE k % 12 = 0 END AS changed, field = 'priority' AND k % 9 = 0 AS drift FROM f) SELECT *, CASE WHEN changed AND chart % 16 = 0 THEN 'INTENDED' WHEN changed THEN 'UNINTENDED' ELSE 'PRE_EXISTING' END AS class FROM d WHERE changed OR drift",
-    "h11_what_if": "WITH g AS (SELECT o_custkey AS chart, count(*) FILTER (o_orderkey % 4 <> 0) AS a, count(*) FILTER (o_orderkey % 4 <> 0 OR o_orderkey % 8 = 0) AS b FROM orders GROUP BY 1) SELECT chart, CASE WHEN a = 0 THEN 'appears' WHEN (a >= 8) = (b >= 8) THEN 'both' ELSE 'changes' END AS state FROM g WHERE b > 0",
+    "h11_what_if": "WITH g AS (SELECT o_custkey AS chart, count(*) FILTER (o_orderkey % 4 <> 0) AS a, count(*) AS b FROM orders GROUP BY 1) SELECT chart, CASE WHEN a = 0 THEN 'appears' WHEN (a >= 8) = (b >= 8) THEN 'both' ELSE 'changes' END AS state FROM g WHERE b > 0",
     "h12_changed_blocks": "SELECT doc_id, CASE WHEN doc_id % 10 = 0 THEN 'added' WHEN doc_id % 12 = 0 THEN 'removed' ELSE 'changed' END AS change FROM documents WHERE NOT (doc_id % 10 = 0 AND doc_id % 12 = 0) AND text IS NOT NULL AND (doc_id % 10 = 0 OR doc_id % 12 = 0 OR doc_id % 7 = 0)",
     "h13_blast_radius": "WITH k AS (SELECT p_partkey AS key, p_partkey % 8 <> 0 AS o, p_partkey % 9 <> 0 AS n, p_partkey % 3 = 0 AS e, p_partkey % 5 = 0 OR p_partkey % 7 = 0 AS d FROM part), x AS (SELECT key, CASE WHEN NOT o AND NOT n THEN CASE WHEN e THEN 'silent' END WHEN NOT n THEN 'dropped' WHEN NOT o THEN 'added' WHEN d AND e THEN 'moved' WHEN d THEN 'stray' WHEN e THEN 'silent' END AS kind FROM k) SELECT * FROM x WHERE kind IS NOT NULL",
     "h14_verify_release": "WITH e AS (SELECT o_orderkey::VARCHAR AS name FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)), p AS (SELECT o_orderkey::VARCHAR AS name FROM orders WHERE o_totalprice <= 0), o AS (SELECT l_orderkey::VARCHAR AS name FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)), u AS (SELECT 'price' AS c, name FROM p UNION ALL SELECT 'orphan_lines', name FROM o UNION ALL SELECT 'empty_orders', name FROM e), n AS (SELECT unnest(['price', 'orphan_lines', 'empty_orders']) AS c), r AS (SELECT n.c, u.name, row_number() OVER (PARTITION BY n.c ORDER BY u.name) AS k FROM n LEFT JOIN u ON n.c = u.c) SELECT c AS \"check\", count(name) = 0 AS ok, count(name) AS n_bad, coalesce(string_agg(name, ',' ORDER BY name) FILTER (k <= 5), '') AS samples FROM r GROUP BY c",

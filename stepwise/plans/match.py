@@ -60,11 +60,12 @@ def match_catalog(spark, sf):
 
 
 def newest_source(spark, sf):
-    """Orders as uploads whose codes are their parts; a part's era is its size."""
-    part = table(spark, sf, "part").select(F.col("p_partkey").alias("chart"), F.lit("s").alias("name"), F.col("p_brand").alias("code"), (F.col("p_size") % 4).alias("era"))
-    lines = table(spark, sf, "lineitem").join(table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand"), "l_partkey").groupBy("l_orderkey").agg(F.collect_set("p_brand").alias("codes"))
-    titles = lines.filter("l_orderkey % 50 = 0").select(F.col("l_orderkey").alias("source"), F.col("l_orderkey").alias("seen"), (F.col("l_orderkey") / 50 % 4).cast("int").alias("era"), F.lit("s").alias("name"), "codes")
-    current = part.filter("chart % 2 = 0").select("chart", (F.col("chart") * 50).alias("source"), F.when(F.col("chart") % 6 != 0, F.col("chart") % 3).cast("int").alias("era"))
+    """Orders as uploads whose codes are their parts' brands and sizes; eras follow the keys."""
+    code = F.concat_ws("/", "p_brand", "p_size")
+    part = table(spark, sf, "part").select(F.col("p_partkey").alias("chart"), F.lit("s").alias("name"), code.alias("code"), (F.col("p_partkey") % 4).cast("int").alias("era"))
+    lines = table(spark, sf, "lineitem").join(table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), code.alias("code")), "l_partkey").groupBy("l_orderkey").agg(F.collect_set("code").alias("codes"))
+    titles = lines.select(F.col("l_orderkey").alias("source"), F.col("l_orderkey").alias("seen"), (F.col("l_orderkey") % 4).cast("int").alias("era"), F.lit("s").alias("name"), "codes")
+    current = part.filter("chart % 2 = 0").select("chart", (F.col("chart") % 50).alias("source"), F.when(F.col("chart") % 6 != 0, F.col("chart") % 3).cast("int").alias("era"))
     return op.newest_source(titles, part, current)
 
 
@@ -121,9 +122,9 @@ SQL = {
         g AS (SELECT r.rec, count(c.rec) AS n, count(DISTINCT c.rec) FILTER (c.level = r.level AND c.mix = r.mix) AS a, count(DISTINCT c.rec) FILTER (c.level = r.level) AS b, count(DISTINCT c.rec) FILTER (c.level = r.level AND cur) AS d,
               min(c.rec) FILTER (c.level = r.level AND c.mix = r.mix) AS ca, min(c.rec) FILTER (c.level = r.level) AS cb, min(c.rec) FILTER (c.level = r.level AND cur) AS cd FROM r LEFT JOIN c ON r.song = c.song AND r.type = c.type GROUP BY r.rec)
         SELECT rec, CASE WHEN a = 1 THEN 'own_mix' WHEN b = 1 THEN 'any_mix' WHEN d = 1 THEN 'current' WHEN b > 1 THEN 'ambiguous' WHEN n > 0 THEN 'unmatched_level' ELSE 'unmatched_song' END AS match, CASE WHEN a = 1 THEN ca WHEN b = 1 THEN cb WHEN d = 1 THEN cd END AS chart FROM g""",
-    "f7_newest_source": """WITH c AS (SELECT p_partkey AS chart, p_brand AS code, p_size % 4 AS era FROM part), t AS (SELECT DISTINCT l_orderkey AS source, CAST(l_orderkey / 50 % 4 AS INT) AS e, p_brand AS code FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_orderkey % 50 = 0),
+    "f7_newest_source": """WITH c AS (SELECT p_partkey AS chart, p_brand || '/' || p_size AS code, p_partkey % 4 AS era FROM part), t AS (SELECT DISTINCT l_orderkey AS source, l_orderkey % 4 AS e, p_brand || '/' || p_size AS code FROM lineitem JOIN part ON l_partkey = p_partkey),
         b AS (SELECT chart, source, e FROM c JOIN t ON c.code = t.code AND c.era = t.e QUALIFY row_number() OVER (PARTITION BY chart ORDER BY e DESC, source) = 1),
-        n AS (SELECT p_partkey AS chart, p_partkey * 50 AS now, CASE WHEN p_partkey % 6 <> 0 THEN p_partkey % 3 END AS nera FROM part WHERE p_partkey % 2 = 0)
+        n AS (SELECT p_partkey AS chart, p_partkey % 50 AS now, CASE WHEN p_partkey % 6 <> 0 THEN p_partkey % 3 END AS nera FROM part WHERE p_partkey % 2 = 0)
         SELECT c.chart, b.source, b.e AS era, CASE WHEN b.source IS NULL THEN 'none' WHEN b.source = now THEN 'current' WHEN now IS NULL THEN 'as_new' WHEN nera IS NULL THEN 'unknown' WHEN b.e > nera THEN 'upgrade' ELSE 'current' END AS action FROM c LEFT JOIN b ON c.chart = b.chart LEFT JOIN n ON c.chart = n.chart""",
     "f7_sides": "WITH l AS (SELECT l_orderkey, l_linenumber AS code, max(l_quantity) AS level FROM lineitem WHERE l_linenumber <= 2 GROUP BY ALL) SELECT *, CASE WHEN count(*) OVER (PARTITION BY l_orderkey) = 1 THEN 'Center' WHEN row_number() OVER (PARTITION BY l_orderkey ORDER BY level, code) = 1 THEN 'Left' ELSE 'Right' END AS side FROM l",
     "f8_copies_disagree": "WITH s AS (SELECT o_custkey || '/' || o_orderstatus AS name, o_orderkey AS copy, o_orderdate AS d, sha256(string_agg(sha256(l_returnflag), ',' ORDER BY sha256(l_returnflag))) AS signature FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL) SELECT name, copy, signature, row_number() OVER w = 1 AS current, signature = first_value(signature) OVER w AS agrees FROM s WINDOW w AS (PARTITION BY name ORDER BY d DESC, copy)",
