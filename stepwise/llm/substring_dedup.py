@@ -21,6 +21,9 @@ An automaton's alphabet is the words of its passages: each word is one code poin
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import islice
+
 import ahocorasick
 import numpy as np
 import pyarrow as pa
@@ -36,6 +39,8 @@ GRAM, LONGEST = 6, 256
 PHRASES, LETTERS = 10_000, 300_000
 #: Shards of phrases for each shard of anchors, as phrases overlap and take more room than the text.
 PHRASE_SHARDS = 8
+#: Occurrences handled at once.
+HITS = 1 << 13
 #: Blocks that hold an anchor from which on its windows go one by one.
 HOT = 512
 
@@ -286,15 +291,17 @@ class Automaton:
             self.machine.add_word(stream[a:b], k)
         self.machine.make_automaton()
 
-    def locate(self, word_hash: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Every (first word, passage) where the words of a passage occur in one row of words."""
+    def locate(self, word_hash: np.ndarray, row: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Every (first word, passage) where the words of a passage occur in one row of words, HITS at a time: in a long run of one word very many passages overlap."""
         code = np.minimum(np.searchsorted(self.alphabet, word_hash), len(self.alphabet) - 1)
         text = np.where(self.alphabet[code] == word_hash, code, -1)  # -1: a word of no passage
         rows = np.flatnonzero(np.diff(row, prepend=-1))
         text = np.insert(text, rows, -1)  # no match runs from one row into the next
-        hits = np.array(list(self.machine.iter(_letters(text))), np.int64).reshape(-1, 2)
-        first = hits[:, 0] + 1 - self.length[hits[:, 1]]
-        return first - np.searchsorted(rows + np.arange(len(rows)), first, "right"), hits[:, 1]
+        found = self.machine.iter(_letters(text))
+        while some := list(islice(found, HITS)):
+            hits = np.array(some, np.int64).reshape(-1, 2)
+            first = hits[:, 0] + 1 - self.length[hits[:, 1]]
+            yield first - np.searchsorted(rows + np.arange(len(rows)), first, "right"), hits[:, 1]
 
 
 class Passages:
@@ -333,17 +340,19 @@ def _remove(window: int):
         covers = [np.zeros(len(words.start) + 1, np.int32) for _, _, words, _ in chunks]
         for base, machine in passages.automata():
             for (a, b, words, _), word_hash, covered in zip(chunks, hashes, covers, strict=True):
-                first, k = machine.locate(word_hash, words.row)
-                k += base
-                count = passages.size[k]
-                step = _spread(np.zeros(len(k), np.int64), count)
-                i = _spread(passages.base[k], count)
-                word = np.repeat(first, count) + step
-                row = words.row[word]
-                start, owner = word - words.first[row], ids[a:b][row]
-                later = (owner > passages.doc[i]) | ((owner == passages.doc[i]) & (start > passages.shift[i] + step))
-                covered += np.bincount(word[later], minlength=len(covered)).astype(np.int32)
-                covered -= np.bincount(word[later] + window, minlength=len(covered)).astype(np.int32)[: len(covered)]
+                later = np.zeros(len(covered), bool)
+                for first, k in machine.locate(word_hash, words.row):
+                    k = k + base
+                    count = passages.size[k]
+                    step = _spread(np.zeros(len(k), np.int64), count)
+                    i = _spread(passages.base[k], count)
+                    word = np.repeat(first, count) + step
+                    row = words.row[word]
+                    start, owner = word - words.first[row], ids[a:b][row]
+                    later[word[(owner > passages.doc[i]) | ((owner == passages.doc[i]) & (start > passages.shift[i] + step))]] = True
+                at = np.flatnonzero(later)
+                covered[at] += 1
+                covered[at + window] -= 1
         texts, n_words, n_removed, spans = [], [], [], []
         for (a, b, words, offsets), covered in zip(chunks, covers, strict=True):
             gone = np.cumsum(covered[:-1]) > 0
