@@ -27,6 +27,8 @@ from .textvec import fold
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, padded_length long, ids binary"
 #: Sequence numbers of one partition.
 PER_PARTITION = 1 << 36
+#: Bytes of text that are cut into words at once.
+CHUNK = 1 << 18
 
 
 #: ASCII marks that a tokenizer splits from a letter or digit before them.
@@ -208,9 +210,9 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 4096, last: int = 2, open_
             for pieces in sequences:
                 offset, total = 0, sum(p[2] for p in pieces)
                 full = size if total & (total - 1) else total
-                for (doc, ids), start, length in pieces:
-                    raw = ids[start : start + length].tobytes()
-                    rows.append((doc, start, length, zlib.crc32(raw), len(ids), number, offset, full, raw if with_ids else None))
+                for (doc, ids, at, n), start, length in pieces:  # ids: those of the document from `at` on
+                    raw = ids[start - at : start - at + length].tobytes()
+                    rows.append((doc, start, length, zlib.crc32(raw), n, number, offset, full, raw if with_ids else None))
                     offset += length
                 number += 1
 
@@ -222,14 +224,20 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 4096, last: int = 2, open_
         for given in batches:
             ids = given.column("doc_id").to_pylist()
             text = given.column("text")
-            for a, b in tv.pieces(text):
+            for a, b in tv.pieces(text, CHUNK):
                 got, bounds = tokens.texts(*tv.strings(text.slice(a, b - a)), last)
                 for k, doc in enumerate(ids[a:b]):
                     mine = got[bounds[k] : bounds[k + 1]]
-                    finish(windows.take((doc, mine if len(mine) > size else mine.copy()), 0, len(mine)))
+                    n, whole = len(mine), len(mine) // size * size
+                    finish(windows.take((doc, mine, 0, n), 0, whole))
+                    finish(windows.take((doc, mine[whole:].copy(), whole, n), whole, n - whole))
+                del got, bounds, mine
+                tv.release()
                 if rows:
                     yield batch()
         finish(windows.close())
+        del tokens
+        tv.release()
         if rows:
             yield batch()
 
