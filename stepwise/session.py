@@ -50,3 +50,8 @@ def prepare(spark: SparkSession) -> SparkSession:
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-", dir=os.environ.get("TMPDIR", "/tmp")))
     return spark
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: that of the checkpoints."""
+    return str(_checkpoint_dir(spark))

@@ -149,8 +149,7 @@ def render_grid(notes: DataFrame, key: list[str], width: int, finest: int = 192,
     rows = rows.withColumn("_n", F.when(inside_num == 0, 0).otherwise((inside_num / g).cast("long"))).withColumn("_d", F.when(inside_num == 0, 1).otherwise((4 * F.col("beat.den") / g).cast("long")))
     lcm = lambda acc, d: (acc * d / _gcd(acc, d)).cast("long")
     measures = rows.groupBy(*key, "measure").agg(F.collect_set("_d").alias("_ds"), F.collect_list(F.struct("_n", "_d", "col", "sym")).alias("_cells"), F.max(F.col("sym").isNull()).alias("_bad"))
-    measures = measures.withColumn("rows", F.greatest(F.lit(4), F.aggregate("_ds", F.lit(1).cast("long"), lcm)))
-    measures = measures.withColumn("rows", F.when(F.col("rows") % 4 == 0, F.col("rows")).otherwise(lcm(F.col("rows"), F.lit(4).cast("long"))))
+    measures = measures.withColumn("rows", F.aggregate("_ds", F.lit(4).cast("long"), lcm))
     place = F.transform("_cells", lambda c: F.struct((c["_n"] * (F.col("rows") / c["_d"]).cast("long") * width + c["col"]).alias("k"), c["sym"].alias("v")))
     filled = F.map_from_entries(place)
     row = lambda r: F.concat_ws("", F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda c: F.coalesce(F.element_at(filled, (r * width + c).cast("long")), F.lit("0"))))
