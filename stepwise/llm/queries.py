@@ -1,4 +1,4 @@
-"""The registered queries of this subpackage, op1_ to op10_, and their SQL."""
+"""The registered queries of this subpackage, op1_ to op13_, and their SQL."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import prepare
 from . import langid, quality
+from .alignment import align_tokens
 from .chat import digests, format_chats
 from .embedding_dedup import near_vectors
 from .fingerprints import edited_neighbours
@@ -16,6 +17,8 @@ from .line_dedup import drop_repeated_lines
 from .mixing import mix, word_count
 from .near_dedup import near_duplicates
 from .packing import pack
+from .pattern_packing import pack_by_patterns
+from .repair import damaged, repair
 from .substring_dedup import drop_repeated_phrases
 
 
@@ -85,6 +88,19 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair(damaged(_table(spark, sf_dir, "conversations")))
+
+
+def op12_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_by_patterns(_table(spark, sf_dir, "documents"), tokenizer_path()).drop("ids")
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return align_tokens(docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")).drop("groups")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
@@ -96,6 +112,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_fingerprints": op10_fingerprints,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_pattern_packing": op12_pattern_packing,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 OP3 = r"""
