@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("corpora", "evaluate", "intervals", "ledgers", "match", "reconcile", "scalars", "series", "signals")
+MODULES = ("corpora", "evaluate", "intervals", "ledgers", "match", "pricing", "reconcile", "scalars", "series", "signals")
 
 
 def collect(name: str) -> dict:
