@@ -96,7 +96,7 @@ class Tokenizers:
 
     def _of_a(self, texts: list[str]) -> list[np.ndarray]:
         if self.ranked:
-            return [self.ranked.encode_to_numpy(t) for t in texts]
+            return [np.array(self.ranked.encode_ordinary(t), np.uint32) for t in texts]
         return [np.array(x.ids, np.uint32) for x in self.a.encode_batch_fast(texts, add_special_tokens=False)]
 
     def texts(self, texts: list[bytes]) -> tuple[Tokens, Tokens]:
