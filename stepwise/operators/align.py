@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 
 from ._range import asof, count_at, nearest, overlap_join
 from .intervals import count_between, overlap_filter
-from .series import per_series
+from .series import spread
 
 
 def offset_sweep(obs: DataFrame, ref: DataFrame, by: Sequence[str], col: str, lo: int, hi: int, step: int, tol: int) -> DataFrame:
@@ -43,7 +43,7 @@ def refine(coarse: DataFrame, obs: DataFrame, ref: DataFrame, by: Sequence[str],
 
 
 def fit_violation(anchors: DataFrame, taps: DataFrame, offsets: DataFrame, by: Sequence[str]) -> DataFrame:
-    """by, offset, score: the offset with the least violation: the slack (cum - taps so far) under zero, plus its falls below its running maximum.
+    """by, offset, score: the offset with the least violation: the slack (cum - taps so far) under zero, plus its falls below its running maximum, which starts at -1.
 
     anchors(by, t, cum), taps(by, t), offsets(offset): a small candidate table.
     """
@@ -51,17 +51,17 @@ def fit_violation(anchors: DataFrame, taps: DataFrame, offsets: DataFrame, by: S
     rows = count_at(taps, grid, by, "t", "_at", "_n").withColumn("slack", F.col("cum") - F.col("_n"))
     order = Window.partitionBy(*by, "offset").orderBy("t", "cum")
     top = F.max("slack").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    rows = rows.withColumn("_bad", F.greatest(-F.col("slack"), F.lit(0)) + F.coalesce(F.greatest(top - F.col("slack"), F.lit(0)), F.lit(0)))
+    rows = rows.withColumn("_bad", F.greatest(-F.col("slack"), F.lit(0)) + F.greatest(F.greatest(F.coalesce(top, F.lit(-1)), F.lit(-1)) - F.col("slack"), F.lit(0)))
     scores = rows.groupBy(*by, "offset").agg(F.sum("_bad").alias("score"))
     return scores.groupBy(*by).agg(F.min_by(F.struct("offset", "score"), F.struct("score", "offset")).alias("_b")).select(*by, "_b.offset", "_b.score")
 
 
 def fit_two_sided(anchors: DataFrame, taps: DataFrame, holds: DataFrame, offsets: DataFrame, by: Sequence[str], width: float, near: float = 0.3, far: float = 6.0, pad: float = 0.15, least: int = 8) -> DataFrame:
-    """by, offset, error, n: the offset with the least mean |rise of cum - taps| over neighbouring anchors near to far apart that no hold(by, ps, pe) touches, given `least` of them."""
+    """by, offset, error, n: the offset with the least mean |rise of cum - taps| over neighbouring anchors near to far apart, of a counter that doesn't fall, that no hold(by, ps, pe) touches and that don't start before 0, given `least` of them."""
     order = Window.partitionBy(*by).orderBy("t", "cum")
-    pairs = anchors.select(*by, F.col("t").alias("s"), F.lead("t").over(order).alias("e"), (F.lead("cum").over(order) - F.col("cum")).alias("_d")).filter((F.col("e") - F.col("s") >= near) & (F.col("e") - F.col("s") <= far))
+    pairs = anchors.select(*by, F.col("t").alias("s"), F.lead("t").over(order).alias("e"), (F.lead("cum").over(order) - F.col("cum")).alias("_d")).filter((F.col("e") - F.col("s") >= near) & (F.col("e") - F.col("s") <= far) & (F.col("_d") >= 0))
     grid = pairs.crossJoin(F.broadcast(offsets)).withColumn("s", F.col("s") - F.col("offset")).withColumn("e", F.col("e") - F.col("offset"))  # offsets: a table of fixed size
-    free = overlap_filter(grid, holds, by, width, pad)
+    free = overlap_filter(grid.filter("s >= 0"), holds, by, width, pad)
     rows = count_between(taps, free.withColumn("lo", F.col("s")).withColumn("hi", F.col("e")), by, out="_n")
     scores = rows.groupBy(*by, "offset").agg(F.avg(F.abs(F.col("_d") - F.col("_n"))).alias("error"), F.count("*").alias("n")).filter(F.col("n") >= least)
     return scores.groupBy(*by).agg(F.min_by(F.struct("offset", "error", "n"), F.struct(F.round("error", 9), "offset")).alias("_b")).select(*by, "_b.offset", "_b.error", "_b.n")
@@ -75,34 +75,61 @@ def fit_zero(reads: DataFrame, taps: DataFrame, offsets: DataFrame, by: Sequence
     return scores.groupBy(*by).agg(F.max_by(F.struct("offset", "zeros"), F.struct("zeros", -F.col("offset"))).alias("_b")).select(*by, "_b.offset", "_b.zeros")
 
 
-def fit_lattice(notes: DataFrame, by: Sequence[str], grids: Sequence[int], reach: float, steps: int = 21, rates: Sequence[float] = (1.0,), tol: float = 0.25) -> DataFrame:
-    """by, grid, shift, rate, inside, p75, score: the coarsest lattice whose score is within 0.005 of the best.
+def fit_lattice(notes: DataFrame, tempo: DataFrame, by: Sequence[str], grids: Sequence[int] = (4, 8, 12, 16, 24, 32), low: float = 0.0, high: float = 60.0, step: float = 0.002, fine: float = 0.001, rates: Sequence[float] = tuple(k / 10_000 for k in range(-25, 26))) -> DataFrame:
+    """by, grid, offset, rate, score: the coarsest lattice (lines a beat) whose score is within 0.005 of the best, and where the notes lie on it.
 
-    notes(by, beat). For each grid, a shift of up to reach beats and a clock rate maximise
-    the share of notes inside tol (half steps) times 1 - p75 of their grid errors; under half
-    inside scores -1. Only near the anchor: a lattice repeats.
+    notes(by, t) are heard at offset + t / (1 + rate) of the tempo map(by, t, beat), which is interpolated. The score is the share of notes inside
+    the map's times, times 1 less the 75th percentile of their distance to the nearest line, in half spacings; -1 where less
+    than half are inside. For each grid, offsets from low to under high by `step`, then twice in turn all rates, and 25 steps of `fine` either
+    side; the first best counts. Series without notes or without a map are left out.
     """
-    shifts = np.linspace(-reach, reach, steps)
-
-    def fit(d: pd.DataFrame) -> pd.DataFrame:
-        x, out = d["beat"].to_numpy(float), []
-        for g in sorted(grids):
-            best = None
-            for rate in rates:
-                y = (x * rate)[None, :] + shifts[:, None]
-                e = 2 * np.abs(y * g - np.round(y * g))
-                inside = (e <= 2 * tol).mean(1)
-                p75 = np.percentile(e, 75, axis=1)
-                score = np.where(inside < 0.5, -1.0, inside * (1 - p75))
-                i = int(np.argmax(score))
-                if best is None or score[i] > best[-1] + 1e-12:
-                    best = (g, shifts[i], rate, inside[i], p75[i], score[i])
-            out.append(best)
-        top = max(o[-1] for o in out)
-        pick = next(o for o in out if o[-1] >= top - 0.005)
-        return pd.DataFrame([pick], columns=["grid", "shift", "rate", "inside", "p75", "score"])
-
-    return per_series(notes.select(*by, "beat"), by, fit, "grid long, shift double, rate double, inside double, p75 double, score double", ("beat",))
+    keys = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in notes.select(*by).schema.fields)
+
+    def fit(key: tuple, d: pd.DataFrame, m: pd.DataFrame) -> pd.DataFrame:
+        if d.empty or m.empty:
+            return pd.DataFrame(columns=[*by, "grid", "offset", "rate", "score"])
+        m = m.sort_values("t")
+        t, times, beats = d["t"].to_numpy(float), m["t"].to_numpy(float), m["beat"].to_numpy(float)
+
+        def scores(offsets: np.ndarray, clocks: np.ndarray, grid: int) -> np.ndarray:
+            """One score for each offset and clock rate (arrays of one length)."""
+            at = (t[None, :] - offsets[:, None]) * (1 + clocks[:, None])
+            inside = (at >= times[0]) & (at <= times[-1])
+            y = np.interp(at, times, beats) * grid
+            e = np.sort(np.where(inside, 2 * np.abs(y - np.round(y)), np.inf), axis=1)
+            n = inside.sum(1)
+            place = 0.75 * np.maximum(n - 1, 0)
+            i = np.floor(place).astype(int)
+            j = np.minimum(i + 1, np.maximum(n - 1, 0))
+            rows = np.arange(len(n))
+            a, b = e[rows, i], e[rows, j]
+            share = n / len(t)
+            with np.errstate(invalid="ignore"):
+                return np.where(share < 0.5, -1.0, share * (1 - (a + (b - a) * (place - i))))
+
+        def best_of(best: tuple, offsets: np.ndarray, clocks: np.ndarray, grid: int) -> tuple:
+            for k in range(0, len(offsets), 512):  # so many at once
+                got = scores(offsets[k : k + 512], clocks[k : k + 512], grid)
+                i = int(np.argmax(got))
+                if got[i] > best[0]:
+                    best = (float(got[i]), float(offsets[k + i]), float(clocks[k + i]))
+            return best
+
+        found = []
+        start = np.arange(int(low / step), int(high / step)) * step
+        for grid in sorted(grids):
+            best = best_of((-1.0, 0.0, 0.0), start, np.zeros(len(start)), grid)
+            for _ in range(2):
+                best = best_of(best, np.full(len(rates), best[1]), np.array(rates), grid)
+                near = best[1] + np.arange(-25, 26) * fine
+                best = best_of(best, near, np.full(len(near), best[2]), grid)
+            found.append((grid, *best))
+        top = max(f[1] for f in found)
+        grid, score, offset, rate = next(f for f in found if f[1] >= top - 0.005)
+        return pd.DataFrame([[*key, grid, offset, rate, score]], columns=[*by, "grid", "offset", "rate", "score"])
+
+    own = tempo.select(*(F.col(c).alias(c) for c in [*by, "t", "beat"]))
+    return spread(notes.select(*by, "t"), by).groupBy(*by).cogroup(spread(own, by).groupBy(*by)).applyInPandas(fit, f"{keys}, grid long, offset double, rate double, score double")
 
 
 def fit_clock(obs: DataFrame, ref: DataFrame, by: Sequence[str], tol: float = 0.06, rounds: int = 3, least: int = 20, span: float = 0.01) -> DataFrame:

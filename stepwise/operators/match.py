@@ -152,16 +152,16 @@ def match_catalog(recs: DataFrame, catalog: DataFrame) -> DataFrame:
 
 
 def newest_source(titles: DataFrame, catalog: DataFrame, current: DataFrame) -> DataFrame:
-    """chart, source, era, action: for each chart the source of the newest era (ties: the first seen).
+    """chart, source, era, action: for each chart that a title names, the source of the newest era (ties: the first seen).
 
     titles(source, seen, era int, name, codes array<string>), catalog(chart, name, code,
     era int): a code is looked up at its title's era. current(chart, source, era): what is
-    used now. action: none, current, unknown, upgrade, as_new.
+    used now. action: none (nothing is used), current (that very source), unknown (of no known era), upgrade, as_new (what is used is as new or newer).
     """
     found = titles.withColumn("code", F.explode("codes")).join(catalog, ["name", "code", "era"])
     best = found.groupBy("chart").agg(F.max_by(F.struct("source", "era"), F.struct(F.col("era"), -F.col("seen"))).alias("_b"))
-    rows = catalog.select("chart").distinct().join(best, "chart", "left").join(current.select("chart", F.col("source").alias("_now"), F.col("era").alias("_era"), F.lit(True).alias("_has")), "chart", "left")
-    action = F.when(F.col("_b").isNull(), "none").when(F.col("_b.source") == F.col("_now"), "current").when(F.col("_has").isNull(), "as_new").when(F.col("_era").isNull(), "unknown").when(F.col("_b.era") > F.col("_era"), "upgrade").otherwise("current")
+    rows = best.join(current.select("chart", F.col("source").alias("_now"), F.col("era").alias("_era"), F.lit(True).alias("_has")), "chart", "left")
+    action = F.when(F.col("_has").isNull(), "none").when(F.col("_b.source") == F.col("_now"), "current").when(F.col("_era").isNull(), "unknown").when(F.col("_b.era") > F.col("_era"), "upgrade").otherwise("as_new")
     return rows.select("chart", "_b.source", "_b.era", action.alias("action"))
 
 

@@ -380,7 +380,7 @@ def search_rates(regions: DataFrame, rates: DataFrame, unit: int) -> DataFrame:
 
 
 def audit_regions(regions: DataFrame, anchors: DataFrame, taps: DataFrame, by: Sequence[str], most_rate: float = 30, cover: float = 0.6) -> DataFrame:
-    """by, compared, worst_region, worst: deviation of each region's ticks from the counter curve's rise less the taps.
+    """by, compared, worst_region, worst: how much each region's ticks are more than the counter curve's rise less the taps, in whole numbers; worst_region is null where none differs.
 
     regions(by, region, s, e, ticks), anchors(by, t, cum). Compared only where ticks are at
     most most_rate a unit of time, at least 3 distinct anchor values lie inside, they cover
@@ -394,8 +394,8 @@ def audit_regions(regions: DataFrame, anchors: DataFrame, taps: DataFrame, by: S
     rows = count_between(taps, regions.withColumn("lo", F.col("s")).withColumn("hi", F.col("e")), by, out="_taps")
     rows = rows.join(lo, [*by, "region"]).join(hi, [*by, "region"]).join(inside, [*by, "region"]).join(ends, list(by))
     good = (F.col("ticks") <= most_rate * (F.col("e") - F.col("s"))) & (F.col("_n") >= 3) & (F.col("_span") >= cover * (F.col("e") - F.col("s"))) & (F.col("s") >= F.col("_a")) & (F.col("e") <= F.col("_b"))
-    rows = rows.filter(good).withColumn("_d", F.round(F.col("_y1") - F.col("_y0") - F.col("_taps") - F.col("ticks"), 6))
-    return rows.groupBy(*by).agg(F.count("*").alias("compared"), F.max_by("region", F.struct(F.abs("_d"), -F.col("region"))).alias("worst_region"), F.max_by("_d", F.struct(F.abs("_d"), -F.col("region"))).alias("worst"))
+    rows = rows.filter(good).withColumn("_d", F.bround(F.col("ticks").cast("double"), 0).cast("long") - F.bround(F.round(F.col("_y1") - F.col("_y0") - F.col("_taps"), 6), 0).cast("long"))
+    return rows.groupBy(*by).agg(F.count("*").alias("compared"), F.max_by(F.when(F.col("_d") != 0, F.col("region")), F.struct(F.abs("_d"), -F.col("region"))).alias("worst_region"), F.max_by("_d", F.struct(F.abs("_d"), -F.col("region"))).alias("worst"))
 
 
 def verdict_ladder(df: DataFrame, rules: Sequence[tuple[Column, str, str]], otherwise: tuple[str, str] = ("PARK", "no_rule")) -> DataFrame:

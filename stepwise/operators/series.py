@@ -11,7 +11,7 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -97,19 +97,19 @@ def monotone_stack(reads: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def alternatives(v: int, cap: int) -> list[int]:
-    """As digit_alternatives: each 5 may be a 9, a hundred may be one too many; and, within cap, hundreds more."""
+    """What a read may stand for: each 5 may be a 9, up to nine hundreds may be lost (within cap), a leading hundred may be one too many."""
     out = {0}
     for d in str(v):
         out = {10 * x + int(d) for x in out} | ({10 * x + 9 for x in out} if d == "5" else set())
-    out |= {x - 100 for x in out if x >= 100}
-    return sorted(x for x in out if 0 <= x <= cap)
+    return sorted({x + 100 * k for x in out for k in range(10) if x + 100 * k <= cap} | {x - 100 for x in out if x >= 100})
 
 
-def continuity_repair(reads: DataFrame, by: Sequence[str], rate: float, cap: int, confirm: int = 2) -> DataFrame:
+def continuity_repair(reads: DataFrame, by: Sequence[str], rate: float = 60.0, cap: int = 10**9, confirm: int = 3) -> DataFrame:
     """by, t, v, raw: each read replaced by the alternative nearest to the last estimate within [est - 2, est + rate * dt + 3].
 
-    Hundreds that were lost are tried too. Where no alternative fits, a lower value
-    starts anew if the next `confirm` reads lie near it; else the read is skipped.
+    Where no alternative fits: a read that is too high stays as it is, and the estimate too. A lower one looks at
+    the next `confirm` reads: if two of them go on from the estimate modulo 100, digits are covered and the read goes; else, if there are
+    two and all are under 0.6 of the estimate, it is a reset and the estimate starts anew; else it goes.
     """
 
     def repair(d: pd.DataFrame) -> pd.DataFrame:
@@ -120,13 +120,15 @@ def continuity_repair(reads: DataFrame, by: Sequence[str], rate: float, cap: int
                 est, last = v, t
                 out.append((t, v, v))
                 continue
-            top = est + rate * (t - last) + 3
-            choices = {a + 100 * k for a in alternatives(v, cap) for k in range(10)}
-            fit = [a for a in choices if est - 2 <= a <= min(top, cap)]
+            top = lambda at: est + rate * max(at - last, 1e-3) + 3  # noqa: B023, E731
+            fit = [a for a in alternatives(v, cap) if est - 2 <= a <= top(t)]
+            later = list(zip(times[i + 1 : i + 1 + confirm], values[i + 1 : i + 1 + confirm], strict=True))
             if fit:
                 est, last = min(fit, key=lambda a: (abs(a - est), a)), t
                 out.append((t, est, v))
-            elif v < est and i + confirm < len(values) and all(v - 2 <= x <= v + rate * (times[j] - t) + 3 for j, x in enumerate(values[i + 1 : i + 1 + confirm], i + 1)):
+            elif v >= est:
+                out.append((t, v, v))
+            elif sum(any(est - 2 <= w + 100 * k <= top(at) for k in range(10)) for at, w in later) < 2 <= len(later) and all(w < 0.6 * est for _, w in later):
                 est, last = v, t
                 out.append((t, v, v))
         return pd.DataFrame(out, columns=["t", "v", "raw"])
@@ -135,19 +137,33 @@ def continuity_repair(reads: DataFrame, by: Sequence[str], rate: float, cap: int
     return per_series(reads.filter("v IS NOT NULL").select(*by, "t", "v"), by, repair, f"t {kind}, v long, raw long", ("t", "v"))
 
 
+def cut_runs(reads: DataFrame, by: Sequence[str], fall: int = 3, held: int = 5) -> DataFrame:
+    """reads with run (from 0): a new one where a read and those after it, `held` in all or as many as there are, lie more than `fall` below the read before."""
+    order = Window.partitionBy(*by).orderBy("t", "v")
+    before = F.lag("v").over(order)
+    falls = F.max("v").over(order.rowsBetween(0, held - 1)) < before - fall
+    return reads.filter("v IS NOT NULL").withColumn("_new", F.coalesce(falls, F.lit(False)).cast("int")).withColumn("run", F.sum("_new").over(order)).drop("_new")
+
+
 def segment_runs(reads: DataFrame, by: Sequence[str], fall: int = 3, held: int = 5) -> DataFrame:
-    """reads with run (from 0): a new one where the value falls by more than `fall` below the last kept one and the next `held` reads stay below that; unconfirmed lows are dropped."""
+    """by, run, t, v: the runs of cut_runs, of each its longest chain that never falls."""
+    return lnds(cut_runs(reads, by, fall, held).select(*by, "run", "t", "v"), [*by, "run"])
+
+
+def confirmed_runs(reads: DataFrame, by: Sequence[str], gap: float, low: int = 15, rise: int = 20, ahead: int = 6, within: float = 0.6) -> DataFrame:
+    """reads with run (from 0), for reads that persistent() gives: a fall, or more than `gap` without a read, starts a new one.
+
+    A fall counts only at `low` or less and if the next `ahead` reads, as far as they are `within` of it, lie at most `rise` above it; else the read goes.
+    """
 
     def run(d: pd.DataFrame) -> pd.DataFrame:
-        v = d["v"].tolist()
-        keep, number, n, last = [], [], 0, None
-        for i, x in enumerate(v):
-            if last is not None and x < last - fall:
-                following = v[i + 1 : i + 1 + held]
-                if len(following) < held or any(y >= last - fall for y in following):
+        t, v, keep, number, n = d["t"].tolist(), d["v"].tolist(), [], [], 0
+        for i, (at, x) in enumerate(zip(t, v, strict=True)):
+            if keep:
+                fell = x < v[keep[-1]]
+                if fell and not (x <= low and all(w <= x + rise for s, w in zip(t[i + 1 : i + 1 + ahead], v[i + 1 : i + 1 + ahead], strict=True) if s <= at + within)):
                     continue
-                n += 1
-            last = x
+                n += fell or at - t[keep[-1]] > gap
             keep.append(i)
             number.append(n)
         out = d.iloc[keep][["t", "v"]].copy()
@@ -202,26 +218,31 @@ def solve_runs(series: DataFrame, by: Sequence[str], most: int = 14) -> DataFram
     return best.select(*by, F.when(fits, F.col("_b.chosen")).alias("chosen"), F.when(fits, F.col("_b.peaks")).alias("peaks"), "_b.error")
 
 
-def best_chain(points: DataFrame, by: Sequence[str], rate: float) -> DataFrame:
-    """by, t, v: the chain of plateaus with the best score. A step up within rate * dt + 3 gains 1 + 0.002 * min(step, 60); a reset (to at most 8 from over 20, more than 0.3 later) loses 1."""
+def best_chain(points: DataFrame, by: Sequence[str], rate: float = 25.0) -> DataFrame:
+    """by, t0, t1, v: the chain of plateaus(by, t0, t1, v) with the best score.
+
+    Each counts 1; time runs from the end of one to the start of the next, and must run. A step up of at most rate * time + 3 gains
+    1 + 0.002 * min(step, 60); a reset (to at most 8 from over 20, more than 0.3 later) loses 1. Ties: the earlier plateau.
+    """
 
     def solve(d: pd.DataFrame) -> pd.DataFrame:
-        t, v = d["t"].to_numpy(float), d["v"].to_numpy(float)
-        score, back = np.zeros(len(d)), np.full(len(d), -1)
+        start, end, v = (d[c].to_numpy(float) for c in ("t0", "t1", "v"))
+        score, back = np.ones(len(d)), np.full(len(d), -1)
         for j in range(1, len(d)):
-            dv, dt = v[j] - v[:j], t[j] - t[:j]
+            dv, dt = v[j] - v[:j], start[j] - end[:j]
             gain = np.where((dv >= 0) & (dv <= rate * dt + 3), 1 + 0.002 * np.minimum(dv, 60), np.where((v[j] <= 8) & (v[:j] > 20) & (dt > 0.3), -1.0, -np.inf))
+            gain[dt <= 0] = -np.inf
             i = int(np.argmax(score[:j] + gain))
-            if score[i] + gain[i] > 0:
+            if score[i] + gain[i] > 1:
                 score[j], back[j] = score[i] + gain[i], i
         out, j = [], int(np.argmax(score)) if len(d) else -1
         while j >= 0:
             out.append(j)
             j = back[j]
-        return d.iloc[out[::-1]][["t", "v"]]
+        return d.iloc[out[::-1]][["t0", "t1", "v"]]
 
     kinds = {f.name: f.dataType.simpleString() for f in points.schema.fields}
-    return per_series(points.select(*by, "t", "v"), by, solve, f"t {kinds['t']}, v {kinds['v']}", ("t", "v"))
+    return per_series(points.select(*by, "t0", "t1", "v"), by, solve, f"t0 {kinds['t0']}, t1 {kinds['t1']}, v {kinds['v']}", ("t0", "t1", "v"))
 
 
 def cumulate(reads: DataFrame, totals: DataFrame, by: Sequence[str], per_break: int = 0) -> DataFrame:
@@ -257,20 +278,27 @@ def window_mode(reads: DataFrame, windows: DataFrame, by: Sequence[str], window:
     return best.select(*by, window, F.when(good, F.col("_b.error")).alias("error"), F.col("_b.n").alias("n"), "frames")
 
 
-def window_median_pull(reads: DataFrame, by: Sequence[str], cell: str = "cell", at: str = "at", span: float = 1.0) -> DataFrame:
-    """by, cell, value: for each window, its reads pulled twice to the v + 100 k nearest to the median, then the read nearest to `at`.
+def window_median_pull(reads: DataFrame, by: Sequence[str], most: int, cell: str = "cell", at: str = "at", span: float = 1.0) -> DataFrame:
+    """by, cell, value: for each window, its reads pulled twice to that v + 100 k (k from 0 to 9, at most `most`) nearest to the median, then the read nearest to `at`.
 
-    reads(by, cell, at, t, v). Pulled reads that still spread over 60 * span + 10 are taken raw.
+    reads(by, cell, at, t, v). A hundred can only be restored, never taken off; a read over `most` stays. The median is the upper of two middle values, of
+    the reads first, then of what they were pulled to. Pulled reads that still spread over 60 * span + 10 are taken raw. A window must fit a row.
     """
     keys = [*by, cell]
-    rows = reads.withColumn("_raw", F.col("v"))
-    for _ in range(2):
-        middle = F.percentile("v", F.lit(0.5)).over(Window.partitionBy(*keys))
-        rows = rows.withColumn("_m", middle).withColumn("v", F.col("v") + 100 * F.round((F.col("_m") - F.col("v")) / 100)).drop("_m")
-    every = Window.partitionBy(*keys)
-    wide = F.max("v").over(every) - F.min("v").over(every) > 60 * span + 10
-    rows = rows.withColumn("_v", F.when(wide, F.col("_raw")).otherwise(F.col("v")))
-    return rows.groupBy(*keys).agg(F.min_by("_v", F.struct(F.abs(F.col("t") - F.col(at)), "t", "_v")).cast("long").alias("value"))
+    rows = reads.filter("v IS NOT NULL").groupBy(*keys, at).agg(F.array_sort(F.collect_list(F.struct("t", "v"))).alias("w"))
+    values = lambda w: F.transform(w, lambda x: x["v"])
+    upper = lambda a: F.array_sort(a)[F.floor(F.size(a) / 2).cast("int")]
+
+    def pulled(v: Column, middle: Column) -> Column:
+        steps = F.filter(F.transform(F.sequence(F.lit(0), F.lit(9)), lambda k: v + 100 * k), lambda c: c <= most)
+        return F.coalesce(F.array_min(F.transform(steps, lambda c: F.struct(F.abs(c - middle).alias("d"), c.alias("c"))))["c"], v)
+
+    rows = rows.withColumn("_m", upper(values(F.col("w"))))
+    rows = rows.withColumn("_p", F.transform(values(F.col("w")), lambda v: pulled(v, F.col("_m")))).withColumn("_m", upper(F.col("_p")))
+    rows = rows.withColumn("_p", F.transform(values(F.col("w")), lambda v: pulled(v, F.col("_m"))))
+    rows = rows.withColumn("_p", F.when(F.array_max("_p") - F.array_min("_p") > 60 * span + 10, values(F.col("w"))).otherwise(F.col("_p")))
+    nearest = F.array_min(F.zip_with("w", "_p", lambda x, p: F.struct(F.abs(x["t"] - F.col(at)).alias("d"), x["t"].alias("t"), x["v"].alias("v"), p.alias("p"))))["p"]
+    return rows.select(*keys, nearest.cast("long").alias("value"))
 
 
 def measure_lag(reads: DataFrame, taps: DataFrame, by: Sequence[str], apart: float = 0.25, within: float = 0.30, default: float = 0.0, least: int = 15) -> DataFrame:

@@ -50,19 +50,20 @@ def occupancy_spans(signal: DataFrame, by: Sequence[str], value: str, thresh: fl
     return rows.groupBy(*by, "_run").agg(F.min("frame").alias("f0"), F.max("frame").alias("f1"), F.count("*").alias("frames")).filter(F.col("f1") - F.col("f0") + 1 >= least).drop("_run")
 
 
-def learned_floor(detections: DataFrame, by: Sequence[str], strong: float, share: float, saturation: float, least: int = 40) -> DataFrame:
-    """detections(by, q, sat) at or over their series' floor and saturation, with floor: share of the 10th percentile of q of the strong ones (sat >= strong), 0 under `least` of them."""
-    hard = F.when(F.col("sat") >= strong, F.col("q"))
-    floors = detections.groupBy(*by).agg(F.percentile(hard, F.lit(0.1)).alias("_p"), F.count(hard).alias("_n"))
+def learned_floor(detections: DataFrame, by: Sequence[str], correlation: float, strong: float = 0.6, share: float = 0.35, least: int = 40) -> DataFrame:
+    """detections(by, q, sat) of at least that correlation q and of their series' floor of saturation, with floor: share of the 10th percentile of sat of those with q >= strong, 0 under `least` of them."""
+    sure = F.when(F.col("q") >= strong, F.col("sat"))
+    floors = detections.groupBy(*by).agg(F.percentile(sure, F.lit(0.1)).alias("_p"), F.count(sure).alias("_n"))
     floors = floors.select(*by, F.when(F.col("_n") >= least, F.col("_p") * share).otherwise(0.0).alias("floor"))
-    return detections.join(floors, list(by)).filter((F.col("q") >= F.col("floor")) & (F.col("sat") >= saturation))
+    return detections.join(floors, list(by)).filter((F.col("q") >= correlation) & (F.col("sat") >= F.col("floor")))
 
 
 def track(detections: DataFrame, by: Sequence[str], reach: float = 26, keep: float = 0.6, misses: int = 2) -> DataFrame:
-    """by, track, frame, t, y: greedy links of detections(by, frame, t, y) to the nearest predicted position within reach.
+    """by, track, frame, t, y: greedy links of detections(by, frame, t, y) to the nearest predicted position less than reach away.
 
-    Frame by frame, tracks by age; a track's velocity per frame is averaged as keep * new +
-    (1 - keep) * old; a track that misses more than `misses` frames ends.
+    Frame by frame, tracks by age. A track is expected one step of its velocity after its last position, however
+    many frames it missed; its velocity is the first step, then keep * old + (1 - keep) * the last step. A track that
+    misses more than `misses` frames ends; frames without detections count.
     """
 
     def link(d: pd.DataFrame) -> pd.DataFrame:
@@ -72,12 +73,12 @@ def track(detections: DataFrame, by: Sequence[str], reach: float = 26, keep: flo
             free = dict(zip(rows.index, rows["y"].astype(float), strict=True))
             live = [k for k in live if frame - k["frame"] <= misses + 1]
             for k in live:
-                want = k["y"] + k["v"] * (frame - k["frame"])
+                want = k["y"] + k["v"]
                 near = min(free, key=lambda i: (abs(free[i] - want), i), default=None)
-                if near is not None and abs(free[near] - want) <= reach:
+                if near is not None and abs(free[near] - want) < reach:
                     y = free.pop(near)
-                    step = (y - k["y"]) / (frame - k["frame"])
-                    k["v"] = keep * step + (1 - keep) * k["v"] if k["n"] > 1 else step
+                    step = y - k["y"]
+                    k["v"] = keep * k["v"] + (1 - keep) * step if k["n"] > 1 else step
                     k |= {"y": y, "frame": frame, "n": k["n"] + 1}
                     out[near] = k["name"]
             for i, y in free.items():

@@ -125,7 +125,7 @@ SQL = {
     "f7_newest_source": """WITH c AS (SELECT p_partkey AS chart, p_brand || '/' || p_size AS code, p_partkey % 4 AS era FROM part), t AS (SELECT DISTINCT l_orderkey AS source, l_orderkey % 4 AS e, p_brand || '/' || p_size AS code FROM lineitem JOIN part ON l_partkey = p_partkey),
         b AS (SELECT chart, source, e FROM c JOIN t ON c.code = t.code AND c.era = t.e QUALIFY row_number() OVER (PARTITION BY chart ORDER BY e DESC, source) = 1),
         n AS (SELECT p_partkey AS chart, p_partkey % 50 AS now, CASE WHEN p_partkey % 6 <> 0 THEN p_partkey % 3 END AS nera FROM part WHERE p_partkey % 2 = 0)
-        SELECT c.chart, b.source, b.e AS era, CASE WHEN b.source IS NULL THEN 'none' WHEN b.source = now THEN 'current' WHEN now IS NULL THEN 'as_new' WHEN nera IS NULL THEN 'unknown' WHEN b.e > nera THEN 'upgrade' ELSE 'current' END AS action FROM c LEFT JOIN b ON c.chart = b.chart LEFT JOIN n ON c.chart = n.chart""",
+        SELECT c.chart, b.source, b.e AS era, CASE WHEN now IS NULL THEN 'none' WHEN b.source = now THEN 'current' WHEN nera IS NULL THEN 'unknown' WHEN b.e > nera THEN 'upgrade' ELSE 'as_new' END AS action FROM c JOIN b ON c.chart = b.chart LEFT JOIN n ON c.chart = n.chart""",
     "f7_sides": "WITH l AS (SELECT l_orderkey, l_linenumber AS code, max(l_quantity) AS level FROM lineitem WHERE l_linenumber <= 2 GROUP BY ALL) SELECT *, CASE WHEN count(*) OVER (PARTITION BY l_orderkey) = 1 THEN 'Center' WHEN row_number() OVER (PARTITION BY l_orderkey ORDER BY level, code) = 1 THEN 'Left' ELSE 'Right' END AS side FROM l",
     "f8_copies_disagree": "WITH s AS (SELECT o_custkey || '/' || o_orderstatus AS name, o_orderkey AS copy, o_orderdate AS d, sha256(string_agg(sha256(l_returnflag), ',' ORDER BY sha256(l_returnflag))) AS signature FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL) SELECT name, copy, signature, row_number() OVER w = 1 AS current, signature = first_value(signature) OVER w AS agrees FROM s WINDOW w AS (PARTITION BY name ORDER BY d DESC, copy)",
     "f9_twins": "SELECT p_partkey, count(*) OVER w AS n, CASE WHEN p_partkey = min(p_partkey) OVER w THEN lead(p_partkey) OVER (w2) ELSE min(p_partkey) OVER w END AS twin FROM part WINDOW w AS (PARTITION BY p_name, p_type, p_size), w2 AS (PARTITION BY p_name, p_type, p_size ORDER BY p_partkey) QUALIFY count(*) OVER w > 1",

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import series as op
-from .adapters import EVENTS, HOUR, events
+from .adapters import EVENTS, HOUR, MINUTE, events
 
 BY = ["series"]
+C = F.col
 
 
 def _reads(spark, sf):
@@ -41,7 +42,16 @@ def continuity_repair(spark, sf):
 
 
 def segment_runs(spark, sf):
-    return op.segment_runs(events(spark, sf), BY, 100, 1)
+    return op.segment_runs(events(spark, sf), BY, 100, 2)
+
+
+def cut_runs(spark, sf):
+    return op.cut_runs(events(spark, sf), BY, 100, 2).select("series", "id", "run")
+
+
+def confirmed_runs(spark, sf):
+    """Reads of hundreds, a run at the least after six days."""
+    return op.confirmed_runs(events(spark, sf).withColumn("v", F.floor(C("v") / 20)), BY, 144 * HOUR, 6, 9, 3, 48 * HOUR)
 
 
 def reset_candidates(spark, sf):
@@ -58,7 +68,9 @@ def solve_runs(spark, sf):
 
 
 def best_chain(spark, sf):
-    return op.best_chain(events(spark, sf), BY, 5 / HOUR)
+    """Purchases as plateaus of as many minutes as their k says."""
+    points = events(spark, sf, "purchase").select("series", C("t").alias("t0"), (C("t") + C("k") * MINUTE).alias("t1"), (C("v") % 60).alias("v"))
+    return op.best_chain(points, BY, 5 / HOUR)
 
 
 def _runs(spark, sf):
@@ -88,7 +100,7 @@ def window_mode(spark, sf):
 def window_median_pull(spark, sf):
     day = F.floor(F.col("t") / (96 * HOUR))
     rows = events(spark, sf).select("series", day.alias("cell"), (day * 96 * HOUR + 48 * HOUR).alias("at"), "t", "v")
-    return op.window_median_pull(rows, BY)
+    return op.window_median_pull(rows, BY, 700)
 
 
 def measure_lag(spark, sf):
@@ -101,7 +113,7 @@ def resample(spark, sf):
 
 
 QUERIES = {
-    "d1_persistent": persistent, "d2_plateaus": plateaus, "d2_still_points": still_points, "d3_lnds": lnds, "d4_monotone_stack": monotone_stack, "d5_continuity_repair": continuity_repair, "d6_segment_runs": segment_runs,
+    "d1_persistent": persistent, "d2_plateaus": plateaus, "d2_still_points": still_points, "d3_lnds": lnds, "d4_monotone_stack": monotone_stack, "d5_continuity_repair": continuity_repair, "d6_cut_runs": cut_runs, "d6_confirmed_runs": confirmed_runs, "d6_segment_runs": segment_runs,
     "d7_reset_candidates": reset_candidates, "d8_solve_runs": solve_runs, "d9_best_chain": best_chain, "d10_cumulate": cumulate, "d11_window_mode": window_mode, "d12_window_median_pull": window_median_pull, "d13_measure_lag": measure_lag, "d14_resample": resample,
 }
 
@@ -129,11 +141,13 @@ SQL = {
         x AS (SELECT w.series, wid, r.v % 3 - expected AS error, count(*) AS n, count(DISTINCT r.t // {240 * HOUR}) AS runs FROM w JOIN reads r ON r.series = w.series AND r.t BETWEEN s AND e GROUP BY ALL),
         y AS (SELECT *, sum(n) OVER (PARTITION BY series, wid) AS frames FROM x QUALIFY row_number() OVER (PARTITION BY series, wid ORDER BY n DESC, error) = 1)
         SELECT series, wid AS window, CASE WHEN n >= 2 AND n >= 0.5 * frames AND runs = 1 THEN error END AS error, n, CAST(frames AS BIGINT) AS frames FROM y""",
-    "d12_window_median_pull": f"""WITH {EVENTS}, a AS (SELECT series, t // {96 * HOUR} AS cell, t, v FROM events_),
-        b AS (SELECT *, v + 100 * round((quantile_cont(v, 0.5) OVER (PARTITION BY series, cell) - v) / 100) AS p FROM a),
-        c AS (SELECT *, p + 100 * round((quantile_cont(p, 0.5) OVER (PARTITION BY series, cell) - p) / 100) AS q FROM b),
-        d AS (SELECT *, CASE WHEN max(q) OVER (PARTITION BY series, cell) - min(q) OVER (PARTITION BY series, cell) > 70 THEN v ELSE q END AS f FROM c)
-        SELECT series, cell, CAST(arg_min(f, abs(t - (cell * {96 * HOUR} + {48 * HOUR}))) AS BIGINT) AS value FROM d GROUP BY ALL""",
+    "d6_cut_runs": f"WITH {EVENTS}, n AS (SELECT *, coalesce(max(v) OVER (PARTITION BY series ORDER BY t, v ROWS BETWEEN CURRENT ROW AND 1 FOLLOWING) < lag(v) OVER (PARTITION BY series ORDER BY t, v) - 100, false)::INT AS new FROM events_) SELECT series, id, CAST(sum(new) OVER (PARTITION BY series ORDER BY t, v ROWS UNBOUNDED PRECEDING) AS BIGINT) AS run FROM n",
+    "d12_window_median_pull": f"""WITH {EVENTS}, a AS (SELECT series, t // {96 * HOUR} AS cell, list(v ORDER BY t, v) AS w, list(abs(t - (t // {96 * HOUR} * {96 * HOUR} + {48 * HOUR})) ORDER BY t, v) AS d FROM events_ GROUP BY ALL),
+        b AS (SELECT *, list_sort(w)[len(w) // 2 + 1] AS m FROM a),
+        c AS (SELECT *, list_transform(w, lambda v: coalesce(list_sort(list_transform(list_filter(range(10), lambda k: v + 100 * k <= 700), lambda k: [abs(v + 100 * k - m), v + 100 * k]))[1][2], v)) AS p FROM b),
+        e AS (SELECT series, cell, w, d, list_sort(p)[len(p) // 2 + 1] AS m FROM c),
+        f AS (SELECT *, list_transform(w, lambda v: coalesce(list_sort(list_transform(list_filter(range(10), lambda k: v + 100 * k <= 700), lambda k: [abs(v + 100 * k - m), v + 100 * k]))[1][2], v)) AS p FROM e)
+        SELECT series, cell, CAST((CASE WHEN list_max(p) - list_min(p) > 70 THEN w ELSE p END)[list_position(d, list_min(d))] AS BIGINT) AS value FROM f""",
     "d13_measure_lag": f"""WITH {EVENTS}, c AS (SELECT series, t, t - lag(t) OVER w AS a, lead(t) OVER w - t AS b FROM events_ WHERE kind = 'click' WINDOW w AS (PARTITION BY series ORDER BY t)),
         s AS (SELECT series, t FROM (SELECT series, t, v > lag(v) OVER (PARTITION BY series ORDER BY t) AS up FROM events_) WHERE up),
         d AS (SELECT c.series, s.t - c.t AS d FROM c ASOF JOIN s ON c.series = s.series AND c.t <= s.t WHERE coalesce(a, 1e18) >= {5 * HOUR} AND coalesce(b, 1e18) >= {5 * HOUR} AND s.t - c.t <= {20 * HOUR})

@@ -47,7 +47,11 @@ def fit_zero(spark, sf):
 
 
 def fit_lattice(spark, sf):
-    return align.fit_lattice(events(spark, sf).select("series", (C("k") / 24 + C("v") % 7).alias("beat")), BY, (1, 2, 3, 4, 6, 12), 0.05)
+    """Events in hours against a tempo map with a purchase every other beat."""
+    hour = (C("t") - 1_704_067_200_000_000) / HOUR
+    order = Window.partitionBy("series").orderBy("t")
+    tempo = events(spark, sf, "purchase").groupBy("series", "t").agg(F.count("*").alias("n")).select("series", hour.alias("t"), (2 * F.row_number().over(order)).cast("double").alias("beat"))
+    return align.fit_lattice(events(spark, sf).select("series", hour.alias("t")), tempo, BY, (1, 2, 3, 4), -1, 1, 0.05, 0.004)
 
 
 def fit_clock(spark, sf):
@@ -96,7 +100,7 @@ def occupancy_spans(spark, sf):
 
 def learned_floor(spark, sf):
     rows = events(spark, sf).select("series", "id", C("v").cast("double").alias("q"), C("k").alias("sat"))
-    return op.learned_floor(rows, BY, 50, 2.0, 20, 20).select("series", "id", F.round("floor", 6).alias("floor"))
+    return op.learned_floor(rows, BY, 100, 200, 2.0, 20).select("series", "id", F.round("floor", 6).alias("floor"))
 
 
 def track(spark, sf):
@@ -153,8 +157,8 @@ _TAPS = "(SELECT count(*) FROM events_ c WHERE c.kind = 'click' AND c.series = {
 
 SQL = {
     "e1_offset_sweep": f"WITH {EVENTS}, {_M}, o AS (SELECT range AS o FROM range(-600, 601, 20)), h AS (SELECT a.series, o, a.c, a.t, min(b.t) AS r FROM a JOIN o ON true JOIN b ON a.series = b.series AND a.c = b.c AND b.t >= a.t + o - 30 GROUP BY ALL), s AS (SELECT series, o, count(*) AS hits, quantile_cont(abs(r - t - o), 0.5) AS e FROM h WHERE r <= t + o + 30 GROUP BY ALL) SELECT series, o AS \"offset\", hits, e AS error FROM s QUALIFY row_number() OVER (PARTITION BY series ORDER BY hits DESC, e, o) = 1",
-    "e2_fit_violation": f"WITH {EVENTS}, {_O}, g AS (SELECT series, t, v % 20 AS cum, o, v % 20 - {_TAPS.format(s='e.series', t='e.t - o')} AS k FROM events_ e, o WHERE kind = 'purchase'), m AS (SELECT *, max(k) OVER (PARTITION BY series, o ORDER BY t, cum ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM g), s AS (SELECT series, o, CAST(sum(greatest(-k, 0) + coalesce(greatest(top - k, 0), 0)) AS BIGINT) AS score FROM m GROUP BY ALL) SELECT series, o AS \"offset\", score FROM s QUALIFY row_number() OVER (PARTITION BY series ORDER BY score, o) = 1",
-    "e3_fit_two_sided": f"WITH {EVENTS}, {SPANS('h', 'view', 1)}, {_O}, p AS (SELECT series, t AS s, lead(t) OVER w AS e, lead(v % 5) OVER w - v % 5 AS d FROM events_ WHERE kind = 'purchase' WINDOW w AS (PARTITION BY series ORDER BY t, v % 5)), q AS (SELECT series, s - o AS s, e - o AS e, d, o FROM p, o WHERE e - s BETWEEN {HOUR} AND {100 * HOUR}), r AS (SELECT series, o, abs(d - (SELECT count(*) FROM events_ c WHERE c.kind = 'click' AND c.series = q.series AND c.t > q.s AND c.t <= q.e)) AS x FROM q WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.series = q.series AND q.s - {10 * MINUTE} < h.e AND h.s < q.e + {10 * MINUTE})), g AS (SELECT series, o, avg(x) AS error, count(*) AS n FROM r GROUP BY ALL HAVING count(*) >= 3) SELECT series, o AS \"offset\", round(error, 6) AS error, n FROM g QUALIFY row_number() OVER (PARTITION BY series ORDER BY round(error, 9), o) = 1",
+    "e2_fit_violation": f"WITH {EVENTS}, {_O}, g AS (SELECT series, t, v % 20 AS cum, o, v % 20 - {_TAPS.format(s='e.series', t='e.t - o')} AS k FROM events_ e, o WHERE kind = 'purchase'), m AS (SELECT *, max(k) OVER (PARTITION BY series, o ORDER BY t, cum ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM g), s AS (SELECT series, o, CAST(sum(greatest(-k, 0) + greatest(greatest(coalesce(top, -1), -1) - k, 0)) AS BIGINT) AS score FROM m GROUP BY ALL) SELECT series, o AS \"offset\", score FROM s QUALIFY row_number() OVER (PARTITION BY series ORDER BY score, o) = 1",
+    "e3_fit_two_sided": f"WITH {EVENTS}, {SPANS('h', 'view', 1)}, {_O}, p AS (SELECT series, t AS s, lead(t) OVER w AS e, lead(v % 5) OVER w - v % 5 AS d FROM events_ WHERE kind = 'purchase' WINDOW w AS (PARTITION BY series ORDER BY t, v % 5)), q AS (SELECT series, s - o AS s, e - o AS e, d, o FROM p, o WHERE e - s BETWEEN {HOUR} AND {100 * HOUR} AND d >= 0 AND s >= o), r AS (SELECT series, o, abs(d - (SELECT count(*) FROM events_ c WHERE c.kind = 'click' AND c.series = q.series AND c.t > q.s AND c.t <= q.e)) AS x FROM q WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.series = q.series AND q.s - {10 * MINUTE} < h.e AND h.s < q.e + {10 * MINUTE})), g AS (SELECT series, o, avg(x) AS error, count(*) AS n FROM r GROUP BY ALL HAVING count(*) >= 3) SELECT series, o AS \"offset\", round(error, 6) AS error, n FROM g QUALIFY row_number() OVER (PARTITION BY series ORDER BY round(error, 9), o) = 1",
     "e4_fit_zero": f"WITH {EVENTS}, {_O}, g AS (SELECT series, o, count(*) FILTER (v % 15 = {_TAPS.format(s='e.series', t='e.t - o')}) AS z FROM events_ e, o WHERE kind = 'purchase' GROUP BY ALL) SELECT series, o AS \"offset\", z AS zeros FROM g QUALIFY row_number() OVER (PARTITION BY series ORDER BY z DESC, o) = 1",
     "e6_fit_clock": f"WITH {EVENTS}, a AS (SELECT series, (t - 1705320000000000) / {HOUR} AS t FROM events_ WHERE kind = 'click'), b AS (SELECT series, (t - 1705320000000000) / {HOUR} AS r FROM events_ WHERE kind = 'purchase'), p AS (SELECT b.series, r, a.t FROM b JOIN a ON a.series = b.series QUALIFY row_number() OVER (PARTITION BY b.series, r ORDER BY abs(a.t - r), a.t) = 1), g AS (SELECT series, regr_slope(t, r) AS k, avg(r) AS x, avg(t) AS y, count(*) AS n FROM p WHERE abs(t - r) <= 6 GROUP BY 1), c AS (SELECT *, greatest(0.99, least(1.01, coalesce(k, 1))) AS s, n >= 3 AS ok FROM g) SELECT u.series, round(CASE WHEN ok THEN s ELSE 1 END, 5) AS slope, round(CASE WHEN ok THEN y - s * x ELSE 0 END, 3) + 0.0 AS intercept, CASE WHEN ok THEN n ELSE 0 END AS n FROM (SELECT DISTINCT series FROM a) u LEFT JOIN c ON u.series = c.series",
     "e7_tempo_scan": f"WITH {EVENTS}, b AS (SELECT 60 + range / 2 AS bpm FROM range(41)), g AS (SELECT series, bpm, round(sqrt(avg(cos({2 * math.pi} * (v + k / 100) * bpm * 12 / 60)) ** 2 + avg(sin({2 * math.pi} * (v + k / 100) * bpm * 12 / 60)) ** 2), 9) AS s FROM events_, b GROUP BY ALL), t AS (SELECT * FROM g QUALIFY row_number() OVER (PARTITION BY series ORDER BY s DESC, bpm) = 1), e AS (SELECT g.series, g.bpm FROM g JOIN t ON g.series = t.series AND abs(g.bpm - t.bpm) > 0.5 QUALIFY row_number() OVER (PARTITION BY g.series ORDER BY g.s DESC, g.bpm) = 1) SELECT t.series, t.bpm, round(t.s, 6) AS strength, e.bpm AS elsewhere FROM t LEFT JOIN e ON t.series = e.series",
@@ -162,7 +166,7 @@ SQL = {
     "e9_accrual_map": f"WITH {EVENTS}, {SPANS('h', 'view', 2)}, k AS (SELECT series, t, v % 20 AS cum, v % 20 - {_TAPS.format(s='e.series', t='e.t')} AS k FROM events_ e WHERE kind = 'purchase'), m AS (SELECT *, max(k) OVER (PARTITION BY series ORDER BY t, cum ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top, lag(t) OVER (PARTITION BY series ORDER BY t, cum) AS s FROM k) SELECT series, s, t AS e, k - top AS gain, EXISTS (SELECT 1 FROM h WHERE h.series = m.series AND m.s < h.e AND h.s < m.t) AS held FROM m WHERE k > top",
     "j1_rises": f"WITH {EVENTS}, {_F}, r AS (SELECT series, frame, v - quantile_cont(v, 0.3) OVER (PARTITION BY series ORDER BY frame ROWS 30 PRECEDING) AS rise, count(*) OVER (PARTITION BY series) AS n FROM f), m AS (SELECT *, max(rise) OVER (PARTITION BY series ORDER BY frame ROWS BETWEEN 4 PRECEDING AND 4 FOLLOWING) AS top FROM r) SELECT series, frame, round(rise, 6) AS rise FROM m WHERE rise = top AND rise > 50 AND frame > 4 AND frame <= n - 4",
     "j2_occupancy_spans": f"WITH {EVENTS}, {_F}, o AS (SELECT series, frame, CASE WHEN frame - lag(frame) OVER (PARTITION BY series ORDER BY frame) <= 4 THEN 0 ELSE 1 END AS new FROM f WHERE v >= 120), g AS (SELECT *, sum(new) OVER (PARTITION BY series ORDER BY frame) AS run FROM o) SELECT series, min(frame) AS f0, max(frame) AS f1, count(*) AS frames FROM g GROUP BY series, run HAVING max(frame) - min(frame) >= 2",
-    "j3_learned_floor": f"WITH {EVENTS}, p AS (SELECT series, CASE WHEN count(*) FILTER (k >= 50) >= 20 THEN 2 * quantile_cont(v, 0.1) FILTER (k >= 50) ELSE 0 END AS f FROM events_ GROUP BY 1) SELECT e.series, id, round(f, 6) AS floor FROM events_ e JOIN p ON e.series = p.series WHERE v >= f AND k >= 20",
+    "j3_learned_floor": f"WITH {EVENTS}, p AS (SELECT series, CASE WHEN count(*) FILTER (v >= 200) >= 20 THEN 2 * quantile_cont(k, 0.1) FILTER (v >= 200) ELSE 0 END AS f FROM events_ GROUP BY 1) SELECT e.series, id, round(f, 6) AS floor FROM events_ e JOIN p ON e.series = p.series WHERE v >= 100 AND k >= f",
     "j5_fit_tracks": f"WITH {EVENTS}, r AS (SELECT series, t // {96 * HOUR} AS track, (t - 1704067200000000) / {HOUR} AS t, v AS y FROM events_), g AS (SELECT series, track, count(*) AS n, regr_slope(y, t) AS k, avg(t) AS mt, avg(y) AS my FROM r GROUP BY ALL) SELECT series, track, n, round(k, 6) AS v, round(mt + (250 - my) / k, 4) AS t FROM g WHERE n >= 4 AND k <= -0.5",
     "j6_merge_close": f"WITH {EVENTS}, {_N}, u AS (SELECT series, col, t, max(frames) AS frames FROM n0 GROUP BY ALL), m AS (SELECT *, CASE WHEN t - lag(t) OVER (PARTITION BY series, col ORDER BY t) < 600 THEN 0 ELSE 1 END AS new FROM u), g AS (SELECT *, sum(new) OVER (PARTITION BY series, col ORDER BY t) AS run FROM m) SELECT series, col, t, frames FROM g QUALIFY row_number() OVER (PARTITION BY series, col, run ORDER BY frames DESC, t) = 1",
     "j7_mark_holds": f"WITH {EVENTS}, {SPANS('v', 'view', 2)}, n AS (SELECT DISTINCT series, t // 60000000 AS t FROM events_ WHERE kind = 'click'), r AS (SELECT DISTINCT series, s // 60000000 AS s, e // 60000000 AS e FROM v), c AS (SELECT r.series, s, e, n.t FROM r JOIN n ON r.series = n.series QUALIFY row_number() OVER (PARTITION BY r.series, s, e ORDER BY abs(n.t - s), n.t) = 1), k AS (SELECT series, t, max(e) AS hold_end FROM c WHERE abs(t - s) <= least(300, greatest(60, 0.6 * (e - s))) GROUP BY ALL), x AS (SELECT n.series, n.t, k.hold_end, p.hold_end AS pe FROM n LEFT JOIN k ON n.series = k.series AND n.t = k.t ASOF LEFT JOIN k p ON n.series = p.series AND n.t > p.t) SELECT series, t, hold_end FROM x WHERE pe IS NULL OR t > pe OR hold_end IS NOT NULL",
