@@ -1,13 +1,14 @@
 """Mixing sources to target weights by entropy balancing.
 
-Base weights are the documents' sizes (each token weighs the same), and each source's
-share of tokens is one constraint. The rates that keep the least relative entropy to
-the base are exponential tilts, exp(lambda of the source); lambda maximises a convex
-dual, which Newton iterations solve. Every iteration is one aggregation over the
-counts of (source, size), so documents are read once. Rates become whole copies by
-systematic rounding along the order of sizes in a source, so a source's tokens miss
-its target by less than its longest document; then a few documents of falling size,
-two for each power of two, take one copy more or less to close the rest.
+Every document starts with weight 1, and each source's tokens must come to its target. The
+rates that keep the least relative entropy to that start are exponential tilts: a
+document's rate is exp(lambda of its source * its size), at most the cap. lambda
+maximises a convex dual, which Newton iterations solve for all sources at once, each one
+an aggregation over the counts of (source, size), so documents are read once. A step that
+leaves the bracket of the optimum is replaced by its middle, so the iterations always end. Rates
+become whole copies by systematic rounding along the order of sizes in a source, so a
+source's tokens come near its target; then a few documents of falling size, two for each
+power of two, take one copy more or less to close the rest.
 
 Sources are rows of a table throughout, so there may be any number of them. Documents
 of one source and size, which may be a third of all, are dealt to parts by a hash, the
@@ -29,8 +30,8 @@ from ..operators._range import numbered
 
 #: Documents for each part that the documents of one source and size are dealt to for counting; the fewest parts.
 PART_ROWS, PARTS = 500_000, 16
-#: Newton steps after which a mix that hasn't converged is an error.
-STEPS = 60
+#: Of three steps, the third halves the bracket whatever Newton's method says, so that it shrinks without limit.
+HALVE = 3
 
 
 def word_count(text: Column) -> Column:
@@ -66,26 +67,43 @@ def with_targets(totals: DataFrame, weights: Sequence[float], cap: float) -> Dat
         rows = rows.withColumn("full", F.col("full") | over).checkpoint()
 
 
+def tilted_rate(cap: float) -> Column:
+    """The rate of a document of a size, by its source's tilt and scale: exp(tilt * size / scale), at most cap."""
+    return F.exp(F.least(F.lit(math.log(cap)), F.coalesce(F.nanvl(F.col("tilt") * F.col("size") / F.col("scale"), F.lit(0.0)), F.lit(0.0))))
+
+
 def with_tilts(sources: DataFrame, counts: DataFrame, cap: float, tolerance: float = 1e-9) -> DataFrame:
-    """sources(source, total, target) with tilt: lambda by Newton's method on the dual, all sources at once; infinite where the target is the cap itself.
+    """sources(source, total, target) with scale (its mean size), tilt and steps: lambda (by scale) from 0 by Newton's method on the dual, all sources at once.
 
-    counts(source, size, n). A source of total 0 has tilt 0, one of target 0 minus infinity.
-    Steps start at the logarithm of target over total, where a separable dual has its optimum but for rounding.
+    counts(source, size, n). tilt is infinite where the target is the cap itself, minus infinity where it is 0, 0 for a source of
+    total 0. A step is Newton's if it stays inside the bracket of tilts known to give too little and too much, and
+    isn't every third one; else the bracket's middle, or twice as far where it is still open. It ends where the tokens are
+    within `tolerance` of the target, or the bracket has no number left inside.
     """
     total, target = F.col("total"), F.col("target")
     fixed = F.when(total == 0, 0.0).when(target >= cap * total, math.inf).when(target <= 0, -math.inf)
-    state = sources.select("source", "total", "target", F.coalesce(fixed, F.log(target / total)).alias("tilt"), fixed.isNotNull().alias("done")).checkpoint()
-    for _ in range(STEPS):
-        if state.filter("NOT done").isEmpty():
-            return state.drop("done")
-        mass = F.sum(F.col("size") * F.col("n") * F.exp("tilt"))
-        sums = _joined(counts, state.filter("NOT done"), "source").groupBy("source").agg(mass.alias("gradient"), mass.alias("curvature"))
-        missing = F.col("target") - F.col("gradient")
-        step = F.greatest(F.lit(-2.0), F.least(F.lit(2.0), missing / F.col("curvature")))
+    means = counts.filter("size > 0 AND n > 0").groupBy("source").agg((F.sum(F.col("size") * F.col("n")) / F.sum("n")).alias("scale"))
+    start = _joined(sources.select("source", "total", "target"), means, "source", how="left")
+    state = start.select("source", "total", "target", F.coalesce("scale", F.lit(1.0)).alias("scale"), F.coalesce(fixed, F.lit(0.0)).alias("tilt"), F.lit(-math.inf).alias("low"), F.lit(math.inf).alias("high"), fixed.isNotNull().alias("done"), F.lit(0).alias("steps")).checkpoint()
+    k = 0
+    while not state.filter("NOT done").isEmpty():
+        k += 1
+        open_ = state.filter("NOT done").select("source", "tilt", "scale")
+        rows = _joined(counts, open_, "source").withColumn("rate", tilted_rate(cap)).withColumn("x", F.col("size") / F.col("scale"))
+        tokens = F.col("size") * F.col("n") * F.col("rate")
+        sums = rows.groupBy("source").agg(F.sum(tokens).alias("mass"), F.sum(F.when(F.col("rate") < cap, tokens * F.col("x")).otherwise(0.0)).alias("slope"))
         moved = _joined(state, sums, "source", how="left")
-        reached = F.col("done") | (F.abs(missing) <= tolerance * F.col("target"))
-        state = moved.select("source", "total", "target", F.when(F.col("done"), F.col("tilt")).otherwise(F.col("tilt") + step).alias("tilt"), reached.alias("done")).checkpoint()
-    raise ValueError(f"the dual didn't converge in {STEPS} steps")
+        tilt, missing = F.col("tilt"), F.col("target") - F.col("mass")
+        moved = moved.withColumn("low", F.when(missing > 0, F.greatest("low", tilt)).otherwise(F.col("low"))).withColumn("high", F.when(missing <= 0, F.least("high", tilt)).otherwise(F.col("high")))
+        newton = F.when(F.col("slope") > 0, tilt + missing / F.col("slope"))
+        closed = (F.col("low") > -math.inf) & (F.col("high") < math.inf)
+        middle = F.when(closed, (F.col("low") + F.col("high")) / 2).otherwise(tilt + F.when(missing > 0, 1).otherwise(-1) * F.greatest(F.lit(1.0), F.abs(tilt)))
+        inside = F.coalesce((newton > F.col("low")) & (newton < F.col("high")), F.lit(False)) & (~closed | F.lit(k % HALVE != 0))
+        nothing_left = closed & ((middle <= F.col("low")) | (middle >= F.col("high")))
+        reached = F.col("done") | (F.abs(missing) <= tolerance * F.col("target")) | nothing_left
+        new = F.when(reached, tilt).when(inside, newton).otherwise(middle)
+        state = moved.select("source", "total", "target", "scale", new.alias("tilt"), "low", "high", reached.alias("done"), F.when(F.col("done"), F.col("steps")).otherwise(F.col("steps") + 1).alias("steps")).checkpoint()
+    return state.drop("done", "low", "high")
 
 
 def mix(sized: DataFrame, weights: Sequence[float] = (5, 2, 1), cap: float = 3.0) -> DataFrame:
@@ -93,7 +111,8 @@ def mix(sized: DataFrame, weights: Sequence[float] = (5, 2, 1), cap: float = 3.0
 
     Sources by code point, null last, weigh `weights`, repeating, and share the sum of
     all sizes; targets stop at `cap` times a source's size and the excess is shared
-    anew. No document is taken more than `cap` times. Rows that repeat a doc_id, and rows
+    anew. A document's rate is exp(lambda * size), one lambda a source, so within a source the long ones
+    gain where it grows and lose where it shrinks. No document is taken more than `cap` times. Rows that repeat a doc_id, and rows
     without one, are documents of their own. Reruns agree: rounding follows size and a
     hash of doc_id (among rows that repeat a doc_id with the same source and size, which
     of them takes which copies may differ). Documents of size 0 may get copies and take nothing; a
@@ -109,17 +128,17 @@ def mix(sized: DataFrame, weights: Sequence[float] = (5, 2, 1), cap: float = 3.0
     by_size = counts.groupBy("source", "size").agg(F.sum("n").alias("n")).checkpoint()
     totals = by_size.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("total"))
     tilted = with_tilts(with_targets(totals, weights, cap), by_size, cap)
-    plan = tilted.select("source", F.col("total").alias("source_size"), "target", F.least(F.lit(cap), F.exp("tilt")).alias("rate"))
+    plan = tilted.select("source", F.col("total").alias("source_size"), "target", "scale", "tilt")
 
     up_to = lambda *key: Window.partitionBy(*key[:-1]).orderBy(key[-1]).rowsBetween(Window.unboundedPreceding, -1)
-    sizes = by_size.select("source", "size", F.coalesce(F.sum("n").over(up_to("source", "size")), F.lit(0)).alias(before))
+    rated = _joined(by_size, plan, "source").withColumn("rate", tilted_rate(cap))
+    sizes = rated.select("source", "size", "source_size", "target", "rate", F.coalesce(F.sum(F.col("n") * F.col("rate")).over(up_to("source", "size")), F.lit(0.0)).alias(before))
     parts = counts.select("source", "size", part, F.coalesce(F.sum("n").over(up_to("source", "size", part)), F.lit(0)).alias(inner))
-    offsets = _joined(parts, sizes, "source", "size").select("source", "size", part, (F.col(before) + F.col(inner)).alias(before))
-    offsets = _joined(offsets, plan, "source")
+    offsets = _joined(parts, sizes, "source", "size")
     ranked = rows.withColumn(rank, F.row_number().over(Window.partitionBy("source", "size", part).orderBy(F.xxhash64("doc_id"), "doc_id")))
     placed = _joined(ranked, offsets, "source", "size", part)
-    upto = lambda k: F.floor((F.col(before) + F.col(rank) - k) * F.col("rate") + 0.5)
-    rounded = placed.withColumn("copies", (upto(0) - upto(1)).cast("long")).drop(before).checkpoint()
+    upto = lambda k: F.floor(F.col(before) + (F.col(inner) + F.col(rank) - k) * F.col("rate") + 0.5)
+    rounded = placed.withColumn("copies", F.least(upto(0) - upto(1), F.floor(F.lit(cap))).cast("long")).drop(before, inner).checkpoint()
     corrections = _corrections(rounded, cap, part, rank, change)
     out = _joined(rounded, corrections, "source", "size", part, rank, how="left")
     out = out.select(*kept.columns, "source_size", "target", "rate", (F.col("copies") + F.coalesce(F.col(change), F.lit(0))).alias("copies"))

@@ -496,6 +496,64 @@ def test_targets_and_tilts(spark, sizes):
     assert [size * min(3.0, np.exp(tilts[n])) for n, size in zip(names, sizes, strict=True)] == pytest.approx(want)
 
 
+def plain_tilt(sizes, n, target, cap):
+    """lambda (by mean size) of one source, by halving alone."""
+    sizes, n = np.array(sizes, float), np.array(n, float)
+    scale = (sizes * n).sum() / n[sizes > 0].sum()
+    tokens = lambda tilt: (sizes * n * np.exp(np.minimum(np.log(cap), tilt * sizes / scale))).sum()
+    low, high = -1.0, 1.0
+    while tokens(low) > target:
+        low *= 2
+    while tokens(high) < target:
+        high *= 2
+    for _ in range(200):
+        middle = (low + high) / 2
+        low, high = (middle, high) if tokens(middle) < target else (low, middle)
+    return low, scale
+
+
+def test_rates_tilt_with_size(spark):
+    rng = np.random.default_rng(5)
+    sources = {"grows": 2.1, "shrinks": 0.2, "stays": 1.0, "nearly all": 2.999, "nearly nothing": 1e-4}
+    counts, totals, want = [], [], {}
+    for name, part in sources.items():
+        sizes = np.unique(np.append(rng.lognormal(5, 1.5, 60).astype(int) + 1, 0))
+        n = rng.integers(1, 50, len(sizes))
+        total = int((sizes * n).sum())
+        counts += [(name, int(a), int(b)) for a, b in zip(sizes, n, strict=True)]
+        totals.append((name, total, part * total))
+        want[name] = (*plain_tilt(sizes, n, part * total, 3.0), sizes, n)
+    got = {r.source: r for r in mixing.with_tilts(spark.createDataFrame(totals, "source string, total long, target double"), spark.createDataFrame(counts, "source string, size long, n long"), 3.0).collect()}
+    for name, total, target in totals:
+        tilt, scale, sizes, n = want[name]
+        assert got[name].scale == pytest.approx(scale) and got[name].tilt == pytest.approx(tilt, rel=1e-4, abs=1e-6)
+        rates = np.exp(np.minimum(np.log(3), got[name].tilt * sizes / scale))
+        assert (sizes * n * rates).sum() == pytest.approx(target, rel=1e-8)
+    rates = lambda name: np.exp(np.minimum(np.log(3), got[name].tilt * want[name][2] / want[name][1]))
+    assert rates("grows")[1] < rates("grows")[10] <= 3 and rates("shrinks")[1] > rates("shrinks")[10] > 0
+    assert got["grows"].steps > 3 and got["shrinks"].steps > 3 and got["stays"].tilt == 0 and got["stays"].steps == 1
+
+
+def test_copies_are_the_rounded_rates(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "PARTS", 3)
+    monkeypatch.setattr(mixing, "_corrections", lambda rounded, cap, part, rank, change: rounded.select("source", "size", part, rank, F.lit(0).cast("long").alias(change)).limit(0))
+    rng = np.random.default_rng(1)
+    sized = spark.createDataFrame([(k, "ab"[k % 2], int(rng.integers(0, 30))) for k in range(400)], "doc_id long, source string, size long")
+    rows = sized.withColumn("h", F.xxhash64("doc_id")).collect()
+    got = {r.doc_id: r for r in mixing.mix(sized).collect()}
+    for source in "ab":
+        mine = sorted((r for r in rows if r.source == source), key=lambda r: (r.size, r.h % 3, r.h))
+        target = got[mine[0].doc_id].target
+        sizes, n = np.unique([r.size for r in mine], return_counts=True)
+        tilt, scale = plain_tilt(sizes, n, target, 3.0)
+        at = 0.0
+        for r in mine:
+            rate = np.exp(min(np.log(3), tilt * r.size / scale))
+            assert got[r.doc_id].rate == pytest.approx(rate, rel=1e-6)
+            assert got[r.doc_id].copies == np.floor(at + rate + 0.5) - np.floor(at + 0.5) or abs((at + rate + 0.5) % 1 - 0.5) > 0.4999
+            at += rate
+
+
 def test_very_small_targets_converge(spark):
     rows = spark.createDataFrame([("a", 10**15, 1e-3), ("b", 10, 29.0)], "source string, total long, target double")
     counts = spark.createDataFrame([("a", 10**15, 1), ("b", 10, 1)], "source string, size long, n long")
