@@ -34,8 +34,9 @@ def text_bytes(docs: DataFrame, column: str = "text") -> int:
 
 
 def in_blocks(docs: DataFrame, n_blocks: int, *columns: str) -> DataFrame:
-    """block and the columns, dealt by block; the block follows from doc_id alone."""
-    block = F.pmod(F.xxhash64("doc_id"), F.lit(n_blocks)).cast("int").alias("block")
+    """block and the columns, dealt by block, which follows from doc_id alone; rows without one are dealt by their text."""
+    place = F.when(F.col("doc_id").isNull(), F.xxhash64(F.lit(NO_ID), "text")).otherwise(F.xxhash64("doc_id"))
+    block = F.pmod(place, F.lit(n_blocks)).cast("int").alias("block")
     return docs.select(block, *columns).repartition("block")
 
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from . import textvec as tv
-from .blocks import BLOCK_BYTES, SHARD_BYTES, answer, by_shard, counts, doc_ids, in_blocks, kept_strings, padded, text_bytes, text_chunks, unpack
+from .blocks import BLOCK_BYTES, NO_ID, SHARD_BYTES, answer, by_shard, counts, doc_ids, in_blocks, kept_strings, padded, text_bytes, text_chunks, unpack
 
 PROBES = "shard int, block int, hashes binary, prints binary, docs binary, times binary"
 ARRAYS = "shard int, levels binary, ranks binary, prints binary, counts binary, firsts binary, odd_keys binary, odd_prints binary, odd_counts binary, odd_firsts binary"
@@ -104,10 +104,15 @@ class Lines:
         self.print = (tv.HASH_B.ranges(low, left[self.keyed], right[self.keyed]) >> np.uint64(32)).astype(np.uint32)
 
 
+#: Marks a number of documents that leaves out the one of rows without an id, which several blocks may have.
+WITHOUT_ID = 1 << 31
+
+
 def _grouped(hashes: np.ndarray, prints: np.ndarray, docs: np.ndarray, times: np.ndarray | None = None):
     """Distinct (hash, fingerprint), ordered: smallest document, number of documents, and the group of each item.
 
-    Without times, items are lines, of which a document may have several; with them, they are sums over blocks.
+    Without times, items are lines, of which a document may have several, and rows without an id are marked, not counted;
+    with them, items are blocks' numbers and marks, and those rows count as one document.
     """
     order = np.lexsort((docs, prints, hashes))
     inverse = np.empty(len(order), np.int64)
@@ -119,9 +124,13 @@ def _grouped(hashes: np.ndarray, prints: np.ndarray, docs: np.ndarray, times: np
     if times is None:
         fresh = new.copy()
         fresh[1:] |= docs[1:] != docs[:-1]
+        none = docs == NO_ID
+        fresh &= ~none
     else:
-        fresh = times[order]
+        fresh, none = times[order] & (WITHOUT_ID - 1), times[order] >= WITHOUT_ID
     n = np.add.reduceat(fresh.astype(np.int64), at) if len(at) else np.zeros(0, np.int64)
+    if len(at):
+        n += np.maximum.reduceat(none.astype(np.int64), at) * (WITHOUT_ID if times is None else 1)
     return hashes[at], prints[at], docs[at], n, inverse
 
 

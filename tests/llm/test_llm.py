@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stepwise.llm import chat, embedding_dedup, fingerprints, langid, line_dedup, mixing, near_dedup, packing, quality, queries, substring_dedup
+from stepwise.llm import blocks, chat, embedding_dedup, fingerprints, langid, line_dedup, mixing, near_dedup, packing, quality, queries, substring_dedup
 from stepwise.llm import textvec as tv
 from stepwise.llm.components import components
 from stepwise.llm.embedding_dedup import near_vectors
@@ -798,3 +798,22 @@ def test_equals_sql(spark, sf, name):
     names = [d[0] for d in found.description]
     want = sorted(repr(tuple(r[names.index(c)] for c in columns)) for r in found.fetchall())
     assert sorted(repr(tuple(r[c] for c in columns)) for r in df.collect()) == want
+
+
+# rows without an id
+
+
+def test_rows_without_an_id_are_dealt_and_count_as_one_document(spark):
+    words = " ".join(f"w{i}" for i in range(25))
+    rows = [(None, f"row number {i} of many\nheld by rows without an id only\nheld by five as well\n{words}") for i in range(40)]
+    rows += [(5, "held by five as well\nfive alone says this"), (6, f"{words} and more")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    dealt = blocks.in_blocks(docs, 8, "doc_id", "text").filter("doc_id IS NULL").select("block").distinct().count()
+    assert dealt > 3
+    of = lambda df, *columns: sorted(map(tuple, df.select("doc_id", "text", *columns).collect()), key=repr)
+    lines = [of(line_dedup.drop_repeated_lines(docs, block_bytes=size, shard_bytes=size), "n_lines", "n_dropped") for size in (1 << 20, 64, 1000)]
+    assert lines[0] == lines[1] == lines[2]
+    kept = {r[1] for r in lines[0] if r[0] is None}
+    assert all("without an id only" in t and "five" not in t for t in kept)  # one document holds the one, two hold the other
+    phrases = [of(substring_dedup.drop_repeated_phrases(docs, block_bytes=size, shard_bytes=size), "n_words", "n_removed") for size in (1 << 20, 200, 1000)]
+    assert phrases[0] == phrases[1] == phrases[2] and all(r[3] >= 25 for r in phrases[0] if r[0] is None)
