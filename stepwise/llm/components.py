@@ -80,7 +80,7 @@ def components(edges: DataFrame) -> DataFrame:
     state = None
     while True:
         stars = _small_star(_large_star(stars)).checkpoint()
-        now = stars.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1_000_003)).first()
+        now = stars.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
             break
         state = now

@@ -260,13 +260,16 @@ def _inside(regions: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFr
         row = np.repeat(np.arange(len(ids)), n)
         order = np.argsort(column, kind="stable")
         row, column = row[order], column[order]
-        both = np.zeros((len(left), len(right)), np.float32)
+        both = np.zeros((len(left), len(right)), np.int32)
         for first in range(0, int(column[-1]) + 1 if len(column) else 0, 2048):
             a, b = np.searchsorted(column, (first, first + 2048))
             holds = np.zeros((len(ids), 2048), np.float32)
             holds[row[a:b], column[a:b] - first] = 1
-            both += holds[left] @ holds[right].T
-        linked = 100 * both >= percent * (n[left][:, None] + n[right][None] - both)
+            both += (holds[left] @ holds[right].T).astype(np.int32)  # at most 2048 each, so exact
+        linked = np.empty(both.shape, bool)
+        for at in range(0, len(left), 256):
+            same = both[at : at + 256].astype(np.int64)
+            linked[at : at + 256] = 100 * same >= percent * (n[left[at : at + 256]][:, None] + n[right][None] - same)
         low = np.arange(len(ids))
         while True:
             new = low.copy()
