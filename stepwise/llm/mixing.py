@@ -22,7 +22,7 @@ import math
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -30,8 +30,6 @@ from ..operators._range import numbered
 
 #: Documents for each part that the documents of one source and size are dealt to for counting; the fewest parts.
 PART_ROWS, PARTS = 500_000, 16
-#: Of three steps, the third halves the bracket whatever Newton's method says, so that it shrinks without limit.
-HALVE = 3
 
 
 def word_count(text: Column) -> Column:
@@ -77,33 +75,41 @@ def with_tilts(sources: DataFrame, counts: DataFrame, cap: float, tolerance: flo
 
     counts(source, size, n). tilt is infinite where the target is the cap itself, minus infinity where it is 0, 0 for a source of
     total 0. A step is Newton's if it stays inside the bracket of tilts known to give too little and too much, and
-    isn't every third one; else the bracket's middle, or twice as far where it is still open. It ends where the tokens are
+    the last one halved the gap; else the bracket's middle, or twice as far where it is still open. It ends where the tokens are
     within `tolerance` of the target, or the bracket has no number left inside.
     """
-    total, target = F.col("total"), F.col("target")
+    total, target, tilt = F.col("total"), F.col("target"), F.col("tilt")
     fixed = F.when(total == 0, 0.0).when(target >= cap * total, math.inf).when(target <= 0, -math.inf)
     means = counts.filter("size > 0 AND n > 0").groupBy("source").agg((F.sum(F.col("size") * F.col("n")) / F.sum("n")).alias("scale"))
     start = _joined(sources.select("source", "total", "target"), means, "source", how="left")
-    state = start.select("source", "total", "target", F.coalesce("scale", F.lit(1.0)).alias("scale"), F.coalesce(fixed, F.lit(0.0)).alias("tilt"), F.lit(-math.inf).alias("low"), F.lit(math.inf).alias("high"), fixed.isNotNull().alias("done"), F.lit(0).alias("steps")).checkpoint()
-    k = 0
-    while not state.filter("NOT done").isEmpty():
-        k += 1
-        open_ = state.filter("NOT done").select("source", "tilt", "scale")
-        rows = _joined(counts, open_, "source").withColumn("rate", tilted_rate(cap)).withColumn("x", F.col("size") / F.col("scale"))
+    start = start.select("source", "total", "target", F.coalesce("scale", F.lit(1.0)).alias("scale"), F.coalesce(fixed, F.lit(0.0)).alias("tilt"), F.lit(-math.inf).alias("low"), F.lit(math.inf).alias("high"), F.lit(math.inf).alias("gap"), fixed.isNotNull().alias("done"), F.lit(0).alias("steps"))
+
+    def ended(rows: DataFrame) -> tuple[DataFrame, int]:
+        """The rows, and how many of them go on, from one job."""
+        seen = Observation()
+        return rows.observe(seen, F.count_if(~F.col("done")).alias("open")).checkpoint(), seen.get["open"]
+
+    state, left = ended(start)
+    result = ["source", "total", "target", "scale", "tilt", "steps"]
+    out = state.filter("done").select(*result)
+    while left:
+        rows = _joined(counts, state.filter("NOT done"), "source").withColumn("rate", tilted_rate(cap))
         tokens = F.col("size") * F.col("n") * F.col("rate")
-        sums = rows.groupBy("source").agg(F.sum(tokens).alias("mass"), F.sum(F.when(F.col("rate") < cap, tokens * F.col("x")).otherwise(0.0)).alias("slope"))
-        moved = _joined(state, sums, "source", how="left")
-        tilt, missing = F.col("tilt"), F.col("target") - F.col("mass")
+        slope = F.when(F.col("rate") < cap, tokens * F.col("size") / F.col("scale")).otherwise(0.0)
+        moved = rows.groupBy("source", "total", "target", "scale", "tilt", "low", "high", "gap", "steps").agg(F.sum(tokens).alias("mass"), F.sum(slope).alias("slope"))
+        missing = F.col("target") - F.col("mass")
         moved = moved.withColumn("low", F.when(missing > 0, F.greatest("low", tilt)).otherwise(F.col("low"))).withColumn("high", F.when(missing <= 0, F.least("high", tilt)).otherwise(F.col("high")))
         newton = F.when(F.col("slope") > 0, tilt + missing / F.col("slope"))
         closed = (F.col("low") > -math.inf) & (F.col("high") < math.inf)
         middle = F.when(closed, (F.col("low") + F.col("high")) / 2).otherwise(tilt + F.when(missing > 0, 1).otherwise(-1) * F.greatest(F.lit(1.0), F.abs(tilt)))
-        inside = F.coalesce((newton > F.col("low")) & (newton < F.col("high")), F.lit(False)) & (~closed | F.lit(k % HALVE != 0))
+        good = F.coalesce((newton > F.col("low")) & (newton < F.col("high")), F.lit(False)) & (~closed | (2 * F.abs(missing) <= F.col("gap")))
         nothing_left = closed & ((middle <= F.col("low")) | (middle >= F.col("high")))
-        reached = F.col("done") | (F.abs(missing) <= tolerance * F.col("target")) | nothing_left
-        new = F.when(reached, tilt).when(inside, newton).otherwise(middle)
-        state = moved.select("source", "total", "target", "scale", new.alias("tilt"), "low", "high", reached.alias("done"), F.when(F.col("done"), F.col("steps")).otherwise(F.col("steps") + 1).alias("steps")).checkpoint()
-    return state.drop("done", "low", "high")
+        reached = (F.abs(missing) <= tolerance * F.col("target")) | nothing_left
+        new = F.when(reached, tilt).when(good, newton).otherwise(middle)
+        moved = moved.select("source", "total", "target", "scale", new.alias("tilt"), "low", "high", F.abs(missing).alias("gap"), reached.alias("done"), (F.col("steps") + 1).alias("steps"))
+        state, left = ended(moved)
+        out = out.unionByName(state.filter("done").select(*result))
+    return out
 
 
 def mix(sized: DataFrame, weights: Sequence[float] = (5, 2, 1), cap: float = 3.0) -> DataFrame:
