@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("corpora", "evaluate", "grading", "intervals", "ledgers", "match", "pairing", "pricing", "reconcile", "scalars", "series", "signals")
+MODULES = ("corpora", "evaluate", "grading", "intervals", "ledgers", "match", "pairing", "pins", "pricing", "reconcile", "scalars", "series", "signals")
 
 
 def collect(name: str) -> dict:
