@@ -21,7 +21,13 @@ KEY = ["song", "block"]
 
 
 def _folder(spark, name):
-    return f"{shared_folder(prepare(spark))}/{name}-{uuid.uuid4().hex}"
+    """A new place for files, in the shared folder; they are deleted when the session's file systems close."""
+    jvm = prepare(spark)._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}")
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(path)
+    system.deleteOnExit(path)
+    return f"{path.toString()}/{name}"
 
 
 def _lines(spark, sf):
