@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("corpora", "evaluate", "grading", "intervals", "ledgers", "match", "pairing", "pins", "pricing", "reconcile", "release", "scalars", "series", "signals", "sweep")
+MODULES = ("caps", "corpora", "evaluate", "grading", "intervals", "ledgers", "match", "pairing", "pins", "pricing", "reconcile", "release", "scalars", "series", "signals", "sweep")
 
 
 def collect(name: str) -> dict:
