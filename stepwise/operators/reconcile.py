@@ -301,8 +301,8 @@ def solve_counts(equations: DataFrame, totals: DataFrame, by: Sequence[str], clo
     """by, region, count, estimate: whole counts of regions from overlap equations.
 
     equations(by, row, region, share, value): each row says sum(share * count) = value;
-    totals(by, total) close it with weight `closure`. Non-negative least squares, rounded
-    by largest remainder to the total.
+    totals(by, total) close it with weight `closure`. Non-negative least squares, rounded down; what is
+    missing from the total, or too much, goes one by one to the largest fractions, in turn, and nothing falls under 0.
     """
     keys = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in equations.select(*by).schema.fields)
 
@@ -312,16 +312,18 @@ def solve_counts(equations: DataFrame, totals: DataFrame, by: Sequence[str], clo
         regions, total = sorted(d["region"].unique()), int(t["total"].iloc[0])
         rows = sorted(d["row"].unique())
         a, b = np.zeros((len(rows) + 1, len(regions))), np.zeros(len(rows) + 1)
+        row_at, region_at = {r: i for i, r in enumerate(rows)}, {g: i for i, g in enumerate(regions)}
         for r, g, s, v in zip(d["row"], d["region"], d["share"], d["value"], strict=True):
-            a[rows.index(r), regions.index(g)] += s
-            b[rows.index(r)] = v
+            a[row_at[r], region_at[g]] += s
+            b[row_at[r]] = v
         a[-1], b[-1] = closure, closure * total
         x = nnls(a, b)
-        y = x * (total / x.sum()) if x.sum() > 0 else np.full(len(x), total / len(x))
-        count = np.floor(y + 1e-9).astype(int)
-        order = sorted(range(len(y)), key=lambda i: (-round(y[i] - count[i], 9), regions[i]))
-        for i in order[: total - int(count.sum())]:
-            count[i] += 1
+        count = np.floor(x + 1e-9).astype(int)
+        order = sorted(range(len(x)), key=lambda i: (-round(x[i] - count[i], 9), regions[i]))
+        rest = total - int(count.sum())
+        for i in range(abs(rest)):
+            count[order[i % len(order)]] += 1 if rest > 0 else -1
+        count = np.maximum(count, 0)
         out = pd.DataFrame({"region": regions, "count": count, "estimate": x})
         for name, value in reversed(list(zip(by, key, strict=True))):
             out.insert(0, name, value)
@@ -331,6 +333,12 @@ def solve_counts(equations: DataFrame, totals: DataFrame, by: Sequence[str], clo
     return spread(equations, by).groupBy(*by).cogroup(spread(fresh, by).groupBy(*by)).applyInPandas(solve, f"{keys}, region long, count long, estimate double")
 
 
+def residuals(equations: DataFrame, counts: DataFrame, by: Sequence[str]) -> DataFrame:
+    """by, row, residual: what each of the equations of solve_counts() says beyond the rounded counts(by, region, count)."""
+    fit = equations.join(counts.select(*by, "region", "count"), [*by, "region"], "left")
+    return fit.groupBy(*by, "row").agg((F.first("value") - F.sum(F.col("share") * F.coalesce("count", F.lit(0)))).alias("residual"))
+
+
 def raise_floors(targets: DataFrame, by: Sequence[str], near: float = 3.0) -> DataFrame:
     """by, region, target, gave: targets under their floor raised, and how much each region gave for that; targets are null for a whole key that has too little to give.
 

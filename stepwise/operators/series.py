@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ._range import asof
+from .intervals import overlap_filter
 
 
 def spread(df: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -264,12 +265,17 @@ def cumulate(reads: DataFrame, totals: DataFrame, by: Sequence[str], per_break:
     return rows.filter("v <= total AND cum <= total").select(*by, "run", "t", "cum")
 
 
-def window_mode(reads: DataFrame, windows: DataFrame, by: Sequence[str], window: str = "window", frames: int = 3, share: float = 0.5) -> DataFrame:
+def window_mode(reads: DataFrame, windows: DataFrame, by: Sequence[str], window: str = "window", frames: int = 3, share: float = 0.5, events: DataFrame | None = None, jitter: float = 0.035) -> DataFrame:
     """by, window, error, n, frames: the commonest error (v - expected) of the reads inside a window, accepted if it has enough reads and share, all in one run.
 
     reads(by, t, v, run) and windows(by, window, s, e, expected) with s <= t <= e; windows
-    of a series must not overlap. Ties go to the smaller error; else error is null.
+    of a series must not overlap. Ties go to the smaller error; else error is null. Reads within
+    `jitter` of one of events(by, t) are left out: which side of it they fall on is open.
     """
+    if events is not None:
+        marks = events.select(*by, F.col("t").alias("_from"), F.col("t").alias("_next"))
+        near = asof(reads.withColumn("_from", F.col("t") - jitter), marks, by, "_from", ["_next"], "forward")
+        reads = near.filter(F.col("_next").isNull() | (F.col("_next") > F.col("t") + jitter)).drop("_from", "_next")
     own = asof(reads, windows.select(*by, F.col("s").alias("t"), F.col("s").alias("_s"), F.col("e").alias("_e"), "expected", window), by, "t", ["_s", "_e", "expected", window])
     rows = own.filter("t <= _e").withColumn("error", F.col("v") - F.col("expected"))
     counts = rows.groupBy(*by, window, "error").agg(F.count("*").alias("n"), F.countDistinct("run").alias("_runs"))
@@ -301,14 +307,22 @@ def window_median_pull(reads: DataFrame, by: Sequence[str], most: int, cell: str
     return rows.select(*keys, nearest.cast("long").alias("value"))
 
 
-def measure_lag(reads: DataFrame, taps: DataFrame, by: Sequence[str], apart: float = 0.25, within: float = 0.30, default: float = 0.0, least: int = 15) -> DataFrame:
-    """by, lag, n: the median time from a tap, alone by `apart`, to the next counter step in `within`; `default` under `least` of them."""
+def measure_lag(reads: DataFrame, taps: DataFrame, by: Sequence[str], regions: DataFrame, width: float, apart: float = 0.25, early: float = 0.02, within: float = 0.30, default: float = 0.10, least: int = 15) -> DataFrame:
+    """by, lag, n: the median time (the upper of two) from a tap to the counter's next step, `default` under `least` of them.
+
+    Taps(by, t) count that are alone by `apart` and as far from every region(by, s, e). Steps are rises between neighbouring reads(by, t, v, run) of
+    one run; the next one from `early` before the tap on counts, if it comes within `within`.
+    """
     order = Window.partitionBy(*by).orderBy("t")
     before, after = F.col("t") - F.lag("t").over(order), F.lead("t").over(order) - F.col("t")
-    alone = taps.withColumn("_a", before).withColumn("_b", after).filter((F.coalesce("_a", F.lit(1e18)) >= apart) & (F.coalesce("_b", F.lit(1e18)) >= apart)).drop("_a", "_b")
-    steps = reads.withColumn("_up", F.col("v") > F.lag("v").over(order)).filter("_up").select(*by, "t", F.col("t").alias("_step"))
-    got = asof(alone, steps, by, "t", ["_step"], "forward").withColumn("_d", F.col("_step") - F.col("t")).filter(F.col("_d") <= within)
-    out = got.groupBy(*by).agg(F.percentile("_d", F.lit(0.5)).alias("lag"), F.count("*").alias("n"))
+    alone = taps.select(*by, "t").withColumn("_a", before).withColumn("_b", after).filter((F.coalesce("_a", F.lit(1e18)) >= apart) & (F.coalesce("_b", F.lit(1e18)) >= apart)).drop("_a", "_b")
+    spans = regions.select(*by, F.col("s").alias("ps"), F.col("e").alias("pe"))
+    alone = overlap_filter(alone.withColumn("s", F.col("t")).withColumn("e", F.col("t")), spans, by, width, apart).drop("s", "e")
+    up = (F.col("v") > F.lag("v").over(order)) & (F.col("run") == F.lag("run").over(order))
+    steps = reads.withColumn("_up", up).filter("_up").select(*by, F.col("t").alias("_from"), F.col("t").alias("_step"))
+    got = asof(alone.withColumn("_from", F.col("t") - early), steps, by, "_from", ["_step"], "forward").withColumn("_d", F.col("_step") - F.col("t")).filter(F.col("_d") <= within)
+    ranked = got.withColumn("_k", F.row_number().over(Window.partitionBy(*by).orderBy("_d"))).withColumn("_n", F.count("*").over(Window.partitionBy(*by)))
+    out = ranked.filter(F.col("_k") == F.floor(F.col("_n") / 2) + 1).select(*by, F.round("_d", 3).alias("lag"), F.col("_n").alias("n"))
     return out.withColumn("lag", F.when(F.col("n") >= least, F.col("lag")).otherwise(F.lit(default)))
 
 

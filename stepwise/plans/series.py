@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import series as op
-from .adapters import EVENTS, HOUR, MINUTE, events
+from .adapters import EVENTS, HOUR, MINUTE, SPANS, events, spans
 
 BY = ["series"]
 C = F.col
@@ -94,7 +94,7 @@ def _windows(spark, sf):
 
 def window_mode(spark, sf):
     reads = _reads(spark, sf).withColumn("v", F.col("v") % 3).withColumn("run", F.floor(F.col("t") / (240 * HOUR)))
-    return op.window_mode(reads, _windows(spark, sf).withColumn("expected", F.col("expected") % 3), BY, frames=2)
+    return op.window_mode(reads, _windows(spark, sf).withColumn("expected", F.col("expected") % 3), BY, frames=2, events=events(spark, sf, "error"), jitter=2 * HOUR)
 
 
 def window_median_pull(spark, sf):
@@ -105,7 +105,9 @@ def window_median_pull(spark, sf):
 
 def measure_lag(spark, sf):
     taps = events(spark, sf, "click").select("series", "t")
-    return op.measure_lag(events(spark, sf), taps, BY, 5 * HOUR, 20 * HOUR, -1.0, 4).select("series", F.floor("lag").cast("long").alias("lag"), "n")
+    reads = events(spark, sf).withColumn("run", F.floor(C("t") / (240 * HOUR)))
+    out = op.measure_lag(reads, taps, BY, spans(spark, sf, "error", 6), 24 * HOUR, 3 * HOUR, HOUR, 30 * HOUR, -1.0, 4)
+    return out.select("series", F.floor("lag").cast("long").alias("lag"), "n")
 
 
 def resample(spark, sf):
@@ -138,7 +140,7 @@ SQL = {
         o AS (SELECT z.series, run, total, CAST(round(b * CASE WHEN early > 0 THEN (total - final) / early ELSE 1 END) AS BIGINT) AS off FROM z JOIN tot ON z.series = tot.series)
         SELECT r.series, r.run, t, off + v AS cum FROM r JOIN o ON r.series = o.series AND r.run = o.run WHERE v <= total AND off + v <= total""",
     "d11_window_mode": _R + f""", w AS (SELECT series, id AS wid, t AS s, v % 3 AS expected, least(t + {40 * HOUR}, coalesce(lead(t) OVER (PARTITION BY series ORDER BY t) - 1, t + {40 * HOUR})) AS e FROM (SELECT series, id, t, v % 10 AS v FROM events_ WHERE kind = 'view')),
-        x AS (SELECT w.series, wid, r.v % 3 - expected AS error, count(*) AS n, count(DISTINCT r.t // {240 * HOUR}) AS runs FROM w JOIN reads r ON r.series = w.series AND r.t BETWEEN s AND e GROUP BY ALL),
+        x AS (SELECT w.series, wid, r.v % 3 - expected AS error, count(*) AS n, count(DISTINCT r.t // {240 * HOUR}) AS runs FROM w JOIN reads r ON r.series = w.series AND r.t BETWEEN s AND e AND NOT EXISTS (SELECT 1 FROM events_ z WHERE z.kind = 'error' AND z.series = r.series AND z.t BETWEEN r.t - {2 * HOUR} AND r.t + {2 * HOUR}) GROUP BY ALL),
         y AS (SELECT *, sum(n) OVER (PARTITION BY series, wid) AS frames FROM x QUALIFY row_number() OVER (PARTITION BY series, wid ORDER BY n DESC, error) = 1)
         SELECT series, wid AS window, CASE WHEN n >= 2 AND n >= 0.5 * frames AND runs = 1 THEN error END AS error, n, CAST(frames AS BIGINT) AS frames FROM y""",
     "d6_cut_runs": f"WITH {EVENTS}, n AS (SELECT *, coalesce(max(v) OVER (PARTITION BY series ORDER BY t, v ROWS BETWEEN CURRENT ROW AND 1 FOLLOWING) < lag(v) OVER (PARTITION BY series ORDER BY t, v) - 100, false)::INT AS new FROM events_) SELECT series, id, CAST(sum(new) OVER (PARTITION BY series ORDER BY t, v ROWS UNBOUNDED PRECEDING) AS BIGINT) AS run FROM n",
@@ -148,10 +150,11 @@ SQL = {
         e AS (SELECT series, cell, w, d, list_sort(p)[len(p) // 2 + 1] AS m FROM c),
         f AS (SELECT *, list_transform(w, lambda v: coalesce(list_sort(list_transform(list_filter(range(10), lambda k: v + 100 * k <= 700), lambda k: [abs(v + 100 * k - m), v + 100 * k]))[1][2], v)) AS p FROM e)
         SELECT series, cell, CAST((CASE WHEN list_max(p) - list_min(p) > 70 THEN w ELSE p END)[list_position(d, list_min(d))] AS BIGINT) AS value FROM f""",
-    "d13_measure_lag": f"""WITH {EVENTS}, c AS (SELECT series, t, t - lag(t) OVER w AS a, lead(t) OVER w - t AS b FROM events_ WHERE kind = 'click' WINDOW w AS (PARTITION BY series ORDER BY t)),
-        s AS (SELECT series, t FROM (SELECT series, t, v > lag(v) OVER (PARTITION BY series ORDER BY t) AS up FROM events_) WHERE up),
-        d AS (SELECT c.series, s.t - c.t AS d FROM c ASOF JOIN s ON c.series = s.series AND c.t <= s.t WHERE coalesce(a, 1e18) >= {5 * HOUR} AND coalesce(b, 1e18) >= {5 * HOUR} AND s.t - c.t <= {20 * HOUR})
-        SELECT series, CAST(floor(CASE WHEN count(*) >= 4 THEN quantile_cont(d, 0.5) ELSE -1 END) AS BIGINT) AS lag, count(*) AS n FROM d GROUP BY series""",
+    "d13_measure_lag": f"""WITH {EVENTS}, {SPANS('x', 'error', 6)}, c AS (SELECT series, t, t - lag(t) OVER w AS a, lead(t) OVER w - t AS b FROM events_ WHERE kind = 'click' WINDOW w AS (PARTITION BY series ORDER BY t)),
+        l AS (SELECT * FROM c WHERE coalesce(a, 1e18) >= {3 * HOUR} AND coalesce(b, 1e18) >= {3 * HOUR} AND NOT EXISTS (SELECT 1 FROM x WHERE x.series = c.series AND x.s - {3 * HOUR} < c.t AND c.t < x.e + {3 * HOUR})),
+        s AS (SELECT series, t FROM (SELECT series, t, v > lag(v) OVER w AND t // {240 * HOUR} = lag(t // {240 * HOUR}) OVER w AS up FROM events_ WINDOW w AS (PARTITION BY series ORDER BY t)) WHERE up),
+        d AS (SELECT l.series, s.t - l.t AS d FROM l ASOF JOIN s ON l.series = s.series AND l.t - {HOUR} <= s.t WHERE s.t - l.t <= {30 * HOUR})
+        SELECT series, CASE WHEN count(*) >= 4 THEN list_sort(list(d))[count(*) // 2 + 1] ELSE -1 END AS lag, count(*) AS n FROM d GROUP BY series""",
     "d14_resample": _R + f""", e AS (SELECT series, min(t) AS a, max(t) AS b FROM reads GROUP BY 1), g AS (SELECT series, unnest(range(CAST(ceil(a / {12 * HOUR}) AS BIGINT), CAST(floor(b / {12 * HOUR}) AS BIGINT) + 1)) * {12 * HOUR} AS t FROM e),
         j AS (SELECT g.series, g.t, r.v FROM g ASOF JOIN reads r ON g.series = r.series AND g.t >= r.t)
         SELECT series, t, v FROM j QUALIFY lag(v) OVER (PARTITION BY series ORDER BY t) IS DISTINCT FROM v""",

@@ -345,3 +345,34 @@ def test_track_query(spark, sf):
     got = grouped(QUERIES["j4_track"](spark, sf), "frame", "y", "track")
     for key, mine in got.items():
         assert [x[2] for x in sorted(mine)] == tracked([(f, y) for f, y, _ in mine], 120), key
+
+
+# ---------------------------------------------------------------- D11, D13, G12
+
+
+def test_reads_near_a_judged_event_are_left_out(spark):
+    reads = frame(spark, [(1.0, 5, 0), (1.02, 9, 0), (1.2, 5, 0), (1.4, 5, 0)], "t double, v long, run int")
+    windows = frame(spark, [(1, 0.9, 1.5, 5)], "window int, s double, e double, expected int")
+    near = frame(spark, [(1.04,)], "t double")
+    assert rows(series.window_mode(reads, windows, BY, events=near), "error", "n", "frames") == [(0, 3, 3)]  # 1.02 is 0.02 off the event, 1.0 is 0.04
+    assert rows(series.window_mode(reads, windows, BY, events=near, jitter=0.01), "error", "n", "frames") == [(0, 3, 4)]
+
+
+def test_lag_takes_taps_clear_of_holds_and_steps_of_one_run(spark):
+    taps = frame(spark, [(float(t),) for t in (1, 2, 3, 4, 5)], "t double")
+    reads = frame(spark, [(0.5, 1, 0), (1.1, 2, 0), (1.99, 3, 0), (3.12, 4, 0), (4.05, 9, 1), (4.2, 10, 1), (5.29, 11, 1)], "t double, v long, run int")
+    holds = frame(spark, [(3.2, 3.6)], "s double, e double")
+    got = series.measure_lag(reads, taps, BY, holds, 5.0, least=1)
+    # 1 -> 0.1, 2 -> -0.01, 3 is too near the hold, at 4.05 the run changes so 4 -> 0.2, 5 -> 0.29; the upper middle of four
+    assert rows(got, "lag", "n") == [(pytest.approx(0.2), 4)]
+    assert rows(series.measure_lag(reads, taps, BY, holds, 5.0), "lag", "n") == [(0.1, 4)]
+
+
+def test_counts_close_without_being_scaled(spark):
+    equations = frame(spark, [(0, 1, 1.0, 3.4), (1, 2, 1.0, 2.4)], "row long, region long, share double, value double")
+    totals = spark.createDataFrame([(0, 6)], "series int, total long")
+    got = reconcile.solve_counts(equations, totals, BY, closure=0.001)
+    assert rows(got, "region", "count") == [(1, 4), (2, 2)]  # floors of 3.4 and 2.4; the one that is missing goes to the first of equal fractions
+    assert rows(reconcile.residuals(equations, got, BY), "row", "residual") == [(0, pytest.approx(-0.6)), (1, pytest.approx(0.4))]
+    less = spark.createDataFrame([(0, 3)], "series int, total long")
+    assert rows(reconcile.solve_counts(equations, less, BY, closure=0.001), "region", "count") == [(1, 2), (2, 1)]
