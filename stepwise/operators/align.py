@@ -192,3 +192,21 @@ def accrual_map(anchors: DataFrame, taps: DataFrame, holds: DataFrame, by: Seque
 def place(points: DataFrame, queries: DataFrame, by: Sequence[str]) -> DataFrame:
     """queries(by, t) with the offset of the last fitted point(by, t, offset) at or before it."""
     return asof(queries, points, by, "t", ["offset"])
+
+
+def floor_agreement(notes: DataFrame, flashes: DataFrame, floors: DataFrame, by: Sequence[str], lead: float, span: float = 0.25, step: float = 0.01, tol: float = 0.07) -> DataFrame:
+    """by, floor, offset, matched, n_obs, n_ref: for each floor, the offset at which most flashes have a note of their column within tol (ties: the smallest), for best_floor().
+
+    notes(by, col, t, q), those of at least the floor's q count; flashes(by, col, t); floors(by, floor). Offsets go from lead - span by step up to
+    under lead + span. A series without flashes, and a floor that leaves no notes, are left out.
+    """
+    offsets = F.transform(F.sequence(F.lit(0), F.lit(round(2 * span / step) - 1)), lambda k: F.lit(lead - span) + k * step)
+    kept = notes.join(floors, list(by)).filter("q >= floor")
+    size = kept.groupBy(*by, "floor").agg(F.count("*").alias("n_obs")).join(flashes.groupBy(*by).agg(F.count("*").alias("n_ref")), list(by))
+    wanted = flashes.join(floors, list(by)).withColumn("offset", F.explode(offsets)).withColumn("_from", F.col("t") - tol - F.col("offset"))
+    own = kept.select(*by, "col", "floor", F.col("t").alias("_from"), F.col("t").alias("_got"))
+    found = asof(wanted, own, [*by, "col", "floor"], "_from", ["_got"], "forward")
+    hit = F.coalesce(F.abs(F.col("_got") + F.col("offset") - F.col("t")) <= tol, F.lit(False))
+    counted = found.groupBy(*by, "floor", "offset").agg(F.count_if(hit).alias("matched"))
+    best = counted.groupBy(*by, "floor").agg(F.max_by(F.struct("offset", "matched"), F.struct("matched", -F.col("offset"))).alias("_b"))
+    return best.join(size, [*by, "floor"]).select(*by, "floor", "_b.offset", "_b.matched", "n_obs", "n_ref")

@@ -415,13 +415,13 @@ def verdict_ladder(df: DataFrame, rules: Sequence[tuple[Column, str, str]], othe
 
 
 def closer(df: DataFrame, ours: str = "ours", theirs: str = "theirs", ref: str = "ref") -> DataFrame:
-    """df with verdict (both_exact, theirs_exact, ours_exact, theirs_closer, ours_closer, same_distance, no_reference, not_converted), gain and rank for the report's order."""
+    """df with verdict (both_exact, theirs_exact, ours_exact, theirs_closer, ours_closer, same_distance, same_no_reference, differs_no_reference, not_converted), gain and rank for the report's order."""
     a, b = F.abs(F.col(ours) - F.col(ref)), F.abs(F.col(theirs) - F.col(ref))
     verdict = (
-        F.when(F.col(ours).isNull() | F.col(theirs).isNull(), "not_converted").when(F.col(ref).isNull(), "no_reference").when((a == 0) & (b == 0), "both_exact")
+        F.when(F.col(ours).isNull() | F.col(theirs).isNull(), "not_converted").when(F.col(ref).isNull() & (F.col(ours) == F.col(theirs)), "same_no_reference").when(F.col(ref).isNull(), "differs_no_reference").when((a == 0) & (b == 0), "both_exact")
         .when(b == 0, "theirs_exact").when(a == 0, "ours_exact").when(b < a, "theirs_closer").when(a < b, "ours_closer").otherwise("same_distance")
     )
-    names = ("theirs_exact", "theirs_closer", "ours_exact", "ours_closer", "same_distance", "both_exact", "no_reference", "not_converted")
+    names = ("theirs_exact", "theirs_closer", "both_exact", "same_distance", "same_no_reference", "differs_no_reference", "ours_closer", "ours_exact", "not_converted")
     out = df.withColumn("verdict", verdict).withColumn("gain", a - b)
     return out.withColumn("rank", F.array_position(F.array(*map(F.lit, names)), F.col("verdict")))
 

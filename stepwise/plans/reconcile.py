@@ -193,7 +193,7 @@ SQL = {
     "g11_allocate_pinned": f"WITH {_ALLOC}, y AS (SELECT *, p % 5 = 0 AS pin FROM r), z AS (SELECT *, greatest(0, total - 1000 * count(*) FILTER (pin) OVER w) AS rest, sum(weight) FILTER (NOT pin) OVER w AS ws FROM y WINDOW w AS (PARTITION BY l_orderkey)), x AS (SELECT *, CASE WHEN NOT pin THEN rest * weight // ws END AS d FROM z) SELECT l_orderkey, item, CAST(CASE WHEN pin THEN 1000 ELSE d + CASE WHEN row_number() OVER (PARTITION BY l_orderkey, pin ORDER BY weight DESC, item) = 1 THEN rest - sum(d) OVER (PARTITION BY l_orderkey) ELSE 0 END END AS BIGINT) AS share FROM x",
     "g14_search_rates": f"WITH {EVENTS}, r AS (SELECT id AS key, v * 3 AS head, v * 3 + k * 12 + 1 AS tail, k % 7 + 1 AS rate, k * 2 + v % 9 AS target FROM events_ WHERE kind = 'view'), c AS (SELECT key, g.range AS c, rate FROM r, range(1, 33) g WHERE tail * g.range // 12 - head * g.range // 12 = target QUALIFY row_number() OVER (PARTITION BY key ORDER BY abs(g.range - rate), g.range) = 1) SELECT r.key, c AS new_rate FROM r LEFT JOIN c ON r.key = c.key",
     "g16_verdict_ladder": "SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'SHIP' WHEN o_totalprice < 50000 THEN 'PARK' WHEN o_orderpriority LIKE '1%' THEN 'SHIP' ELSE 'PARK' END AS verdict, CASE WHEN o_orderstatus = 'F' THEN 'finished' WHEN o_totalprice < 50000 THEN 'small' WHEN o_orderpriority LIKE '1%' THEN 'urgent' WHEN o_totalprice > 400000 THEN 'large' ELSE 'no_rule' END AS reason FROM orders",
-    "g17_closer": "WITH r AS (SELECT l_orderkey, count(*) AS o, CASE WHEN l_orderkey % 8 <> 0 THEN l_orderkey % 6 END AS t, CASE WHEN l_orderkey % 10 <> 0 THEN l_orderkey % 7 END AS f FROM lineitem GROUP BY l_orderkey), v AS (SELECT l_orderkey, abs(o - f) - abs(t - f) AS gain, CASE WHEN t IS NULL THEN 'not_converted' WHEN f IS NULL THEN 'no_reference' WHEN o = f AND t = f THEN 'both_exact' WHEN t = f THEN 'theirs_exact' WHEN o = f THEN 'ours_exact' WHEN abs(t - f) < abs(o - f) THEN 'theirs_closer' WHEN abs(o - f) < abs(t - f) THEN 'ours_closer' ELSE 'same_distance' END AS verdict FROM r) SELECT l_orderkey, verdict, gain, list_position(['theirs_exact', 'theirs_closer', 'ours_exact', 'ours_closer', 'same_distance', 'both_exact', 'no_reference', 'not_converted'], verdict) AS rank FROM v",
+    "g17_closer": "WITH r AS (SELECT l_orderkey, count(*) AS o, CASE WHEN l_orderkey % 8 <> 0 THEN l_orderkey % 6 END AS t, CASE WHEN l_orderkey % 10 <> 0 THEN l_orderkey % 7 END AS f FROM lineitem GROUP BY l_orderkey), v AS (SELECT l_orderkey, abs(o - f) - abs(t - f) AS gain, CASE WHEN t IS NULL THEN 'not_converted' WHEN f IS NULL AND o = t THEN 'same_no_reference' WHEN f IS NULL THEN 'differs_no_reference' WHEN o = f AND t = f THEN 'both_exact' WHEN t = f THEN 'theirs_exact' WHEN o = f THEN 'ours_exact' WHEN abs(t - f) < abs(o - f) THEN 'theirs_closer' WHEN abs(o - f) < abs(t - f) THEN 'ours_closer' ELSE 'same_distance' END AS verdict FROM r) SELECT l_orderkey, verdict, gain, list_position(['theirs_exact', 'theirs_closer', 'both_exact', 'same_distance', 'same_no_reference', 'differs_no_reference', 'ours_closer', 'ours_exact', 'not_converted'], verdict) AS rank FROM v",
     "g18_worklist": "WITH c AS (SELECT o_custkey, o_orderkey, count(*) AS n FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1, 2), m AS (SELECT o_custkey, o_orderkey, abs(n - o_orderkey % 7) AS miss FROM c WHERE abs(n - o_orderkey % 7) > 1), k AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY miss, o_orderkey) AS r FROM m) SELECT o_custkey, count(*) AS n, string_agg(o_orderkey, ',' ORDER BY r) FILTER (r <= 5) AS names FROM k GROUP BY 1",
     "g19_derive_manifest": "SELECT o_orderkey AS chart, CASE WHEN o_orderkey % 3 <> 0 AND o_orderkey % 13 <> 0 AND o_orderkey % 5 < 2 THEN 'repaired' WHEN o_orderkey % 3 = 0 AND o_orderkey % 13 <> 0 AND o_orderkey % 6 <> 0 THEN 'upstream_exact' WHEN o_orderkey % 13 = 0 OR o_orderkey % 5 >= 2 THEN 'still_wrong' ELSE 'other' END AS state FROM orders",
 }

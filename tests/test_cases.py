@@ -376,3 +376,37 @@ def test_counts_close_without_being_scaled(spark):
     assert rows(reconcile.residuals(equations, got, BY), "row", "residual") == [(0, pytest.approx(-0.6)), (1, pytest.approx(0.4))]
     less = spark.createDataFrame([(0, 3)], "series int, total long")
     assert rows(reconcile.solve_counts(equations, less, BY, closure=0.001), "region", "count") == [(1, 2), (2, 1)]
+
+
+# ---------------------------------------------------------------- G17, I20
+
+
+def test_pairs_without_a_reference_are_the_same_or_differ(spark):
+    df = spark.createDataFrame([(1, 5, 5, None), (2, 5, 6, None), (3, None, 6, None), (4, 5, 6, 6), (5, 6, 4, 7)], "id int, ours int, theirs int, ref int")
+    got = reconcile.closer(df)
+    assert rows(got, "id", "verdict", "rank") == [(1, "same_no_reference", 5), (2, "differs_no_reference", 6), (3, "not_converted", 9), (4, "theirs_exact", 1), (5, "ours_closer", 7)]
+
+
+def test_floors_are_judged_at_their_best_offset(spark):
+    rng = random.Random(2)
+    notes = [(rng.randrange(3), rng.randrange(2), rng.randrange(0, 400) / 16, rng.choice([0.3, 0.5, 0.9])) for _ in range(300)]
+    flashes = [(rng.randrange(3), rng.randrange(2), rng.randrange(0, 400) / 16) for _ in range(120)]
+    floors = [(s, f) for s in range(3) for f in (0.4, 0.6, 0.95)]
+    make = lambda data, schema: spark.createDataFrame(data, f"series int, {schema}")
+    got = align.floor_agreement(make(notes, "col int, t double, q double"), make(flashes, "col int, t double"), make(floors, "floor double"), BY, 1.0, step=0.0625, span=0.25, tol=0.03)
+    want = {}
+    for s, f in floors:
+        mine, seen = [n for n in notes if n[0] == s and n[3] >= f], [x for x in flashes if x[0] == s]
+        if not mine:
+            continue
+        tries = []
+        for k in range(8):
+            off = 0.75 + k * 0.0625
+            hits = 0
+            for _, c, t in seen:
+                later = sorted(n[2] for n in mine if n[1] == c and n[2] >= t - 0.03 - off)
+                hits += bool(later) and abs(later[0] + off - t) <= 0.03
+            tries.append((hits, -off))
+        hits, off = max(tries)
+        want[s, f] = (-off, hits, len(mine), len(seen))
+    assert {(r.series, r.floor): tuple(r)[2:] for r in got.collect()} == want and len(want) == 6
