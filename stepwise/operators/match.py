@@ -230,6 +230,28 @@ def name_scan(docs: DataFrame, names: DataFrame, most_words: int = 12) -> DataFr
     return out.distinct()
 
 
+def phrase_scan(docs: DataFrame, names: DataFrame) -> DataFrame:
+    """doc, name: where the whole word sequence of a name occurs in a doc, without regard to case; words are runs of a-z and 0-9.
+
+    docs(doc, text), names(name), of any length. Only hashes of one or two words are exploded from texts; they meet the
+    first words of the names, and the places found are compared in full with the text. Names without words occur nowhere.
+    """
+    split = lambda c: F.filter(F.split(F.lower(c), "[^a-z0-9]+"), lambda w: w != "")
+    words = docs.select("doc", split(F.col("text")).alias("_w"))
+    keys = names.select("name", split(F.col("name")).alias("_all")).distinct().filter("size(_all) > 0")
+    keys = keys.withColumn("_n", F.least(F.size("_all"), F.lit(2))).withColumn("_h", F.xxhash64(F.slice("_all", 1, F.col("_n"))))
+
+    def starts(n: int) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.size("_w") - n + 1), lambda i: F.xxhash64(F.slice("_w", i, n)))
+
+    hits = None
+    for n in (1, 2):
+        found = words.filter(F.size("_w") >= n).select("doc", F.posexplode(starts(n)).alias("_i", "_h")).join(keys.filter(F.col("_n") == n), "_h").select("doc", "_i", "name", "_all")
+        hits = found if hits is None else hits.unionByName(found)
+    whole = hits.join(words, "doc").filter(F.slice("_w", F.col("_i") + 1, F.size("_all")) == F.col("_all"))
+    return whole.select("doc", "name").distinct()
+
+
 def match_rate(pairs: DataFrame, by: Sequence[str]) -> DataFrame:
     """by, matched, extra, missing from match_one_to_one."""
     return pairs.groupBy(*by).agg(F.count_if(F.col("kind") == "pair").alias("matched"), F.count_if(F.col("kind") == "extra").alias("extra"), F.count_if(F.col("kind") == "missing").alias("missing"))

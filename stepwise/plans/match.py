@@ -106,9 +106,16 @@ def name_scan(spark, sf):
     return op.name_scan(docs, names)
 
 
+def phrase_scan(spark, sf):
+    """Whole benchmark passages, wherever documents have all their words in a row."""
+    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("doc"), "text")
+    names = table(spark, sf, "benchmark").select(F.col("text").alias("name"))
+    return op.phrase_scan(docs, names).select("doc", F.sha2("name", 256).alias("passage"))
+
+
 QUERIES = {
     "f1_match_one_to_one": match_one_to_one, "f1_match_mutual": match_mutual, "f3_classify_edits": classify_edits, "f4_diff_events": diff_events, "f5_jaccard": part_sets, "f5_pair_cascade": pair_cascade, "f6_match_catalog": match_catalog,
-    "f7_newest_source": newest_source, "f7_sides": sides, "f8_copies_disagree": copies_disagree, "f9_twins": twins, "f9_twin_documents": twin_documents, "f10_resolve_reference": resolve_reference, "f11_name_scan": name_scan,
+    "f7_newest_source": newest_source, "f7_sides": sides, "f8_copies_disagree": copies_disagree, "f9_twins": twins, "f9_twin_documents": twin_documents, "f10_resolve_reference": resolve_reference, "f11_name_scan": name_scan, "f11_phrase_scan": phrase_scan,
 }
 
 _L = "SELECT l_orderkey, l_linenumber, max(l_returnflag) AS f, min(l_suppkey) AS s, min(l_partkey) AS p FROM lineitem GROUP BY ALL"
@@ -131,5 +138,6 @@ SQL = {
     "f9_twins": "SELECT p_partkey, count(*) OVER w AS n, CASE WHEN p_partkey = min(p_partkey) OVER w THEN lead(p_partkey) OVER (w2) ELSE min(p_partkey) OVER w END AS twin FROM part WINDOW w AS (PARTITION BY p_name, p_type, p_size), w2 AS (PARTITION BY p_name, p_type, p_size ORDER BY p_partkey) QUALIFY count(*) OVER w > 1",
     "f9_twin_documents": "SELECT doc_id, count(*) OVER w AS n, CASE WHEN doc_id = min(doc_id) OVER w THEN lead(doc_id) OVER (w2) ELSE min(doc_id) OVER w END AS twin FROM documents WHERE text IS NOT NULL WINDOW w AS (PARTITION BY text), w2 AS (PARTITION BY text ORDER BY doc_id) QUALIFY count(*) OVER w > 1",
     "f10_resolve_reference": "WITH l AS (SELECT l_orderkey AS o, count(*) AS n FROM lineitem GROUP BY 1 HAVING count(*) > 4) SELECT o_orderkey, coalesce(n, CASE WHEN o_orderpriority LIKE '1%' THEN 1 WHEN c_mktsegment = 'HOUSEHOLD' THEN 2 END) AS expected, CASE WHEN n IS NOT NULL THEN 'lines' WHEN o_orderpriority LIKE '1%' THEN 'priority' WHEN c_mktsegment = 'HOUSEHOLD' THEN 'segment' END AS source FROM orders LEFT JOIN l ON o_orderkey = o LEFT JOIN customer ON o_custkey = c_custkey",
+    "f11_phrase_scan": "WITH k AS (SELECT DISTINCT text, trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')) AS key FROM benchmark), d AS (SELECT doc_id AS doc, ' ' || regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g') || ' ' AS t FROM documents) SELECT DISTINCT doc, sha256(text) AS passage FROM d JOIN k ON contains(t, ' ' || key || ' ') WHERE key <> ''",
     "f11_name_scan": "WITH n AS (SELECT DISTINCT array_to_string(string_split(text, ' ')[1:4], ' ') AS name FROM benchmark), k AS (SELECT name, trim(regexp_replace(lower(name), '[^a-z0-9]+', ' ', 'g')) AS key FROM n), d AS (SELECT doc_id AS doc, ' ' || regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g') || ' ' AS t FROM documents) SELECT DISTINCT doc, name FROM d JOIN k ON contains(t, ' ' || key || ' ') WHERE key <> ''",
 }

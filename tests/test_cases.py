@@ -410,3 +410,10 @@ def test_floors_are_judged_at_their_best_offset(spark):
         hits, off = max(tries)
         want[s, f] = (-off, hits, len(mine), len(seen))
     assert {(r.series, r.floor): tuple(r)[2:] for r in got.collect()} == want and len(want) == 6
+
+
+def test_phrases_of_any_length(spark):
+    docs = spark.createDataFrame([(1, "The quick  brown-fox; jumps"), (2, "quick"), (3, None), (4, ""), (5, "a the quick the quick brown")], "doc int, text string")
+    names = spark.createDataFrame([("quick",), ("the QUICK brown",), ("brown fox jumps over",), ("!!",), (None,), ("the quick brown fox jumps",)], "name string")
+    got = match.phrase_scan(docs, names)
+    assert rows(got, "doc", "name") == sorted([(1, "quick"), (1, "the QUICK brown"), (1, "the quick brown fox jumps"), (2, "quick"), (5, "quick"), (5, "the QUICK brown")], key=repr)
