@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 
 from ._range import asof, count_at
 from .intervals import count_between, interpolate, overlap_filter
-from .series import per_series, spread
+from .series import per_batch, per_series
 
 
 def implied_totals(rows: DataFrame, holds: DataFrame, blocks: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -254,83 +254,113 @@ def allocate(items: DataFrame, by: Sequence[str], total: str = "total", weight:
     return rows.withColumn("share", F.coalesce("_pin", F.col("_down") + extra).cast("long")).select(*items.columns, "share")
 
 
-def solve_small(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """a x = b by elimination with pivoting; a column without a pivot gets 0. For a few unknowns, without LAPACK's threads in forked workers."""
-    m, n = np.column_stack((a, b)).astype(float), len(b)
+def _solve_many(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a[k] x = b[k] for each k by elimination with pivoting; a column without a pivot gets 0. For a few unknowns, without LAPACK's threads in forked workers."""
+    m, n = np.concatenate((a, b[:, :, None]), axis=2).astype(float), b.shape[1]
     for i in range(n):
-        p = i + int(np.argmax(np.abs(m[i:, i])))
-        if abs(m[p, i]) < 1e-12:
-            m[i] = 0
-            continue
-        m[[i, p]] = m[[p, i]]
-        m[i] /= m[i, i]
-        rest = np.arange(n) != i
-        m[rest] -= np.outer(m[rest, i], m[i])
-    return m[:, n]
-
-
-def nnls(a: np.ndarray, b: np.ndarray, tolerance: float = 1e-9) -> np.ndarray:
-    """Non-negative least squares by the active-set method of Lawson and Hanson."""
-    n = a.shape[1]
-    x, free = np.zeros(n), np.zeros(n, bool)
-    g, h = a.T @ a, a.T @ b
+        p = i + np.argmax(np.abs(m[:, i:, i]), axis=1)
+        sure = np.abs(m[np.arange(len(m)), p, i]) >= 1e-12
+        m[~sure, i] = 0
+        k, p = np.flatnonzero(sure), p[sure]
+        top = m[k, p]
+        m[k, p] = m[k, i]
+        top /= top[:, i, None]
+        rest = m[k]
+        rest -= rest[:, :, i, None] * top[:, None, :]
+        rest[:, i] = top
+        m[k] = rest
+    return m[:, :, n]
+
+
+def nnls_many(g: np.ndarray, h: np.ndarray, tolerance: float = 1e-9) -> np.ndarray:
+    """Non-negative least squares by the active-set method of Lawson and Hanson, for problems of one size at a time: g[k] = A'A, h[k] = A'b."""
+    n = h.shape[1]
+    x, free, going = np.zeros(h.shape), np.zeros(h.shape, bool), np.ones(len(h), bool)
+    enough = tolerance * np.maximum(1.0, np.abs(h).max(axis=1))
     for _ in range(3 * n + 3):
-        slope = h - g @ x
+        slope = h - (g @ x[:, :, None])[:, :, 0]
         slope[free] = -np.inf
-        j = int(np.argmax(slope))
-        if slope[j] <= tolerance * max(1.0, np.abs(h).max()):
+        j = np.argmax(slope, axis=1)
+        going &= slope[np.arange(len(h)), j] > enough
+        k = np.flatnonzero(going)
+        if not len(k):
             break
-        free[j] = True
-        while True:
-            z = np.zeros(n)
-            z[free] = solve_small(g[np.ix_(free, free)], h[free])
-            down = free & (z <= 0)
-            if not down.any():
-                x = z
-                break
-            step = np.min(x[down] / np.maximum(x[down] - z[down], 1e-300))
-            x = x + step * (z - x)
-            free &= x > 1e-12
-            x[~free] = 0
-            if not free.any():
-                break
+        free[k, j[k]] = True
+        while len(k):
+            f = free[k]
+            z = _solve_many(np.where(f[:, :, None] & f[:, None, :], g[k], np.eye(n)), np.where(f, h[k], 0))
+            down = f & (z <= 0)
+            back = down.any(axis=1)
+            x[k[~back]] = z[~back]
+            k, y, z, down = k[back], x[k[back]], z[back], down[back]
+            step = np.where(down, y / np.maximum(y - z, 1e-300), np.inf).min(axis=1, initial=np.inf)
+            y = y + step[:, None] * (z - y)
+            free[k] &= y > 1e-12
+            x[k] = np.where(free[k], y, 0)
+            k = k[free[k].any(axis=1)]
     return x
 
 
+def nnls(a: np.ndarray, b: np.ndarray, tolerance: float = 1e-9) -> np.ndarray:
+    """One problem of nnls_many()."""
+    return nnls_many((a.T @ a)[None], (a.T @ b)[None], tolerance)[0]
+
+
 def solve_counts(equations: DataFrame, totals: DataFrame, by: Sequence[str], closure: float = 50) -> DataFrame:
     """by, region, count, estimate: whole counts of regions from overlap equations.
 
     equations(by, row, region, share, value): each row says sum(share * count) = value;
     totals(by, total) close it with weight `closure`. Non-negative least squares, rounded down; what is
     missing from the total, or too much, goes one by one to the largest fractions, in turn, and nothing falls under 0.
+    Keys of one shape are solved together, a batch at a time.
     """
     keys = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in equations.select(*by).schema.fields)
 
-    def solve(key: tuple, d: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
-        if d.empty or t.empty:
-            return pd.DataFrame(columns=[*by, "region", "count", "estimate"])
-        regions, total = sorted(d["region"].unique()), int(t["total"].iloc[0])
-        rows = sorted(d["row"].unique())
-        a, b = np.zeros((len(rows) + 1, len(regions))), np.zeros(len(rows) + 1)
-        row_at, region_at = {r: i for i, r in enumerate(rows)}, {g: i for i, g in enumerate(regions)}
-        for r, g, s, v in zip(d["row"], d["region"], d["share"], d["value"], strict=True):
-            a[row_at[r], region_at[g]] += s
-            b[row_at[r]] = v
-        a[-1], b[-1] = closure, closure * total
-        x = nnls(a, b)
-        count = np.floor(x + 1e-9).astype(int)
-        order = sorted(range(len(x)), key=lambda i: (-round(x[i] - count[i], 9), regions[i]))
-        rest = total - int(count.sum())
-        for i in range(abs(rest)):
-            count[order[i % len(order)]] += 1 if rest > 0 else -1
-        count = np.maximum(count, 0)
-        out = pd.DataFrame({"region": regions, "count": count, "estimate": x})
-        for name, value in reversed(list(zip(by, key, strict=True))):
-            out.insert(0, name, value)
-        return out
-
-    fresh = totals.select(*(F.col(c).alias(c) for c in totals.columns))  # own column ids, should both come from one table
-    return spread(equations, by).groupBy(*by).cogroup(spread(fresh, by).groupBy(*by)).applyInPandas(solve, f"{keys}, region long, count long, estimate double")
+    def place(group: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The place of each value among the distinct ones of its group, their number by group, and where (in order) each first comes."""
+        order = np.lexsort((value, group))
+        g, v = group[order], value[order]
+        new = np.append(True, (g[1:] != g[:-1]) | (v[1:] != v[:-1]))
+        number = np.bincount(g[new])
+        first = np.concatenate(([0], np.cumsum(number)))[:-1]
+        at = np.empty(len(order), np.int64)
+        at[order] = np.cumsum(new) - 1 - first[g]
+        return at, number, order[new]
+
+    def solve(d: pd.DataFrame, start: np.ndarray) -> pd.DataFrame:
+        group = np.repeat(np.arange(len(start) - 1), np.diff(start))
+        region_at, n_regions, regions = place(group, d["region"].to_numpy())
+        row_at, n_rows, _ = place(group, d["row"].to_numpy())
+        share, value, total = d["share"].to_numpy(float), d["value"].to_numpy(float), d["_total"].to_numpy()[start[:-1]].astype(np.int64)
+        first = np.concatenate(([0], np.cumsum(n_regions)))[:-1]
+        count, estimate = np.zeros(len(regions), np.int64), np.zeros(len(regions))
+        for n, m in np.unique(np.stack((n_regions, n_rows), axis=1), axis=0).tolist():
+            some = np.flatnonzero((n_regions == n) & (n_rows == m))
+            k = np.full(len(n_regions), -1)
+            k[some] = np.arange(len(some))
+            here = k[group] >= 0
+            a, b = np.zeros((len(some), m + 1, n)), np.zeros((len(some), m + 1))
+            np.add.at(a, (k[group[here]], row_at[here], region_at[here]), share[here])
+            b[k[group[here]], row_at[here]] = value[here]
+            a[:, m], b[:, m] = closure, closure * total[some]
+            turned = a.transpose(0, 2, 1)
+            x = nnls_many(turned @ a, (turned @ b[:, :, None])[:, :, 0])
+            whole = np.floor(x + 1e-9).astype(np.int64)
+            rank = np.argsort(np.argsort(-np.round(x - whole, 9), axis=1, kind="stable"), axis=1)
+            rest = total[some] - whole.sum(axis=1)
+            each, more = np.divmod(np.abs(rest), n)
+            whole += np.sign(rest)[:, None] * (each[:, None] + (rank < more[:, None]))
+            at = first[some][:, None] + np.arange(n)
+            count[at], estimate[at] = np.maximum(whole, 0), x
+        out = d.iloc[regions][[*by, "region"]].reset_index(drop=True)
+        return out.assign(count=count, estimate=estimate)
+
+    same = F.lit(True)
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_k_{c}"))
+    ends = totals.dropDuplicates(list(by)).select(*(F.col(c).alias(f"_k_{c}") for c in by), F.col("total").alias("_total"))
+    rows = equations.join(ends, same).select(*by, "row", "region", "share", "value", "_total")
+    return per_batch(rows, by, ["region", "row"], solve, f"{keys}, region long, count long, estimate double")
 
 
 def residuals(equations: DataFrame, counts: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -348,32 +378,39 @@ def raise_floors(targets: DataFrame, by: Sequence[str], near: float = 3.0) -> Da
     Raised regions give nothing. The total stays.
     """
 
-    def lift(d: pd.DataFrame) -> pd.DataFrame:
-        d = d.sort_values(["t", "region"]).reset_index(drop=True)
-        before, low, t = d["target"].to_numpy(np.int64), d["floor"].to_numpy(np.int64), d["t"].to_numpy(float)
-        short = before < low
-        spare = np.where(short, 0, before - low)
-        if short.any() and int((low - before)[short].sum()) > int(spare.sum()):
-            return pd.DataFrame({"region": d["region"], "target": pd.array([None] * len(d), "Int64"), "gave": 0})
-        top = int(np.argmax(before))
-        main = top if 2 * before[top] >= before.sum() and not short[top] else None
+    def lift(before: list[int], low: list[int], t: list[float]) -> tuple[list[int | None], list[int]]:
+        short = [b < f for b, f in zip(before, low, strict=True)]
+        spare = [0 if s else b - f for s, b, f in zip(short, before, low, strict=True)]
+        if sum(f - b for s, b, f in zip(short, before, low, strict=True) if s) > sum(spare):
+            return [None] * len(before), [0] * len(before)
+        top = max(range(len(before)), key=before.__getitem__)
+        main = top if 2 * before[top] >= sum(before) and not short[top] else None
         left = spare.copy()
-        for i in np.flatnonzero(short).tolist():
-            need, far = int(low[i] - before[i]), np.abs(t - t[i])
+        for i in range(len(before)):
+            need = low[i] - before[i] if short[i] else 0
             if main is not None:
-                took = min(need, int(left[main]))
+                took = min(need, left[main])
                 left[main] -= took
                 need -= took
             for _ in range(need):
-                some = np.flatnonzero(left > 0)
-                close = some[far[some] <= near]
-                some = close if len(close) else some
-                left[some[np.lexsort((some, far[some], -left[some]))[0]]] -= 1
-        gave = spare - left
-        return pd.DataFrame({"region": d["region"], "target": np.where(short, low, before - gave), "gave": gave})
+                some = [k for k, n in enumerate(left) if n > 0]
+                close = [k for k in some if abs(t[k] - t[i]) <= near]
+                left[min(close or some, key=lambda k: (-left[k], abs(t[k] - t[i]), k))] -= 1
+        gave = [a - b for a, b in zip(spare, left, strict=True)]
+        return [f if s else b - g for s, f, b, g in zip(short, low, before, gave, strict=True)], gave
 
+    def lift_all(d: pd.DataFrame, start: np.ndarray) -> pd.DataFrame:
+        before, low, t = d["target"].to_numpy(np.int64), d["floor"].to_numpy(np.int64), d["t"].to_numpy(float)
+        target, gave = pd.array(before, "Int64"), np.zeros(len(d), np.int64)
+        for k in np.flatnonzero(np.logical_or.reduceat(before < low, start[:-1])).tolist():
+            part = slice(start[k], start[k + 1])
+            new, gave[part] = lift(before[part].tolist(), low[part].tolist(), t[part].tolist())
+            target[part] = pd.array(new, "Int64")
+        return d[[*by, "region"]].assign(target=target, gave=gave)
+
+    keys = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in targets.select(*by).schema.fields)
     kind = targets.schema["region"].dataType.simpleString()
-    return per_series(targets, by, lift, f"region {kind}, target long, gave long")
+    return per_batch(targets.select(*by, "region", "t", "target", "floor"), by, ["t", "region"], lift_all, f"{keys}, region {kind}, target long, gave long")
 
 
 def search_rates(regions: DataFrame, rates: DataFrame, unit: int) -> DataFrame:

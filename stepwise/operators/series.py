@@ -7,7 +7,7 @@ reads(by, t, v, conf). Functions that carry state along a series run series by s
 from __future__ import annotations
 
 from bisect import bisect_right
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -37,6 +37,40 @@ def per_series(df: DataFrame, by: Sequence[str], function: Callable[[pd.DataFram
     return spread(df, by).groupBy(*by).applyInPandas(run, f"{keys}, {schema}")
 
 
+def per_batch(df: DataFrame, by: Sequence[str], order: Sequence[str], function: Callable[[pd.DataFrame, np.ndarray], pd.DataFrame], schema: str) -> DataFrame:
+    """function on many keys at a time: rows in order by key, and the position at which each key starts (and the end); what it returns is all columns of `schema`.
+
+    For keys with few rows each, which one call apiece would be slow for. Keys are whole: the last of an Arrow
+    batch waits for its other rows, so a key must fit a task, and no more than a batch and a key is held.
+    """
+
+    def cut(d: pd.DataFrame) -> np.ndarray:
+        new = np.zeros(len(d), bool)
+        for c in by:
+            now, last = d[c], d[c].shift()
+            new |= (now.ne(last) & ~(now.isna() & last.isna())).to_numpy(bool)
+        new[0] = True
+        return np.append(np.flatnonzero(new), len(d))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        wait: list[pd.DataFrame] = []
+        for batch in batches:
+            if not len(batch):
+                continue
+            wait.append(batch)
+            if len(cut(pd.concat([wait[0].head(1), batch.tail(1)], ignore_index=True))) == 2:
+                continue  # one key so far
+            rows = pd.concat(wait, ignore_index=True)
+            at = cut(rows)
+            wait = [rows.iloc[at[-2] :]]
+            yield function(rows.iloc[: at[-2]], at[:-1])
+        if wait:
+            rows = pd.concat(wait, ignore_index=True)
+            yield function(rows, cut(rows))
+
+    return spread(df, by).sortWithinPartitions(*by, *order).mapInPandas(run, schema)
+
+
 def persistent(reads: DataFrame, by: Sequence[str], k: int = 2) -> DataFrame:
     """Reads whose value recurs within the next k reads."""
     order = Window.partitionBy(*by).orderBy("t")
