@@ -15,27 +15,28 @@ from pyspark.sql.window import Window
 from ..functions.scalars import drawn_fake, judged_symbol
 
 
-def read_corpus(spark: SparkSession, path: str, rev: str = "head") -> DataFrame:
-    """rev, path, pack, song, content for every .ssc file under path; UTF-8 (bad bytes replaced), line ends as line feeds. Pack and song are the two folders over the file."""
-    raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.ssc").load(path)
+def read_corpus(spark: SparkSession, path: str, rev: str = "head", names: str = "*.ssc") -> DataFrame:
+    """rev, path, pack, song, content for every step file (by its name) under path; UTF-8 (bad bytes replaced), line ends as line feeds. Pack and song are the two folders over the file."""
+    raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", names).load(path)
     parts = F.split("path", "/")
     text = F.regexp_replace(_decode(F.col("content")), "\r\n?", "\n")
     return raw.select(F.lit(rev).alias("rev"), "path", F.element_at(parts, -3).alias("pack"), F.element_at(parts, -2).alias("song"), text.alias("content"))
 
 
 def _decode(content: Column) -> Column:
-    """UTF-8 with replacement; the JVM's decoder raises on bad bytes under ANSI settings, so those go through Arrow."""
+    """UTF-8 with replacement; the JVM's decoder raises on bad bytes under ANSI settings, so those, and only those, go through Arrow."""
     @F.pandas_udf("string")
     def repair(s: pd.Series) -> pd.Series:
         return s.map(lambda b: None if b is None else bytes(b).decode("utf-8", "replace"))
 
-    return F.when(F.is_valid_utf8(content.cast("string")), content.cast("string")).otherwise(repair(content))
+    good = F.is_valid_utf8(content.cast("string"))
+    return F.when(good, content.cast("string")).otherwise(repair(F.when(~good, content)))
 
 
 def split_blocks(files: DataFrame) -> DataFrame:
     """rev, path, pack, song, block (from 0), header, text, block_sha, header_sha: a block starts at a #NOTEDATA: that starts a line; both texts lose white space at their end."""
     pieces = F.split("content", r"(?m)^(?=#NOTEDATA:)")
-    rows = files.select("rev", "path", "pack", "song", F.rtrim(F.regexp_replace(F.get(pieces, F.lit(0)), r"\s+$", "")).alias("header"), F.posexplode(F.slice(pieces, F.lit(2), F.size(pieces))).alias("block", "text"))
+    rows = files.select("rev", "path", "pack", "song", F.rtrim(F.regexp_replace(F.get(pieces, F.lit(0)), r"\s+$", "")).alias("header"), F.posexplode_outer(F.slice(pieces, F.lit(2), F.size(pieces))).alias("block", "text")).filter("block IS NOT NULL")  # outer: else Spark infers a filter that splits all texts once more
     rows = rows.withColumn("text", F.regexp_replace("text", r"\s+$", ""))
     return rows.withColumn("block_sha", F.sha2("text", 256)).withColumn("header_sha", F.sha2("header", 256))
 
@@ -60,7 +61,7 @@ def parse_tags(blocks: DataFrame) -> DataFrame:
 
 def parse_schedule(blocks: DataFrame, tag: str, key: list[str]) -> DataFrame:
     """key, beat, value, more: the entries 'beat=value[=...]' of a tag; blanks and bad numbers are skipped, the later of two entries on a beat wins."""
-    entries = F.posexplode(F.split(F.element_at("tags", tag), ","))
+    entries = F.posexplode_outer(F.split(F.element_at("tags", tag), ","))  # outer: without a filter that reads all tags once more
     rows = blocks.select(*key, entries.alias("pos", "entry"))
     part = lambda i: F.trim(F.get(F.split("entry", "="), F.lit(i)))
     rows = rows.select(*key, "pos", part(0).try_cast("double").alias("beat"), part(1).try_cast("double").alias("value"), F.slice(F.split("entry", "="), F.lit(3), F.size(F.split("entry", "="))).alias("more")).filter("beat IS NOT NULL AND value IS NOT NULL")
@@ -84,7 +85,7 @@ def beat_of(measure: Column, row: Column, rows: Column) -> Column:
 def note_rows(blocks: DataFrame, key: list[str]) -> DataFrame:
     """key, measure, row, rows, line, beat, at: the rows of #NOTES that hold anything; comments are cut; a half-double row of six panels becomes ten, two empty at each side."""
     notes = F.regexp_replace(F.element_at("tags", "NOTES"), r"//[^\n]*", "")
-    measures = blocks.select(*key, F.posexplode(F.split(notes, ",")).alias("measure", "body"))
+    measures = blocks.select(*key, F.posexplode_outer(F.split(notes, ",")).alias("measure", "body")).filter("measure IS NOT NULL")
     lines = F.filter(F.transform(F.split("body", "\n"), lambda x: F.trim(x)), lambda x: x != "")
     rows = measures.withColumn("_l", lines).withColumn("rows", F.size("_l")).select(*key, "measure", "rows", F.posexplode("_l").alias("row", "line"))
     cells = F.regexp_extract_all("line", F.lit(r"\{[^}]*\}|."), 0)
