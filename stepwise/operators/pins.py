@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from ._range import asof, overlap_join
 from .intervals import interpolate, overlap_filter
+from .signals import less_percentile
 
 
 def _steps(steps: DataFrame, by: Sequence[str], unit: int) -> DataFrame:
@@ -113,7 +114,7 @@ def local_heights(signal: DataFrame, by: Sequence[str], value: str = "v", least:
     """
     order = Window.partitionBy(*by).orderBy("frame")
     rise = F.col("_rise")
-    rows = signal.withColumn("_rise", F.col(value) - F.percentile(value, F.lit(q)).over(order.rowsBetween(-back, 0)))
+    rows = less_percentile(signal, value, q, order.rowsBetween(-back, 0), "_rise")
     rows = rows.withColumn("_top", (rise >= F.lag("_rise").over(order)) & (rise > F.lead("_rise").over(order)) & (rise > least)).filter("_top")
     at = lambda p: F.percentile("_rise", F.lit(p))
     return rows.groupBy(*by).agg(F.count("*").alias("n"), at(0.1).alias("low"), at(0.5).alias("middle"), at(0.9).alias("high"))

@@ -8,16 +8,30 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql.window import Window, WindowSpec
 
 from ._range import asof, nearest
 from .series import per_series
 
 
+def less_percentile(rows: DataFrame, value: str, q: float, frame: WindowSpec, name: str) -> DataFrame:
+    """rows with name: value less the q-th percentile of its window frame.
+
+    Between two values the percentile is lower * (1 - part) + upper * part with the first product fused into the sum, as DuckDB
+    has it; Spark rounds that product, so that rises which are equal there differ here in their last bit.
+    """
+    sort, at = F.col("_sorted"), (F.size("_sorted") - 1) * F.lit(float(q))
+    part = at - F.floor(at)
+    low, high = (F.get(sort, f(at).cast("int")).cast("double") for f in (F.floor, F.ceil))
+    between = F.reflect(F.lit("java.lang.Math"), F.lit("fma"), low, 1 - part, high * part).cast("double")
+    rows = rows.withColumn("_sorted", F.sort_array(F.collect_list(value).over(frame)))
+    return rows.withColumn(name, F.col(value) - F.when((F.size("_sorted") > 0) & (part > 0), between).otherwise(low)).drop("_sorted")
+
+
 def rises(signal: DataFrame, by: Sequence[str], value: str = "v", thresh: float = 0, back: int = 30, around: int = 4, q: float = 0.3) -> DataFrame:
     """signal rows with rise (value less the q-th percentile of the last 31 frames) that are the greatest of +-4 frames and over thresh; the first and last 4 frames are ignored."""
     order = Window.partitionBy(*by).orderBy("frame")
-    rows = signal.withColumn("rise", F.col(value) - F.percentile(value, F.lit(q)).over(order.rowsBetween(-back, 0)))
+    rows = less_percentile(signal, value, q, order.rowsBetween(-back, 0), "rise")
     rows = rows.withColumn("_top", F.max("rise").over(order.rowsBetween(-around, around))).withColumn("_i", F.row_number().over(order)).withColumn("_n", F.count("*").over(Window.partitionBy(*by)))
     return rows.filter((F.col("rise") == F.col("_top")) & (F.col("rise") > thresh) & (F.col("_i") > around) & (F.col("_i") <= F.col("_n") - around)).drop("_top", "_i", "_n")
 

@@ -3,10 +3,11 @@
 import random
 from fractions import Fraction
 
+import duckdb
 import numpy as np
 import pytest
 
-from stepwise.operators import intervals, pins
+from stepwise.operators import intervals, pins, signals
 from stepwise.plans import pins as plans
 
 from .conftest import rows
@@ -149,3 +150,23 @@ def test_tempo_query(spark, sf):
     for key, (((bpm),),) in coarse.items():
         want = plain_tempo(np.array([x for x, in t[key]]), bpm)
         assert (got[key].bpm, got[key].strength) == pytest.approx(want[:2], abs=2e-6) and got[key].origin == pytest.approx(want[2], abs=2e-6)
+
+
+#: Series whose maxima differ if lower * (1 - part) is rounded before upper * part is added, and how many each has.
+TIED = {0: ([105, 127, 296, 246, 272, 235], 2), 1: ([210, 235, 75, 125, 28, 271], 2), 2: ([18, 244, 282, 210, 234, 191], 1), 3: ([24, 140, 251, 172, 190, 110], 1)}
+
+
+def test_equal_rises_are_equal_as_in_the_sql(spark):
+    """DuckDB's percentile decides which neighbours are equal, to the last bit."""
+    signal = spark.createDataFrame([(s, i, v) for s, (values, _) in TIED.items() for i, v in enumerate(values)], "series int, frame int, v long")
+    assert rows(pins.local_heights(signal, BY), "series", "n") == [(s, n) for s, (_, n) in TIED.items()]
+    db = duckdb.connect()
+    db.execute("CREATE TABLE s (series INTEGER, frame INTEGER, v BIGINT)")
+    rng = random.Random(3)
+    values = [(s, i, rng.randrange(500)) for s in range(40) for i in range(50)]
+    db.executemany("INSERT INTO s VALUES (?, ?, ?)", values)
+    want = db.execute("SELECT series, frame, v - quantile_cont(v, 0.3) OVER (PARTITION BY series ORDER BY frame ROWS 30 PRECEDING) FROM s").fetchall()
+    got = signals.rises(spark.createDataFrame(values, "series int, frame int, v long"), BY, thresh=-1000, around=0)
+    assert rows(got, "series", "frame", "rise") == sorted(want, key=repr)
+    empty = signals.rises(spark.createDataFrame([(0, 0, None), (0, 1, 4), (0, 2, None)], "series int, frame int, v long"), BY, thresh=-1, around=0)
+    assert rows(empty, "frame", "rise") == [(1, 0.0)]
