@@ -53,12 +53,12 @@ class WordTokens:
     For tokenizers that split at white space and between letters and marks: such a
     piece has the same ids in any text. Pieces of letters only (a-z and U+00C0 to
     U+00FF, A-Z folded if the tokenizer folds them) go straight to its model, others
-    through the whole tokenizer. The memory is bounded: at `most` pieces it is emptied.
+    through the whole tokenizer. The memory is bounded: at `most` pieces (about 40 bytes each) it is emptied.
     """
 
     PROBES = ("word", "über", "naïve", "çà", "strasse")
 
-    def __init__(self, path: str, most: int = 100_000):
+    def __init__(self, path: str, most: int = 1_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most = Tokenizer.from_file(path), most
@@ -72,7 +72,7 @@ class WordTokens:
         return [t.id for t in self.model.tokenize(word.decode() if word.isascii() else "".join(map(self.letters.__getitem__, word)))]
 
     def _clear(self) -> None:
-        self.known: dict[int, int] = {}
+        self.known, self.entry = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # hashes in order, and the entry of each
         self.ids, self.bounds = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
     def _pieces(self, data: np.ndarray, words: tv.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -95,10 +95,18 @@ class WordTokens:
         bad = np.concatenate(([0], np.cumsum(~letter)))
         return start, end, (bad[end] == bad[start]) & self.direct, first
 
-    def _learn(self, words: list[bytes], plain: list[bool], keys: list[int]) -> None:
+    def _find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place in known, is it there?) of each hash."""
+        at = np.searchsorted(self.known, keys)
+        there = at < len(self.known)
+        there[there] = self.known[at[there]] == keys[there]
+        return at, there
+
+    def _learn(self, words: list[bytes], plain: list[bool], keys: np.ndarray, at: np.ndarray) -> None:
         rest = iter(self.tokenizer.encode_batch_fast([w.decode() for w, p in zip(words, plain, strict=True) if not p], add_special_tokens=False))
         fresh = [self._of_letters(w) if p else next(rest).ids for w, p in zip(words, plain, strict=True)]
-        self.known.update(zip(keys, range(len(self.known), len(self.known) + len(keys)), strict=True))
+        fresh_entry = np.arange(len(self.known), len(self.known) + len(keys))
+        self.known, self.entry = np.insert(self.known, at, keys), np.insert(self.entry, at, fresh_entry)
         self.ids = np.concatenate((self.ids, np.fromiter(chain.from_iterable(fresh), np.uint32)))
         self.bounds = np.concatenate((self.bounds, self.bounds[-1] + np.cumsum(np.fromiter(map(len, fresh), np.int64))))
 
@@ -109,18 +117,19 @@ class WordTokens:
         folded = fold(data)
         hashes = np.where(plain, tv.HASH_A.ranges(folded, start, end), tv.HASH_B.ranges(data, start, end))
         distinct, index, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        keys = distinct.tolist()
-        new = [i for i, k in enumerate(keys) if k not in self.known]
-        if len(self.known) + len(new) > self.most:
+        place, there = self._find(distinct)
+        if len(self.known) + int((~there).sum()) > self.most:
             self._clear()
-            new = range(len(keys))
-        if new:
+            place, there = self._find(distinct)
+        new = np.flatnonzero(~there)
+        if len(new):
             raw, low = data.tobytes(), folded.tobytes()
-            at = index[list(new)]
+            at = index[new]
             only = plain[at].tolist()
-            self._learn([(low if p else raw)[a:b] for a, b, p in zip(start[at].tolist(), end[at].tolist(), only, strict=True)], only, [keys[i] for i in new])
-        entry = np.fromiter((self.known[k] for k in keys), np.int64, len(keys))[inverse] if keys else np.zeros(0, np.int64)
-        size = np.diff(self.bounds)[entry]
+            self._learn([(low if p else raw)[a:b] for a, b, p in zip(start[at].tolist(), end[at].tolist(), only, strict=True)], only, distinct[new], place[new])
+            place, _ = self._find(distinct)
+        entry = self.entry[place][inverse]
+        size = self.bounds[entry + 1] - self.bounds[entry]
         sums = np.concatenate(([0], np.cumsum(size)))
         row_size = np.diff(sums[first[words.first]])
         bounds = np.concatenate(([0], np.cumsum(row_size + 1)))

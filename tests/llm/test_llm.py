@@ -123,6 +123,18 @@ def test_packing_pads_little(spark, sf):
     assert padding < 0.01 * total
 
 
+def test_words_are_tokenised_once():
+    """Also of a large vocabulary, chunk after chunk."""
+    w, learned = packing.WordTokens(queries.tokenizer_path()), []
+    learn = w._learn
+    w._learn = lambda words, *rest: (learned.extend(words), learn(words, *rest))
+    for _ in range(2):
+        for part in range(4):
+            data, offsets = tv.strings(pa.array([" ".join("ab" + str(k).translate(str.maketrans("0123456789", "qwertyuiop")) for k in range(part * 35000, part * 35000 + 35000))]))
+            w.texts(data, offsets, 2)
+    assert len(learned) == len(set(learned)) == 140000
+
+
 def test_word_tokens_equal_the_tokenizer():
     from tokenizers import Tokenizer
 
