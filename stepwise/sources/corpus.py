@@ -7,6 +7,8 @@ double that stands beside them for sorting.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,18 +70,22 @@ def parse_schedule(blocks: DataFrame, tag: str, key: list[str]) -> DataFrame:
     return rows.groupBy(*key, "beat").agg(F.max_by(F.struct("value", "more"), "pos").alias("_s")).select(*key, "beat", "_s.value", "_s.more")
 
 
-def _gcd(a: Column, b: Column) -> Column:
-    """Greatest common divisor; the rows of a measure are under 2^20, so thirty steps of Euclid are enough."""
+def _gcd(a: Column, b: Column, finish: Callable[[Column], Column] = lambda g: g) -> Column:
+    """finish(greatest common divisor), worked out once; Euclid from a % b on takes fewer steps than 1.45 * log2(b) + 2."""
     step = lambda s, _: F.when(s["b"] == 0, s).otherwise(F.struct(s["b"].alias("a"), (s["a"] % F.when(s["b"] == 0, 1).otherwise(s["b"])).alias("b")))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(30)), F.struct(a.cast("long").alias("a"), b.cast("long").alias("b")), step, lambda s: s["a"])
+    steps = F.sequence(F.lit(1), F.ceil(1.45 * F.log2(F.greatest(b, F.lit(1)).cast("double"))).cast("int") + 3)
+    return F.aggregate(steps, F.struct(a.cast("long").alias("a"), b.cast("long").alias("b")), step, lambda s: finish(s["a"]))
+
+
+def _reduced(num: Column, den: Column, n: str = "num", d: str = "den") -> Column:
+    """num / den as a struct in lowest terms; 0 has den 1."""
+    over = lambda g: F.struct((num / g).cast("long").alias(n), (den / g).cast("long").alias(d))
+    return F.when(num == 0, F.struct(F.lit(0).cast("long").alias(n), F.lit(1).cast("long").alias(d))).otherwise(_gcd(F.greatest(num, F.lit(1)), den, over))
 
 
 def beat_of(measure: Column, row: Column, rows: Column) -> Column:
     """4 * measure + 4 * row / rows as a reduced fraction."""
-    num, den = (measure * rows + row).cast("long") * 4, rows.cast("long")
-    g = _gcd(F.greatest(num, F.lit(1)), den)
-    g = F.when(num == 0, den).otherwise(g)
-    return F.struct((num / g).cast("long").alias("num"), (den / g).cast("long").alias("den"))
+    return _reduced((measure * rows + row).cast("long") * 4, rows.cast("long"))
 
 
 def note_rows(blocks: DataFrame, key: list[str]) -> DataFrame:
@@ -87,7 +93,7 @@ def note_rows(blocks: DataFrame, key: list[str]) -> DataFrame:
     notes = F.regexp_replace(F.element_at("tags", "NOTES"), r"//[^\n]*", "")
     measures = blocks.select(*key, F.posexplode_outer(F.split(notes, ",")).alias("measure", "body")).filter("measure IS NOT NULL")
     lines = F.filter(F.transform(F.split("body", "\n"), lambda x: F.trim(x)), lambda x: x != "")
-    rows = measures.withColumn("_l", lines).withColumn("rows", F.size("_l")).select(*key, "measure", "rows", F.posexplode("_l").alias("row", "line"))
+    rows = measures.withColumn("_l", lines).withColumn("rows", F.size("_l")).select(*key, "measure", "rows", F.posexplode("_l").alias("row", "line")).filter(F.col("line").rlike("[^0]"))  # most rows are empty: they aren't cut into cells
     cells = F.regexp_extract_all("line", F.lit(r"\{[^}]*\}|."), 0)
     rows = rows.withColumn("cells", cells)
     rows = rows.withColumn("cells", F.when(F.size("cells") == 6, F.concat(F.array(F.lit("0"), F.lit("0")), "cells", F.array(F.lit("0"), F.lit("0")))).otherwise(F.col("cells")))
@@ -127,12 +133,11 @@ def give_way(notes: DataFrame, key: list[str], grid: int) -> DataFrame:
     end = F.col("_end.num") / F.col("_end.den")
     meets = F.coalesce(end == F.col("_next"), F.lit(False))
     num, den = F.col("_end.num") * grid - F.col("_end.den"), F.col("_end.den") * grid
-    g = _gcd(F.greatest(num, F.lit(1)), den)
-    earlier = F.struct((num / g).cast("long").alias("num"), (den / g).cast("long").alias("den"))
+    earlier = _gcd(F.greatest(num, F.lit(1)), den, lambda g: F.struct((num / g).cast("long").alias("num"), (den / g).cast("long").alias("den")))
     fits = num / den > F.col("_at")
     rows = rows.withColumn("_end", F.when(meets & fits, earlier).when(~meets & (end > F.col("_at")), F.col("_end"))).withColumn("sym", F.when((F.col("sym") == "2") & F.col("_end").isNull(), "1").otherwise(F.col("sym")))
-    tails = rows.filter("_end IS NOT NULL").select(*key, F.col("_end").alias("beat"), "col", F.lit("3").alias("sym"))
-    return rows.select(*key, "beat", "col", "sym").unionByName(tails)
+    both = F.array(F.struct("beat", "sym"), F.when(F.col("_end").isNotNull(), F.struct(F.col("_end").alias("beat"), F.lit("3").alias("sym"))))
+    return rows.select(*key, "col", F.explode_outer(F.array_compact(both)).alias("_b")).select(*key, "_b.beat", "col", "_b.sym")  # no union: it would lose the partitioning
 
 
 def render_grid(notes: DataFrame, key: list[str], width: int, finest: int = 192, grid: int = 48) -> DataFrame:
@@ -142,17 +147,18 @@ def render_grid(notes: DataFrame, key: list[str], width: int, finest: int = 192,
     1/grid beat, or its hold becomes a tap (see give_way). Two other symbols on one panel and beat
     are an error, given as a null text.
     """
-    ranked = give_way(notes, key, grid).groupBy(*key, "beat", "col").agg(F.collect_set("sym").alias("_s"))
-    cell = F.when(F.size("_s") == 1, F.get("_s", F.lit(0)))
-    rows = ranked.withColumn("sym", cell).withColumn("measure", F.floor(F.col("beat.num") / (4 * F.col("beat.den"))))
-    inside_num = F.col("beat.num") - 4 * F.col("measure") * F.col("beat.den")
-    g = _gcd(F.greatest(inside_num, F.lit(1)), 4 * F.col("beat.den"))
-    rows = rows.withColumn("_n", F.when(inside_num == 0, 0).otherwise((inside_num / g).cast("long"))).withColumn("_d", F.when(inside_num == 0, 1).otherwise((4 * F.col("beat.den") / g).cast("long")))
+    rows = give_way(notes, key, grid).withColumn("measure", F.floor(F.col("beat.num") / (4 * F.col("beat.den"))))
+    inside = _reduced(F.col("beat.num") - 4 * F.col("measure") * F.col("beat.den"), 4 * F.col("beat.den"), "n", "d")
+    measures = rows.withColumn("_i", inside).groupBy(*key, "measure").agg(F.collect_set(F.struct("_i.n", "_i.d", "col", "sym")).alias("_c"))
     lcm = lambda acc, d: (acc * d / _gcd(acc, d)).cast("long")
-    measures = rows.groupBy(*key, "measure").agg(F.collect_set("_d").alias("_ds"), F.collect_list(F.struct("_n", "_d", "col", "sym")).alias("_cells"), F.max(F.col("sym").isNull()).alias("_bad"))
-    measures = measures.withColumn("rows", F.aggregate("_ds", F.lit(4).cast("long"), lcm))
-    place = F.transform("_cells", lambda c: F.struct((c["_n"] * (F.col("rows") / c["_d"]).cast("long") * width + c["col"]).alias("k"), c["sym"].alias("v")))
-    filled = F.map_from_entries(place)
-    row = lambda r: F.concat_ws("", F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda c: F.coalesce(F.element_at(filled, (r * width + c).cast("long")), F.lit("0"))))
-    text = F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1), row), "\n")
-    return measures.select(*key, "measure", "rows", F.when(~F.col("_bad") & (F.col("rows") <= finest), text).alias("text"))
+    measures = measures.withColumn("rows", F.aggregate(F.array_distinct(F.transform("_c", lambda c: c["d"])), F.lit(4).cast("long"), lcm))
+    place = F.transform("_c", lambda c: F.struct((c["n"] * (F.col("rows") / c["d"]).cast("long") * width + c["col"]).alias("k"), c["sym"].alias("v")))
+    measures = measures.withColumn("_c", F.sort_array(place))
+    at = lambda k: (k + F.floor(k / width)).cast("int")  # where a cell stands, line feeds counted
+    line = F.lit("0" * width + "\n")
+    zeros = lambda a, b: F.substr(F.repeat(line, F.floor((b - a) / (width + 1)).cast("int") + 2), a % (width + 1) + 1, b - a)
+    cell = lambda c, i: F.concat(zeros(F.when(i == 0, 0).otherwise(at(F.get("_c", i - 1)["k"]) + 1), at(c["k"])), c["v"])
+    last = zeros(at(F.get("_c", F.size("_c") - 1)["k"]) + 1, (F.col("rows") * (width + 1) - 1).cast("int"))
+    text = F.concat(F.array_join(F.transform("_c", cell), ""), last)
+    good = (F.size(F.array_distinct(F.transform("_c", lambda c: c["k"]))) == F.size("_c")) & ~F.exists("_c", lambda c: c["v"].isNull())
+    return measures.select(*key, "measure", "rows", F.when(good & (F.col("rows") <= finest), text).alias("text"))

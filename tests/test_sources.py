@@ -2,7 +2,10 @@
 
 import hashlib
 import json
+import math
+import random
 import zipfile
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -123,3 +126,26 @@ def test_archive_and_report(spark, tmp_path):
     assert rows(got, "name", "is_chart") == [("a.json", True), ("stepfiles/x.ssc", False)]
     files.write_report(got.select("name", "sha1"), str(tmp_path / "out"), ["name"])
     assert spark.read.json(str(tmp_path / "out")).count() == 2
+
+
+def test_grids_are_written_in_one_go(spark):
+    """No map of cells inside a loop over cells, no union: a measure's text comes from its sorted cells, notes keep their partitioning."""
+    rng = random.Random(4)
+    cells = [(key, *place, rng.choice("12M")) for key in range(60) for place in sorted({(m * 96 + rng.randrange(96), rng.randrange(5)) for m in range(3) for _ in range(rng.randrange(12))})]
+    cells = [(k, at, col, "1" if s == "2" else s) for k, at, col, s in cells]  # heads without tails become taps
+    notes = spark.createDataFrame([(k, (Fraction(at, 24).numerator, Fraction(at, 24).denominator), col, s) for k, at, col, s in cells], "block int, beat struct<num: long, den: long>, col int, sym string")
+    want = {}
+    for k, at, col, s in cells:
+        want.setdefault((k, at // 96), {})[at % 96, col] = s
+    grid = corpus.render_grid(notes, ["block"], 5)
+    got = {(r.block, r.measure): (r.rows, r.text) for r in grid.collect()}
+    assert got.keys() == want.keys()
+    for place, mine in want.items():
+        n = math.lcm(4, *(Fraction(at, 96).denominator for at, _ in mine))
+        assert got[place] == (n, "\n".join("".join(mine.get((r * 96 // n, c), "0") for c in range(5)) for r in range(n)))
+    twice = corpus.render_grid(notes.unionByName(notes), ["block"], 5)
+    assert {(r.block, r.measure): r.text for r in twice.collect()} == {k: t for k, (_, t) in got.items()}
+    clash = spark.createDataFrame([(0, (0, 1), 0, "1"), (0, (0, 1), 0, "M"), (1, (1, 300), 0, "1")], notes.schema)
+    assert rows(corpus.render_grid(clash, ["block"], 5), "block", "text") == [(0, None), (1, None)]
+    plan = grid._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan and "map_from_entries" not in plan and "sequence(1, 30" not in plan
