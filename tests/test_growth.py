@@ -81,3 +81,12 @@ def test_songs_with_many_charts_make_no_pairs(spark):
     got = match.match_catalog(recs, catalog)
     assert rows(got, "rec", "match", "chart") == [(1, "own_mix", 10), (2, "any_mix", 12), (3, "current", 11), (4, "unmatched_level", None), (5, "unmatched_song", None), (6, "ambiguous", None), (7, "unmatched_level", None)]
     assert "collect_set" not in plan(got) and plan(got).count("Aggregate") >= 3
+
+
+def test_names_are_found_by_two_words_and_compared_where_they_are_found(spark):
+    docs = spark.createDataFrame([(1, "A b, C d! a"), (2, "b c"), (None, "x a B c"), (3, None), (4, ""), (5, "ab c")], "doc long, text string")
+    names = spark.createDataFrame([("a",), ("B-c",), ("a b c d",), ("c d a b",), ("b c",), ("...",), (None,)], "name string")
+    want = [(1, "B-c"), (1, "a"), (1, "a b c d"), (1, "b c"), (2, "B-c"), (2, "b c"), (None, "B-c"), (None, "a"), (None, "b c")]
+    got = match.name_scan(docs, names)
+    assert rows(got) == rows(match.phrase_scan(docs, names, most=0)) == sorted(want, key=repr)
+    assert "array_join" not in plan(got) and "broadcast" in plan(got) and plan(got).count("RepartitionByExpression") == 0
