@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pandas as pd
@@ -153,10 +155,12 @@ def tempo_scan(rows: DataFrame, by: Sequence[str], tempi: DataFrame, apart: floa
     rows(by, t in seconds), tempi(bpm): a candidate table of fixed size.
     """
     phase = F.lit(2 * np.pi) * F.col("t") * F.col("bpm") * 12 / 60
-    grid = rows.crossJoin(F.broadcast(tempi)).groupBy(*by, "bpm").agg(F.sqrt(F.pow(F.avg(F.cos(phase)), 2) + F.pow(F.avg(F.sin(phase)), 2)).alias("strength"))
-    best = grid.groupBy(*by).agg(F.max_by(F.struct("bpm", "strength"), F.struct(F.round("strength", 9), -F.col("bpm"))).alias("_b"))
-    other = grid.join(best, list(by)).filter(F.abs(F.col("bpm") - F.col("_b.bpm")) > apart).groupBy(*by).agg(F.max_by("bpm", F.struct(F.round("strength", 9), -F.col("bpm"))).alias("elsewhere"))
-    return best.join(other, list(by), "left").select(*by, "_b.bpm", "_b.strength", "elsewhere")
+    grid = spread(rows.select(*by, "t"), by).crossJoin(F.broadcast(tempi)).groupBy(*by, "bpm").agg(F.sqrt(F.pow(F.avg(F.cos(phase)), 2) + F.pow(F.avg(F.sin(phase)), 2)).alias("strength"))
+    tried = grid.groupBy(*by).agg(F.collect_list(F.struct(F.round("strength", 9).alias("s"), (-F.col("bpm")).alias("low"), "bpm", "strength")).alias("_g"))  # one for each candidate
+    best = tried.withColumn("_b", F.array_max("_g"))
+    other = F.array_max(F.filter("_g", lambda x: F.abs(x["bpm"] - F.col("_b.bpm")) > apart))["bpm"]
+    known = reduce(and_, (F.col(c).isNotNull() for c in by))
+    return best.select(*by, "_b.bpm", "_b.strength", F.when(known, other).alias("elsewhere"))
 
 
 def rolling_drift(notes: DataFrame, by: Sequence[str], half: int, grid: float) -> DataFrame:
