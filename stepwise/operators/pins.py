@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from ._range import asof, overlap_join
 from .intervals import interpolate, overlap_filter
+from .series import spread
 from .signals import less_percentile
 
 
@@ -131,18 +132,18 @@ def tempo_and_origin(rows: DataFrame, by: Sequence[str], coarse: DataFrame, span
     lattice of twelfths gives its phase; the twelfth whose rows weigh most as beats (WEIGHT, ties: the first) is the origin.
     """
     tau = F.lit(6.283185307179586)
-    tries = coarse.select(*by, F.explode(F.transform(F.sequence(F.lit(0), F.lit(round(2 * span / step) - 1)), lambda k: F.col("bpm") - span + k * step)).alias("bpm"))
+    notes = spread(rows.select(*by, "t"), by)
+    tries = notes.join(coarse.select(*by, F.col("bpm").alias("_c")), list(by)).select(*by, "t", "_c", F.explode(F.sequence(F.lit(0), F.lit(round(2 * span / step) - 1))).alias("_k")).withColumn("bpm", F.col("_c") - span + F.col("_k") * step)
     phase = tau * F.col("t") * F.col("bpm") * 12 / 60
     strength = lambda p: F.sqrt(F.pow(F.avg(F.cos(p)), 2) + F.pow(F.avg(F.sin(p)), 2))
-    fine = rows.select(*by, "t").join(tries, list(by)).groupBy(*by, "bpm").agg(strength(phase).alias("strength"))
-    best = fine.groupBy(*by).agg(F.max_by(F.struct("bpm", "strength"), F.struct(F.round("strength", 9), -F.col("bpm"))).alias("_b")).select(*by, "_b.bpm", "_b.strength")
+    fine = tries.groupBy(*by, "bpm").agg(strength(phase).alias("strength"))
+    best = fine.groupBy(*by).agg(F.max_by(F.struct("bpm", "strength"), F.struct(F.round("strength", 9), -F.col("bpm"))).alias("_b")).select(*by, "_b.bpm", "_b.strength").checkpoint()  # a row for each key, read twice
     width = 60 / F.col("bpm") / 12
-    turned = rows.select(*by, "t").join(best, list(by))
-    start = turned.groupBy(*by).agg((F.atan2(F.avg(F.sin(tau * F.col("t") / width)), F.avg(F.cos(tau * F.col("t") / width))) / tau * F.first(width)).alias("_t0"))
-    places = turned.join(start, list(by)).withColumn("_p", F.rint((F.col("t") - F.col("_t0")) / width).cast("long"))
+    start = notes.join(best, list(by)).groupBy(*by).agg((F.atan2(F.avg(F.sin(tau * F.col("t") / width)), F.avg(F.cos(tau * F.col("t") / width))) / tau * F.first(width)).alias("_t0"))
+    start = best.join(start, list(by)).checkpoint()
+    places = notes.join(start, list(by)).withColumn("_p", F.rint((F.col("t") - F.col("_t0")) / width).cast("long"))
     votes = places.groupBy(*by, F.pmod("_p", F.lit(12)).cast("int").alias("_r")).agg(F.count("*").alias("_n"))
     weigh = lambda k: F.try_element_at(F.create_map(*(x for r, w in WEIGHT.items() for x in (F.lit(r), F.lit(w)))), F.pmod(F.col("_r") - k, F.lit(12)))
     each = votes.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(11)))).groupBy(*by, "k").agg(F.sum(F.col("_n") * F.coalesce(weigh(F.col("k")), F.lit(0))).alias("_w"))
     first = each.groupBy(*by).agg(F.max_by("k", F.struct("_w", -F.col("k"))).alias("k"))
-    out = best.join(start, list(by)).join(first, list(by))
-    return out.select(*by, "bpm", "strength", (F.col("_t0") + F.col("k") * width).alias("origin"))
+    return start.join(first, list(by)).select(*by, "bpm", "strength", (F.col("_t0") + F.col("k") * width).alias("origin"))

@@ -2,7 +2,7 @@
 
 import random
 
-from stepwise.operators import match, reconcile
+from stepwise.operators import align, match, pins, reconcile
 
 from .conftest import rows
 
@@ -90,3 +90,15 @@ def test_names_are_found_by_two_words_and_compared_where_they_are_found(spark):
     got = match.name_scan(docs, names)
     assert rows(got) == rows(match.phrase_scan(docs, names, most=0)) == sorted(want, key=repr)
     assert "array_join" not in plan(got) and "broadcast" in plan(got) and plan(got).count("RepartitionByExpression") == 0
+
+
+def test_tempi_are_tried_once_and_near_their_rows(spark):
+    notes = spark.createDataFrame([(s, 60 / 61.5 / 12 * k) for s in ("a", "b", None) for k in range(40)], "s string, t double")
+    tempi = spark.range(0, 9).selectExpr("60 + id / 2 AS bpm")
+    got = align.tempo_scan(notes, ["s"], tempi)
+    assert plan(got).count("Join Cross") == 1, "the best and the next best tempo come from one scan"
+    assert {r.s: r.bpm for r in got.collect()} == {"a": 61.5, "b": 61.5, None: 61.5}
+    assert {r.s: r.elsewhere is None for r in got.collect()} == {"a": False, "b": False, None: True}
+    fine = pins.tempo_and_origin(notes, ["s"], got.select("s", "bpm"))
+    assert "cos" not in plan(fine).lower(), "the fine search is kept, not done again for each use"
+    assert {r.s: round(r.bpm, 6) for r in fine.collect()} == {"a": 61.5, "b": 61.5}
