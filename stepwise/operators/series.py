@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from bisect import bisect_right
 from collections.abc import Callable, Iterator, Sequence
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -26,7 +27,7 @@ def spread(df: DataFrame, by: Sequence[str]) -> DataFrame:
 
 def per_series(df: DataFrame, by: Sequence[str], function: Callable[[pd.DataFrame], pd.DataFrame], schema: str, order: Sequence[str] = ("t",)) -> DataFrame:
     """function on each series in order; its columns after the key. A series must fit a task."""
-    keys = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*by).schema.fields)
+    keys = key_schema(df, by)
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         out = function(rows.sort_values(list(order), kind="stable").reset_index(drop=True))
@@ -37,7 +38,12 @@ def per_series(df: DataFrame, by: Sequence[str], function: Callable[[pd.DataFram
     return spread(df, by).groupBy(*by).applyInPandas(run, f"{keys}, {schema}")
 
 
-def per_batch(df: DataFrame, by: Sequence[str], order: Sequence[str], function: Callable[[pd.DataFrame, np.ndarray], pd.DataFrame], schema: str) -> DataFrame:
+def key_schema(df: DataFrame, columns: Sequence[str]) -> str:
+    """These columns of df as a schema."""
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*columns).schema.fields)
+
+
+def per_batch(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], function: Callable[[pd.DataFrame, np.ndarray], pd.DataFrame], schema: str) -> DataFrame:
     """function on many keys at a time: rows in order by key, and the position at which each key starts (and the end); what it returns is all columns of `schema`.
 
     For keys with few rows each, which one call apiece would be slow for. Keys are whole: the last of an Arrow
@@ -119,9 +125,13 @@ def longest_rise(values: Sequence[float]) -> list[int]:
 
 def lnds(reads: DataFrame, by: Sequence[str]) -> DataFrame:
     """by, t, v: a longest non-decreasing subsequence of each series, in order of t (ties: of v)."""
-    kinds = {f.name: f.dataType.simpleString() for f in reads.schema.fields}
     rows = reads.select(*by, "t", "v").filter("v IS NOT NULL")
-    return per_series(rows, by, lambda d: d.iloc[longest_rise(d["v"].tolist())][["t", "v"]], f"t {kinds['t']}, v {kinds['v']}", ("t", "v"))
+
+    def rise(d: pd.DataFrame, at: np.ndarray) -> pd.DataFrame:
+        v = d["v"].tolist()
+        return d.iloc[[a + i for a, b in pairwise(at.tolist()) for i in longest_rise(v[a:b])]]
+
+    return per_batch(rows, by, (F.asc_nulls_last("t"), F.asc_nulls_last("v")), rise, key_schema(rows, rows.columns))
 
 
 def monotone_stack(reads: DataFrame, by: Sequence[str]) -> DataFrame:
