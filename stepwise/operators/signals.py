@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
 from ._range import asof, nearest
-from .series import per_series
+from .series import key_schema, per_batch, per_series
 
 
 def less_percentile(rows: DataFrame, value: str, q: float, frame: WindowSpec, name: str) -> DataFrame:
@@ -80,11 +81,14 @@ def track(detections: DataFrame, by: Sequence[str], reach: float = 26, keep: flo
     misses more than `misses` frames ends; frames without detections count.
     """
 
-    def link(d: pd.DataFrame) -> pd.DataFrame:
+    def link(frames: list, ys: list) -> list[int]:
         live: list[dict] = []
-        name, out = 0, np.zeros(len(d), np.int64)
-        for frame, rows in d.groupby("frame", sort=True):
-            free = dict(zip(rows.index, rows["y"].astype(float), strict=True))
+        name, out, at = 0, [0] * len(ys), 0
+        while at < len(ys) and pd.notna(frames[at]):
+            frame, free = frames[at], {}
+            while at < len(ys) and frames[at] == frame:
+                free[at] = ys[at]
+                at += 1
             live = [k for k in live if frame - k["frame"] <= misses + 1]
             for k in live:
                 want = k["y"] + k["v"]
@@ -99,10 +103,14 @@ def track(detections: DataFrame, by: Sequence[str], reach: float = 26, keep: flo
                 live.append({"name": name, "y": y, "v": 0.0, "frame": frame, "n": 1})
                 out[i] = name
                 name += 1
-        return pd.DataFrame({"track": out, "frame": d["frame"], "t": d["t"], "y": d["y"]})
+        return out
 
-    kinds = {f.name: f.dataType.simpleString() for f in detections.schema.fields}
-    return per_series(detections.select(*by, "frame", "t", "y"), by, link, f"track long, frame {kinds['frame']}, t {kinds['t']}, y {kinds['y']}", ("frame", "y"))
+    def linked(d: pd.DataFrame, at: np.ndarray) -> pd.DataFrame:
+        frames, ys = d["frame"].tolist(), d["y"].astype(float).tolist()
+        return d.assign(track=[k for a, b in pairwise(at.tolist()) for k in link(frames[a:b], ys[a:b])])[[*by, "track", "frame", "t", "y"]]
+
+    rows = detections.select(*by, "frame", "t", "y")
+    return per_batch(rows, by, (F.asc_nulls_last("frame"), F.asc_nulls_last("y")), linked, f"{key_schema(rows, by)}, track long, {key_schema(rows, ['frame', 't', 'y'])}")
 
 
 def fit_tracks(tracks: DataFrame, by: Sequence[str], y: float, least: int = 4, slowest: float = -60) -> DataFrame:

@@ -2,7 +2,7 @@
 
 import random
 
-from stepwise.operators import align, match, pins, reconcile
+from stepwise.operators import align, match, pins, reconcile, series, signals
 
 from .conftest import rows
 
@@ -102,3 +102,15 @@ def test_tempi_are_tried_once_and_near_their_rows(spark):
     fine = pins.tempo_and_origin(notes, ["s"], got.select("s", "bpm"))
     assert "cos" not in plan(fine).lower(), "the fine search is kept, not done again for each use"
     assert {r.s: round(r.bpm, 6) for r in fine.collect()} == {"a": 61.5, "b": 61.5}
+
+
+def test_short_runs_and_tracks_share_calls(spark):
+    n = 12000  # more than one Arrow batch
+    reads = spark.createDataFrame([(k // 4 if k else None, k % 4, (5, 9, 7, 8)[k % 4]) for k in range(n)] + [(1, None, 9)], "s int, t long, v long")
+    got = series.lnds(reads, ["s"])
+    assert "FlatMapGroups" not in plan(got) and got.filter("v = 9").count() == 1 and got.count() == 3 * n // 4 + 1
+    assert "FlatMapGroups" not in plan(series.segment_runs(reads, ["s"]))
+    seen = reads.selectExpr("s", "t AS frame", "t", "CAST(v AS double) AS y")
+    got = signals.track(seen, ["s"], reach=1.5)
+    assert "FlatMapGroups" not in plan(got) and got.count() == n + 1
+    assert rows(got.filter("s = 7"), "frame", "track") == [(0, 0), (1, 1), (2, 2), (3, 1)]
