@@ -96,8 +96,8 @@ def fold_ascii(c: Column) -> Column:
 
 def norm_answer(c: Column) -> Column:
     r"""A reader's answer: , ; | \ and line feeds become /, white space goes, repeated / collapse, ends lose theirs, upper case."""
-    one = F.regexp_replace(F.regexp_replace(c, r"[,;|\\\n]", "/"), r"\s+", "")
-    return F.upper(F.regexp_replace(F.regexp_replace(one, "/+", "/"), "^/|/$", ""))
+    one = F.translate(c, ",;|\\\n \t\x0b\f\r", "/////")  # white space has no counterpart, so it goes
+    return F.upper(F.when(F.contains(one, F.lit("/")), F.regexp_replace(F.regexp_replace(one, "/+", "/"), "^/|/$", "")).otherwise(one))
 
 
 def is_official(stepstype: Column, songtype: Column, meter: Column, label: Column) -> Column:

@@ -198,13 +198,21 @@ def score_agreement(keys: DataFrame, answers: DataFrame) -> DataFrame:
     """
     said = answers.select("reader", "packet", "item", norm_answer(F.col("answer")).alias("_said"))
     seeds = keys.filter("kind = 'seed'").select("packet", "item", norm_answer(F.col("answer")).alias("_want"))
-    readers = said.select("reader", "packet").distinct()
-    asked = readers.join(seeds, "packet").join(said, ["reader", "packet", "item"], "left")
-    void = asked.filter(~F.col("_said").eqNullSafe(F.col("_want"))).select("reader", "packet").distinct()
-    votes = said.filter("_said <> ''").join(void, ["reader", "packet"], "left_anti")
-    real = keys.filter("kind = 'real'").select("packet", "item").distinct()
-    got = real.join(votes, ["packet", "item"], "left").groupBy("packet", "item").agg(F.count("_said").alias("_n"), F.countDistinct("_said").alias("_d"), F.max(F.col("_said").contains("?")).alias("_q"), F.min("_said").alias("answer"))
-    why = F.when(F.col("_n") < 2, "few_readers").when(F.col("_d") > 1, "disagree").when(F.col("_q"), "unreadable")
+    asked = said.select("reader", "packet").distinct().join(seeds, "packet").select("packet", "reader", "item", F.lit(True).alias("_seed"), "_want", F.lit(None).cast("string").alias("_said"))
+    every = asked.unionByName(said.select("packet", "reader", "item", F.lit(False).alias("_seed"), F.lit(None).cast("string").alias("_want"), "_said"))
+    vote = F.when(F.col("_said") != "", F.col("_said"))
+    each = every.groupBy("packet", "reader", "item").agg(
+        F.count_if("_seed").alias("_seeds"), F.count("_want").alias("_wants"), F.min("_want").alias("_w0"), F.max("_want").alias("_w1"), F.count_if(~F.col("_seed")).alias("_rows"), F.count("_said").alias("_answers"), F.min("_said").alias("_s0"), F.max("_said").alias("_s1"),
+        F.count(vote).alias("_n"), F.min(vote).alias("_lo"), F.max(vote).alias("_hi"), F.max(vote.contains("?")).alias("_q"),
+    )
+    known = F.col("reader").isNotNull() & F.col("item").isNotNull()
+    right = F.when(F.col("_wants") == 0, ~known | (F.col("_answers") == 0)).otherwise(known & (F.col("_wants") == F.col("_seeds")) & (F.col("_rows") > 0) & (F.col("_answers") == F.col("_rows")) & (F.col("_w0") == F.col("_w1")) & (F.col("_s0") == F.col("_s1")) & (F.col("_w0") == F.col("_s0")))
+    wrong = (F.col("_seeds") > 0) & ~F.coalesce(right, F.lit(False))
+    void = F.max(wrong).over(Window.partitionBy("packet", "reader")) & F.col("reader").isNotNull()
+    votes = each.withColumn("_void", void).filter("NOT _void AND _n > 0 AND packet IS NOT NULL AND item IS NOT NULL").select("packet", "item", "_n", "_lo", "_hi", "_q", F.lit(False).alias("_real"))
+    real = keys.filter("kind = 'real'").select("packet", "item", F.lit(0).cast("long").alias("_n"), *(F.lit(None).cast("string").alias(c) for c in ("_lo", "_hi")), F.lit(None).cast("boolean").alias("_q"), F.lit(True).alias("_real"))
+    got = votes.unionByName(real).groupBy("packet", "item").agg(F.max("_real").alias("_real"), F.sum("_n").alias("_n"), F.min("_lo").alias("answer"), F.max("_hi").alias("_hi"), F.max("_q").alias("_q")).filter("_real")
+    why = F.when(F.col("_n") < 2, "few_readers").when(F.col("answer") != F.col("_hi"), "disagree").when(F.col("_q"), "unreadable")
     return got.select("packet", "item", F.when(why.isNull(), "AGREED").otherwise("UNSURE").alias("verdict"), F.when(why.isNull(), F.col("answer")).alias("answer"), why.alias("why"))
 
 

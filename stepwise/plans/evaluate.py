@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import evaluate as op
-from .adapters import EVENTS, events, table
+from .adapters import EVENTS, events, lines, table
 
 C, L = F.col, F.lit
 
@@ -104,7 +104,8 @@ def assign_packets(spark, sf):
 
 def score_agreement(spark, sf):
     """Lines as packet items, three readers who answer with a flag, or wrongly or not by key."""
-    keys = table(spark, sf, "lineitem").groupBy(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("item"), C("l_orderkey").alias("packet")).agg(F.max("l_returnflag").alias("answer"), F.min("l_linenumber").alias("i"), F.min("l_partkey").alias("p"))
+    keys = lines(spark, sf, "l_linenumber", "l_returnflag", "l_partkey").groupBy(C("l_orderkey").alias("packet"), C("l_linenumber").alias("i")).agg(F.max("l_returnflag").alias("answer"), F.min("l_partkey").alias("p"))
+    keys = keys.withColumn("item", F.concat_ws("-", "packet", "i"))
     keyed = keys.select("packet", "item", F.when(C("i") == 1, "seed").otherwise("real").alias("kind"), "answer")
     answers = keys.select("packet", "item", "answer", "p", F.explode(F.array(*map(L, (2, 3, 5)))).alias("reader"))
     said = F.when(C("p") % (C("reader") * 7) == 0, "?").when(C("p") % (C("reader") * 5) == 0, "X").otherwise(C("answer"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..operators import ledgers as op
-from .adapters import EVENTS, HOUR, events, table
+from .adapters import EVENTS, HOUR, events, lines, table
 
 C, L = F.col, F.lit
 
@@ -27,7 +27,7 @@ def merge_ledgers(spark, sf):
 
 def merge_nested(spark, sf):
     """Line items of two ledgers: the second has every third part with a flag of its own."""
-    rows = table(spark, sf, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.max("l_returnflag").alias("flag"), F.min("l_partkey").alias("p"))
+    rows = lines(spark, sf, "l_linenumber", "l_returnflag", "l_partkey").groupBy("l_orderkey", "l_linenumber").agg(F.max("l_returnflag").alias("flag"), F.min("l_partkey").alias("p"))
     later = rows.filter("p % 3 = 0").select("l_orderkey", (C("l_linenumber") + C("p") % 2).cast("int").alias("l_linenumber"), L("Z").alias("flag")).distinct()
     return op.merge_nested([rows, later], ["l_orderkey", "l_linenumber"], ["flag"])
 

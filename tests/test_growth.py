@@ -2,10 +2,15 @@
 
 import random
 
-from stepwise.operators import align, match, pins, reconcile, series, signals
+from stepwise.functions import scalars
+from stepwise.operators import _range, align, match, pins, reconcile, series, signals
+
+from stepwise.plans.registry import collect
 
 from .conftest import rows
 
+QUERIES = collect("QUERIES")
+
 
 def plan(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
@@ -114,3 +119,28 @@ def test_short_runs_and_tracks_share_calls(spark):
     got = signals.track(seen, ["s"], reach=1.5)
     assert "FlatMapGroups" not in plan(got) and got.count() == n + 1
     assert rows(got.filter("s = 7"), "frame", "track") == [(0, 0), (1, 1), (2, 2), (3, 1)]
+
+
+def test_partitions_grow_with_rows(spark):
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df = spark.range(100)
+    assert _range.dealt(df, ["id"], 10, 10).rdd.getNumPartitions() == least
+    assert _range.dealt(df, ["id"], 10 * least + 1, 10).rdd.getNumPartitions() == least + 1
+
+
+def test_merging_moves_lines_once(spark, sf):
+    got = QUERIES["h1_merge_nested"](spark, sf)
+    got.collect()
+    text = got._jdf.queryExecution().executedPlan().toString()
+    text = text.split("Initial Plan")[0]
+    assert "hashpartitioning(l_orderkey" in text and text.count("+- Exchange") == text.count("REPARTITION_BY_NUM"), "no exchange but the deal by order"
+
+
+def test_votes_meet_seeds_without_moving_lines(spark, sf):
+    got = QUERIES["i14_score_agreement"](spark, sf)
+    assert plan(got).count("Join") == 1, "readers meet the seeds of a packet; all else is grouped"
+
+
+def test_answers_are_normed(spark):
+    given = spark.createDataFrame([(" a,b;;c\n",), ("x y\t\x0b\f\rz",), ("/",), ("|\\",), ("",), (None,), ("a\u00a0b/ /",)], "v string")
+    assert [r[0] for r in given.select(scalars.norm_answer(given.v)).collect()] == ["A/B/C", "XYZ", "", "", "", None, "A\u00a0B"]
