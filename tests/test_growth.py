@@ -3,7 +3,7 @@
 import random
 
 from stepwise.functions import scalars
-from stepwise.operators import _range, align, match, pins, reconcile, series, signals
+from stepwise.operators import _range, align, match, pins, pricing, reconcile, series, signals
 
 from stepwise.plans.registry import collect
 
@@ -144,3 +144,17 @@ def test_votes_meet_seeds_without_moving_lines(spark, sf):
 def test_answers_are_normed(spark):
     given = spark.createDataFrame([(" a,b;;c\n",), ("x y\t\x0b\f\rz",), ("/",), ("|\\",), ("",), (None,), ("a\u00a0b/ /",)], "v string")
     assert [r[0] for r in given.select(scalars.norm_answer(given.v)).collect()] == ["A/B/C", "XYZ", "", "", "", None, "A\u00a0B"]
+
+
+def test_rates_are_searched_from_kept_inputs(spark, sf):
+    assert "parquet" not in plan(QUERIES["g14_rate_scan"](spark, sf)), "tables aren't read again for each use of an input"
+
+
+def test_places_of_splits(spark):
+    spans = [(0, 1), (0, 5), (3, 4), (7, 120), (12, 36), (1, 14), (100, 412)]
+    grid, some = pricing._splits(12)
+    got = spark.createDataFrame(spans, "b0 long, b1 long").withColumn("_grid", grid).withColumn("_s", some).collect()
+    for r in got:
+        lo, hi = r.b0, r.b1
+        want = sorted(x for x in {*(k * 6 for k in range(lo * 16 // 12 + 1, hi * 16 // 12 + 1)), *(lo * 8 + (hi - lo) * k for k in range(1, 8))} if lo * 8 < x < hi * 8)
+        assert r._grid == want and r._s == want[:: max(1, len(want) // 64)]
