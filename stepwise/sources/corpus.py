@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -21,20 +20,10 @@ def read_corpus(spark: SparkSession, path: str, rev: str = "head", names: str =
     """rev, path, pack, song, content for every step file (by its name) under path; UTF-8 (bad bytes replaced), line ends as line feeds. Pack and song are the two folders over the file."""
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", names).load(path)
     parts = F.split("path", "/")
-    text = F.regexp_replace(_decode(F.col("content")), "\r\n?", "\n")
+    text = F.regexp_replace(F.make_valid_utf8(F.col("content").cast("string")), "\r\n?", "\n")
     return raw.select(F.lit(rev).alias("rev"), "path", F.element_at(parts, -3).alias("pack"), F.element_at(parts, -2).alias("song"), text.alias("content"))
 
 
-def _decode(content: Column) -> Column:
-    """UTF-8 with replacement; the JVM's decoder raises on bad bytes under ANSI settings, so those, and only those, go through Arrow."""
-    @F.pandas_udf("string")
-    def repair(s: pd.Series) -> pd.Series:
-        return s.map(lambda b: None if b is None else bytes(b).decode("utf-8", "replace"))
-
-    good = F.is_valid_utf8(content.cast("string"))
-    return F.when(good, content.cast("string")).otherwise(repair(F.when(~good, content)))
-
-
 def split_blocks(files: DataFrame) -> DataFrame:
     """rev, path, pack, song, block (from 0), header, text, block_sha, header_sha: a block starts at a #NOTEDATA: that starts a line; both texts lose white space at their end."""
     pieces = F.split("content", r"(?m)^(?=#NOTEDATA:)")
