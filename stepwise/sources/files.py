@@ -11,7 +11,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
+#: All files below a folder; names of folders (key=value) aren't made columns, which the driver would do one by one.
+BELOW = {"recursiveFileLookup": "true"}
 GUID = "^[0-9A-Fa-f]{8}-([0-9A-Fa-f]{4}-){3}[0-9A-Fa-f]{12}$"
 
 
@@ -46,14 +49,14 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
 
 def read_series_jsonl(spark: SparkSession, path: str, sidecars: DataFrame | None = None) -> DataFrame:
     """path, t, v, conf from files of [t, value or null, confidence] lines. One bad line makes its whole file missing, as does a sidecar(path, lines, size, sha256) that doesn't fit."""
-    rows = spark.read.text(path).select(F.input_file_name().alias("path"), F.try_parse_json("value").alias("j"), "value").filter(F.trim("value") != "")
+    rows = spark.read.options(**BELOW).text(path).select(F.input_file_name().alias("path"), F.try_parse_json("value").alias("j"), "value").filter(F.trim("value") != "")
     t, v, c = (F.try_variant_get("j", f"$[{i}]", k) for i, k in ((0, "double"), (1, "long"), (2, "double")))
     rows = rows.select("path", t.alias("t"), v.alias("v"), c.alias("conf"))
-    bad = rows.filter("t IS NULL OR conf IS NULL").select("path").distinct()
-    good = rows.join(bad, "path", "left_anti")
+    bad = F.max(F.col("t").isNull() | F.col("conf").isNull()).over(Window.partitionBy("path"))  # no join with the bad files: it would open all files twice
+    good = rows.withColumn("_bad", bad).filter("NOT _bad").drop("_bad")
     if sidecars is None:
         return good
-    raw = spark.read.format("binaryFile").load(path).select("path", F.col("length").alias("_size"), F.sha2("content", 256).alias("_sha"))
+    raw = spark.read.format("binaryFile").options(**BELOW).load(path).select("path", F.col("length").alias("_size"), F.sha2("content", 256).alias("_sha"))
     lines = rows.groupBy("path").agg(F.count("*").alias("_lines"))
     name = lambda c: F.regexp_replace(c, "^file:/*", "/")
     seen = raw.withColumn("path", name(F.col("path"))).join(lines.withColumn("path", name(F.col("path"))), "path")

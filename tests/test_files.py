@@ -46,3 +46,19 @@ def test_texts_are_repaired_without_python(spark, tmp_path):
     got = corpus.read_corpus(spark, str(tmp_path))
     assert got.first().content == bad.decode("utf-8", "replace").replace("\r\n", "\n").replace("\r", "\n")
     assert "pythonUDF" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_folders_are_listed_by_a_few_tasks(spark, sf, tmp_path):
+    for k in range(120):
+        os.makedirs(tmp_path / f"series={k}")
+        (tmp_path / f"series={k}" / "x.jsonl").write_text("[0.1, 5, 0.9]\n" if k % 3 else "[0.1, 5, 0.9]\n[0.2, 7\n")
+    corpora.table(spark, sf, "region")
+    spark.sparkContext.setJobGroup("listing", "")
+    try:
+        got = files.read_series_jsonl(spark, str(tmp_path))
+        status = spark.sparkContext.statusTracker()
+        tasks = sum(status.getStageInfo(s).numTasks for j in status.getJobIdsForGroup("listing") for s in status.getJobInfo(j).stageIds)
+        assert 0 < tasks <= 4 * spark.sparkContext.defaultParallelism
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert got.count() == 80 and scans(got, "value") == 1, "files are opened once"
