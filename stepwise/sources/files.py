@@ -69,7 +69,7 @@ META = "struct<ssc_file: string, DESCRIPTION: string, SONGTYPE: string, `Hold ti
 
 def read_chartstruct(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(rows: path, time, beat, line), (meta: path, ssc_file, description, songtype, ticks): chart tables, their rows and what their first row says. Lines lose the back-tick before them; hold ticks are rounded to whole numbers."""
-    raw = spark.read.option("header", "true").option("escape", '"').csv(path).withColumn("path", F.input_file_name())
+    raw = spark.read.options(**BELOW).option("header", "true").option("escape", '"').csv(path).withColumn("path", F.input_file_name())
     rows = raw.select("path", F.col("Time").cast("double").alias("time"), F.col("Beat").cast("double").alias("beat"), F.regexp_replace("Line", "^`", "").alias("line"))
     meta = raw.filter("Metadata IS NOT NULL").select("path", F.from_json("Metadata", META).alias("m"))
     ticks = F.transform("m.Hold ticks", lambda h: F.struct(h[0].alias("t0"), h[1].alias("t1"), F.round(h[2]).cast("long").alias("n")))

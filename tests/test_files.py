@@ -62,3 +62,15 @@ def test_folders_are_listed_by_a_few_tasks(spark, sf, tmp_path):
     finally:
         spark.sparkContext._jsc.clearJobGroup()
     assert got.count() == 80 and scans(got, "value") == 1, "files are opened once"
+
+
+def test_chart_tables_are_as_sparks_own(spark, sf, tmp_path, monkeypatch):
+    monkeypatch.setattr(corpora, "_folder", lambda spark, name: f"file:{tmp_path}/{name}")
+    corpora.chart_meta(spark, sf)
+    ours = written(tmp_path / "charts")
+    assert ours and not any(k.endswith(".crc") for k in ours)
+    rows_ = spark.read.option("recursiveFileLookup", "true").option("header", "true").option("escape", '"').csv(f"file:{tmp_path}/charts").withColumn("song", F.regexp_extract(F.input_file_name(), r"song=(\d+)", 1).cast("long"))
+    one = rows_.filter(F.col("song") == rows_.agg(F.min("song")).first()[0]).drop("song").withColumn("Time", F.col("Time").cast("long")).withColumn("Beat", F.col("Beat").cast("double"))
+    one.coalesce(1).write.option("header", True).option("escape", '"').csv(f"file:{tmp_path}/again")
+    again = [v for k, v in written(tmp_path / "again").items() if k.endswith(".csv")]
+    assert again[0] in ours.values()
