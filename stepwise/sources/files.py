@@ -35,15 +35,16 @@ CERT_ROWS = "array<struct<vid: string, status: string, t: double, skin: string,
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """vid, status, skin, chart, side, expected, verdict from a ledger that is an object by vid or a list of rows; a missing file gives an empty table."""
     try:
-        raw = spark.read.text(path, wholetext=True)
+        raw = spark.read.options(**BELOW).text(path, wholetext=True)
     except Exception as e:  # only a path that isn't there
         if "PATH_NOT_FOUND" not in str(e):
             raise
         return spark.createDataFrame([], "vid string, status string, skin string, chart string, side string, expected long, verdict string")
     listed = F.ltrim("value").startswith("[")
-    by_id = raw.filter(~listed).select(F.explode(F.map_entries(F.from_json("value", CERT))).alias("e")).select(F.col("e.key").alias("vid"), "e.value.*")
-    rows = raw.filter(listed).select(F.inline(F.from_json("value", CERT_ROWS)))
-    both = by_id.select("vid", "status", "skin", "charts").unionByName(rows.select("vid", "status", "skin", "charts"))
+    body = lambda r, vid: F.struct(vid.alias("vid"), *(r[k].alias(k) for k in ("status", "skin", "charts")))
+    by_id = F.transform(F.map_entries(F.from_json("value", CERT)), lambda e: body(e["value"], e["key"]))
+    rows = F.transform(F.from_json("value", CERT_ROWS), lambda r: body(r, r["vid"]))
+    both = raw.select(F.posexplode_outer(F.when(listed, rows).otherwise(by_id)).alias("_pos", "_r")).filter("_pos IS NOT NULL").select("_r.*")  # one read; outer: else Spark infers a filter that parses all texts once more
     return both.select("vid", "status", "skin", F.explode_outer(F.map_entries("charts")).alias("c")).select("vid", "status", "skin", F.col("c.key").alias("chart"), "c.value.side", "c.value.expected", "c.value.verdict")
 
 

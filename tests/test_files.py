@@ -64,6 +64,18 @@ def test_folders_are_listed_by_a_few_tasks(spark, sf, tmp_path):
     assert got.count() == 80 and scans(got, "value") == 1, "files are opened once"
 
 
+def test_ledgers_are_read_once(spark, tmp_path):
+    body = {"status": "S", "skin": "k", "charts": {"a": {"expected": 5, "side": "1p", "verdict": "ok"}, "b": None}}
+    for name, value in {"map": {"v1": body, "v2": None, "v3": {"status": "T"}}, "list": [{"vid": "w1", **body}, None, {"vid": "w3", "charts": {}}], "none": [], "empty": {}}.items():
+        (tmp_path / f"{name}.json").write_text(" " * (name == "list") + json.dumps(value))
+    (tmp_path / "broken.json").write_text('{"v9": ')
+    got = files.read_ledger(spark, str(tmp_path))
+    one = lambda v: [(v, "S", "k", "a", "1p", 5, "ok"), (v, "S", "k", "b", None, None, None)]
+    none = (None,) * 4
+    assert rows(got, "vid", "status", "skin", "chart", "side", "expected", "verdict") == sorted([*one("v1"), ("v2", None, None, *none), ("v3", "T", None, *none), *one("w1"), (None, None, None, *none), ("w3", None, None, *none)], key=repr)
+    assert scans(got, "value") == 1
+
+
 def test_chart_tables_are_as_sparks_own(spark, sf, tmp_path, monkeypatch):
     monkeypatch.setattr(corpora, "_folder", lambda spark, name: f"file:{tmp_path}/{name}")
     corpora.chart_meta(spark, sf)
