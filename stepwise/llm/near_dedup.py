@@ -108,7 +108,7 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree, ids = batch.column("tree").to_numpy(), batch.column("doc_id").to_numpy()
         keys = np.frombuffer(tv.strings(batch.column("key"))[0].tobytes(), ">u4").reshape(-1, DEPTH)
         if held is not None:
-            tree, ids, keys = np.concatenate((held[0], tree)), np.concatenate((held[1], ids)), np.concatenate((held[2], keys))
+            tree, ids, keys = np.concatenate((held[0], tree)), np.concatenate((held[1], ids)), np.concatenate((held[2], keys)).astype(">u4")  # concatenate turns bytes into the machine's order, and prefixes are compared as bytes
         old = 0 if held is None else len(held[0])
         after = np.where(tree[1:] == tree[:-1], np.cumprod(keys[1:] == keys[:-1], axis=1).sum(1), 0)  # in common with the next
         common, out = after, [(ids[:0], ids[:0], ids[:0] > 0, tree[:0], ids[:0])]

@@ -730,6 +730,16 @@ def test_reach_over_partition_edges():
     assert parts < whole and parts | pairs(near_dedup._neighbours(iter([batch(sorted(edges))]))) >= whole
 
 
+def test_regions_are_named_alike_in_all_batches():
+    """A region's name is the prefix of its keys, whichever batch of the order it was cut in."""
+    key = lambda i: np.array([1 + i // 12, 2, 3, i % 12, 5, 6], ">u4").tobytes()
+    batch = lambda rows: pa.RecordBatch.from_arrays([pa.array([0] * len(rows), pa.int32()), pa.array([key(i) for i in rows], pa.binary()), pa.array(rows, pa.int64())], names=["tree", "key", "doc_id"])
+    cut = lambda out: {(r["a"], r["b"], r["short"]) for x in out for r in x.to_pylist() if r["cut"]}
+    whole = cut(near_dedup._neighbours(iter([batch(list(range(120)))])))
+    assert {short for *_, short in whole} == {key(i)[: 4 * near_dedup.REST] for i in range(120)}
+    assert cut(near_dedup._neighbours(iter([batch(list(range(a, a + 30))) for a in range(0, 120, 30)]))) == whole
+
+
 # 10 fingerprints
 
 
