@@ -7,7 +7,7 @@ double that stands beside them for sorting.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +27,8 @@ def read_corpus(spark: SparkSession, path: str, rev: str = "head", names: str =
 def split_blocks(files: DataFrame) -> DataFrame:
     """rev, path, pack, song, block (from 0), header, text, block_sha, header_sha: a block starts at a #NOTEDATA: that starts a line; both texts lose white space at their end."""
     pieces = F.split("content", r"(?m)^(?=#NOTEDATA:)")
-    rows = files.select("rev", "path", "pack", "song", F.rtrim(F.regexp_replace(F.get(pieces, F.lit(0)), r"\s+$", "")).alias("header"), F.posexplode_outer(F.slice(pieces, F.lit(2), F.size(pieces))).alias("block", "text")).filter("block IS NOT NULL")  # outer: else Spark infers a filter that splits all texts once more
+    whole = files.select("rev", "path", "pack", "song", F.rtrim(F.regexp_replace(F.get(pieces, F.lit(0)), r"\s+$", "")).alias("header"), F.slice(pieces, F.lit(2), F.size(pieces)).alias("_pieces"))  # a step before the explode: above it, each block would split its whole file again
+    rows = whole.select("rev", "path", "pack", "song", "header", F.posexplode_outer("_pieces").alias("block", "text")).filter("block IS NOT NULL")  # outer: else Spark infers a filter that splits all texts once more
     rows = rows.withColumn("text", F.regexp_replace("text", r"\s+$", ""))
     return rows.withColumn("block_sha", F.sha2("text", 256)).withColumn("header_sha", F.sha2("header", 256))
 
@@ -50,13 +51,19 @@ def parse_tags(blocks: DataFrame) -> DataFrame:
     return blocks.withColumn("tags", F.map_concat(tag_map(F.col("header")), tag_map(F.col("text"))))
 
 
-def parse_schedule(blocks: DataFrame, tag: str, key: list[str]) -> DataFrame:
-    """key, beat, value, more: the entries 'beat=value[=...]' of a tag; blanks and bad numbers are skipped, the later of two entries on a beat wins."""
-    entries = F.posexplode_outer(F.split(F.element_at("tags", tag), ","))  # outer: without a filter that reads all tags once more
-    rows = blocks.select(*key, entries.alias("pos", "entry"))
+def parse_schedules(blocks: DataFrame, tags: Sequence[str], key: list[str]) -> DataFrame:
+    """key, tag, beat, value, more: the entries 'beat=value[=...]' of these tags, read in one pass; blanks and bad numbers are skipped, the later of two entries on a beat wins."""
+    each = F.array(*(F.struct(F.lit(t).alias("tag"), F.split(F.element_at("tags", t), ",").alias("entries")) for t in tags))
+    rows = blocks.select(*key, F.explode_outer(each).alias("_t"))  # outer: without a filter that reads all tags once more
+    rows = rows.select(*key, "_t.tag", F.posexplode_outer("_t.entries").alias("pos", "entry"))
     part = lambda i: F.trim(F.get(F.split("entry", "="), F.lit(i)))
-    rows = rows.select(*key, "pos", part(0).try_cast("double").alias("beat"), part(1).try_cast("double").alias("value"), F.slice(F.split("entry", "="), F.lit(3), F.size(F.split("entry", "="))).alias("more")).filter("beat IS NOT NULL AND value IS NOT NULL")
-    return rows.groupBy(*key, "beat").agg(F.max_by(F.struct("value", "more"), "pos").alias("_s")).select(*key, "beat", "_s.value", "_s.more")
+    rows = rows.select(*key, "tag", "pos", part(0).try_cast("double").alias("beat"), part(1).try_cast("double").alias("value"), F.slice(F.split("entry", "="), F.lit(3), F.size(F.split("entry", "="))).alias("more")).filter("beat IS NOT NULL AND value IS NOT NULL")
+    return rows.groupBy(*key, "tag", "beat").agg(F.max_by(F.struct("value", "more"), "pos").alias("_s")).select(*key, "tag", "beat", "_s.value", "_s.more")
+
+
+def parse_schedule(blocks: DataFrame, tag: str, key: list[str]) -> DataFrame:
+    """key, beat, value, more: what parse_schedules gives for one tag."""
+    return parse_schedules(blocks, [tag], key).drop("tag")
 
 
 def _gcd(a: Column, b: Column, finish: Callable[[Column], Column] = lambda g: g) -> Column:

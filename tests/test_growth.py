@@ -6,6 +6,7 @@ from stepwise.functions import scalars
 from stepwise.operators import _range, align, match, pins, pricing, reconcile, series, signals
 
 from stepwise.plans.registry import collect
+from stepwise.sources import corpus
 
 from .conftest import rows
 
@@ -158,3 +159,25 @@ def test_places_of_splits(spark):
         lo, hi = r.b0, r.b1
         want = sorted(x for x in {*(k * 6 for k in range(lo * 16 // 12 + 1, hi * 16 // 12 + 1)), *(lo * 8 + (hi - lo) * k for k in range(1, 8))} if lo * 8 < x < hi * 8)
         assert r._grid == want and r._s == want[:: max(1, len(want) // 64)]
+
+
+def step_files(spark):
+    text = "#TITLE:t;\n#BPMS:0=120,4=130;\n" + "\n".join(f"#NOTEDATA:;\n#METER:{k};\n#TICKCOUNTS:0=4,8={k},8={k + 1};\n#NOTES:\n10000\n;" for k in range(3))
+    return spark.createDataFrame([("head", f"p/{k}/f.txt", "p", str(k), text) for k in range(2)], "rev string, path string, pack string, song string, content string").coalesce(1)
+
+
+def test_a_file_is_split_once_not_once_a_block(spark):
+    blocks = corpus.split_blocks(step_files(spark))
+    above = plan(blocks).split("Generate")[0]
+    assert "content" not in above and "split" not in above, "above the explode, each block would split its whole file again"
+    assert rows(blocks, "song", "block", "header") == [(str(k), b, "#TITLE:t;\n#BPMS:0=120,4=130;") for k in range(2) for b in range(3)]
+
+
+def test_schedules_are_read_in_one_pass(spark):
+    key = ["song", "block"]
+    blocks = corpus.parse_tags(corpus.split_blocks(step_files(spark)))
+    got = corpus.parse_schedules(blocks, ["BPMS", "TICKCOUNTS", "FAKES"], key)
+    assert plan(got).count("LogicalRDD") + plan(got).count("LocalRelation") == 1
+    want = [(str(s), b, tag, beat, value) for s in range(2) for b in range(3) for tag, beat, value in (("BPMS", 0.0, 120.0), ("BPMS", 4.0, 130.0), ("TICKCOUNTS", 0.0, 4.0), ("TICKCOUNTS", 8.0, b + 1.0))]
+    assert rows(got, *key, "tag", "beat", "value") == sorted(want, key=repr)
+    assert "Union" not in plan(QUERIES["a4_parse_schedule"](spark, "/root/testdata/sf0.001"))
