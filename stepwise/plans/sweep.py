@@ -20,13 +20,14 @@ def swept_blocks(blocks, counts, key, unit=UNIT, width=4 * UNIT):
 
     Rows of a block that isn't a whole number of 1/unit beats off would be moved, so such a block has status `off_grid` and no counts.
     """
-    notes = corpus.explode_notes(blocks, key).withColumn("t", (C("beat.num") * unit / C("beat.den")).cast("long")).withColumn("off", C("beat.num") * unit % C("beat.den") != 0)
+    notes = corpus.explode_notes(blocks, key).select(*key, (C("beat.num") * unit / C("beat.den")).cast("long").alias("t"), (C("beat.num") * unit % C("beat.den") != 0).alias("off"), "col", "sym").checkpoint()  # read for blocks off the grid and for the others' rows
     bad = notes.filter("off").select(*key).distinct().withColumn("error", F.lit("off_grid"))
     rows = notes.join(bad.select(*key), key, "left_anti").select(*key, "t", "col", "sym").checkpoint()  # read for holds, taps and heads
     holds = intervals.pair_holds(rows, [*key, "col"]).select(*key, "head", "tail")
-    ticks = corpus.parse_schedule(blocks, "TICKCOUNTS", key).select(*key, F.round(C("beat") * unit).cast("long").alias("beat"), F.round("value").cast("long").alias("value"), F.lit(0).alias("pos"))
+    schedules = corpus.parse_schedules(blocks, ["TICKCOUNTS", "FAKES"], key).select(*key, "tag", "beat", "value").checkpoint()
+    ticks = schedules.filter("tag = 'TICKCOUNTS'").select(*key, F.round(C("beat") * unit).cast("long").alias("beat"), F.round("value").cast("long").alias("value"), F.lit(0).alias("pos"))
     steps = intervals.rate_spans(ticks, key)
-    fakes = corpus.parse_schedule(blocks, "FAKES", key).select(*key, F.round(C("beat") * unit).cast("long").alias("s"), F.round((C("beat") + C("value")) * unit).cast("long").alias("e")).filter("e > s")
+    fakes = schedules.filter("tag = 'FAKES'").select(*key, F.round(C("beat") * unit).cast("long").alias("s"), F.round((C("beat") + C("value")) * unit).cast("long").alias("e")).filter("e > s")
     taps = rows.filter("sym = '1'").select(*key, C("t").alias("beat"))
     counted = intervals.lattice_count(holds, steps, fakes, taps, key, unit, width)
     named = blocks.select(*key).join(bad, key, "left")
@@ -39,7 +40,7 @@ def swept_blocks(blocks, counts, key, unit=UNIT, width=4 * UNIT):
 
 def corpus_sweep(spark, sf):
     """All blocks of the written step files against two counts for each, some of them missing."""
-    blocks = corpus.parse_tags(corpora._blocks(spark, sf)).checkpoint()  # read for notes, schedules and names
+    blocks = corpus.parse_tags(corpora._blocks(spark, sf)).select(*KEY, "tags").checkpoint()  # read for notes, schedules and names
     lines = corpora._lines(spark, sf)
     counts = lines.select(*KEY, F.when(C("o") % 9 != 0, 1 + C("o") % 3 * 3).alias("count1"), F.when(C("o") % 4 != 0, 1 + C("p") % 4 * 3).alias("count2"))
     return swept_blocks(blocks, counts, KEY)

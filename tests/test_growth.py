@@ -5,6 +5,7 @@ import random
 from stepwise.functions import scalars
 from stepwise.operators import _range, align, match, pins, pricing, reconcile, series, signals
 
+from stepwise.plans import sweep
 from stepwise.plans.registry import collect
 from stepwise.sources import corpus
 
@@ -181,3 +182,12 @@ def test_schedules_are_read_in_one_pass(spark):
     want = [(str(s), b, tag, beat, value) for s in range(2) for b in range(3) for tag, beat, value in (("BPMS", 0.0, 120.0), ("BPMS", 4.0, 130.0), ("TICKCOUNTS", 0.0, 4.0), ("TICKCOUNTS", 8.0, b + 1.0))]
     assert rows(got, *key, "tag", "beat", "value") == sorted(want, key=repr)
     assert "Union" not in plan(QUERIES["a4_parse_schedule"](spark, "/root/testdata/sf0.001"))
+
+
+def test_the_sweep_reads_notes_and_schedules_once(spark):
+    key = ["song", "block"]
+    blocks = corpus.parse_tags(corpus.split_blocks(step_files(spark))).select(*key, "tags").checkpoint()
+    counts = blocks.select(*key).selectExpr(*key, "1L AS count1", "CAST(NULL AS BIGINT) AS count2")
+    got = sweep.swept_blocks(blocks, counts, key)
+    assert "posexplode" not in plan(got), "notes and schedules are kept where they are read"
+    assert rows(got, *key, "status", "taps", "implied", "verdict") == [(str(s), b, "ok", 1, 1, "exact") for s in range(2) for b in range(3)]
