@@ -4,6 +4,7 @@ import random
 from collections import Counter
 from itertools import combinations
 
+import numpy as np
 import pytest
 
 from stepwise.operators import grading
@@ -109,6 +110,31 @@ def test_random_rules_of_the_query(spark, sf):
     assert len(some) == 200 and not any(v[3] for v in got.values())
 
 
+def test_alike_charts_are_graded_as_one(spark):
+    """A thousand charts whose counts differ from what is expected alike make no more rows for the gate than ten."""
+    def units(n):
+        rows = spark.createDataFrame([("c", k, None, p) for k in range(n) for p in (1, 1, 6)] + [("u", k, None, 2) for k in range(n)], "kind string, chart int, cluster int, packed long")
+        charts = spark.createDataFrame([(k, "tune", k % 2 == 0) for k in range(n)], "chart int, split string, noted boolean")
+        return grading._matched(rows, "chart", {"c": grading.F.lit(True), "u": grading.F.col("noted")}, charts, [(3, None), (7, np.array([6]))])
+
+    for n in (10, 1000):
+        half = n // 2
+        want = [(3, 1, 2, 0, "tune", noted, half) for noted in (False, True)] + [(3, 2, 1, u, "tune", u == 1, half) for u in (0, 1)] + [(7, 6, 1, 0, "tune", noted, half) for noted in (False, True)]
+        assert rows(units(n)) == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("wide", [0, 1 << 60])
+def test_tallies(wide):
+    rng = np.random.default_rng(3)
+    keys, values = np.stack((rng.integers(0, 5, 400), rng.integers(0, 7, 400) + wide, rng.integers(0, 3, 400))), rng.integers(0, 9, (2, 400))
+    got, sums = grading._tally(keys, values)
+    want = {}
+    for k, v in zip(keys.T.tolist(), values.T.tolist(), strict=True):
+        want[tuple(k)] = [a + b for a, b in zip(want.get(tuple(k), [0, 0]), v, strict=True)]
+    assert dict(zip(map(tuple, got.T.tolist()), sums.T.tolist(), strict=True)) == want and got.shape[1] == len(want)
+    assert grading._tally(keys[:, :0], values[:, :0])[0].shape == (3, 0)
+
+
 @pytest.mark.parametrize("n,pool", [(100, 7), (100, 1000), (19, 3), (40, 0), (0, 5)])
 def test_packets(spark, n, pool):
     items = spark.createDataFrame([(1000 + k, k) for k in range(n)], "item int, pos long")
